@@ -29,6 +29,17 @@ MEMBERS = "path string, entry string, entry_bytes bigint, is_dir boolean, conten
 ENTRIES = "path string, entry string, entry_no bigint, mime_type string, entry_bytes bigint, content binary, error string"
 
 
+# Types by file name, the same on every machine: no system files are read.
+MIME_TYPES = mimetypes.MimeTypes()
+MIME_TYPES.add_type("application/xml", ".xml")
+for _suffix in (".java", ".cc", ".c++", ".text"):
+    MIME_TYPES.add_type("text/plain", _suffix)
+
+
+def mime_type_of(name: str) -> str | None:
+    return MIME_TYPES.guess_type(name, strict=True)[0]
+
+
 def read_archives(spark: SparkSession, paths: str | Sequence[str], max_bytes: int | None = None) -> DataFrame:
     """(path, length, content) of archive files, each archive in its own split."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
@@ -128,7 +139,7 @@ def _zip_reader(mime_types: frozenset[str], max_bytes: int | None):
         try:
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 for number, info in enumerate(archive.infolist()):
-                    mime = mimetypes.guess_type(info.filename)[0]
+                    mime = mime_type_of(info.filename)
                     if info.is_dir() or (mime_types and (mime or "").lower() not in mime_types):
                         continue
                     if max_bytes is not None and info.file_size > max_bytes:
@@ -175,7 +186,7 @@ def zip_entries(
             raise ValueError("entries_per_task is at least 1")
         tasks = -(-found.count() // entries_per_task)
         found = found.repartition(max(1, tasks), "path", "entry_no")
-    key = F.concat_ws("-", F.regexp_extract("path", r"([^/]+)$", 1), "entry")
+    key = F.concat_ws("-", "path", "entry")
     return found.select(key.alias("row_key"), "path", "entry", "mime_type", "entry_bytes", "content")
 
 
