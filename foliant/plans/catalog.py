@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from foliant.plans import cleaning, profiles, scans
+from foliant.plans import annotating, cleaning, profiles, scans, vocabulary
 from foliant.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "cleaning", "profiles", "scans"]
+__all__ = ["QUERIES", "SQL", "annotating", "cleaning", "profiles", "scans", "vocabulary"]
