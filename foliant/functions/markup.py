@@ -18,6 +18,8 @@ from foliant.functions.text import trimmed
 # Private-use characters: an escaped "<", begin and end of moved attributes.
 LESS, OPEN, SHUT = "\ue001", "\ue002", "\ue003"
 CORRUPT = "_corrupt_record"
+# Attribute values and text keep their blanks; what is trimmed is trimmed here.
+XML_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT, "ignoreSurroundingSpaces": "false"}
 ATTRIBUTES = r"""((?:\s+[\w.:-]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*"""
 
 
@@ -30,12 +32,18 @@ def protected(xml: Column, elements: Sequence[str]) -> Column:
     return F.regexp_replace(text, f"<({names}){ATTRIBUTES}/>", f"<$1>{OPEN}$2{SHUT}</$1>")
 
 
-def with_tree(df: DataFrame, xml: Column, schema: str, name: str) -> DataFrame:
-    """Add the parsed struct; rows that are no well-formed XML are left out.
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is evaluated once per row, however often it is read.
 
-    Written as a generator so that the test and the fields read one parse.
+    A generator over one element: the optimizer does not copy its expression
+    into every later use, as it may with a plain projection.
     """
-    trees = F.array(F.from_xml(xml, schema, {"columnNameOfCorruptRecord": CORRUPT}))
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def with_tree(df: DataFrame, xml: Column, schema: str, name: str) -> DataFrame:
+    """Add the parsed struct; rows that are no well-formed XML are left out."""
+    trees = F.array(F.from_xml(xml, schema, XML_OPTIONS))
     good = F.filter(trees, lambda t: t.isNotNull() & t[CORRUPT].isNull())
     return df.withColumn(name, F.explode(good))
 

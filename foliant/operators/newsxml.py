@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.functions.markup import CORRUPT, all_text, attribute, last, plain, protected, with_tree
-from foliant.functions.text import is_blank, trimmed
+from foliant.functions.markup import CORRUPT, XML_OPTIONS, all_text, attribute, computed, plain, protected, with_tree
+from foliant.functions.text import is_blank
 from foliant.model import META_TYPE
 from foliant.operators.annotate import merge_metadata
 from foliant.operators.rows import long_result
@@ -50,6 +50,7 @@ TEXT_META = {
     "publication_day_of_week": "DayOfWeek",
 }
 INT_META = {
+    "print_column": "ColumnNumber",
     "print_page_number": "Page",
     "publication_day_of_month": "PublicationDayOfMonth",
     "publication_month": "PublicationMonth",
@@ -111,28 +112,28 @@ DATE_TEXT = "EEE MMM dd HH:mm:ss 'UTC' yyyy"
 URL_PATTERN = r"^(?i:https?|ftp|file|jar|mailto):"
 
 
-def _none_if_missing(items: Column) -> Column:
-    return F.coalesce(items, F.array().cast("array<string>"))
+def _children(root: str, *names: str) -> str:
+    """SQL for the descendants along the names, over all parents, in order."""
+    for name in names:
+        root = f"flatten(filter(transform({root}, p -> p.`{name}`), c -> c is not null))"
+    return root
 
 
-def _flat(parents: Column, name: str) -> Column:
-    """Children of the given name over all parents, in order."""
-    return F.flatten(F.filter(F.transform(parents, lambda p: p[name]), lambda c: c.isNotNull()))
+def _last(items: str, test: str) -> str:
+    """SQL for the last item that passes; null if there is none."""
+    return f"try_element_at(filter({items}, x -> {test}), -1)"
 
 
-def _children(root: str, *names: str) -> Column:
-    step = F.col(root)
-    for name in names:
-        step = _flat(step, name)
-    return step
+def _date(text: str) -> str:
+    return f"try_to_timestamp({text}, \"{DATE_FORMAT}\")"
 
 
-def _as_date(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit(DATE_FORMAT))
+def _url(text: str) -> str:
+    return f"case when rlike({text}, r'{URL_PATTERN}') then {text} end"
 
 
-def _as_url(text: Column) -> Column:
-    return F.when(F.rlike(text, F.lit(URL_PATTERN)), text)
+def _int(text: str) -> str:
+    return f"try_cast(trim({text}) as int)"
 
 
 def parsed(docs: DataFrame) -> DataFrame:
@@ -143,107 +144,149 @@ def parsed(docs: DataFrame) -> DataFrame:
 def rejected(docs: DataFrame) -> DataFrame:
     """Rows whose text is no well-formed XML, with the text."""
     tree = F.from_xml(
-        protected(F.col("text.orig"), TEXT_ELEMENTS), f"{CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
+        protected(F.col("text.orig"), TEXT_ELEMENTS), f"{CORRUPT} string", XML_OPTIONS
     )
     bad = docs.where(F.col("text.orig").isNotNull() & tree[CORRUPT].isNotNull())
     return bad.select("row_key", F.col("text.orig").alias("orig"))
 
 
-def head_fields() -> dict[str, Column]:
-    """N2."""
+# Where each text element is found below the root.
+_PLACES = {
+    "hl2": ("nitf.body.`body.head`", "hedline"),
+    "byline": ("nitf.body.`body.head`",),
+    "tagline": ("nitf.body.`body.end`",),
+}
 
-    def content(name: str) -> Column:
-        named = F.filter("nitf.head.meta", lambda m: (m["_name"] == name) & m["_content"].isNotNull())
-        return F.transform(named, lambda m: plain(m["_content"]))
 
-    def last_valid(name: str, read) -> Column:
-        # An unreadable value leaves the one before it in place.
-        return last(F.filter(F.transform(content(name), read), lambda v: v.isNotNull()))
+def _nodes() -> Column:
+    """The tree as flat lists of plain values, one list per kind of node."""
+    body, docdata = "nitf.body.`body.head`", "nitf.head.docdata"
+
+    def elements(name: str) -> str:
+        found = _children(*_PLACES.get(name, (docdata, "identified-content")), name)
+        return f"coalesce(transform({found}, x -> struct('{name}' as element, x as markup)), array())"
+
+    def strings(sql: str, read) -> Column:
+        return F.transform(F.expr(sql), read)
+
+    return F.struct(
+        F.transform(
+            "nitf.head.meta", lambda m: F.struct(m["_name"].alias("name"), plain(m["_content"]).alias("content"))
+        ).alias("meta"),
+        F.transform(
+            "nitf.head.pubdata",
+            lambda p: F.struct(
+                plain(p["_date.publication"]).alias("date"),
+                plain(p["_ex-ref"]).alias("ref"),
+                p["_item-length"].alias("length"),
+                plain(p["_name"]).alias("name"),
+            ),
+        ).alias("pubdata"),
+        strings(_children(docdata, "doc-id"), lambda d: d["_id-string"]).alias("ids"),
+        strings(_children(docdata, "series"), lambda s: plain(s["_series.name"])).alias("series"),
+        strings(
+            f"concat({', '.join(elements(n) for n in TEXT_ELEMENTS)})",
+            lambda x: F.struct(
+                x["element"].alias("element"),
+                attribute(x["markup"], "class").alias("class"),
+                attribute(x["markup"], "type").alias("type"),
+                all_text(x["markup"]).alias("text"),
+            ),
+        ).alias("texts"),
+        strings(_children(body, "hedline", "hl1"), all_text).alias("hl1"),
+        strings(_children(body, "dateline"), all_text).alias("dateline"),
+        strings(_children(body, "abstract", "p"), all_text).alias("abstract"),
+        strings(
+            _children("nitf.body.`body.content`", "block"),
+            lambda b: F.struct(
+                plain(b["_class"]).alias("class"), F.array_join(F.transform(b["p"], all_text), "\n").alias("text")
+            ),
+        ).alias("block"),
+    )
+
 
-    fields = {field: last(content(name)) for name, field in TEXT_META.items()}
-    fields |= {f: last_valid(n, lambda c: c.try_cast("int")) for n, f in INT_META.items()}
-    fields["ColumnNumber"] = last_valid("print_column", lambda c: trimmed(c).try_cast("int"))
-    fields["AlternateURL"] = last_valid("alternate_url", _as_url)
-    fields["CorrectionDate"] = last_valid("correction_date", _as_date)
-    return fields
+def head_fields() -> dict[str, str]:
+    """N2. An unreadable value leaves the one before it in place."""
 
+    def value(name: str, read=str) -> str:
+        found = _last("n.meta", f"x.name = '{name}' and {read('x.content')} is not null")
+        return read(f"{found}.content")
 
-def publication_fields() -> dict[str, Column]:
+    fields = {field: value(name) for name, field in TEXT_META.items()}
+    fields |= {field: value(name, _int) for name, field in INT_META.items()}
+    return fields | {
+        "AlternateURL": value("alternate_url", _url),
+        "CorrectionDate": value("correction_date", _date),
+    }
+
+
+def publication_fields() -> dict[str, str]:
     """N3."""
 
-    def values(name: str, read=lambda c: c) -> Column:
-        read_all = F.transform("nitf.head.pubdata", lambda p: read(plain(p[name])))
-        return last(F.filter(read_all, lambda v: v.isNotNull()))
+    def value(name: str, read=str) -> str:
+        found = _last("n.pubdata", f"{read('x.' + name)} is not null")
+        return read(f"{found}.{name}")
 
     return {
-        "PublicationDate": values("_date.publication", _as_date),
-        "Url": values("_ex-ref", _as_url),
-        "WordCount": values("_item-length", lambda c: c.try_cast("int")),
-        "Credit": values("_name"),
+        "PublicationDate": value("date", _date),
+        "Url": value("ref", _url),
+        "WordCount": value("length", _int),
+        "Credit": value("name"),
     }
 
 
-def identity_fields() -> dict[str, Column]:
+def identity_fields() -> dict[str, str]:
     """N4."""
-    ids = F.transform(_children("nitf.head.docdata", "doc-id"), lambda d: d["_id-string"].try_cast("int"))
-    series = _children("nitf.head.docdata", "series")
     return {
-        "Guid": last(F.filter(ids, lambda v: v.isNotNull())),
-        "Kicker": plain(last(F.transform(series, lambda s: s["_series.name"]))),
+        "Guid": _int(_last("n.ids", f"{_int('x')} is not null")),
+        "Kicker": "try_element_at(n.series, -1)",
     }
 
 
-def content_fields() -> dict[str, Column]:
-    """Lists of identified content; empty lists, never null."""
-
-    def texts(element: str, of_class: str, of_type: str | None) -> Column:
-        items = _none_if_missing(_children("nitf.head.docdata", "identified-content", element))
-
-        def wanted(x: Column) -> Column:
-            test = attribute(x, "class") == of_class
-            return test if of_type is None else test & (attribute(x, "type") == of_type)
+def _is(element: str, of_class: str, of_type: str | None = None) -> str:
+    test = f"x.element = '{element}' and x.class = '{of_class}'"
+    return test if of_type is None else f"{test} and x.type = '{of_type}'"
 
-        return F.transform(F.filter(items, wanted), all_text)
 
-    return {field: texts(*rule) for field, rule in CONTENT_LISTS.items()}
+def content_fields() -> dict[str, str]:
+    """Lists of identified content; empty lists, never null."""
+    return {
+        field: f"transform(filter(n.texts, x -> {_is(*rule)}), x -> x.text)" for field, rule in CONTENT_LISTS.items()
+    }
 
 
-def body_fields() -> dict[str, Column]:
+def body_fields() -> dict[str, str]:
     """Where an element repeats, the last one stands."""
-    head = "nitf.body.`body.head`"
-    bylines = _children(head, "byline")
 
-    def classed(items: Column, of_class: str) -> Column:
-        return all_text(last(F.filter(items, lambda x: attribute(x, "class") == of_class)))
+    def text(element: str, of_class: str) -> str:
+        return _last("n.texts", _is(element, of_class)) + ".text"
 
     return {
-        "Headline": all_text(last(_children(head, "hedline", "hl1"))),
-        "OnlineHeadline": classed(_children(head, "hedline", "hl2"), "online_headline"),
-        "Byline": classed(bylines, "print_byline"),
-        "NormalizedByline": classed(bylines, "normalized_byline"),
-        "Dateline": all_text(last(_children(head, "dateline"))),
-        "ArticleAbstract": all_text(last(_children(head, "abstract", "p"))),
-        "AuthorBiography": classed(_children("nitf.body.`body.end`", "tagline"), "author_info"),
+        "Headline": "try_element_at(n.hl1, -1)",
+        "OnlineHeadline": text("hl2", "online_headline"),
+        "Byline": text("byline", "print_byline"),
+        "NormalizedByline": text("byline", "normalized_byline"),
+        "Dateline": "try_element_at(n.dateline, -1)",
+        "ArticleAbstract": "try_element_at(n.abstract, -1)",
+        "AuthorBiography": text("tagline", "author_info"),
     }
 
 
-def block_fields() -> dict[str, Column]:
+def block_fields() -> dict[str, str]:
     """Paragraphs of the last block of a class, newline-joined; empty is null."""
-    blocks = _children("nitf.body.`body.content`", "block")
-
-    def text(of_class: str) -> Column:
-        block = last(F.filter(blocks, lambda b: plain(b["_class"]) == of_class))
-        joined = F.array_join(F.transform(block["p"], all_text), "\n")
-        return F.when(joined != "", joined)
-
-    return {field: text(of_class) for of_class, field in BLOCKS.items()}
+    return {field: f"nullif({_last('n.block', f"x.class = '{name}'")}.text, '')" for name, field in BLOCKS.items()}
 
 
 def articles(docs: DataFrame) -> DataFrame:
-    """One typed column per article field, for well-formed rows."""
+    """One typed column per article field, for well-formed rows.
+
+    Tree, node lists and fields are each computed once per row.
+    """
     fields = head_fields() | publication_fields() | identity_fields()
     fields |= content_fields() | body_fields() | block_fields()
-    return parsed(docs).select(*docs.columns, *[c.alias(f) for f, c in fields.items()])
+    nodes = computed(parsed(docs), "n", _nodes())
+    article = computed(nodes, "article", F.struct(*[F.expr(sql).alias(f) for f, sql in fields.items()]))
+    return article.select(*docs.columns, *[F.col(f"article.{f}") for f in fields])
 
 
 def merged_list(lists: Sequence[str]) -> Column:
@@ -292,7 +335,7 @@ def parse_articles(docs: DataFrame, source: str) -> DataFrame:
     in ``rejected``.
     """
     own = docs.where((F.col("src.name") == source) & F.col("text.orig").isNotNull())
-    found = articles(own).withColumn("__meta", article_metadata())
+    found = computed(articles(own), "__meta", article_metadata())
     kept = found.where((F.size("__meta") > 0) | F.col("Body").isNotNull())
     text = F.col("text").withField("raw", F.coalesce("Body", "text.raw"))
     return (

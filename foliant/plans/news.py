@@ -148,7 +148,7 @@ def _read(spark, folder, names) -> DataFrame:
     return N.articles(news_docs(spark, folder)).select("row_key", *names)
 
 
-HEAD_NAMES = (*N.TEXT_META.values(), *N.INT_META.values(), "ColumnNumber", "AlternateURL")
+HEAD_NAMES = (*N.TEXT_META.values(), *N.INT_META.values(), "AlternateURL")
 
 
 @query("N2_head_fields", _FIELDS + f'SELECT row_key, {_quoted(HEAD_NAMES)}, "CorrectionDate" FROM fields')
@@ -275,7 +275,7 @@ def skip_counts(spark, folder):
 @query(
     "N11_parse_audit",
     _FIELDS + _SINGLE + f""", unpivoted AS (
-  SELECT key, value FROM (UNPIVOT INCLUDE NULLS texts ON {_quoted(N.SINGLE_FIELDS)} INTO NAME key VALUE value)),
+  SELECT key, value FROM texts UNPIVOT INCLUDE NULLS (value FOR key IN ({_quoted(N.SINGLE_FIELDS)}))),
 r AS (
   SELECT 'add' AS counter_group, key AS counter, count(*) AS n FROM unpivoted WHERE trim(value) <> '' GROUP BY key
   UNION ALL SELECT 'null val', key, count(*) FROM unpivoted WHERE value IS NULL GROUP BY key

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions.markup import (
-    CORRUPT, attribute, first, inner, last, present, protected, with_tree,
+    CORRUPT, XML_OPTIONS, attribute, first, inner, last, present, protected, with_tree,
 )
 from foliant.functions.text import comma_joined, is_blank, iso_date, sha1_key
 from foliant.model import INGEST_DATE, empty_annotations, meta_map, src_struct, text_struct
@@ -84,7 +84,7 @@ def feed_status(feeds: DataFrame) -> DataFrame:
     the text must equal the number of entries in the tree.
     """
     tags = F.col("tags") if "tags" in feeds.columns else F.lit(None).cast("string")
-    tree = F.from_xml(protected(F.col("xml"), TEXT_ELEMENTS), FEED_DDL, {"columnNameOfCorruptRecord": CORRUPT})
+    tree = F.from_xml(protected(F.col("xml"), TEXT_ELEMENTS), FEED_DDL, XML_OPTIONS)
     cut = feeds.select("url", "xml", tags.alias("tags"), entry_texts(F.col("xml")).alias("entries"), tree.alias("t"))
     channel = "t.channel"
     parsed = sum(
