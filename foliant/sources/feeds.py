@@ -130,8 +130,8 @@ def parsed_entries(feeds: DataFrame) -> DataFrame:
     return with_tree(keyed, protected(F.col("orig"), TEXT_ELEMENTS), ENTRY_DDL, "e")
 
 
-def _is_rss(column: str = "e") -> Column:
-    return F.size(F.col(f"{column}.id")) <= 0
+def _is_rss() -> Column:
+    return F.startswith(F.col("head.feed_type"), F.lit("rss"))
 
 
 def _description() -> Column:
