@@ -32,15 +32,6 @@ def protected(xml: Column, elements: Sequence[str]) -> Column:
     return F.regexp_replace(text, f"<({names}){ATTRIBUTES}/>", f"<$1>{OPEN}$2{SHUT}</$1>")
 
 
-def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that is evaluated once per row, however often it is read.
-
-    A generator over one element: the optimizer does not copy its expression
-    into every later use, as it may with a plain projection.
-    """
-    return df.withColumn(name, F.explode(F.array(value)))
-
-
 def with_tree(df: DataFrame, xml: Column, schema: str, name: str) -> DataFrame:
     """Add the parsed struct; rows that are no well-formed XML are left out."""
     trees = F.array(F.from_xml(xml, schema, XML_OPTIONS))

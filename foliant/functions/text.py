@@ -12,8 +12,11 @@ TIME_FORMATS = ("yyyy", "yyyy-M", "yyyy-M-d", "yyyy-M-d-H", "yyyy-M-d-H-m", "yyy
 ISO_DATE = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+BLANKS = "".join(map(chr, range(0x21)))
+
+
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_blank(text: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from foliant.functions.spans import annotation_set, canonical_name, match_spans, set_annotation_set
 from foliant.functions.text import is_blank
 from foliant.model import META_TYPE, SRC_FIELDS, TEXT_FIELDS
+from foliant.operators.rows import computed
 
 Step = Callable[..., DataFrame]
 STEPS: dict[str, Step] = {}
@@ -94,9 +95,12 @@ def added_count(docs: DataFrame, value: Column) -> DataFrame:
 
 
 def add_annotations(docs: DataFrame, name: str, spans: Column, names: dict[str, str] | None = None) -> DataFrame:
-    """An annotation set under its canonical name."""
+    """An annotation set under its canonical name.
+
+    Spans are costly, so they are found once however many steps read them.
+    """
     canonical = canonical_name(F.lit(name), names or {})
-    return docs.withColumn("annotations", set_annotation_set(F.col("annotations"), canonical, spans))
+    return computed(docs, "annotations", set_annotation_set(F.col("annotations"), canonical, spans))
 
 
 def canonical_sets(docs: DataFrame, names: dict[str, str]) -> DataFrame:

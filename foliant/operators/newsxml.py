@@ -8,11 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.functions.markup import CORRUPT, XML_OPTIONS, all_text, attribute, computed, plain, protected, with_tree
+from foliant.functions.markup import CORRUPT, XML_OPTIONS, all_text, attribute, plain, protected, with_tree
 from foliant.functions.text import is_blank
 from foliant.model import META_TYPE
 from foliant.operators.annotate import merge_metadata
-from foliant.operators.rows import long_result
+from foliant.operators.rows import computed, long_result
 
 # Elements with both text and attributes.
 TEXT_ELEMENTS = ("byline", "hl2", "tagline", "classifier", "location", "object.title", "org", "person")

@@ -34,7 +34,7 @@ def counted_terms(words: Column, preserve_case: bool = False) -> Column:
 
     def rows(forms: Column) -> Column:
         return F.transform(
-            counted(F.transform(forms, lambda w: normalized(w, preserve_case))),
+            counted(forms if preserve_case else F.transform(forms, F.lower)),
             lambda c: F.struct(
                 c["first"].alias("first"),
                 c["item"].alias("term"),

@@ -11,6 +11,7 @@ from foliant.functions import text as X
 from foliant.model import CELLS_SCHEMA, cells_to_docs, docs_to_cells
 from foliant.operators import annotate as U
 from foliant.operators import upsert as I
+from foliant.operators.rows import spread
 from foliant.plans.registry import query
 from foliant.plans.scans import CELL, CELL_COLUMNS
 from foliant.plans.tables import CELLS_SQL, NAME, WORD, cells, docs, documents, table
@@ -32,7 +33,7 @@ def transform(spark, folder):
 )
 def chain(spark, folder):
     out = U.chain(
-        docs(spark, folder),
+        spread(docs(spark, folder), "row_key"),
         "title",
         ("copy", {"source": "text:title", "target": "headline"}),
         ("matches", {"set": "words", "pattern": WORD}),
@@ -121,7 +122,7 @@ def row_keys(spark, folder):
     rf"SELECT {KEY}, CAST(len(regexp_extract_all(text, '\p{{Lu}}')) AS BIGINT) AS n FROM documents",
 )
 def step_arguments(spark, folder):
-    out = U.chain(docs(spark, folder), ("matches", {"set": "capital", "pattern": r"\p{Lu}", "type": "letter"}))
+    out = U.chain(spread(docs(spark, folder), "row_key"), ("matches", {"set": "capital", "pattern": r"\p{Lu}", "type": "letter"}))
     return out.select("row_key", F.size(P.annotation_set("capital")).cast("bigint").alias("n"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.model import docs_to_cells
-from foliant.operators.rows import spread
+from foliant.operators.rows import computed, spread
 from foliant.plans.news import escaped, filled
 from foliant.plans.registry import query
 from foliant.plans.tables import CAPITAL, documents, table
@@ -199,7 +199,7 @@ def feed_texts(rows: DataFrame) -> DataFrame:
     }
     xml = F.when(F.col("lang").isin("en", "de"), filled(_ATOM, values)).otherwise(filled(_RSS, values))
     url = F.concat(F.lit("http://feeds.example/doc/"), F.col("doc_id").cast("string"))
-    return rows.select(url.alias("url"), xml.alias("xml"))
+    return computed(rows, "xml", xml).select(url.alias("url"), "xml")
 
 
 def feeds(spark, folder) -> DataFrame:

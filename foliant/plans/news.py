@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foliant.functions.markup import all_text
 from foliant.model import empty_annotations, meta_map, src_struct, text_struct
 from foliant.operators import newsxml as N
-from foliant.operators.rows import spread
+from foliant.operators.rows import computed, spread
 from foliant.plans.registry import query
 from foliant.plans.tables import documents, table
 
@@ -89,10 +89,11 @@ def news_docs(spark, folder) -> DataFrame:
     """Articles of the source NYT and, for French, of another; one source is
     cut short and not well-formed; very short documents have no text."""
     base = spread(documents(spark, folder), "doc_id")
-    xml = filled(TEMPLATE, _values())
+    made = computed(base, "xml", filled(TEMPLATE, _values()))
+    xml = F.col("xml")
     cut = F.when(F.col("source") == "src13", F.substring(xml, F.lit(1), F.length(xml) - 30)).otherwise(xml)
     key = F.col("doc_id").cast("string")
-    return base.select(
+    return made.select(
         key.alias("row_key"),
         src_struct(name=F.when(F.col("lang") == "fr", "other").otherwise("NYT"), id=key).alias("src"),
         meta_map(lang=F.col("lang")).alias("meta"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.spans import match_spans, set_annotation_set
 from foliant.model import CELLS_SCHEMA, empty_annotations, meta_map, src_struct, text_struct
-from foliant.operators.rows import spread
+from foliant.operators.rows import computed, spread
 
 WORD = r"[\p{L}\p{N}]+"
 NAME = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
@@ -133,13 +133,16 @@ def docs(spark: SparkSession, folder: str, *sets: str) -> DataFrame:
     annotations = empty_annotations()
     for name in sets:
         annotations = set_annotation_set(annotations, F.lit(name), _spans(name, text))
-    return base.select(
+    columns = [
         _key().alias("row_key"),
         src_struct(name=F.col("source"), id=_key()).alias("src"),
         meta.alias("meta"),
         text_struct(raw=text).alias("text"),
-        annotations.alias("annotations"),
-    )
+    ]
+    if not sets:
+        return base.select(*columns, annotations.alias("annotations"))
+    # A stored table would hold the annotations; here they are made once.
+    return computed(base, "annotations", annotations).select(*columns, "annotations")
 
 
 def _spans(name: str, text: Column) -> Column:

@@ -12,22 +12,23 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.functions.arrays import let
 from foliant.functions.markup import (
     CORRUPT, XML_OPTIONS, attribute, first, inner, last, present, protected, with_tree,
 )
-from foliant.functions.text import comma_joined, is_blank, iso_date, sha1_key
+from foliant.functions.text import comma_joined, iso_date, sha1_key
 from foliant.model import INGEST_DATE, empty_annotations, meta_map, src_struct, text_struct
+from foliant.operators.rows import computed
 
 # Elements with both text (or markup) and attributes.
 TEXT_ELEMENTS = ("title", "subtitle", "summary", "content", "rights", "category", "link", "guid", "description")
 
-_HEAD = """title: array<string>, link: array<string>, id: array<string>, description: array<string>,
-subtitle: array<string>, language: array<string>, copyright: array<string>, rights: array<string>,
-managingEditor: array<string>, author: array<struct<name: array<string>>>"""
-FEED_DDL = f"""{_HEAD.replace(":", "")}, `_xml:lang` string, _version string,
-channel struct<{_HEAD}, item: array<struct<title: string>>>,
-entry array<struct<id: string>>, item array<struct<title: string>>, {CORRUPT} string"""
-FEED_DDL = FEED_DDL.replace("struct<name array", "struct<name: array")
+_HEAD = """title array<string>, link array<string>, id array<string>, description array<string>,
+subtitle array<string>, language array<string>, copyright array<string>, rights array<string>,
+managingEditor array<string>, author array<struct<name array<string>>>"""
+FEED_DDL = f"""{_HEAD}, `_xml:lang` string, _version string,
+channel struct<{_HEAD}, item array<struct<title string>>>,
+entry array<struct<id string>>, item array<struct<title string>>, {CORRUPT} string"""
 
 ENTRY_DDL = f"""title array<string>, id array<string>, guid array<string>, link array<string>,
 updated array<string>, published array<string>, pubDate array<string>,
@@ -85,7 +86,9 @@ def feed_status(feeds: DataFrame) -> DataFrame:
     """
     tags = F.col("tags") if "tags" in feeds.columns else F.lit(None).cast("string")
     tree = F.from_xml(protected(F.col("xml"), TEXT_ELEMENTS), FEED_DDL, XML_OPTIONS)
-    cut = feeds.select("url", "xml", tags.alias("tags"), entry_texts(F.col("xml")).alias("entries"), tree.alias("t"))
+    rows = feeds.select("url", "xml", tags.alias("tags"))
+    read = computed(rows, "read", F.struct(entry_texts(F.col("xml")).alias("entries"), tree.alias("t")))
+    cut = read.select("url", "xml", "tags", "read.entries", "read.t")
     channel = "t.channel"
     parsed = sum(
         (F.coalesce(F.size(c), F.lit(0)) for c in (F.col("t.entry"), F.col("t.item"), F.col(f"{channel}.item"))),
@@ -138,7 +141,7 @@ def _description() -> Column:
     return F.coalesce(_text(F.col("e.summary")), _text(F.col("e.description")))
 
 
-def _entry_meta(source_extra: dict[str, Column], at: dt.datetime | None) -> Column:
+def _entry_meta() -> dict[str, Column]:
     author_names = F.transform(
         F.coalesce("e.author", F.array().cast("array<string>")),
         lambda a: F.coalesce(
@@ -150,8 +153,7 @@ def _entry_meta(source_extra: dict[str, Column], at: dt.datetime | None) -> Colu
     categories = present(
         F.col("e.category"), lambda x: F.coalesce(attribute(x, "term"), F.nullif(inner(x), F.lit("")))
     )
-    fields = {f: F.col(f"head.{f}") for f in _FEED_FIELDS}
-    fields |= {
+    return {f: F.col(f"head.{f}") for f in _FEED_FIELDS} | {
         "title": _text(F.col("e.title")),
         "url": F.coalesce(_text(F.col("e.id")), _text(F.col("e.guid")), _href(F.col("e.link"))),
         "updated_date": parse_date(last(F.col("e.updated"))),
@@ -160,9 +162,6 @@ def _entry_meta(source_extra: dict[str, Column], at: dt.datetime | None) -> Colu
         "links": comma_joined(links),
         "categories": comma_joined(categories),
     }
-    if at is not None:
-        fields[INGEST_DATE] = iso_date(F.lit(at))
-    return meta_map(**fields, **source_extra)
 
 
 # Feed fields copied to the metadata of each of its rows.
@@ -172,65 +171,78 @@ _FEED_FIELDS = (
 )
 
 
-def entry_docs(parsed: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
-    """One document per entry of ``parsed_entries``."""
-    return parsed.select(
-        F.col("entry_key").alias("row_key"),
-        src_struct(name=F.lit(source), id=F.col("entry_key"), tags=F.col("tags")).alias("src"),
-        _entry_meta({"description": _description()}, at).alias("meta"),
-        text_struct(orig=F.col("orig")).alias("text"),
-        empty_annotations().alias("annotations"),
+_BODIES = "array<struct<key:string,type:string,value:string,tag:string>>"
+
+
+def _bodies() -> Column:
+    """Contents that are not empty or, if there is none, the description."""
+
+    def body(type: Column, value: Column, tag: str) -> Column:
+        return F.struct(
+            sha1_key(value).alias("key"), type.alias("type"), value.alias("value"), F.lit(tag).alias("tag")
+        )
+
+    def contents(items: Column, type: Column) -> Column:
+        made = F.transform(items, lambda x: body(F.coalesce(attribute(x, "type"), type), inner(x), "content"))
+        return F.coalesce(made, F.array()).cast(_BODIES)
+
+    own = contents(F.col("e.content"), F.lit(None))
+    encoded = contents(F.col("e.`content:encoded`"), F.lit("text/html"))
+    type = F.when(_is_rss(), "text/html").otherwise(attribute(last(F.col("e.summary")), "type"))
+    description = F.array(body(type, _description(), "desc")).cast(_BODIES)
+    filled = lambda b: F.coalesce(b["value"], F.lit("")) != ""
+    return let(
+        F.filter(F.concat(own, encoded), filled),
+        lambda found: F.when(F.size(found) > 0, found).otherwise(F.filter(description, filled)),
     )
 
 
-def content_docs(parsed: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
-    """One document per content body, linked back to its entry.
+def feed_rows(parsed: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
+    """I5 and I6 from one reading: a document per entry, and one per body of it.
 
-    Empty bodies are skipped; the description stands in for missing contents.
+    A body is keyed by its own text and linked back to its entry. An entry or
+    body seen twice has the same key.
     """
-    body = "array<struct<type:string,value:string,tag:string>>"
-    own = present_bodies(F.col("e.content"), F.lit(None)).cast(body)
-    encoded = present_bodies(F.col("e.`content:encoded`"), F.lit("text/html")).cast(body)
-    contents = F.filter(F.concat(own, encoded), lambda c: c["value"] != "")
-    description = F.filter(
-        F.array(
-            F.struct(
-                F.when(_is_rss(), F.lit("text/html"))
-                .otherwise(attribute(last(F.col("e.summary")), "type"))
-                .alias("type"),
-                _description().alias("value"),
-                F.lit("desc").alias("tag"),
-            )
-        ).cast(body),
-        lambda c: F.coalesce(c["value"], F.lit("")) != "",
+    entry = F.array(
+        F.struct(F.col("entry_key"), F.lit(None), F.col("orig"), F.lit(None)).cast(_BODIES[6:-1])
     )
-    bodies = parsed.withColumn(
-        "body", F.explode(F.when(F.size(contents) > 0, contents).otherwise(description))
+    shared = _entry_meta()
+    if at is not None:
+        shared[INGEST_DATE] = iso_date(F.lit(at))
+    read = computed(
+        parsed,
+        "row",
+        F.struct(
+            F.concat(entry, _bodies()).alias("bodies"),
+            meta_map(**shared).alias("meta"),
+            meta_map(description=_description()).alias("own_meta"),
+        ),
     )
-    key = sha1_key(F.col("body.value"))
-    return bodies.select(
-        key.alias("row_key"),
-        src_struct(name=F.lit(source), id=key, tags=F.col("tags")).alias("src"),
-        _entry_meta({"entry_tag_type": F.col("body.tag"), "entry_key": F.col("entry_key")}, at).alias("meta"),
+    rows = read.select("tags", "entry_key", "row.meta", "row.own_meta", F.explode("row.bodies").alias("body"))
+    back = meta_map(entry_tag_type=F.col("body.tag"), entry_key=F.col("entry_key"))
+    is_entry = F.col("body.tag").isNull()
+    return rows.select(
+        F.col("body.key").alias("row_key"),
+        src_struct(name=F.lit(source), id=F.col("body.key"), tags=F.col("tags")).alias("src"),
+        F.map_concat("meta", F.when(is_entry, F.col("own_meta")).otherwise(back)).alias("meta"),
         text_struct(orig=F.col("body.value"), mimeType=F.col("body.type")).alias("text"),
         empty_annotations().alias("annotations"),
     )
 
 
-def present_bodies(items: Column, type: Column) -> Column:
-    made = F.transform(
-        items,
-        lambda x: F.struct(
-            F.coalesce(attribute(x, "type"), type).alias("type"), inner(x).alias("value"), F.lit("content").alias("tag")
-        ),
-    )
-    return F.coalesce(made, F.array().cast("array<struct<type:string,value:string,tag:string>>"))
+def entry_docs(parsed: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
+    """One document per entry of ``parsed_entries``."""
+    return feed_rows(parsed, source, at).where(F.col("meta")["entry_key"].isNull())
+
+
+def content_docs(parsed: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
+    """One document per content body."""
+    return feed_rows(parsed, source, at).where(F.col("meta")["entry_key"].isNotNull())
 
 
 def feed_docs(feeds: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
-    """I5 and I6 together. An entry or body seen twice has the same key."""
-    parsed = parsed_entries(feeds)
-    return entry_docs(parsed, source, at).unionByName(content_docs(parsed, source, at))
+    """I5 and I6 for a table of feeds."""
+    return feed_rows(parsed_entries(feeds), source, at)
 
 
 def tag_table(json: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ DELAY = "7 days"
 
 def landed_feeds(spark: SparkSession, folder: str, glob: str = "*.xml") -> DataFrame:
     """Stream of feed files: (url, xml, seen_at)."""
-    files = spark.readStream.option("wholetext", "true").option("pathGlobFilter", glob).text(folder)
+    files = spark.readStream.option("pathGlobFilter", glob).text(folder, wholetext=True)
     return files.select(
         F.col("_metadata.file_path").alias("url"),
         F.col("value").alias("xml"),
