@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.model import in_families
-from foliant.operators.rows import counters, long_result
+from foliant.operators.rows import counters, key_side, long_result
 from foliant.operators.scan import column_is
 from foliant.operators.sizes import MIB, upper_bin
 
 
 def source_keys(cells: DataFrame, source: str) -> DataFrame:
-    return cells.where(column_is("src", "name") & (F.col("value") == source)).select("row_key")
+    return key_side(cells.where(column_is("src", "name") & (F.col("value") == source)))
 
 
 def _rows(group: str, counter: str, keys: DataFrame) -> DataFrame:
@@ -86,13 +86,14 @@ def delete_large_rows(cells: DataFrame, family: str, limit: int = MIB) -> tuple[
     )
     largest = sizes.groupBy("row_key").agg(F.max("size").alias("largest"))
     victims = largest.where(F.col("largest") >= limit)
+    doomed = key_side(victims)
     deleted = victims.groupBy(F.floor(F.col("largest") / MIB).alias("mib")).agg(F.count("*").alias("n"))
-    kept = sizes.where(F.col("size") < limit).join(victims.select("row_key"), "row_key", "left_anti")
+    kept = sizes.where(F.col("size") < limit).join(doomed, "row_key", "left_anti")
     bins = kept.groupBy("qualifier", upper_bin(F.col("size")).alias("bin")).agg(F.count("*").alias("n"))
     counted = deleted.select(*long_result("delete", F.col("mib"), F.col("n"))).unionByName(
         bins.select(*long_result(F.concat(F.lit("size "), "qualifier"), F.col("bin"), F.col("n")))
     )
-    return cells.join(victims.select("row_key"), "row_key", "left_anti"), counted
+    return cells.join(doomed, "row_key", "left_anti"), counted
 
 
 def delete_column(
@@ -112,7 +113,7 @@ def delete_column(
         survivors, gone = cells.where(~doomed), hit
     else:
         test_family, test_qualifier, value = where
-        rows = cells.where(column_is(test_family, test_qualifier) & (F.col("value") == value)).select("row_key")
+        rows = key_side(cells.where(column_is(test_family, test_qualifier) & (F.col("value") == value)))
         survivors = cells.where(~doomed).unionByName(hit.join(rows, "row_key", "left_anti"))
         gone = hit.select("row_key").join(rows, "row_key", "left_semi")
     return survivors, _rows("rows", "row changed", gone)

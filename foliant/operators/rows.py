@@ -39,6 +39,17 @@ def with_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFr
     return joined.withColumn(name, index).drop("__part", "__at", "__offset")
 
 
+def key_side(keys: DataFrame) -> DataFrame:
+    """Distinct row keys, written so that a join with them knows their size.
+
+    A short list is then broadcast from the start and the table joined with it
+    is not shuffled at all; adaptive execution would find out only after the
+    table's values are on their way. A list beyond the broadcast threshold is
+    joined by key.
+    """
+    return written(keys.select("row_key").distinct(), "keys")
+
+
 def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on one key of which the left side may hold very many equal rows.
 
@@ -46,10 +57,15 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
     spread over SALTS partitions each, with their right rows copied; every
     other key holds less than 1/HOT_KEYS of the rows. The hot list is a fixed
     number of 8-byte hashes, so it can be broadcast; a hash shared by two keys
-    only salts a key more than needed.
+    only salts a key more than needed. The salt is a hash of the row, so that
+    a task that is run again sends every row to the same place.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"the left side must be kept or filtered, not {how}")
+    others = [F.col(c) for c in left.columns if c != key]
+    if not others:
+        # Nothing tells equal rows apart; adaptive execution splits their partition.
+        return left.join(right, key, how)
     digest = F.xxhash64(key)
     hot = (
         left.groupBy(digest.alias("__hash"))
@@ -63,7 +79,6 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
         return df.withColumn("__hash", digest).join(F.broadcast(hot), "__hash", "left").drop("__hash")
 
     is_hot = F.coalesce("__hot", F.lit(False))
-    others = [F.col(c) for c in left.columns if c != key]
     salt = F.when(is_hot, F.pmod(F.xxhash64(*others), F.lit(SALTS))).otherwise(F.lit(0))
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     spread = marked(left).withColumn("__salt", salt.cast("int")).drop("__hot")

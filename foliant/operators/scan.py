@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.text import parse_time, trimmed
-from foliant.operators.rows import long_result, with_index
+from foliant.operators.rows import key_side, long_result, with_index
 from foliant.operators.upsert import newest
 
 # A larger row limit goes by row number; a top-k this size sorts in one task.
@@ -101,8 +101,8 @@ def rows_where(cells: DataFrame, family: str, qualifier: str, value: str, missin
     """S3: all cells of the rows whose column equals the value."""
     column = cells.where(column_is(family, qualifier))
     if missing == "drop":
-        return cells.join(column.where(F.col("value") == value).select("row_key"), "row_key", "left_semi")
-    return cells.join(column.where(F.col("value") != value).select("row_key"), "row_key", "left_anti")
+        return cells.join(key_side(column.where(F.col("value") == value)), "row_key", "left_semi")
+    return cells.join(key_side(column.where(F.col("value") != value)), "row_key", "left_anti")
 
 
 def first_rows(cells: DataFrame, n: int) -> DataFrame:
@@ -120,8 +120,8 @@ def every_nth_row(cells: DataFrame, n: int) -> DataFrame:
     if n < 1:
         raise ValueError("n is at least 1")
     numbered = with_index(cells.select("row_key").distinct(), ["row_key"])
-    nth = numbered.where((F.col("idx") + 1) % n == 0).select("row_key")
-    return cells.join(nth, "row_key", "left_semi")
+    nth = numbered.where((F.col("idx") + 1) % n == 0)
+    return cells.join(key_side(nth), "row_key", "left_semi")
 
 
 def scan_cells(cells: DataFrame, spec: ScanSpec) -> DataFrame:
@@ -145,7 +145,7 @@ def scan_cells(cells: DataFrame, spec: ScanSpec) -> DataFrame:
     return out if spec.limit is None else first_rows(out, spec.limit)
 
 
-def scan_docs(docs: DataFrame, spec: ScanSpec, field=None) -> DataFrame:
+def scan_docs(docs: DataFrame, spec: ScanSpec) -> DataFrame:
     """The same row selectors over docs: plain filters, no join but the key list."""
     from foliant.operators.annotate import field_value
 
@@ -198,10 +198,10 @@ def read_key_list(spark, paths) -> DataFrame:
 def rows_with_keys(table: DataFrame, keys: DataFrame, keep_missing: bool = False) -> DataFrame:
     """The rows of the listed keys; keep_missing adds empty rows for misses.
 
-    A short list is broadcast by its measured size; beyond that the join is by
-    key, and adaptive execution splits a key with very many cells.
+    Beyond the broadcast threshold the join is by key, and adaptive execution
+    splits a key with very many cells.
     """
-    wanted = keys.select("row_key").distinct()
+    wanted = key_side(keys)
     if keep_missing:
         return wanted.join(table, "row_key", "left")
     return table.join(wanted, "row_key", "left_semi")
@@ -209,12 +209,10 @@ def rows_with_keys(table: DataFrame, keys: DataFrame, keep_missing: bool = False
 
 def rows_exist(keys: DataFrame, table: DataFrame) -> DataFrame:
     """(row_key, row_exists) for a batch of keys."""
-    present = table.select("row_key").distinct().withColumn("__present", F.lit(True))
-    return (
-        keys.select("row_key")
-        .distinct()
-        .join(present, "row_key", "left")
-        .select("row_key", F.coalesce("__present", F.lit(False)).alias("row_exists"))
+    wanted = key_side(keys)
+    present = table.select("row_key").join(wanted, "row_key", "left_semi").distinct()
+    return wanted.join(present.withColumn("__present", F.lit(True)), "row_key", "left").select(
+        "row_key", F.coalesce("__present", F.lit(False)).alias("row_exists")
     )
 
 
@@ -241,7 +239,7 @@ def rows_within_size(cells: DataFrame, max_bytes: int) -> tuple[DataFrame, DataF
     skipped = large.agg(F.count("*").alias("n")).select(
         *long_result("rows", f"skip -- row too large ({max_bytes})", F.col("n"))
     )
-    return cells.join(large, "row_key", "left_anti"), histogram.unionByName(skipped)
+    return cells.join(key_side(large), "row_key", "left_anti"), histogram.unionByName(skipped)
 
 
 def text_status(max_chars: int) -> Column:

@@ -133,7 +133,7 @@ def lookup_ids(texts: DataFrame, dictionary: DataFrame, column: str = "text") ->
 
 def lookup_terms(ids: DataFrame, dictionary: DataFrame) -> DataFrame:
     """V5: the text of each id, null if unknown."""
-    return ids.join(dictionary.select("term_id", "term"), "term_id", "left")
+    return join_hot(ids, dictionary.select("term_id", "term"), "term_id", "left")
 
 
 def dictionary_size(dictionary: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def document_term_matrix(
 ) -> tuple[DataFrame, DataFrame]:
     """V3: (row_key, four fields, vector) per document, and the dictionary used."""
     chosen = matrix_docs(docs, source, start, end)
-    terms = document_terms(chosen)
+    terms = written(document_terms(chosen), "terms")
     dictionary = build_dictionary(terms) if dictionary is None else written(grow_dictionary(dictionary, terms), "dictionary")
     fields = chosen.select("row_key", *[F.col("meta")[f].alias(f) for f in MATRIX_FIELDS])
     none = F.array().cast("array<struct<term_id:bigint,count:bigint>>")

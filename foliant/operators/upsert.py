@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.text import ISO_DATE, is_blank
-from foliant.model import CELLS_SCHEMA, INGEST_DATE
+from foliant.model import CELLS_SCHEMA, INGEST_DATE, text_struct
+from foliant.session import written
 
 COLUMN_KEY = ("row_key", "family", "qualifier")
 
@@ -26,13 +27,21 @@ def newest(cells: DataFrame, tie: str | None = None) -> DataFrame:
 
 
 def upsert(table: DataFrame, puts: DataFrame) -> DataFrame:
-    """I8: puts merged into the table by (row_key, family, qualifier).
+    """I8: puts merged into a table that holds one version per column.
 
     The newest cell wins and a put wins a tie; blank values are never stored.
+    The puts are reduced first and written, so that a small batch is broadcast
+    and the table is not shuffled. The second look at the table reads keys and
+    times only.
     """
-    stored = table.select(*CELLS_SCHEMA.names, F.lit(0).alias("batch"))
-    put = puts.select(*CELLS_SCHEMA.names, F.lit(1).alias("batch")).where(~is_blank(F.col("value")))
-    return newest(stored.unionByName(put), tie="batch")
+    put = written(newest(puts.where(~is_blank(F.col("value")))), "puts")
+    key = list(COLUMN_KEY)
+    times = put.select(*key, F.col("ts").alias("put_ts"))
+    kept = table.join(times, key, "left").where(F.col("put_ts").isNull() | (F.col("put_ts") < F.col("ts")))
+    newer = table.select(*key, F.col("ts").alias("held_ts")).join(times, key).where("held_ts > put_ts")
+    won = put.join(newer.select(*key), key, "left_anti")
+    columns = CELLS_SCHEMA.names
+    return kept.select(*columns).unionByName(won.select(*columns))
 
 
 def append_references(docs: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -42,30 +51,30 @@ def append_references(docs: DataFrame, references: DataFrame) -> tuple[DataFrame
     whether the row existed before. A reference already present is not added
     again. New references follow in sorted order.
     """
-    added = (
-        references.select("row_key", "reference")
-        .where(~is_blank(F.col("reference")))
-        .distinct()
-        .groupBy("row_key")
-        .agg(F.sort_array(F.collect_list("reference")).alias("__added"))
-    )
+    pairs = references.select("row_key", "reference").where(~is_blank(F.col("reference"))).distinct()
+    gathered = pairs.groupBy("row_key").agg(F.sort_array(F.collect_list("reference")).alias("__added"))
+    added = written(gathered, "references")
     none = F.array().cast("array<string>")
-    held = docs.withColumn("__held", F.lit(True)).join(added, "row_key", "full")
-    merged = F.array_union(F.coalesce(F.col("text.reference"), none), F.coalesce("__added", none))
+    merged = F.array_union(F.coalesce(F.col("text.reference"), none), F.col("__added"))
     text = F.when(F.col("__added").isNull(), F.col("text")).otherwise(
-        F.struct(
-            *[
-                (merged if f == "reference" else F.col("text")[f]).alias(f)
-                for f in docs.schema["text"].dataType.names
-            ]
-        )
+        F.col("text").withField("reference", merged)
+    )
+    held = docs.join(added, "row_key", "left").withColumn("text", text).select(*docs.columns)
+    present = docs.select("row_key").join(added, "row_key", "left_semi").distinct()
+    new = added.join(present, "row_key", "left_anti")
+    types = dict(zip(docs.schema.names, docs.schema))
+    made = new.select(
+        "row_key",
+        *[
+            (text_struct(reference=F.col("__added")) if c == "text" else F.lit(None)).cast(types[c].dataType).alias(c)
+            for c in docs.columns
+            if c != "row_key"
+        ],
     )
-    out = held.withColumn("text", text).select(*docs.columns)
-    existed = (
-        held.where(F.col("__added").isNotNull())
-        .select("row_key", F.coalesce("__held", F.lit(False)).alias("existed"))
+    existed = added.join(present.withColumn("__held", F.lit(True)), "row_key", "left").select(
+        "row_key", F.coalesce("__held", F.lit(False)).alias("existed")
     )
-    return out, existed
+    return held.unionByName(made), existed
 
 
 def with_ingest_date(docs: DataFrame, at: dt.datetime) -> DataFrame:

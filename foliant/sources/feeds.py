@@ -19,6 +19,7 @@ from foliant.functions.markup import (
 from foliant.functions.text import comma_joined, iso_date, sha1_key
 from foliant.model import INGEST_DATE, empty_annotations, meta_map, src_struct, text_struct
 from foliant.operators.rows import computed
+from foliant.session import written
 
 # Elements with both text (or markup) and attributes.
 TEXT_ELEMENTS = ("title", "subtitle", "summary", "content", "rights", "category", "link", "guid", "description")
@@ -253,8 +254,16 @@ def tag_table(json: DataFrame) -> DataFrame:
 
 def tagged_feeds(feeds: DataFrame, tags: DataFrame) -> DataFrame:
     """The feeds asked for, with their tags; one that is absent has no text
-    and ends up among the rejects."""
-    return tags.join(feeds.select("url", "xml"), "url", "left").select("url", "xml", "tags")
+    and ends up among the rejects.
+
+    The tag table is written first: the join knows its size, and feed texts
+    are not shuffled for a list that can be broadcast.
+    """
+    wanted = written(tags.select("url", "tags"), "tags")
+    here = feeds.select("url", "xml").join(wanted, "url").select("url", "xml", "tags")
+    found = feeds.select("url").join(wanted, "url", "left_semi").distinct()
+    absent = wanted.join(found, "url", "left_anti")
+    return here.unionByName(absent.select("url", F.lit(None).cast("string").alias("xml"), "tags"))
 
 
 def ingest_total(parsed: DataFrame) -> DataFrame:

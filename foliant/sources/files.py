@@ -48,10 +48,12 @@ def corpus_docs(documents: DataFrame, annotations: DataFrame, source: str) -> Da
     (doc_id, set, id, start, end, type, features), keyed by SHA-1 of source:id.
 
     Annotations are gathered per document and set; the set of one document is
-    one value of its row.
+    one value of its row. They are partitioned by document once, for both
+    groupings and the join.
     """
     spans = (
-        annotations.groupBy("doc_id", "set")
+        annotations.repartition("doc_id")
+        .groupBy("doc_id", "set")
         .agg(F.collect_list(F.struct("start", "end", "id", "type", "features")).alias("spans"))
         .select("doc_id", "set", F.array_sort("spans", _by_place).alias("spans"))
     )
