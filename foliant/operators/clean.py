@@ -34,9 +34,9 @@ def delete_source_rows(cells: DataFrame, source: str) -> tuple[DataFrame, DataFr
 
 def delete_source_docs(docs: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """D1 on docs: a pushed-down filter and one counting pass."""
-    is_victim = F.coalesce(F.col("src.name") == source, F.lit(False))
-    counted = counters(docs, "rows", **{"row seen": F.lit(True), "row deleted": is_victim})
-    return docs.where(~is_victim), counted
+    name = F.col("src.name")
+    counted = counters(docs, "rows", **{"row seen": F.lit(True), "row deleted": name == source})
+    return docs.where(name.isNull() | (name != source)), counted
 
 
 def delete_rows(cells: DataFrame, source: str, families: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:

@@ -157,7 +157,8 @@ def scan_docs(docs: DataFrame, spec: ScanSpec) -> DataFrame:
         tests.append(("src:name", spec.source))
     for name, value in tests:
         test = field_value(name) == value
-        chosen = chosen.where(F.coalesce(test, F.lit(spec.missing == "keep")))
+        # A plain equality is pushed down to the file scan.
+        chosen = chosen.where(test if spec.missing == "drop" else test | field_value(name).isNull())
     if spec.keys is not None:
         chosen = rows_with_keys(chosen, spec.keys)
     if spec.limit is not None:

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from foliant.functions.text import iso_date, sha1_key
 from foliant.model import INGEST_DATE, empty_annotations, meta_map, src_struct, text_struct
-from foliant.operators.rows import counters
+from foliant.operators.rows import counters, with_index
+from foliant.session import written
 
 MIB = 1 << 20
 BATCH_BYTES = 4 * MIB
@@ -133,7 +134,7 @@ def tar_counts(archives: DataFrame) -> DataFrame:
     )
 
 
-def _zip_reader(mime_types: frozenset[str], max_bytes: int | None):
+def _zip_reader(mime_types: frozenset[str], max_bytes: int | None, with_content: bool = True):
     def entries(path: str, content: bytes) -> Iterator[dict]:
         row = dict.fromkeys(_names(ENTRIES)) | {"path": path}
         try:
@@ -149,7 +150,7 @@ def _zip_reader(mime_types: frozenset[str], max_bytes: int | None):
                         "entry_no": number,
                         "mime_type": mime,
                         "entry_bytes": info.file_size,
-                        "content": archive.read(info),
+                        "content": archive.read(info) if with_content else None,
                     }
         except (zipfile.BadZipFile, EOFError, OSError) as error:
             yield row | {"error": str(error)}
@@ -175,17 +176,24 @@ def zip_entries(
     read only if kept. max_entries caps the result by (path, place in archive).
     entries_per_task spreads the entries for costly work after this.
     """
+    if entries_per_task is not None and entries_per_task < 1:
+        raise ValueError("entries_per_task is at least 1")
     limit = None if max_mib is None else int(max_mib * MIB)
     wanted = frozenset(m.lower() for m in mime_types if m)
-    read = archives.select("path", "content").mapInPandas(_zip_reader(wanted, limit), ENTRIES)
-    found = read.where(F.col("error").isNull())
-    if max_entries is not None:
-        found = found.orderBy("path", "entry_no").limit(max_entries)
-    if entries_per_task is not None:
-        if entries_per_task < 1:
-            raise ValueError("entries_per_task is at least 1")
-        tasks = -(-found.count() // entries_per_task)
-        found = found.repartition(max(1, tasks), "path", "entry_no")
+    source = archives.select("path", "content")
+    place = ["path", "entry_no"]
+    found = source.mapInPandas(_zip_reader(wanted, limit), ENTRIES).where(F.col("error").isNull())
+    if max_entries is not None or entries_per_task is not None:
+        # Names and sizes only; contents are never sorted or counted.
+        listed = source.mapInPandas(_zip_reader(wanted, limit, with_content=False), ENTRIES)
+        listed = listed.where(F.col("error").isNull()).select(*place)
+        if max_entries is not None:
+            listed = with_index(listed, place).where(F.col("idx") < max_entries).select(*place)
+        listed = written(listed, "entries")
+        found = found.join(listed, place, "left_semi")
+        if entries_per_task is not None:
+            tasks = -(-listed.count() // entries_per_task)
+            found = found.repartition(max(1, tasks), *place)
     key = F.concat_ws("-", "path", "entry")
     return found.select(key.alias("row_key"), "path", "entry", "mime_type", "entry_bytes", "content")
 

@@ -220,3 +220,15 @@ def test_stored_cells_prune_and_join_without_shuffle(spark, small, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("drop table cells_by_key")
+
+
+def test_docs_selectors_reach_the_file_scan(spark, small, tmp_path):
+    path = str(tmp_path / "docs")
+    cells_to_docs(small).write.parquet(path)
+    docs = spark.read.parquet(path)
+    found = scan.scan_docs(docs, ScanSpec(source="foo", start_row="1", columns=["meta"]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(src.name,foo)" in plan and "GreaterThanOrEqual(row_key,1)" in plan and "annotations" not in plan
+    assert keys(found) == ["1"]
+    assert keys(scan.scan_docs(docs, ScanSpec(source="foo", missing="keep"))) == ["1", "k3"]
+    assert keys(clean.delete_source_docs(docs, "foo")[0]) == ["2", "k3"]
