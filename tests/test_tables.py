@@ -215,7 +215,11 @@ def test_stored_cells_prune_and_join_without_shuffle(spark, small, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         kept = clean.delete_source_rows(bucketed, "foo")[0]
-        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        # Only the list of keys moves.
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+        grouped = scan.row_sizes(bucketed)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in grouped
         assert keys(kept) == ["2", "k3"]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
