@@ -13,7 +13,14 @@ from foliant.model import in_families
 from foliant.operators.rows import long_result
 from foliant.operators.scan import column_is
 
+# Labels, counter groups and counters of the reports.
 EMPTY = "--- Empty ---"
+NO_SOURCE, WRONG_SOURCE, RIGHT_SOURCE = "-- no src --", "-- wrong src --", "right source"
+VALUES, SOURCE_STATUS = "CountVals", "CountVals meta"
+PARSE_REPORT, PARSE_TYPE, DEP_TYPE = "printNPs", "type", "dep type"
+SEEN, NO_TEXT, NO_PARSE, NO_DEPS = (
+    "seen row", "skipped -- no raw text", "skipped -- not parsed", "skipped deps -- not parsed",
+)
 PARSE_SET, DEP_SET = "parse", "dep"
 
 
@@ -57,7 +64,7 @@ def column_subvalues(cells: DataFrame, family: str, qualifier: str) -> DataFrame
     parts = F.when(is_blank(value), F.array(F.lit(EMPTY))).otherwise(F.transform(split_tabs(value), trimmed))
     exploded = cells.where(column_is(family, qualifier)).select(F.explode(parts).alias("value"))
     counted = exploded.groupBy("value").agg(F.count("*").alias("n"))
-    return counted.select(*long_result("CountVals", F.col("value"), F.col("n")))
+    return counted.select(*long_result(VALUES, F.col("value"), F.col("n")))
 
 
 def columns_of_families(cells: DataFrame, families: Sequence[str]) -> DataFrame:
@@ -78,9 +85,9 @@ def columns_of_source(cells: DataFrame, family: str, source: str) -> DataFrame:
     is_name = column_is("src", "name")
     names = seen.groupBy("row_key").agg(F.max(F.when(is_name, F.col("value"))).alias("name"))
     status = (
-        F.when(is_blank(F.col("name")), "-- no src --")
-        .when(F.lower("name") == source.lower(), "right source")
-        .otherwise("-- wrong src --")
+        F.when(is_blank(F.col("name")), NO_SOURCE)
+        .when(F.lower("name") == source.lower(), RIGHT_SOURCE)
+        .otherwise(WRONG_SOURCE)
     )
     rows = names.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
     right = seen.where(is_name & (F.lower("value") == source.lower())).select("row_key")
@@ -91,8 +98,8 @@ def columns_of_source(cells: DataFrame, family: str, source: str) -> DataFrame:
         .groupBy("qualifier")
         .agg(F.count("*").alias("n"))
     )
-    return rows.select(*long_result("CountVals meta", F.col("status"), F.col("n"))).unionByName(
-        columns.select(*long_result("CountVals", F.col("qualifier"), F.col("n")))
+    return rows.select(*long_result(SOURCE_STATUS, F.col("status"), F.col("n"))).unionByName(
+        columns.select(*long_result(VALUES, F.col("qualifier"), F.col("n")))
     )
 
 
@@ -106,20 +113,19 @@ def parse_types(docs: DataFrame) -> DataFrame:
     no_text = F.coalesce(F.length("text.raw"), F.lit(0)) == 0
     entry = "array<struct<counter_group:string,counter:string>>"
 
-    def one(group: str, counter: str):
-        return F.array(F.struct(F.lit(group).alias("counter_group"), F.lit(counter).alias("counter"))).cast(entry)
+    def one(counter: str):
+        return F.array(F.struct(F.lit(PARSE_REPORT).alias("counter_group"), F.lit(counter).alias("counter"))).cast(entry)
 
     def types(group: str, spans):
         return F.transform(
             spans, lambda a: F.struct(F.lit(group).alias("counter_group"), a["type"].alias("counter"))
         ).cast(entry)
 
-    seen = one("printNPs", "seen row")
     found = (
-        F.when(no_text, F.concat(seen, one("printNPs", "skipped -- no raw text")))
-        .when(F.size(parse) == 0, F.concat(seen, one("printNPs", "skipped -- not parsed")))
-        .when(F.size(dep) == 0, F.concat(seen, types("type", parse), one("printNPs", "skipped deps -- not parsed")))
-        .otherwise(F.concat(seen, types("type", parse), types("dep type", dep)))
+        F.when(no_text, F.concat(one(SEEN), one(NO_TEXT)))
+        .when(F.size(parse) == 0, F.concat(one(SEEN), one(NO_PARSE)))
+        .when(F.size(dep) == 0, F.concat(one(SEEN), types(PARSE_TYPE, parse), one(NO_DEPS)))
+        .otherwise(F.concat(one(SEEN), types(PARSE_TYPE, parse), types(DEP_TYPE, dep)))
     )
     return (
         docs.select(F.inline(found)).groupBy("counter_group", "counter").agg(F.count("*").alias("n"))

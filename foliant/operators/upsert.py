@@ -29,15 +29,16 @@ def newest(cells: DataFrame, tie: str | None = None) -> DataFrame:
 def upsert(table: DataFrame, puts: DataFrame) -> DataFrame:
     """I8: puts merged into a table that holds one version per column.
 
-    The newest cell wins and a put wins a tie; blank values are never stored.
+    The newest cell wins; a put wins a tie and also if it, or the cell held,
+    has no time. Blank values are never stored.
     The puts are reduced first and written, so that a small batch is broadcast
     and the table is not shuffled. The second look at the table reads keys and
     times only.
     """
     put = written(newest(puts.where(~is_blank(F.col("value")))), "puts")
     key = list(COLUMN_KEY)
-    times = put.select(*key, F.col("ts").alias("put_ts"))
-    kept = table.join(times, key, "left").where(F.col("put_ts").isNull() | (F.col("put_ts") < F.col("ts")))
+    times = put.select(*key, F.col("ts").alias("put_ts"), F.lit(True).alias("is_put"))
+    kept = table.join(times, key, "left").where(F.col("is_put").isNull() | (F.col("put_ts") < F.col("ts")))
     newer = table.select(*key, F.col("ts").alias("held_ts")).join(times, key).where("held_ts > put_ts")
     won = put.join(newer.select(*key), key, "left_anti")
     columns = CELLS_SCHEMA.names

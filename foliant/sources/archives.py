@@ -13,10 +13,10 @@ import io
 import mimetypes
 import tarfile
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions.text import iso_date, sha1_key
@@ -101,11 +101,13 @@ def tar_members(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInPandas(_read_tars, MEMBERS)
 
 
-def tar_docs(archives: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
+def tar_docs(
+    archives: DataFrame, source: str, at: dt.datetime | None = None, key: Callable[[Column], Column] = sha1_key
+) -> DataFrame:
     """One document per file in the archives.
 
-    The key is the SHA-1 of the name of the archive's folder followed by the
-    member name. Folders are skipped; an archive that breaks off keeps what
+    The key is the SHA-1 (U8: or another function) of the name of the archive's
+    folder followed by the member name. Folders are skipped; an archive that breaks off keeps what
     was read before (see ``tar_counts``).
     """
     parent = F.coalesce(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), F.lit(""))
@@ -113,7 +115,7 @@ def tar_docs(archives: DataFrame, source: str, at: dt.datetime | None = None) ->
     id = F.concat(parent, F.col("entry"))
     meta = meta_map() if at is None else meta_map(**{INGEST_DATE: iso_date(F.lit(at))})
     return files.select(
-        sha1_key(id).alias("row_key"),
+        key(id).alias("row_key"),
         src_struct(name=F.lit(source), id=id, parent=parent, file=F.col("entry")).alias("src"),
         meta.cast("map<string,string>").alias("meta"),
         text_struct(orig=F.decode("content", "UTF-8"), mimeType=F.lit("text/xml")).alias("text"),

@@ -247,9 +247,11 @@ def feed_docs(feeds: DataFrame, source: str, at: dt.datetime | None = None) -> D
 
 
 def tag_table(json: DataFrame) -> DataFrame:
-    """(url, tags) from JSON objects ``{url: [tag, ...]}`` in column value."""
+    """(url, tags) from JSON objects ``{url: [tag, ...]}`` in column value;
+    a url named more than once has the tags of all."""
     entries = F.explode(F.from_json("value", "map<string,array<string>>")).alias("url", "tags")
-    return json.select(entries).select("url", comma_joined(F.col("tags")).alias("tags"))
+    every = json.select(entries).groupBy("url").agg(F.flatten(F.collect_set("tags")).alias("tags"))
+    return every.select("url", comma_joined(F.col("tags")).alias("tags"))
 
 
 def tagged_feeds(feeds: DataFrame, tags: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +43,12 @@ def text_docs(files: DataFrame, root: str, source: str) -> DataFrame:
     )
 
 
-def corpus_docs(documents: DataFrame, annotations: DataFrame, source: str) -> DataFrame:
+def corpus_docs(
+    documents: DataFrame, annotations: DataFrame, source: str, key: Callable[..., Column] = sha1_key
+) -> DataFrame:
     """Documents (doc_id, text, meta map) with annotation rows
-    (doc_id, set, id, start, end, type, features), keyed by SHA-1 of source:id.
+    (doc_id, set, id, start, end, type, features), keyed by SHA-1 of source:id
+    or by the given key function of source and id (U8).
 
     Annotations are gathered per document and set; the set of one document is
     one value of its row. They are partitioned by document once, for both
@@ -68,7 +71,7 @@ def corpus_docs(documents: DataFrame, annotations: DataFrame, source: str) -> Da
     rows = documents.join(sets, "doc_id", "left")
     id = F.col("doc_id").cast("string")
     return rows.select(
-        sha1_key(F.lit(source), id).alias("row_key"),
+        key(F.lit(source), id).alias("row_key"),
         src_struct(name=F.lit(source), id=id).alias("src"),
         F.map_filter("meta", lambda _, v: v.isNotNull()).cast(META_TYPE).alias("meta"),
         text_struct(raw=F.col("text")).alias("text"),

@@ -236,3 +236,9 @@ def test_docs_selectors_reach_the_file_scan(spark, small, tmp_path):
     assert keys(found) == ["1"]
     assert keys(scan.scan_docs(docs, ScanSpec(source="foo", missing="keep"))) == ["1", "k3"]
     assert keys(clean.delete_source_docs(docs, "foo")[0]) == ["2", "k3"]
+
+
+def test_puts_without_a_time_win(cells_of):
+    old = cells_of(("1", "m:a", "old", 5))
+    put = cells_of(("1", "m:a", "put")).withColumn("ts", F.lit(None).cast("timestamp"))
+    assert table(upsert.upsert(old, put), "value") == [("put",)]
