@@ -13,20 +13,28 @@ from foliant.model import (
 )
 
 
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)"
+
+
 def relative_path(full: Column, root: Column) -> Column:
-    """The part of a file path below its root folder."""
-    bare = F.regexp_replace(full, r"^file:(//)?(?=/)", "")
-    base = F.regexp_replace(F.regexp_replace(root, r"^file:(//)?(?=/)", ""), "/+$", "")
+    """The part of a file path below its root folder, whatever the file system."""
+    bare = F.regexp_replace(full, SCHEME, "")
+    base = F.regexp_replace(F.regexp_replace(root, SCHEME, ""), "/+$", "")
     return F.when(F.startswith(bare, F.concat(base, F.lit("/"))), F.substr(bare, F.length(base) + 2)).otherwise(bare)
 
 
+def file_path() -> Column:
+    """The plain path of the file a row was read from; a plus sign is no blank."""
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+
+
 def read_text_tree(spark: SparkSession, root: str, source: str, glob: str = "*.txt") -> DataFrame:
     """One document per text file below root, keyed by its relative path."""
     files = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .text(root, wholetext=True)
-        .select(F.url_decode("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+        .select(file_path().alias("path"), F.col("value").alias("content"))
     )
     return text_docs(files, root, source)
 

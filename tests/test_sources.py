@@ -147,6 +147,9 @@ def test_file_tree(spark, tree):
     assert files.file_inventory(spark, str(tree), recursive=True).count() == 4
     docs = files.read_text_tree(spark, str(tree), "s")
     assert table(docs, "row_key", "text.orig") == [(n, TREE[n]) for n in ("one.txt", "subdirectory/three.txt")]
+    (tree / "c++ 100%.txt").write_text("x")
+    again = files.read_text_tree(spark, f"file://{tree}/", "s")
+    assert ("c++ 100%.txt",) in table(again, "row_key")
 
 
 def test_zip_entries(spark, tmp_path):
@@ -254,9 +257,15 @@ def test_matrix(annotated, tmp_path, spark):
     assert dictionary.count() == 3
 
 
-def test_stop_list(spark):
-    lines = spark.createDataFrame([("The # article",), ("# all",), ("",), ("OF",)], "value string")
-    stops = terms.stop_list(lines)
+def test_feed_files(spark, tmp_path):
+    (tmp_path / "one.xml").write_text(ATOM)
+    (tmp_path / "two.xml").write_text(RSS)
+    assert feeds.parsed_entries(feeds.read_feeds(spark, str(tmp_path))).count() == 3
+
+
+def test_stop_list(spark, tmp_path):
+    (tmp_path / "stops").write_text("The # article\n# all\n\nOF\n")
+    stops = terms.read_stop_words(spark, str(tmp_path / "stops"))
     words = spark.createDataFrame([("the",), ("word",), ("a,b",), ("x-y",)], "term string")
     assert table(terms.without_stop_words(words, stops)) == [("word",), ("x-y",)]
 
