@@ -75,14 +75,17 @@ def test_counted_matches_a_counter(spark):
     assert value(spark, arrays.counted(F.array().cast("array<string>"))) == []
 
 
-def test_match_spans_and_texts(spark):
+@pytest.mark.parametrize("limit", [1 << 20, 3])
+def test_match_spans_and_texts(spark, monkeypatch, limit):
+    monkeypatch.setattr(spans, "CHAR_LIMIT", limit)
     content = "Ünder the \U0001f600 bridge, " * 40 + "endx"
     made = spans.match_spans(F.lit(content), r"[\p{L}]+", "word")
     found = value(spark, made)
     expected = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", content)]
     assert [(a["start"], a["end"]) for a in found] == expected
     assert value(spark, spans.span_texts(F.lit(content), made)) == [content[s:e] for s, e in expected]
-    assert value(spark, spans.match_spans(F.lit(None).cast("string"), "a", "x")) == []
+    for none in (F.lit(None).cast("string"), F.lit(""), F.lit("no match")):
+        assert value(spark, spans.match_spans(none, "z", "x")) == []
 
 
 def test_outside_matches_brute_force(spark):
