@@ -11,7 +11,7 @@ from foliant.llm.minhash import near_duplicates
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-WORDS_SQL = r"list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '')"
+WORDS_SQL = r"list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
 def query(name: str, sql: str | None = None):
@@ -34,7 +34,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     WITH RECURSIVE words AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
     runs AS (
         SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-            ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
     shingles AS (SELECT DISTINCT doc_id, s FROM runs),
     sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
     shared AS (
