@@ -46,7 +46,7 @@ class NearDuplicates:
     bands: int = 32
     rows: int = 4
     bits: int = 4
-    wide: int = 512
+    wide: int = 1024
     wide_bits: int = 2
     slack: float = 5.0
     seed: int = 7
@@ -239,11 +239,13 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id: s
     wide = sets.join(open_.select("node").distinct(), "node", "left_semi").mapInArrow(
         _widener(p), "node bigint, n bigint, planes array<bigint>"
     )
-    open_ = open_.join(written(wide, "wide"), "node")
-    left = open_.select("band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("m"), *_spread("p", p.wide, p.wide_bits))
-    right = open_.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), "n", *_spread("q", p.wide, p.wide_bits))
+    open_ = open_.join(written(wide, "wide"), "node").join(nodes.select("node", "bands"), "node")
+    left = open_.select("band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("m"), F.col("bands").alias("x"), *_spread("p", p.wide, p.wide_bits))
+    right = open_.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), "n", F.col("bands").alias("y"), *_spread("q", p.wide, p.wide_bits))
     ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    across = left.join(right, "band").where("ca < cb").where(may_link(p, p.wide, p.wide_bits)).select(*ends).distinct()
+    # A pair comes out of the first of its common buckets only.
+    first = F.col("band") == F.array_min(F.array_intersect("x", "y"))
+    across = left.join(right, "band").where("ca < cb").where(may_link(p, p.wide, p.wide_bits)).where(first).select(*ends)
     more = written(_confirmed(across.join(star, ["a", "b"], "left_anti"), sets, p), "more")
     if not more.isEmpty():
         groups = components(linked.unionByName(more))
