@@ -4,18 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foliant.llm import cotrain, langid
+from foliant.llm.decontaminate import contaminated
 from foliant.llm.minhash import near_duplicates
+from foliant.llm.packing import Packing, packed
+from foliant.llm.queries import good_labels, vocabulary
 from foliant.session import written
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier does not reject."""
+    judged = cotrain.scored(docs, cotrain.learn(docs, good_labels(spark, sf_dir)))
+    return _without(docs, judged.where("rejected").select("doc_id"))
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language compression tells with some margin."""
+    judged = langid.identified(docs, langid.learn(docs))
+    return _without(docs, judged.where("rejected").select("doc_id"))
+
+
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    return _without(docs, near_duplicates(docs).where("not kept").select("doc_id"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not hold half of a benchmark item."""
+    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found.select("doc_id"))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences of 2048."""
+    return packed(docs, Packing(vocabulary()))
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose id is not listed. The list is written first, so that a short one is broadcast."""
+    listed = written(ids.where("doc_id is not null").distinct(), "rejected")
+    return docs.join(listed, "doc_id", "left_anti").select(docs.columns)
 
 
-STAGES = [("near_duplicates", distinct_documents)]
-ORACLE_SQL = None  # connected components, models and tokens are beyond SQL
+STAGES = [
+    ("quality", good_quality),
+    ("language", known_language),
+    ("near_duplicates", distinct_documents),
+    ("decontamination", decontaminated),
+    ("packing", sequences),
+]
+ORACLE_SQL = None  # models, connected components and tokens are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from foliant.llm import chat, cotrain, langid, lzprint, ngram, urlmodel, warc
+from foliant.llm.decontaminate import contaminated
 from foliant.llm.minhash import near_duplicates
+from foliant.llm.packing import Packing, packed
+from foliant.llm.urlmodel import Rule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +34,100 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder(id: str, n: int) -> Column:
+    """crc32 of the id as text, modulo n."""
+    return F.pmod(F.crc32(F.col(id).cast("string")), F.lit(n))
+
+
+@query("op1_greedy_string_tiling")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds half of a benchmark item or more, with the tiles."""
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    "op2_warc_bundles",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+    g AS (SELECT payload_digest, max(page_id) AS largest FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id < largest THEN largest END AS refers_to
+    FROM d LEFT JOIN g USING (payload_digest)
+    """,
+)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages into bundles and back."""
+    index = warc.archived(table(spark, folder, "pages"), warc.shared_folder(spark))
+    return warc.payload_facts(warc.records(index))
+
+
+@query("op3_bounded_space_packing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packed(table(spark, folder, "documents"), Packing(vocabulary()))
+
+
+def vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op4_compression_language_id")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of all documents, learned from three quarters of them."""
+    docs = table(spark, folder, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = langid.learn(docs.where(~held_out))
+    return langid.identified(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_lz_phrase_fingerprint")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return lzprint.fingerprinted(table(spark, folder, "documents"))
+
+
+RULES = (Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("block", "example.com/de/"), Rule("allow", "org/fr/"))
+
+
+@query("op6_url_language_model")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict on the address of every page."""
+    return urlmodel.judged(table(spark, folder, "pages"), RULES).drop("score")
+
+
+@query("op8_co_training_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """The chance that a document is good, for all documents, learned from the labels."""
+    docs = table(spark, folder, "documents")
+    return cotrain.scored(docs, cotrain.learn(docs, good_labels(spark, folder)))
+
+
+def good_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Good is of quality and not toxic."""
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    return table(spark, folder, "labels").select("doc_id", good.alias("good"))
+
+
+@query("op9_backoff_automaton")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents, learned from four fifths of them."""
+    return ngram.scored(table(spark, folder, "documents"), remainder("doc_id", 5) != 1)
+
+
+@query("op10_grammar_round_trip")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one that imitates the template, formatted and read back."""
+    hard = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"),
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.read_back(chat.formatted(turns))
+
+
 @query(
     "op7_minhash_near_dedup",
     rf"""

@@ -15,8 +15,10 @@ import pyarrow.compute as pc
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C55  # odd, so that its powers have inverses
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_IS_BLANK = np.zeros(256, bool)
-_IS_BLANK[[9, 10, 11, 12, 13, 32]] = True
+BLANKS = np.zeros(256, bool)
+BLANKS[[9, 10, 11, 12, 13, 32]] = True
+#: Also ASCII punctuation and control characters.
+NOT_ALPHANUMERIC = np.array([x < 128 and not chr(x).isalnum() for x in range(256)])
 _VALUE = np.arange(1, 257, dtype=np.uint64)
 _VALUE[65:91] += np.uint64(32)
 _POWERS: dict[str, np.ndarray] = {}
@@ -62,7 +64,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+def _cuts(data: np.ndarray, offsets: np.ndarray, is_blank: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of about a chunk that end where a text ends or at a blank."""
     at, end = 0, len(data)
     while at < end:
@@ -73,22 +75,25 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
                 to = int(text_end)
             else:
                 stop = int(offsets[np.searchsorted(offsets, to, "left")])
-                blanks = np.flatnonzero(_IS_BLANK[data[at:to]])
+                blanks = np.flatnonzero(is_blank[data[at:to]])
                 if len(blanks):
                     to = at + int(blanks[-1]) + 1
                 else:
-                    while to < stop and not _IS_BLANK[data[to]]:
+                    while to < stop and not is_blank[data[to]]:
                         to += 1
         yield at, to
         at = to
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts in order, and each text's first place in them (n + 1 places)."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, blanks: np.ndarray = BLANKS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in order, and each text's first place in them (n + 1 places).
+
+    blanks: which of the 256 byte values part words.
+    """
     hashes, places = [], []
-    for at, to in _cuts(data, offsets):
+    for at, to in _cuts(data, offsets, blanks):
         part = data[at:to]
-        blank = _IS_BLANK[part]
+        blank = blanks[part]
         word = ~blank
         begins = word.copy()
         begins[1:] &= blank[:-1]
