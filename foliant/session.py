@@ -24,6 +24,9 @@ def local_session(cores: int | str = "*", app: str = "foliant") -> SparkSession:
     )
 
 
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -35,14 +38,19 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="foliant-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="foliant-"))
+    return _OWN[0]
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Where this application writes its intermediates."""
+    return f"{shared_dir(spark)}/foliant-{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/foliant-{uuid.uuid4().hex}/{name}"
+    """A path in the application's run folder that nothing else uses."""
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -50,8 +58,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage, fixes nondeterministic columns (partition ids) once and
     for all, and gives later joins real size statistics. The files outlive any
-    executor.
+    executor; ``discard_written`` removes them when all results are stored.
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_written(spark: SparkSession) -> None:
+    """Remove the application's run folder. Frames that read from it end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from foliant.session import local_session  # noqa: E402
+from foliant.session import discard_written, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,6 +14,7 @@ def spark():
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    discard_written(session)
 
 
 @pytest.fixture
