@@ -64,7 +64,8 @@ def delete_columns_matching(
     cells: DataFrame, source: str, family: str = "meta", name_regex: str = "2010.*"
 ) -> tuple[DataFrame, DataFrame]:
     """D3: columns of a family whose whole name matches, for rows of a source."""
-    matches = column_is(family) & F.rlike("qualifier", F.lit(f"^(?:{name_regex})$"))
+    # A null qualifier matches nothing; its cell stays.
+    matches = F.coalesce(column_is(family) & F.rlike("qualifier", F.lit(f"^(?:{name_regex})$")), F.lit(False))
     victims = source_keys(cells, source)
     candidates = cells.where(matches)
     survivors = cells.where(~matches).unionByName(candidates.join(victims, "row_key", "left_anti"))
@@ -107,7 +108,7 @@ def delete_column(
     where = (family, qualifier, value) restricts it to rows with that value,
     in whichever family the tested column lies.
     """
-    doomed = column_is(family, qualifier)
+    doomed = F.coalesce(column_is(family, qualifier), F.lit(False))
     hit = cells.where(doomed)
     if where is None:
         survivors, gone = cells.where(~doomed), hit

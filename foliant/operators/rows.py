@@ -95,18 +95,6 @@ def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on an input with fewer splits than cores.
-
-    A table of one row group is read by one task; per-row text work after it
-    would then run alone. Inputs with enough splits are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def long_result(group: str | Column, counter: str | Column, n: Column) -> list[Column]:
     """The one shape of every counter table: (counter_group, counter, n)."""
     as_column = lambda x: F.lit(x) if isinstance(x, str) else x

@@ -13,9 +13,6 @@ from foliant.functions.text import parse_time, trimmed
 from foliant.operators.rows import key_side, long_result, with_index
 from foliant.operators.upsert import newest
 
-# A larger row limit goes by row number; a top-k this size sorts in one task.
-TOP_ROWS = 10_000
-
 
 @dataclasses.dataclass(frozen=True)
 class ScanSpec:
@@ -106,13 +103,12 @@ def rows_where(cells: DataFrame, family: str, qualifier: str, value: str, missin
 
 
 def first_rows(cells: DataFrame, n: int) -> DataFrame:
-    """The cells of the first n rows in key order."""
-    keys = cells.select("row_key").distinct()
-    if n <= TOP_ROWS:
-        first = F.broadcast(keys.orderBy("row_key").limit(n))
-    else:
-        first = with_index(keys, ["row_key"]).where(F.col("idx") < n).drop("idx")
-    return cells.join(first, "row_key", "left_semi")
+    """The cells, or the document, of the first n rows in key order.
+
+    Keys alone are put in order and counted, over all tasks, whatever n is.
+    """
+    numbered = with_index(cells.select("row_key").distinct(), ["row_key"])
+    return cells.join(key_side(numbered.where(F.col("idx") < n)), "row_key", "left_semi")
 
 
 def every_nth_row(cells: DataFrame, n: int) -> DataFrame:
@@ -162,10 +158,7 @@ def scan_docs(docs: DataFrame, spec: ScanSpec) -> DataFrame:
     if spec.keys is not None:
         chosen = rows_with_keys(chosen, spec.keys)
     if spec.limit is not None:
-        if spec.limit <= TOP_ROWS:
-            chosen = chosen.orderBy("row_key").limit(spec.limit)
-        else:
-            chosen = with_index(chosen, ["row_key"]).where(F.col("idx") < spec.limit).drop("idx")
+        chosen = first_rows(chosen, spec.limit)
     families = {name.partition(":")[0] for name in spec.columns}
     return chosen.select("row_key", *[f for f in docs.columns if f in families]) if families else chosen
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foliant.operators import scan as S
 from foliant.plans.registry import query
 from foliant.plans.tables import CELLS_SQL, EVENT_CELLS_SQL, cells, docs, event_cells, table
+from foliant.session import fresh_path
 
 C = f"WITH {CELLS_SQL}\n"
 E = f"WITH {EVENT_CELLS_SQL}\n"
@@ -58,6 +59,19 @@ def row_limit(spark, folder):
     return S.scan_cells(cells(spark, folder), S.ScanSpec(limit=25)).select(*CELL_COLUMNS)
 
 
+@query(
+    "S4_large_row_limit",
+    C + f"SELECT {CELL} FROM cells WHERE row_key IN (SELECT DISTINCT row_key FROM cells ORDER BY row_key LIMIT 20000)",
+)
+def large_row_limit(spark, folder):
+    return S.scan_cells(cells(spark, folder), S.ScanSpec(limit=20_000)).select(*CELL_COLUMNS)
+
+
+@query("S4_document_limit", "SELECT CAST(doc_id AS VARCHAR) AS row_key FROM documents ORDER BY row_key LIMIT 100")
+def document_limit(spark, folder):
+    return S.scan_docs(docs(spark, folder), S.ScanSpec(limit=100)).select("row_key")
+
+
 @query(
     "S5_every_nth_row",
     C + f"""SELECT {CELL} FROM cells WHERE row_key IN (
@@ -128,7 +142,10 @@ def listed_keys(spark, folder):
     """Key-file lines out of the labels: keys, each also with blanks, and comments."""
     line = F.col("doc_id").cast("string")
     lines = F.array(line, F.concat(F.lit("  "), line, F.lit("\t")), F.concat(F.lit("# "), line), F.lit(" "))
-    return S.key_list(table(spark, folder, "labels").select(F.explode(lines).alias("value")))
+    # Key files, written and read back.
+    path = fresh_path(spark, "key-files")
+    table(spark, folder, "labels").select(F.explode(lines).alias("value")).write.text(path)
+    return S.read_key_list(spark, path)
 
 
 @query(
