@@ -105,23 +105,25 @@ def merge_dictionaries(into: DataFrame, other: DataFrame) -> tuple[DataFrame, Da
 
 
 def insert_fixed(dictionary: DataFrame, rows: DataFrame) -> DataFrame:
-    """V7: terms with given ids; an id or a term already used is an error.
+    """V7: terms with given ids. An id in use is an error; a known term moves to
+    the id given, so that a text has one id. Of several ids given to one term the
+    highest holds.
 
     The test runs with the insert: the failing row stops the job that writes it.
     """
-    new = rows.select(
+    given = rows.select(
         F.col("term_id").cast("bigint").alias("term_id"),
         normalized(F.col("term")).alias("term"),
         clean_text(F.col("term")).alias("surface"),
-    )
-    both = dictionary.select(*DICTIONARY_COLUMNS).unionByName(new)
-    merged = both.groupBy("term_id").agg(
-        F.count("*").alias("n"), F.min("term").alias("term"), F.min("surface").alias("surface")
-    )
-    checked = F.when(F.col("n") == 1, F.col("term_id")).otherwise(
-        F.raise_error(F.concat(F.lit("id already exists: "), F.col("term_id").cast("string"))).cast("bigint")
-    )
-    return merged.select(checked.alias("term_id"), "term", "surface")
+    ).distinct()
+    ids = given.groupBy("term_id").agg(F.countDistinct("term").alias("terms"))
+    used = dictionary.select("term_id", F.lit(True).alias("used"))
+    taken = F.coalesce("used", F.lit(False)) | (F.col("terms") > 1)
+    clash = F.raise_error(F.concat(F.lit("id already exists: "), F.col("term_id").cast("string"))).cast("bigint")
+    checked = given.join(ids, "term_id").join(used, "term_id", "left").withColumn("term_id", F.when(taken, clash).otherwise(F.col("term_id")))
+    new = checked.groupBy("term").agg(F.max("term_id").alias("term_id"), F.min("surface").alias("surface"))
+    kept = dictionary.join(new.select("term"), "term", "left_anti")
+    return kept.select(*DICTIONARY_COLUMNS).unionByName(new.select(*DICTIONARY_COLUMNS))
 
 
 def lookup_ids(texts: DataFrame, dictionary: DataFrame, column: str = "text") -> DataFrame:

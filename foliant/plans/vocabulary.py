@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from foliant.operators import terms as V
 from foliant.plans.registry import query
 from foliant.plans.tables import DICTIONARY_SQL, TOKENS_SQL, TURN_TOKENS_SQL, conversation_docs, docs, table
-from foliant.session import written
+from foliant.session import fresh_path, written
 from foliant.sources import store
 
 D = f"WITH {DICTIONARY_SQL}\n"
@@ -162,6 +162,17 @@ def insert_fixed(spark, folder):
     return V.insert_fixed(corpus_dictionary(spark, folder), rows).select("term_id", "term")
 
 
+@query(
+    "V7_insert_known",
+    D + "SELECT term AS text, 2000000000 + term_id AS term_id FROM dictionary",
+)
+def insert_known(spark, folder):
+    """Every known term gets another id; looked up, it has that one alone."""
+    held = corpus_dictionary(spark, folder)
+    moved = written(V.insert_fixed(held, held.select((F.col("term_id") + 2_000_000_000).alias("term_id"), "term")), "moved")
+    return V.lookup_ids(held.select(F.col("term").alias("text")), moved)
+
+
 @query("V8_sorted_dictionary", D + "SELECT term_id, term FROM dictionary ORDER BY term")
 def sorted_dictionary(spark, folder):
     return V.sorted_dictionary(corpus_dictionary(spark, folder)).select("term_id", "term")
@@ -169,8 +180,9 @@ def sorted_dictionary(spark, folder):
 
 @query("I13_dictionary_lines", D + "SELECT CAST(term_id AS VARCHAR) || ' ' || term AS line, term_id, term FROM dictionary")
 def dictionary_lines(spark, folder):
-    lines = store.dictionary_lines(corpus_dictionary(spark, folder))
-    return store.parse_dictionary(lines).select(
+    path = fresh_path(spark, "dictionary-files")
+    store.write_dictionary(corpus_dictionary(spark, folder), path)
+    return store.read_dictionary(spark, path).select(
         F.concat_ws(" ", "term_id", "term").alias("line"), "term_id", "term"
     )
 
