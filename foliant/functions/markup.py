@@ -17,30 +17,47 @@ from foliant.functions.text import trimmed
 
 # Private-use characters: an escaped "<", begin and end of moved attributes.
 LESS, OPEN, SHUT = "\ue001", "\ue002", "\ue003"
+# Before one of these, or itself, that the text holds: KEPT and a digit stand for it.
+KEPT = "\ue004"
+OWN = (LESS, OPEN, SHUT, KEPT)
 CORRUPT = "_corrupt_record"
 # Attribute values and text keep their blanks; what is trimmed is trimmed here.
 XML_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT, "ignoreSurroundingSpaces": "false"}
 ATTRIBUTES = r"""((?:\s+[\w.:-]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*"""
 
 
+def guarded(text: Column) -> Column:
+    """The text with the private-use characters that it already has told apart from ours."""
+    safe = F.replace(text, F.lit(KEPT), F.lit(f"{KEPT}{len(OWN)}"))
+    for i, c in enumerate(OWN, 1):
+        if c != KEPT:
+            safe = F.replace(safe, F.lit(c), F.lit(f"{KEPT}{i}"))
+        safe = F.regexp_replace(safe, f"(?i)&#0*{ord(c)};|&#x0*{ord(c):x};", f"{KEPT}{i}")
+    return F.when(F.rlike(text, F.lit(f"(?i)[{LESS}-{KEPT}]|&#0*5734[5-8];|&#x0*e00[1-4];")), safe).otherwise(text)
+
+
 def protected(xml: Column, elements: Sequence[str]) -> Column:
     """The text to parse: no DOCTYPE, escaped "<" marked, attributes moved."""
     names = "|".join(n.replace(".", r"\.") for n in elements)
-    text = F.regexp_replace(xml, r"(?s)<!DOCTYPE[^>\[]*(\[.*?\]\s*)?>", "")
+    text = F.regexp_replace(guarded(xml), r"(?s)<!DOCTYPE[^>\[]*(\[.*?\]\s*)?>", "")
     text = F.regexp_replace(text, "&lt;|&#0*60;|&#[xX]0*3[cC];", LESS)
     text = F.regexp_replace(text, f"<({names}){ATTRIBUTES}>", f"<$1>{OPEN}$2{SHUT}")
     return F.regexp_replace(text, f"<({names}){ATTRIBUTES}/>", f"<$1>{OPEN}$2{SHUT}</$1>")
 
 
-def with_tree(df: DataFrame, xml: Column, schema: str, name: str) -> DataFrame:
-    """Add the parsed struct; rows that are no well-formed XML are left out."""
+def with_tree(df: DataFrame, xml: Column, schema: str, name: str, keep: bool = False) -> DataFrame:
+    """Add the parsed struct; rows that are no well-formed XML are left out, or kept with null."""
     trees = F.array(F.from_xml(xml, schema, XML_OPTIONS))
     good = F.filter(trees, lambda t: t.isNotNull() & t[CORRUPT].isNull())
-    return df.withColumn(name, F.explode(good))
+    return df.withColumn(name, F.explode_outer(good) if keep else F.explode(good))
 
 
 def plain(text: Column) -> Column:
-    return F.translate(text, LESS, "<")
+    """What a piece of guarded or protected text stands for."""
+    out = F.translate(text, LESS, "<")
+    for i, c in enumerate(OWN, 1):
+        out = F.replace(out, F.lit(f"{KEPT}{i}"), F.lit(c))
+    return out
 
 
 def inner(markup: Column) -> Column:
@@ -49,7 +66,7 @@ def inner(markup: Column) -> Column:
 
 
 def all_text(markup: Column) -> Column:
-    """Every text node trimmed, joined by a space."""
+    """Every text node trimmed, joined by a space; of guarded or protected text."""
     bare = F.regexp_replace(markup, f"{OPEN}[^{SHUT}]*{SHUT}", "")
     nodes = F.filter(F.split(bare, "<[^>]*>"), lambda t: t != "")
     return plain(trimmed(F.array_join(F.transform(nodes, trimmed), " ")))

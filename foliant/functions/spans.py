@@ -8,10 +8,7 @@ from pyspark.sql import functions as F
 from foliant.functions.arrays import let, running
 from foliant.model import ANNOTATION_SET_TYPE, ANNOTATIONS_TYPE
 
-# Private-use character that marks match borders; taken out of the text first.
-MARK = "\ue000"
 BLOCK = 256
-CHAR_LIMIT = 1 << 20
 
 
 def empty_set() -> Column:
@@ -29,40 +26,25 @@ def annotation(id: Column, start: Column, end: Column, type: Column) -> Column:
 
 
 def match_spans(text: Column, pattern: str, type: str) -> Column:
-    """Annotations for every match of the pattern (without groups of its own).
+    """Annotations for every match of the pattern, which matches no empty text.
 
-    Both ends of every match are marked, and the marks give the offsets: by
-    their positions among the characters or, for texts so long that a list of
-    characters would weigh on memory, by the running length of the pieces
-    between them.
+    The pattern cuts the text into gaps and matches; a match ends where the gaps
+    and matches up to it end. Nothing is written into the text to find them.
     """
-    safe = F.translate(F.coalesce(text, F.lit("")), MARK, " ")
-    marked = F.regexp_replace(safe, f"({pattern})", f"{MARK}$1{MARK}")
-    pieces = F.transform(F.split(marked, MARK), F.length)
-    by_chars = let(let(F.split(marked, ""), _mark_positions), lambda at: _between_marks(at, type))
-    by_pieces = let(running(pieces, 0, lambda sum, n: sum + n), lambda ends: _odd_pieces(ends, type))
-    return F.when(F.length(safe) <= CHAR_LIMIT, by_chars).otherwise(by_pieces)
-
-
-def _mark_positions(chars: Column) -> Column:
-    return F.filter(F.sequence(F.lit(0), F.size(chars) - 1), lambda i: F.get(chars, i) == MARK)
-
-
-def _between_marks(at: Column, type: str) -> Column:
-    """Marks come in pairs; a position counts the marks before it."""
-    pairs = F.sequence(F.lit(0), (F.size(at) / 2).cast("int") - 1)
-    made = F.transform(
-        pairs,
-        lambda k: annotation(k, F.get(at, 2 * k) - 2 * k, F.get(at, 2 * k + 1) - 2 * k - 1, F.lit(type)),
+    safe = F.coalesce(text, F.lit(""))
+    parts = F.struct(
+        F.transform(F.split(safe, pattern), F.length).alias("gaps"),
+        F.transform(F.regexp_extract_all(safe, F.lit(pattern), F.lit(0)), F.length).alias("matches"),
     )
-    return F.when(F.size(at) == 0, empty_set()).otherwise(made)
 
+    def spans(p: Column) -> Column:
+        steps = F.transform(p["matches"], lambda n, i: n + F.get(p["gaps"], i))
+        return let(
+            running(steps, 0, lambda at, n: at + n),
+            lambda ends: F.transform(ends, lambda e, i: annotation(i, e - F.get(p["matches"], i), e, F.lit(type))),
+        )
 
-def _odd_pieces(ends: Column, type: str) -> Column:
-    """Every second piece is a match; it begins where the piece before it ends."""
-    odd = F.sequence(F.lit(1), F.size(ends) - 2, F.lit(2))
-    made = F.transform(odd, lambda i, k: annotation(k, F.get(ends, i - 1), F.get(ends, i), F.lit(type)))
-    return F.when(F.size(ends) < 3, empty_set()).otherwise(made)
+    return let(parts, spans).cast(ANNOTATION_SET_TYPE)
 
 
 def span_texts(text: Column, spans: Column) -> Column:

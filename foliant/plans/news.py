@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.functions.markup import all_text
+from foliant.functions.markup import all_text, guarded
 from foliant.model import empty_annotations, meta_map, src_struct, text_struct
 from foliant.operators import newsxml as N
-from foliant.operators.rows import computed, spread
+from foliant.operators.rows import computed
 from foliant.plans.registry import query
-from foliant.plans.tables import documents, table
+from foliant.plans.tables import documents, spread, table
 
 HEAD = (
     '<?xml version="1.0" encoding="UTF-8"?>\n<!DOCTYPE nitf SYSTEM '
@@ -81,13 +81,13 @@ def _values() -> dict[str, Column]:
         "guid": doc_id + 1,
         "stamp": F.date_format(at, "yyyyMMdd'T'HHmmss"),
         "first": escaped(F.substring_index("text", "\n", 1)),
-        "body": F.when(lang != "es", body).otherwise(""),
+        "body": body,
     }
 
 
-def news_docs(spark, folder) -> DataFrame:
-    """Articles of the source NYT and, for French, of another; one source is
-    cut short and not well-formed; very short documents have no text."""
+def news_docs(spark, folder, damaged: bool = False) -> DataFrame:
+    """Articles of the source NYT and, for French, of another. Damaged: one source
+    is cut short and not well-formed; very short documents have no text."""
     base = spread(documents(spark, folder), "doc_id")
     made = computed(base, "xml", filled(TEMPLATE, _values()))
     xml = F.col("xml")
@@ -97,15 +97,14 @@ def news_docs(spark, folder) -> DataFrame:
         key.alias("row_key"),
         src_struct(name=F.when(F.col("lang") == "fr", "other").otherwise("NYT"), id=key).alias("src"),
         meta_map(lang=F.col("lang")).alias("meta"),
-        text_struct(orig=F.when(F.col("n_chars") >= 100, cut)).alias("text"),
+        text_struct(orig=F.when(F.col("n_chars") >= 100, cut) if damaged else xml).alias("text"),
         empty_annotations().alias("annotations"),
     )
 
 
 _FIELDS = """WITH written AS (
   SELECT *, CAST(doc_id AS VARCHAR) AS row_key, TIMESTAMP '2005-06-07 00:00:00' + to_hours(doc_id) AS at_time,
-    trim(split_part(text, chr(10), 1)) AS first_line FROM documents
-  WHERE n_chars >= 100 AND source <> 'src13'),
+    trim(split_part(text, chr(10), 1)) AS first_line FROM documents),
 fields AS (SELECT row_key, lang,
   source || ' & ' || lang AS "NewsDesk", source || '; ' || lang AS "OnlineSection", lang AS "Section",
   lang || '-' || row_key AS "Slug", '  ' AS "Banner", 'Tuesday' AS "DayOfWeek",
@@ -120,7 +119,7 @@ fields AS (SELECT row_key, lang,
   'Writes for ' || source AS "AuthorBiography", trim('LEAD: ' || first_line) AS "LeadParagraph",
   CAST(NULL AS VARCHAR) AS "CorrectionText", CAST(NULL AS VARCHAR) AS "OnlineLeadParagraph",
   CAST(NULL AS VARCHAR) AS "FeaturePage", CAST(NULL AS VARCHAR) AS "ColumnName", CAST(NULL AS VARCHAR) AS "SeriesName",
-  CASE WHEN lang <> 'es' THEN nullif(array_to_string(list_transform(string_split(text, chr(10)), lambda x: trim(x)), chr(10)), '') END AS "Body",
+  nullif(array_to_string(list_transform(string_split(text, chr(10)), lambda x: trim(x)), chr(10)), '') AS "Body",
   '[General ' || lang || ', All]' AS "GeneralOnlineDescriptors",
   lang || '   descriptor' AS "Descriptors", source AS "OnlineDescriptors", 'Top/News/' || source AS "TaxonomicClassifiers",
   'Text' AS "TypesOfMaterial", 'Name <' || source || '>' AS "Names", 'Org ' || lang AS "Organizations",
@@ -213,7 +212,7 @@ def blocks(spark, folder):
   lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), ' ')) AS text FROM pages""",
 )
 def page_text(spark, folder):
-    return table(spark, folder, "pages").select("page_id", all_text(F.col("html")).alias("text"))
+    return table(spark, folder, "pages").select("page_id", all_text(guarded(F.col("html"))).alias("text"))
 
 
 @query(
@@ -261,7 +260,7 @@ def parse_articles(spark, folder):
 
 @query("N1_rejected", "SELECT CAST(doc_id AS VARCHAR) AS row_key FROM documents WHERE n_chars >= 100 AND source = 'src13'")
 def rejected(spark, folder):
-    return N.rejected(news_docs(spark, folder)).select("row_key")
+    return N.rejected(news_docs(spark, folder, damaged=True)).select("row_key")
 
 
 @query(
@@ -270,7 +269,7 @@ def rejected(spark, folder):
   WHEN n_chars < 100 THEN 'skip -- null text' ELSE 'map' END AS counter, count(*) AS n FROM documents GROUP BY 2""",
 )
 def skip_counts(spark, folder):
-    return N.skip_counts(news_docs(spark, folder), "NYT")
+    return N.skip_counts(news_docs(spark, folder, damaged=True), "NYT")
 
 
 @query(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.spans import match_spans, set_annotation_set
 from foliant.model import CELLS_SCHEMA, empty_annotations, meta_map, src_struct, text_struct
-from foliant.operators.rows import computed, spread
+from foliant.operators.rows import computed
 
 WORD = r"[\p{L}\p{N}]+"
 NAME = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
@@ -20,6 +20,18 @@ CAPITAL = r"\p{Lu}\p{L}*"
 EPOCH_2024 = 1704067200
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core on a benchmark table with fewer splits than cores.
+
+    The small tables are one row group each, read by one task; per-row text work
+    after it would then run alone. Inputs with enough splits are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -173,6 +185,28 @@ def conversation_docs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spans_sql(pattern: str) -> str:
+    """Matches in the documents as an SQL table (row_key, i, w, s, e): text, start and end."""
+    found, gaps = f"regexp_extract_all(text, '{pattern}')", f"regexp_split_to_array(text, '{pattern}')"
+    return f"""(SELECT row_key, i, w, e - length(w) AS s, e FROM (
+  SELECT row_key, z[3] AS i, z[1] AS w, CAST(sum(length(z[1]) + length(z[2])) OVER (PARTITION BY row_key ORDER BY z[3]) AS BIGINT) AS e FROM (
+    SELECT CAST(doc_id AS VARCHAR) AS row_key, unnest(list_zip({found}, {gaps}[1:len({found})], range(len({found})))) AS z FROM documents)))"""
+
+
+def span_list(spans: Column) -> Column:
+    """``start-end`` of every span, in order of place."""
+    at = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.array_join(F.transform(at, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def span_list_sql(*patterns: str) -> str:
+    """``span_list`` of the matches of all patterns per document (row_key, spans)."""
+    every = " UNION ALL ".join(f"SELECT row_key, s, e FROM {spans_sql(p)}" for p in patterns)
+    return f"""(SELECT CAST(doc_id AS VARCHAR) AS row_key, coalesce(spans, '') AS spans FROM documents LEFT JOIN (
+  SELECT row_key, string_agg(CAST(s AS VARCHAR) || '-' || CAST(e AS VARCHAR), ',' ORDER BY s, e) AS spans
+  FROM ({every}) GROUP BY row_key) ON row_key = CAST(doc_id AS VARCHAR))"""
+
+
 # Tokens of the documents and of the conversations: (row_key, pos, tok).
 TOKENS_SQL = r"""
 token_lists AS (
