@@ -6,17 +6,16 @@ import datetime as dt
 import io
 import tarfile
 import zipfile
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.model import docs_to_cells
-from foliant.operators.rows import computed, spread
+from foliant.functions.spans import annotation_set, match_spans, span_texts
+from foliant.operators.rows import computed
 from foliant.plans.news import escaped, filled
 from foliant.plans.registry import query
-from foliant.plans.tables import CAPITAL, documents, table
+from foliant.plans.tables import CAPITAL, documents, spans_sql, spread, table
 from foliant.session import fresh_path
 from foliant.sources import archives as A
 from foliant.sources import feeds as FD
@@ -46,32 +45,32 @@ def text_tree(spark, folder):
 
 @query(
     "I2_annotated_corpus",
-    rf"""SELECT sha1('corpus:' || {KEY}) AS row_key, {KEY} AS id, lang, text AS raw,
-  CAST(len(regexp_extract_all(text, '\p{{Lu}}\p{{L}}*')) AS BIGINT) AS n_capital,
-  regexp_extract(text, '\p{{Lu}}\p{{L}}*') AS first_capital FROM documents""",
+    f"""SELECT sha1('corpus:' || {KEY}) AS row_key, {KEY} AS id, lang, text AS raw, coalesce(capitals, '') AS capitals
+FROM documents LEFT JOIN (SELECT row_key, string_agg(CAST(i AS VARCHAR) || ':' || CAST(s AS VARCHAR) || '-' || CAST(e AS VARCHAR) || ':' || w, ',' ORDER BY i) AS capitals
+  FROM {spans_sql(CAPITAL)} GROUP BY row_key) c ON c.row_key = {KEY}""",
 )
 def annotated_corpus(spark, folder):
-    rows = spread(documents(spark, folder), "doc_id")
-    words = F.posexplode(F.regexp_extract_all("text", F.lit(CAPITAL), F.lit(0))).alias("id", "word")
-    spans = rows.select("doc_id", words).select(
+    """Capitalized words as annotation rows, gathered into the documents' sets."""
+    rows = computed(spread(documents(spark, folder), "doc_id"), "spans", match_spans(F.col("text"), CAPITAL, "word"))
+    read = computed(rows, "words", span_texts(F.col("text"), F.col("spans")))
+    pair = F.zip_with("spans", "words", lambda s, w: F.struct(s.alias("s"), w.alias("w")))
+    spans = read.select("doc_id", F.explode(pair).alias("p")).select(
         "doc_id",
         F.lit("capital").alias("set"),
-        "id",
-        F.col("id").alias("start"),
-        (F.col("id") + F.length("word")).alias("end"),
-        F.lit("word").alias("type"),
-        F.create_map(F.lit("form"), "word").alias("features"),
+        *[F.col(f"p.s.{f}").alias(f) for f in ("id", "start", "end", "type")],
+        F.create_map(F.lit("form"), F.col("p.w")).alias("features"),
     )
     texts = rows.select("doc_id", "text", F.create_map(F.lit("lang"), "lang", F.lit("none"), F.lit(None)).alias("meta"))
     found = S.corpus_docs(texts, spans, "corpus")
-    capital = F.coalesce(F.col("annotations")["capital"], F.array())
+    one = lambda s: F.concat_ws(
+        ":", s["id"].cast("string"), F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")), s["features"]["form"]
+    )
     return found.select(
         "row_key",
         F.col("src.id").alias("id"),
         F.col("meta")["lang"].alias("lang"),
         F.col("text.raw").alias("raw"),
-        F.size(capital).cast("bigint").alias("n_capital"),
-        F.coalesce(F.get(F.col("annotations")["capital"], F.lit(0))["features"]["form"], F.lit("")).alias("first_capital"),
+        F.array_join(F.transform(annotation_set("capital"), one), ",").alias("capitals"),
     )
 
 
@@ -81,14 +80,13 @@ PER_ARCHIVE = 25
 ARCHIVE_DDL = "path string, length bigint, content binary"
 
 
-def _packed(write, path: str):
-    """A task function that packs rows (name, text) into archives of a few members."""
+def _packed(write, folder: str, suffix: str):
+    """A function that packs the rows (part, name, body) of one part into an archive."""
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), PER_ARCHIVE):
-                data = write(frame.iloc[at : at + PER_ARCHIVE])
-                yield pd.DataFrame({"path": [path], "length": [len(data)], "content": [data]})
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        data = write(frame.sort_values("doc_id"))
+        path = f"{folder}/{int(frame['part'].iloc[0]):09d}{suffix}"
+        return pd.DataFrame({"path": [path], "length": [len(data)], "content": [data]})
 
     return pack
 
@@ -99,8 +97,7 @@ def _tar(members: pd.DataFrame) -> bytes:
         folder = tarfile.TarInfo("members")
         folder.type = tarfile.DIRTYPE
         archive.addfile(folder)
-        for name, text in zip(members["name"], members["text"]):
-            body = text.encode()
+        for name, body in zip(members["name"], members["body"]):
             info = tarfile.TarInfo(name)
             info.size = len(body)
             archive.addfile(info, io.BytesIO(body))
@@ -108,27 +105,46 @@ def _tar(members: pd.DataFrame) -> bytes:
 
 
 def _zip(members: pd.DataFrame) -> bytes:
+    """Every second damaged member has other compressed data, the others another checksum."""
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-        for name, text in zip(members["name"], members["text"]):
-            archive.writestr(name, text)
-    return out.getvalue()
+        for name, body in zip(members["name"], members["body"]):
+            archive.writestr(name, body)
+        places = {i.filename: (i.header_offset + 30 + len(i.filename.encode()), i.compress_size) for i in archive.infolist()}
+        central = archive.start_dir
+    data = bytearray(out.getvalue())
+    for number, (name, damaged) in enumerate(zip(members["name"], members["damaged"])):
+        if damaged and number % 2:
+            begin, size = places[name]
+            data[begin : begin + size] = b"\xff" * size
+        elif damaged:
+            entry = data.index(name.encode(), central) - 46
+            data[entry + 16] ^= 1
+    return bytes(data)
+
+
+def archive_table(spark, folder, name: Column, write, where: str, suffix: str, body: Column | None = None, damaged: Column | None = None) -> DataFrame:
+    rows = documents(spark, folder).select(
+        "doc_id",
+        F.floor(F.col("doc_id") / PER_ARCHIVE).alias("part"),
+        name.alias("name"),
+        (F.encode("text", "UTF-8") if body is None else body).alias("body"),
+        (F.lit(False) if damaged is None else damaged).alias("damaged"),
+    )
+    return rows.groupBy("part").applyInPandas(_packed(write, where, suffix), ARCHIVE_DDL)
 
 
-def archive_table(spark, folder, name: Column, write, path: str) -> DataFrame:
-    rows = spread(documents(spark, folder), "doc_id").select(name.alias("name"), "text")
-    return rows.mapInPandas(_packed(write, path), ARCHIVE_DDL)
+def tars(spark, folder, body: Column | None = None):
+    name = F.concat(F.lit("members/"), "lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".xml"))
+    return archive_table(spark, folder, name, _tar, "/corpus/2005", ".tgz", body)
 
 
-def tars(spark, folder):
-    name = F.concat(F.lit("members/"), "lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".xml"))
-    return archive_table(spark, folder, name, _tar, "/corpus/2005/part.tgz")
+TAR_MEMBERS = f"WITH m AS (SELECT 'members/' || lang || '-' || {KEY} || '.xml' AS file, lang, text FROM documents)\n"
 
 
 @query(
     "I3_tar_archives",
-    f"""WITH m AS (SELECT 'members/' || lang || '-' || {KEY} || '.xml' AS file, text FROM documents)
-SELECT sha1('2005' || file) AS row_key, 'NYT' AS source, '2005' || file AS id, '2005' AS parent, file,
+    TAR_MEMBERS + """SELECT sha1('2005' || file) AS row_key, 'NYT' AS source, '2005' || file AS id, '2005' AS parent, file,
   'text/xml' AS mime_type, text AS orig, '2024-02-03T04:05:06Z' AS ingest_date FROM m""",
 )
 def tar_archives(spark, folder):
@@ -149,16 +165,73 @@ def import_count(spark, folder):
     return A.tar_counts(tars(spark, folder)).where(F.col("counter") == "import file")
 
 
+def latin_tars(spark, folder):
+    """The German members are not in UTF-8: each character beyond ASCII is one byte that is none."""
+    german = F.encode(F.regexp_replace("text", r"[^\x00-\x7F]", "\u00ff"), "ISO-8859-1")
+    return tars(spark, folder, F.when(F.col("lang") == "de", german).otherwise(F.encode("text", "UTF-8")))
+
+
 @query(
-    "I4_zip_archives",
-    f"""SELECT '/corpus/all.zip-' || {KEY} || '.txt' AS row_key, {KEY} || '.txt' AS entry, 'text/plain' AS mime_type, text
-FROM documents WHERE lang = 'en' AND strlen(text) <= 16384""",
+    "I3_lenient_text",
+    TAR_MEMBERS + r"""SELECT '2005' || file AS id, CASE WHEN lang = 'de' THEN regexp_replace(text, '[^\x00-\x7F]', chr(65533), 'g') ELSE text END AS orig
+FROM m""",
 )
-def zip_archives(spark, folder):
+def lenient_text(spark, folder):
+    return A.tar_docs(latin_tars(spark, folder), "NYT").select("src.id", F.col("text.orig").alias("orig"))
+
+
+@query(
+    "I3_lenient_counts",
+    r"""SELECT 'ImportNYT' AS counter_group, unnest(['import file', 'skip dir', 'broken archive', 'repaired text']) AS counter,
+  unnest([count(*), count(DISTINCT doc_id // 25), 0, count(*) FILTER (lang = 'de' AND regexp_matches(text, '[^\x00-\x7F]'))]) AS n FROM documents""",
+)
+def lenient_counts(spark, folder):
+    return A.tar_counts(latin_tars(spark, folder))
+
+
+def zips(spark, folder, damaged: Column | None = None):
     suffix = F.when(F.col("lang") == "en", ".txt").otherwise(".xml")
     name = F.concat(F.col("doc_id").cast("string"), suffix)
-    zips = archive_table(spark, folder, name, _zip, "/corpus/all.zip")
-    return A.zip_text(A.zip_entries(zips, mime_types=["text/plain"], max_mib=1 / 64))
+    return archive_table(spark, folder, name, _zip, "/corpus/all", ".zip", damaged=damaged)
+
+
+ZIP_MEMBERS = f"""WITH m AS (SELECT *, '/corpus/all/' || lpad(CAST(doc_id // 25 AS VARCHAR), 9, '0') || '.zip' AS path,
+  {KEY} || CASE lang WHEN 'en' THEN '.txt' ELSE '.xml' END AS entry FROM documents)
+"""
+
+
+@query(
+    "I4_zip_archives",
+    ZIP_MEMBERS + """SELECT path || '-' || entry AS row_key, entry, 'text/plain' AS mime_type, text
+FROM m WHERE lang = 'en' AND strlen(text) <= 16384""",
+)
+def zip_archives(spark, folder):
+    return A.zip_text(A.zip_entries(zips(spark, folder), mime_types=["text/plain"], max_mib=1 / 64))
+
+
+@query(
+    "I4_entry_cap",
+    ZIP_MEMBERS + "SELECT path || '-' || entry AS row_key, strlen(text) AS entry_bytes FROM m ORDER BY path, doc_id LIMIT 150",
+)
+def entry_cap(spark, folder):
+    """The first entries by archive and place, a few to a task."""
+    found = A.zip_entries(zips(spark, folder), max_entries=150, entries_per_task=40)
+    return found.select("row_key", "entry_bytes")
+
+
+def damaged_zips(spark, folder):
+    return zips(spark, folder, F.col("lang") == "fr")
+
+
+@query("I4_damaged_zips", ZIP_MEMBERS + "SELECT path || '-' || entry AS row_key, text FROM m WHERE lang <> 'fr'")
+def damaged_entries(spark, folder):
+    """The members beside a damaged one are all there."""
+    return A.zip_text(A.zip_entries(damaged_zips(spark, folder))).select("row_key", "text")
+
+
+@query("I4_rejected_members", ZIP_MEMBERS + "SELECT path, entry FROM m WHERE lang = 'fr'")
+def rejected_members(spark, folder):
+    return A.broken_zips(damaged_zips(spark, folder)).select("path", "entry")
 
 
 # -- feeds -------------------------------------------------------------------
@@ -186,24 +259,24 @@ _RSS = (
 )
 
 
-def feed_texts(rows: DataFrame) -> DataFrame:
-    """One feed per document: Atom with two entries for English and German,
-    RSS with one item otherwise; the feeds of one source end in the open."""
+def feed_texts(rows: DataFrame, damaged: bool = False) -> DataFrame:
+    """One feed per document: Atom with two entries for English and German, RSS
+    with one item otherwise. Damaged: the feeds of one source end in the open."""
     values = {
         "doc_id": F.col("doc_id"),
         "lang": F.col("lang"),
         "source": F.col("source"),
         "first": escaped(F.substring_index("text", "\n", 1)),
         "text": escaped(F.col("text")),
-        "tail": F.when(F.col("source") == "src11", "<entry><title>").otherwise(""),
+        "tail": F.when(F.col("source") == "src11", "<entry><title>").otherwise("") if damaged else F.lit(""),
     }
     xml = F.when(F.col("lang").isin("en", "de"), filled(_ATOM, values)).otherwise(filled(_RSS, values))
     url = F.concat(F.lit("http://feeds.example/doc/"), F.col("doc_id").cast("string"))
     return computed(rows, "xml", xml).select(url.alias("url"), "xml")
 
 
-def feeds(spark, folder) -> DataFrame:
-    return feed_texts(spread(documents(spark, folder), "doc_id"))
+def feeds(spark, folder, damaged: bool = False) -> DataFrame:
+    return feed_texts(spread(documents(spark, folder), "doc_id"), damaged)
 
 
 def _sql_filled(template: str) -> str:
@@ -218,12 +291,12 @@ def _sql_filled(template: str) -> str:
 
 _ESCAPE = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
 FEEDS_SQL = f"""WITH f AS (
-  SELECT doc_id, lang, source, text AS plain_text, lang IN ('en', 'de') AS is_atom, source <> 'src11' AS is_good,
+  SELECT doc_id, lang, source, text AS plain_text, lang IN ('en', 'de') AS is_atom,
     {_ESCAPE.format("split_part(text, chr(10), 1)")} AS first, {_ESCAPE.format("text")} AS text FROM documents),
 e AS (
-  SELECT 1 AS part, {_sql_filled(_FIRST_ENTRY)} AS orig, * FROM f WHERE is_atom AND is_good
-  UNION ALL SELECT 2, {_sql_filled(_SECOND_ENTRY)}, * FROM f WHERE is_atom AND is_good
-  UNION ALL SELECT 3, {_sql_filled(_ITEM)}, * FROM f WHERE NOT is_atom AND is_good),
+  SELECT 1 AS part, {_sql_filled(_FIRST_ENTRY)} AS orig, * FROM f WHERE is_atom
+  UNION ALL SELECT 2, {_sql_filled(_SECOND_ENTRY)}, * FROM f WHERE is_atom
+  UNION ALL SELECT 3, {_sql_filled(_ITEM)}, * FROM f WHERE NOT is_atom),
 entries AS (SELECT sha1(orig) AS entry_key, * FROM e)
 """
 
@@ -290,8 +363,8 @@ def tag_map(spark, folder) -> DataFrame:
     return lines.unionByName(absent.select(line(url("conv", "conv_id"), F.lit("none")).alias("value")))
 
 
-def tagged(spark, folder):
-    return FD.tagged_feeds(feeds(spark, folder), FD.tag_table(tag_map(spark, folder)))
+def tagged(spark, folder, damaged: bool = False):
+    return FD.tagged_feeds(feeds(spark, folder, damaged), FD.tag_table(tag_map(spark, folder)))
 
 
 @query(
@@ -315,13 +388,63 @@ FROM documents WHERE lang = 'en' AND source = 'src11'
 UNION ALL SELECT DISTINCT 'http://feeds.example/conv/' || CAST(conv_id AS VARCHAR), 'no feed' FROM conversations""",
 )
 def rejected_feeds(spark, folder):
-    return FD.rejected_feeds(tagged(spark, folder))
+    return FD.rejected_feeds(tagged(spark, folder, damaged=True))
+
+
+# An entry whose text ends for a plain search inside a CDATA section: well-formed
+# in its feed, not alone.
+_ODD_ENTRY = "<entry><title>Odd {doc_id}</title><summary><![CDATA[an </entry> inside {source}]]></summary></entry>"
+_ODD = (
+    '<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>Feed</title>\n' + _SECOND_ENTRY + "{odd}</feed>"
+)
+
+
+def odd_feeds(spark, folder) -> DataFrame:
+    """A feed per document; that of a German one has an entry that cannot be read alone."""
+    rows = documents(spark, folder)
+    columns = {"doc_id": F.col("doc_id"), "source": F.col("source")}
+    odd = F.when(F.col("lang") == "de", filled(_ODD_ENTRY, columns)).otherwise("")
+    url = F.concat(F.lit("http://feeds.example/odd/"), F.col("doc_id").cast("string"))
+    return rows.select(url.alias("url"), filled(_ODD, columns | {"odd": odd}).alias("xml"))
+
+
+@query(
+    "I5_rejected_entries",
+    """SELECT 'http://feeds.example/odd/' || CAST(doc_id AS VARCHAR) AS url,
+  '<entry><title>Odd ' || CAST(doc_id AS VARCHAR) || '</title><summary><![CDATA[an </entry>' AS orig FROM documents WHERE lang = 'de'""",
+)
+def rejected_entries(spark, folder):
+    return FD.rejected_entries(odd_feeds(spark, folder)).select("url", "orig")
+
+
+@query(
+    "I5_entries_add_up",
+    "SELECT count(*) + count(*) FILTER (lang = 'de') AS n_entries, count(*) AS n_ingested, count(*) FILTER (lang = 'de') AS n_rejected FROM documents",
+)
+def entries_add_up(spark, folder):
+    read = FD.read_entries(odd_feeds(spark, folder))
+    return read.agg(
+        F.count("*").alias("n_entries"), F.count_if(F.col("e").isNotNull()).alias("n_ingested"), F.count_if(F.col("e").isNull()).alias("n_rejected")
+    )
 
 
-@query("I11_file_inventory")
+def listed_files(spark, folder) -> DataFrame:
+    """The documents as a listing of the files they would be."""
+    path = F.concat(F.lit("/corpus/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    return documents(spark, folder).select(path.alias("path"), F.octet_length("text").cast("bigint").alias("length"))
+
+
+@query("I11_total_size", "SELECT count(*) AS n_files, CAST(sum(strlen(text)) AS BIGINT) AS n_bytes FROM documents")
+def total_size(spark, folder):
+    return S.total_size(listed_files(spark, folder))
+
+
+@query(
+    "I11_file_inventory",
+    f"SELECT '/corpus/' || source || '/' || {KEY} || '.txt' AS path, strlen(text) AS length FROM documents",
+)
 def file_inventory(spark, folder):
-    found = S.file_inventory(spark, folder, glob="*.parquet")
-    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
+    return S.inventory_below(listed_files(spark, folder), "/corpus", recursive=True, glob="*.txt")
 
 
 # -- streams -----------------------------------------------------------------
@@ -332,22 +455,42 @@ def document_stream(spark, folder) -> DataFrame:
     return T.table_stream(spark, folder, "documents.parquet", schema)
 
 
+# A feed file holds the entries of some documents of one source.
+_FILE_HEAD = '<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>Feed</title>'
+PER_FILE = 100
+
+
+def land(rows: DataFrame, folder: str) -> None:
+    """Write feed files, one per group of documents."""
+    values = {
+        "doc_id": F.col("doc_id"), "lang": F.col("lang"), "source": F.col("source"),
+        "first": escaped(F.substring_index("text", "\n", 1)), "text": escaped(F.col("text")),
+    }
+    feed = F.concat_ws("-", "source", F.floor(F.col("doc_id") / PER_FILE).cast("string"))
+    entries = rows.select(feed.alias("feed"), F.col("doc_id").alias("at"), filled(_FIRST_ENTRY, values).alias("value"))
+    ends = entries.select("feed").distinct().select(
+        "feed", F.inline(F.array(F.struct(F.lit(-1).cast("bigint").alias("at"), F.lit(_FILE_HEAD).alias("value")), F.struct(F.lit(1 << 62).alias("at"), F.lit("</feed>").alias("value"))))
+    )
+    lines = entries.unionByName(ends).repartition("feed").sortWithinPartitions("feed", "at").select("feed", "value")
+    lines.write.mode("append").partitionBy("feed").text(folder)
+
+
 @query(
     "T1_feed_intake",
-    BODIES_SQL + """, texts AS (SELECT entry_key AS row_key, orig AS value FROM entries
-  UNION SELECT sha1(body), body FROM bodies WHERE body <> '')
-SELECT row_key, value FROM texts""",
+    f"""WITH f AS (SELECT doc_id, lang, source, text AS plain_text,
+    {_ESCAPE.format("split_part(text, chr(10), 1)")} AS first, {_ESCAPE.format("text")} AS text FROM documents),
+e AS (SELECT {_sql_filled(_FIRST_ENTRY)} AS orig, trim(plain_text, ' ' || chr(10)) AS body FROM f)
+SELECT sha1(orig) AS row_key, orig AS value FROM e UNION SELECT sha1(body), body FROM e WHERE body <> ''""",
 )
 def feed_intake(spark, folder):
-    """The feeds arrive twice; every row is stored once."""
-    store = fresh_path(spark, "intake")
-
-    def to_cells(batch: DataFrame) -> DataFrame:
-        return docs_to_cells(FD.feed_docs(feed_texts(spread(batch, "doc_id")), "feeds"), F.lit(RUN_TIME))
-
-    for again in (0, 1):
-        stream = document_stream(spark, folder)
-        T.start_intake(stream, to_cells, f"{store}/run={again}", fresh_path(spark, "progress")).awaitTermination()
+    """Feed files land in two parts, the second with every file of the first again;
+    the stream goes on where it stopped, and every row is stored once."""
+    store, progress, landed = (fresh_path(spark, x) for x in ("intake", "progress", "landed"))
+    rows = documents(spark, folder)
+    for part in (rows.where("lang = 'en'"), rows):
+        land(part, landed)
+        stream = T.landed_feeds(spark, landed, "*.txt")
+        T.start_intake(stream, lambda batch: T.feed_cells(batch, "feeds"), store, progress).awaitTermination()
     found = T.stored_cells(spark, store)
     return found.where("family = 'text' and qualifier = 'orig'").select("row_key", "value")
 

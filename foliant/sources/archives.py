@@ -1,9 +1,10 @@
 """Documents out of tar.gz and zip archives.
 
 Spark spreads the archives over the tasks; a task walks one archive at a time
-and yields its members in small batches, so what it holds at once is one
-archive and one batch. Archives above a size limit are told by their length
-before any content is read.
+and yields its members in small batches, so what it holds at once is one batch
+of archives as Spark reads them (``spark.sql.execution.arrow.maxRecordsPerBatch``)
+and one of members. Spark reads a file whole, up to 2 GiB: a longer archive is
+not read, and is one error row like any archive or member that cannot be read.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import io
 import mimetypes
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -25,7 +27,12 @@ from foliant.operators.rows import counters, with_index
 from foliant.session import written
 
 MIB = 1 << 20
+#: Bytes of the largest file that Spark reads as one value.
+LARGEST = (1 << 31) - 1024
+# What readers raise over damaged members: bad data, a method or a password that is not supported.
+DAMAGE = (tarfile.TarError, zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError, ValueError)
 BATCH_BYTES = 4 * MIB
+TOO_LONG = "archive of more than 2 GiB"
 MEMBERS = "path string, entry string, entry_bytes bigint, is_dir boolean, content binary, error string"
 ENTRIES = "path string, entry string, entry_no bigint, mime_type string, entry_bytes bigint, content binary, error string"
 
@@ -41,24 +48,23 @@ def mime_type_of(name: str) -> str | None:
     return MIME_TYPES.guess_type(name, strict=True)[0]
 
 
-def read_archives(spark: SparkSession, paths: str | Sequence[str], max_bytes: int | None = None) -> DataFrame:
-    """(path, length, content) of archive files, each archive in its own split."""
+def read_archives(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path, length, content) of archive files; content is null for one too long to read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    if max_bytes is not None:
-        files = files.where(F.col("length") <= max_bytes)
-    return files.select("path", "length", "content")
+    read = files.where(F.col("length") <= LARGEST).select("path", "length", "content")
+    return read.unionByName(files.where(F.col("length") > LARGEST).select("path", "length", F.lit(None).cast("binary").alias("content")))
 
 
-def listed_archives(spark: SparkSession, list_file: str, max_bytes: int | None = None) -> DataFrame:
+def listed_archives(spark: SparkSession, list_file: str) -> DataFrame:
     """The archives named in a file, one path per line.
 
-    Only the list is read on the driver, as a list of paths to open.
+    The names go to the driver, where Spark's own index of the files to read is.
     """
     lines = spark.read.text(list_file).select(F.trim("value").alias("p")).where("p <> ''").distinct()
     paths = [r["p"] for r in lines.toLocalIterator()]
     if not paths:
         raise ValueError(f"{list_file} names no archive")
-    return read_archives(spark, paths, max_bytes)
+    return read_archives(spark, paths)
 
 
 def _batches(rows: Iterator[dict], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
@@ -79,6 +85,9 @@ def _names(schema: str) -> list[str]:
 
 def _tar_members(path: str, content: bytes) -> Iterator[dict]:
     row = {"path": path, "entry": None, "entry_bytes": None, "is_dir": False, "content": None, "error": None}
+    if content is None:
+        yield row | {"error": TOO_LONG}
+        return
     try:
         with tarfile.open(fileobj=io.BytesIO(content), mode="r|*") as archive:
             for member in archive:
@@ -86,8 +95,8 @@ def _tar_members(path: str, content: bytes) -> Iterator[dict]:
                 if member.isfile():
                     found["content"] = archive.extractfile(member).read()
                 yield found
-    except (tarfile.TarError, EOFError, OSError) as error:
-        yield row | {"error": str(error)}
+    except DAMAGE as error:  # what follows in the stream is out of reach
+        yield row | {"error": str(error) or type(error).__name__}
 
 
 def _read_tars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,6 +110,15 @@ def tar_members(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInPandas(_read_tars, MEMBERS)
 
 
+def text_of(content: str) -> Column:
+    """Bytes as UTF-8 text; what is no UTF-8 becomes the replacement character."""
+    return F.make_valid_utf8(F.col(content).cast("string"))
+
+
+def is_repaired(content: str) -> Column:
+    return F.coalesce(~F.is_valid_utf8(F.col(content).cast("string")), F.lit(False))
+
+
 def tar_docs(
     archives: DataFrame, source: str, at: dt.datetime | None = None, key: Callable[[Column], Column] = sha1_key
 ) -> DataFrame:
@@ -118,13 +136,13 @@ def tar_docs(
         key(id).alias("row_key"),
         src_struct(name=F.lit(source), id=id, parent=parent, file=F.col("entry")).alias("src"),
         meta.cast("map<string,string>").alias("meta"),
-        text_struct(orig=F.decode("content", "UTF-8"), mimeType=F.lit("text/xml")).alias("text"),
+        text_struct(orig=text_of("content"), mimeType=F.lit("text/xml")).alias("text"),
         empty_annotations().alias("annotations"),
     )
 
 
 def tar_counts(archives: DataFrame) -> DataFrame:
-    """Members added and skipped, and archives that broke off."""
+    """Members added and skipped, texts repaired, and archives that broke off."""
     return counters(
         tar_members(archives),
         "ImportNYT",
@@ -132,6 +150,7 @@ def tar_counts(archives: DataFrame) -> DataFrame:
             "import file": F.col("content").isNotNull(),
             "skip dir": F.col("is_dir"),
             "broken archive": F.col("error").isNotNull(),
+            "repaired text": is_repaired("content"),
         },
     )
 
@@ -139,6 +158,9 @@ def tar_counts(archives: DataFrame) -> DataFrame:
 def _zip_reader(mime_types: frozenset[str], max_bytes: int | None, with_content: bool = True):
     def entries(path: str, content: bytes) -> Iterator[dict]:
         row = dict.fromkeys(_names(ENTRIES)) | {"path": path}
+        if content is None:
+            yield row | {"error": TOO_LONG}
+            return
         try:
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 for number, info in enumerate(archive.infolist()):
@@ -147,15 +169,14 @@ def _zip_reader(mime_types: frozenset[str], max_bytes: int | None, with_content:
                         continue
                     if max_bytes is not None and info.file_size > max_bytes:
                         continue
-                    yield row | {
-                        "entry": info.filename,
-                        "entry_no": number,
-                        "mime_type": mime,
-                        "entry_bytes": info.file_size,
-                        "content": archive.read(info) if with_content else None,
-                    }
-        except (zipfile.BadZipFile, EOFError, OSError) as error:
-            yield row | {"error": str(error)}
+                    found = {"entry": info.filename, "entry_no": number, "mime_type": mime, "entry_bytes": info.file_size}
+                    try:
+                        found["content"] = archive.read(info) if with_content else None
+                    except DAMAGE as error:  # the other members are still there
+                        found["error"] = str(error) or type(error).__name__
+                    yield row | found
+        except DAMAGE as error:
+            yield row | {"error": str(error) or type(error).__name__}
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -202,12 +223,16 @@ def zip_entries(
 
 def zip_text(entries: DataFrame) -> DataFrame:
     """Entry contents as text."""
-    return entries.select("row_key", "entry", "mime_type", F.decode("content", "UTF-8").alias("text"))
+    return entries.select("row_key", "entry", "mime_type", text_of("content").alias("text"))
+
+
+def zip_members(archives: DataFrame) -> DataFrame:
+    """Every entry of every zip archive, those that cannot be read with an error and no content."""
+    return archives.select("path", "content").mapInPandas(_zip_reader(frozenset(), None), ENTRIES)
 
 
 def broken_zips(archives: DataFrame) -> DataFrame:
-    """Archives that cannot be read, with the reason."""
-    read = archives.select("path", "content").mapInPandas(_zip_reader(frozenset(), 0), ENTRIES)
-    return read.where(F.col("error").isNotNull()).select("path", "error")
+    """Archives (entry null) and entries that cannot be read, with the reason."""
+    return zip_members(archives).where(F.col("error").isNotNull()).select("path", "entry", "error")
 
 

@@ -36,6 +36,8 @@ updated array<string>, published array<string>, pubDate array<string>,
 summary array<string>, description array<string>, content array<string>, `content:encoded` array<string>,
 category array<string>, author array<string>, `dc:creator` array<string>, {CORRUPT} string"""
 
+#: When a feed was seen, if its table says so; every row of it keeps that.
+SEEN = "seen_at"
 _WEEKDAY = r"^\s*[A-Za-z]+,\s*"
 RSS_DATES = ("d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm:ss xx", "d MMM yyyy HH:mm:ss")
 
@@ -86,10 +88,11 @@ def feed_status(feeds: DataFrame) -> DataFrame:
     the text must equal the number of entries in the tree.
     """
     tags = F.col("tags") if "tags" in feeds.columns else F.lit(None).cast("string")
+    seen = F.col(SEEN) if SEEN in feeds.columns else F.lit(None).cast("timestamp")
     tree = F.from_xml(protected(F.col("xml"), TEXT_ELEMENTS), FEED_DDL, XML_OPTIONS)
-    rows = feeds.select("url", "xml", tags.alias("tags"))
+    rows = feeds.select("url", "xml", tags.alias("tags"), seen.alias(SEEN))
     read = computed(rows, "read", F.struct(entry_texts(F.col("xml")).alias("entries"), tree.alias("t")))
-    cut = read.select("url", "xml", "tags", "read.entries", "read.t")
+    cut = read.select("url", "xml", "tags", SEEN, "read.entries", "read.t")
     channel = "t.channel"
     parsed = sum(
         (F.coalesce(F.size(c), F.lit(0)) for c in (F.col("t.entry"), F.col("t.item"), F.col(f"{channel}.item"))),
@@ -116,7 +119,7 @@ def feed_status(feeds: DataFrame) -> DataFrame:
     reason = F.when(F.col("xml").isNull(), "no feed").when(
         F.col(f"t.{CORRUPT}").isNotNull(), "no well-formed XML"
     ).when(parsed != F.size("entries"), "entry texts do not match the parsed entries")
-    return cut.select("url", "xml", "tags", "entries", head.alias("head"), reason.alias("reason"))
+    return cut.select("url", "xml", "tags", SEEN, "entries", head.alias("head"), reason.alias("reason"))
 
 
 def rejected_feeds(feeds: DataFrame) -> DataFrame:
@@ -124,14 +127,24 @@ def rejected_feeds(feeds: DataFrame) -> DataFrame:
     return feed_status(feeds).where(F.col("reason").isNotNull()).select("url", "reason")
 
 
-def parsed_entries(feeds: DataFrame) -> DataFrame:
-    """One row per entry of the good feeds: its text, key, feed fields and tree."""
+def read_entries(feeds: DataFrame) -> DataFrame:
+    """One row per entry of the good feeds: its text, key, feed fields and tree,
+    the tree null for an entry that does not parse alone."""
     rows = feed_status(feeds).select(
-        "url", "tags", "head", F.explode(F.when(F.col("reason").isNull(), F.col("entries"))).alias("orig")
+        "url", "tags", SEEN, "head", F.explode(F.when(F.col("reason").isNull(), F.col("entries"))).alias("orig")
     )
     keyed = rows.withColumn("entry_key", sha1_key(F.col("orig")))
-    # An entry that does not parse alone is skipped, as one that cannot be saved.
-    return with_tree(keyed, protected(F.col("orig"), TEXT_ELEMENTS), ENTRY_DDL, "e")
+    return with_tree(keyed, protected(F.col("orig"), TEXT_ELEMENTS), ENTRY_DDL, "e", keep=True)
+
+
+def parsed_entries(feeds: DataFrame) -> DataFrame:
+    """The entries that can be ingested; with ``rejected_entries`` all of the good feeds."""
+    return read_entries(feeds).where(F.col("e").isNotNull())
+
+
+def rejected_entries(feeds: DataFrame) -> DataFrame:
+    """Entries of good feeds that do not parse alone (url, entry_key, orig)."""
+    return read_entries(feeds).where(F.col("e").isNull()).select("url", "entry_key", "orig")
 
 
 def _is_rss() -> Column:
@@ -219,7 +232,7 @@ def feed_rows(parsed: DataFrame, source: str, at: dt.datetime | None = None) ->
             meta_map(description=_description()).alias("own_meta"),
         ),
     )
-    rows = read.select("tags", "entry_key", "row.meta", "row.own_meta", F.explode("row.bodies").alias("body"))
+    rows = read.select("tags", SEEN, "entry_key", "row.meta", "row.own_meta", F.explode("row.bodies").alias("body"))
     back = meta_map(entry_tag_type=F.col("body.tag"), entry_key=F.col("entry_key"))
     is_entry = F.col("body.tag").isNull()
     return rows.select(
@@ -228,22 +241,24 @@ def feed_rows(parsed: DataFrame, source: str, at: dt.datetime | None = None) ->
         F.map_concat("meta", F.when(is_entry, F.col("own_meta")).otherwise(back)).alias("meta"),
         text_struct(orig=F.col("body.value"), mimeType=F.col("body.type")).alias("text"),
         empty_annotations().alias("annotations"),
+        SEEN,
     )
 
 
 def entry_docs(parsed: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
     """One document per entry of ``parsed_entries``."""
-    return feed_rows(parsed, source, at).where(F.col("meta")["entry_key"].isNull())
+    return feed_rows(parsed, source, at).where(F.col("meta")["entry_key"].isNull()).drop(SEEN)
 
 
 def content_docs(parsed: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
     """One document per content body."""
-    return feed_rows(parsed, source, at).where(F.col("meta")["entry_key"].isNotNull())
+    return feed_rows(parsed, source, at).where(F.col("meta")["entry_key"].isNotNull()).drop(SEEN)
 
 
 def feed_docs(feeds: DataFrame, source: str, at: dt.datetime | None = None) -> DataFrame:
-    """I5 and I6 for a table of feeds."""
-    return feed_rows(parsed_entries(feeds), source, at)
+    """I5 and I6 for a table of feeds; with the time a feed was seen, if the table has it."""
+    rows = feed_rows(parsed_entries(feeds), source, at)
+    return rows if SEEN in feeds.columns else rows.drop(SEEN)
 
 
 def tag_table(json: DataFrame) -> DataFrame:
@@ -269,5 +284,5 @@ def tagged_feeds(feeds: DataFrame, tags: DataFrame) -> DataFrame:
 
 
 def ingest_total(parsed: DataFrame) -> DataFrame:
-    """Entries ingested over all feeds."""
+    """Entries ingested over all feeds; ``rejected_entries`` has the rest."""
     return parsed.agg(F.count("*").alias("n"))

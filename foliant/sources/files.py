@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,6 +105,18 @@ def file_inventory(spark: SparkSession, paths: str | Sequence[str], recursive: b
     return reader.load(paths).select("path", "length")
 
 
+def inventory_below(files: DataFrame, root: str, recursive: bool = False, glob: str | None = None) -> DataFrame:
+    """I11 for a listing (path, length): the files below a folder, by name."""
+    below = relative_path(F.col("path"), F.lit(root))
+    chosen = files.where(below != F.regexp_replace("path", SCHEME, ""))
+    if not recursive:
+        chosen = chosen.where(~F.contains(below, F.lit("/")))
+    if glob is not None:
+        name = F.regexp_extract("path", r"([^/]*)$", 1)
+        chosen = chosen.where(F.rlike(name, F.lit(fnmatch.translate(glob))))
+    return chosen.select("path", "length")
+
+
 def total_size(inventory: DataFrame) -> DataFrame:
     """I11."""
     return inventory.agg(

@@ -16,9 +16,7 @@ from pyspark.sql.types import StructType
 
 from foliant.model import CELLS_SCHEMA, docs_to_cells
 from foliant.operators.upsert import newest
-from foliant.sources.feeds import feed_docs
-
-DELAY = "7 days"
+from foliant.sources.feeds import SEEN, feed_docs
 
 
 def landed_feeds(spark: SparkSession, folder: str, glob: str = "*.xml") -> DataFrame:
@@ -37,9 +35,12 @@ def table_stream(spark: SparkSession, folder: str, glob: str, schema: StructType
 
 
 def feed_cells(feeds: DataFrame, source: str) -> DataFrame:
-    """I5/I6 cells of one batch of (url, xml, seen_at), stamped with the arrival."""
-    docs = feed_docs(feeds.withColumn("tags", F.lit(None).cast("string")), source)
-    return docs_to_cells(docs, F.lit(feeds.agg(F.max("seen_at")).first()[0]))
+    """I5/I6 cells of a batch of (url, xml, seen_at), each stamped with its feed's arrival.
+
+    A feed that lands late, or again, is stored like any other: the newest cell
+    per column is what readers see, whichever batch brought it.
+    """
+    return docs_to_cells(feed_docs(feeds, source), F.col(SEEN))
 
 
 def start_intake(
@@ -67,14 +68,6 @@ def stored_cells(spark: SparkSession, store: str) -> DataFrame:
     return newest(spark.read.schema(schema).parquet(store), tie="batch")
 
 
-def first_arrivals(rows: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Drop a row_key seen before within the delay; bounds the state kept.
-
-    rows holds seen_at. Only saves work: the store alone keeps rows unique.
-    """
-    return rows.withWatermark("seen_at", delay).dropDuplicatesWithinWatermark(["row_key"])
-
-
 def start_counts(stream: DataFrame, column: str, store: str, checkpoint: str) -> StreamingQuery:
     """Running rows per value of a column, in update mode.
 
