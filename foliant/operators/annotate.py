@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from foliant.functions.spans import annotation_set, canonical_name, match_spans, set_annotation_set
 from foliant.functions.text import is_blank
 from foliant.model import META_TYPE, SRC_FIELDS, TEXT_FIELDS
-from foliant.operators.rows import computed
+from foliant.operators.rows import computed, long_result
+from foliant.operators.scan import text_status
 
 Step = Callable[..., DataFrame]
 STEPS: dict[str, Step] = {}
@@ -48,6 +49,56 @@ def chain(docs: DataFrame, *jobs: str | tuple[str, dict]) -> DataFrame:
     return docs
 
 
+def row_bytes() -> Column:
+    """S14 for docs: bytes of all values that the row stores."""
+    fields = [F.col("src")[f] for f in SRC_FIELDS] + [F.col("text")[f] for f in TEXT_FIELDS if f != "reference"]
+    values = F.array(*fields, F.array_join(F.col("text.reference"), ";"), F.to_json("annotations"))
+    every = F.concat(values, F.coalesce(F.map_values("meta"), F.array().cast("array<string>")))
+    return F.aggregate(every, F.lit(0).cast("bigint"), lambda sum, v: sum + F.coalesce(F.octet_length(v), F.lit(0)))
+
+
+def guard(max_chars: int | None, max_bytes: int | None) -> Column:
+    """``kept``, or why a row does not enter a chain."""
+    reason = F.lit("kept")
+    if max_chars is not None:
+        reason = text_status(max_chars)
+    if max_bytes is not None:
+        reason = F.when(row_bytes() > max_bytes, f"skip -- row too large ({max_bytes})").otherwise(reason)
+    return reason
+
+
+def counted_chain(
+    docs: DataFrame, *jobs: str | tuple[str, dict], max_chars: int | None = None, max_bytes: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """U2 with its counters: the documents that pass the guards after all steps,
+    and (counter_group, counter, n) of rows started, skipped by reason, completed,
+    and per step the rows to which it added something.
+
+    The flags are columns of the same pass; the counters are one aggregate over
+    them. An error in a step fails the job, so that no row is counted as failed.
+    """
+    rows = computed(docs, "__status", guard(max_chars, max_bytes))
+    kept, names = rows.where("__status = 'kept'"), []
+    for number, job in enumerate(jobs, 1):
+        name, arguments = (job, {}) if isinstance(job, str) else job
+        names.append(f"{number} {name}")
+        if name in ADDS_BEFORE:
+            kept = kept.withColumn(f"__added{number}", ADDS_BEFORE[name](**arguments))
+        kept = run(kept, name, **arguments)
+        if name in ADDS_AFTER:
+            kept = kept.withColumn(f"__added{number}", ADDS_AFTER[name](**arguments))
+    flags = [f"__added{number}" for number in range(1, len(names) + 1)]
+    sums = kept.agg(F.count("*").alias("n"), *[F.count_if(F.col(f)).alias(f) for f in flags])
+    entries = [F.struct(F.lit("rows").alias("g"), F.lit("completed").alias("c"), F.col("n").alias("n"))]
+    entries += [F.struct(F.lit("added").alias("g"), F.lit(name).alias("c"), F.col(f).alias("n")) for name, f in zip(names, flags)]
+    done = sums.select(F.inline(F.array(*entries)))
+    status = rows.groupBy("__status").agg(F.count("*").alias("n"))
+    entered = status.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(*long_result("rows", "started", F.col("n")))
+    skipped = status.where("__status <> 'kept'").select(*long_result("rows", F.col("__status"), F.col("n")))
+    counts = entered.unionByName(skipped).unionByName(done.select(*long_result(F.col("g"), F.col("c"), F.col("n"))))
+    return kept.drop("__status", *flags), counts
+
+
 def field_value(field: str) -> Column:
     """the value of ``field`` or ``family:field``; no family means meta."""
     family, colon, name = field.partition(":")
@@ -159,3 +210,15 @@ def drop_annotations(docs: DataFrame, set: str) -> DataFrame:
     from foliant.operators.clean import without_annotation_set
 
     return without_annotation_set(docs, set)
+
+
+# Whether a step adds something to a row: seen before it runs, or after.
+ADDS_BEFORE: dict[str, Callable[..., Column]] = {
+    "title": lambda: ~is_blank(F.substring_index(F.col("text.raw"), "\n", 1)),
+    "copy": lambda source, target: ~is_blank(field_value(source)),
+    "count": lambda set, field: F.lit(True),
+    "drop": lambda set: F.map_contains_key(F.col("annotations"), F.lit(set)),
+}
+ADDS_AFTER: dict[str, Callable[..., Column]] = {
+    "matches": lambda set, pattern, type=None: F.size(annotation_set(set)) > 0,
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.text import ISO_DATE, is_blank
@@ -32,17 +32,27 @@ def upsert(table: DataFrame, puts: DataFrame) -> DataFrame:
     The newest cell wins; a put wins a tie and also if it, or the cell held,
     has no time. Blank values are never stored.
     The puts are reduced first and written, so that a small batch is broadcast
-    and the table is not shuffled. The second look at the table reads keys and
-    times only.
+    and the table is not shuffled. A larger one is joined by row_key alone, the
+    rest of the column key being a condition on top: a table bucketed by row_key
+    stays where it is, and only the puts move. The second look at the table reads
+    keys and times only.
     """
     put = written(newest(puts.where(~is_blank(F.col("value")))), "puts")
-    key = list(COLUMN_KEY)
-    times = put.select(*key, F.col("ts").alias("put_ts"), F.lit(True).alias("is_put"))
-    kept = table.join(times, key, "left").where(F.col("is_put").isNull() | (F.col("put_ts") < F.col("ts")))
-    newer = table.select(*key, F.col("ts").alias("held_ts")).join(times, key).where("held_ts > put_ts")
-    won = put.join(newer.select(*key), key, "left_anti")
+    times = put.select(*[F.col(c).alias(f"put_{c}") for c in COLUMN_KEY], F.col("ts").alias("put_ts"))
+    same_row = F.col("row_key") == F.col("put_row_key")
+    same = same_row & _alike("family") & _alike("qualifier")
+    stays = F.col("put_row_key").isNull() | (F.col("put_ts") < F.col("ts"))
     columns = CELLS_SCHEMA.names
-    return kept.select(*columns).unionByName(won.select(*columns))
+    kept = table.join(times, same, "left").where(stays).select(*columns)
+    held = table.select(*[F.col(c).alias(f"put_{c}") for c in COLUMN_KEY], F.col("ts").alias("held_ts"))
+    won = put.join(held, same & (F.col("held_ts") > F.col("ts")), "left_anti")
+    return kept.unionByName(won.select(*columns))
+
+
+def _alike(name: str) -> Column:
+    """Equal, or both null, in a form that does not become a join key."""
+    a, b = F.col(name), F.col(f"put_{name}")
+    return ((a <= b) & (a >= b)) | (a.isNull() & b.isNull())
 
 
 def append_references(docs: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:

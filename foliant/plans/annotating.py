@@ -11,10 +11,10 @@ from foliant.functions import text as X
 from foliant.model import CELLS_SCHEMA, cells_to_docs, docs_to_cells
 from foliant.operators import annotate as U
 from foliant.operators import upsert as I
-from foliant.operators.rows import spread
+from foliant.operators.rows import computed
 from foliant.plans.registry import query
 from foliant.plans.scans import CELL, CELL_COLUMNS
-from foliant.plans.tables import CELLS_SQL, NAME, WORD, cells, docs, documents, table
+from foliant.plans.tables import CELLS_SQL, NAME, WORD, cells, docs, documents, span_list, span_list_sql, spans_sql, spread, table
 
 C = f"WITH {CELLS_SQL}\n"
 KEY = "CAST(doc_id AS VARCHAR) AS row_key"
@@ -32,15 +32,7 @@ def transform(spark, folder):
   CAST(len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+')) AS VARCHAR) AS n_tokens, 'names' AS sets FROM documents""",
 )
 def chain(spark, folder):
-    out = U.chain(
-        spread(docs(spark, folder), "row_key"),
-        "title",
-        ("copy", {"source": "text:title", "target": "headline"}),
-        ("matches", {"set": "words", "pattern": WORD}),
-        ("count", {"set": "words", "field": "n_tokens"}),
-        ("matches", {"set": "names", "pattern": NAME}),
-        ("drop", {"set": "words"}),
-    )
+    out = U.chain(spread(docs(spark, folder), "row_key"), *_CHAIN)
     return out.select(
         "row_key",
         F.col("text.title").alias("title"),
@@ -50,6 +42,42 @@ def chain(spark, folder):
     )
 
 
+_LIMIT = 4000
+_CHAIN = (
+    "title",
+    ("copy", {"source": "text:title", "target": "headline"}),
+    ("matches", {"set": "words", "pattern": WORD}),
+    ("count", {"set": "words", "field": "n_tokens"}),
+    ("matches", {"set": "names", "pattern": NAME}),
+    ("drop", {"set": "words"}),
+)
+
+
+@query(
+    "U2_chain_counters",
+    rf"""WITH k AS (SELECT * FROM documents WHERE length(text) BETWEEN 1 AND {_LIMIT}),
+t AS (SELECT count(*) FILTER (trim(split_part(text, chr(10), 1)) <> '') AS a, count(*) FILTER (regexp_matches(text, '[\p{{L}}\p{{N}}]')) AS b,
+  count(*) AS c, count(*) FILTER (regexp_matches(text, '{NAME}')) AS d FROM k)
+SELECT 'rows' AS counter_group, 'started' AS counter, count(*) AS n FROM documents
+UNION ALL SELECT 'rows', 'skip -- no raw text', count(*) FROM documents WHERE length(text) = 0 HAVING count(*) > 0
+UNION ALL SELECT 'rows', 'skip -- raw text too long ({_LIMIT})', count(*) FROM documents WHERE length(text) > {_LIMIT} HAVING count(*) > 0
+UNION ALL SELECT 'rows', 'completed', c FROM t
+UNION ALL SELECT 'added', unnest(['1 title', '2 copy', '3 matches', '4 count', '5 matches', '6 drop']), unnest([a, a, b, c, d, c]) FROM t""",
+)
+def chain_counters(spark, folder):
+    """Counters and size guards of the same chain."""
+    return U.counted_chain(spread(docs(spark, folder), "row_key"), *_CHAIN, max_chars=_LIMIT, max_bytes=1 << 20)[1]
+
+
+@query(
+    "U2_guarded_chain",
+    f"""SELECT {KEY}, split_part(text, chr(10), 1) AS title FROM documents WHERE length(text) BETWEEN 1 AND {_LIMIT}""",
+)
+def guarded_chain(spark, folder):
+    found = U.counted_chain(spread(docs(spark, folder), "row_key"), *_CHAIN, max_chars=_LIMIT, max_bytes=1 << 20)[0]
+    return found.select("row_key", F.col("text.title").alias("title"))
+
+
 @query("U3_run_by_name", f"SELECT {KEY}, split_part(text, chr(10), 1) AS title FROM documents")
 def run_by_name(spark, folder):
     return U.run(docs(spark, folder), "title", families=["text"]).select("row_key", F.col("text.title").alias("title"))
@@ -73,7 +101,7 @@ def added_count(spark, folder):
 
 @query(
     "U5_add_annotation_set",
-    rf"""SELECT {KEY}, 'ne,token' AS sets, CAST(len(regexp_extract_all(text, '\p{{N}}+')) AS BIGINT) AS n FROM documents""",
+    rf"SELECT row_key, 'ne,token' AS sets, spans FROM {span_list_sql(r'\p{N}+')}",
 )
 def add_annotation_set(spark, folder):
     """A set of the same name is replaced."""
@@ -81,34 +109,32 @@ def add_annotation_set(spark, folder):
     return out.select(
         "row_key",
         F.array_join(U.annotation_set_names(), ",").alias("sets"),
-        F.size(P.annotation_set("token")).cast("bigint").alias("n"),
+        span_list(P.annotation_set("token")).alias("spans"),
     )
 
 
 @query(
     "U6_canonical_names",
-    rf"""SELECT {KEY}, 'named_entity,token' AS sets,
-  CAST(len(regexp_extract_all(text, '\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)*')) + len(regexp_extract_all(text, ',')) AS BIGINT) AS n
-FROM documents""",
+    f"SELECT row_key, 'named_entity,token' AS sets, spans FROM {span_list_sql(NAME, ',')}",
 )
 def canonical_names(spark, folder):
     out = U.canonical_sets(docs(spark, folder, "token", "ne", "dep"), {"ne": "named_entity", "dep": "named_entity"})
     return out.select(
         "row_key",
         F.array_join(U.annotation_set_names(), ",").alias("sets"),
-        F.size(P.annotation_set("named_entity")).cast("bigint").alias("n"),
+        span_list(P.annotation_set("named_entity")).alias("spans"),
     )
 
 
 @query(
     "U7_read_annotation_set",
-    rf"SELECT {KEY}, CAST(len(regexp_extract_all(text, ',')) AS BIGINT) AS n_dep, CAST(0 AS BIGINT) AS n_pos FROM documents",
+    f"SELECT row_key, spans AS dep, '' AS pos FROM {span_list_sql(',')}",
 )
 def read_annotation_set(spark, folder):
     return docs(spark, folder, "dep").select(
         "row_key",
-        F.size(P.annotation_set("dep")).cast("bigint").alias("n_dep"),
-        F.size(P.annotation_set("pos")).cast("bigint").alias("n_pos"),
+        span_list(P.annotation_set("dep")).alias("dep"),
+        span_list(P.annotation_set("pos")).alias("pos"),
     )
 
 
@@ -119,11 +145,11 @@ def row_keys(spark, folder):
 
 @query(
     "U9_step_arguments",
-    rf"SELECT {KEY}, CAST(len(regexp_extract_all(text, '\p{{Lu}}')) AS BIGINT) AS n FROM documents",
+    rf"SELECT row_key, spans FROM {span_list_sql(r'\p{Lu}')}",
 )
 def step_arguments(spark, folder):
     out = U.chain(spread(docs(spark, folder), "row_key"), ("matches", {"set": "capital", "pattern": r"\p{Lu}", "type": "letter"}))
-    return out.select("row_key", F.size(P.annotation_set("capital")).cast("bigint").alias("n"))
+    return out.select("row_key", span_list(P.annotation_set("capital")).alias("spans"))
 
 
 @query(
@@ -412,15 +438,13 @@ def length_and_equality(spark, folder):
 
 @query(
     "F_span_json",
-    r"""SELECT CAST(doc_id AS VARCHAR) AS row_key, '{"value":"' || regexp_extract(text, '[\p{L}\p{N}]+') || '","start":'
-  || CAST(length(regexp_split_to_array(text, '[\p{L}\p{N}]+')[1]) AS VARCHAR) || ',"end":'
-  || CAST(length(regexp_split_to_array(text, '[\p{L}\p{N}]+')[1]) + length(regexp_extract(text, '[\p{L}\p{N}]+')) AS VARCHAR) || '}' AS json
-FROM documents WHERE regexp_matches(text, '[\p{L}\p{N}]')""",
+    f"""SELECT row_key, '{{"value":"' || w || '","start":' || CAST(s AS VARCHAR) || ',"end":' || CAST(e AS VARCHAR) || '}}' AS json
+FROM {spans_sql(WORD)}""",
 )
 def span_json(spark, folder):
+    """Every token of every text."""
     tokens = docs(spark, folder, "token")
-    first = F.get(P.annotation_set("token"), F.lit(0))
-    value = F.get(P.span_texts(F.col("text.raw"), F.slice(P.annotation_set("token"), 1, 1)), F.lit(0))
-    return tokens.where(F.size(P.annotation_set("token")) > 0).select(
-        "row_key", P.span_json(value, first["start"], first["end"]).alias("json")
-    )
+    read = computed(tokens, "covered", P.span_texts(F.col("text.raw"), P.annotation_set("token")))
+    pair = F.zip_with(P.annotation_set("token"), "covered", lambda s, t: F.struct(s.alias("s"), t.alias("t")))
+    rows = read.select("row_key", F.explode(pair).alias("p"))
+    return rows.select("row_key", P.span_json(F.col("p.t"), F.col("p.s.start"), F.col("p.s.end")).alias("json"))
