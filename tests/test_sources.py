@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from foliant.functions.spans import match_spans, set_annotation_set
 from foliant.model import docs_to_cells, empty_annotations, meta_map, src_struct, text_struct
 from foliant.operators import annotate, newsxml, profile, terms
+from foliant.operators.upsert import newest
 from foliant.sources import archives, feeds, files, store
 from foliant.streaming import intake
 from tests.conftest import counts, table
@@ -125,10 +126,10 @@ def test_tagged_feeds(spark, feed_table):
 # -- files and archives -----------------------------------------------------------
 
 TREE = {
-    "one.txt": "This is text file one.",
-    "two.xml": "<two>This is xml file two.</two>",
-    "subdirectory/three.txt": "Text file three has this for contents.",
-    "subdirectory/four.xml": "<four>Whatever ok</four>",
+    "harbour.txt": "Boats come in at noon.",
+    "notes.xml": "<note>low tide</note>",
+    "north pier/lamp.txt": "The lamp is lit before dusk, also in summer.",
+    "north pier/list.xml": "<ships/>",
 }
 
 
@@ -142,11 +143,11 @@ def tree(tmp_path):
 
 
 def test_file_tree(spark, tree):
-    assert tuple(files.total_size(files.file_inventory(spark, str(tree))).first()) == (2, 54)
+    assert tuple(files.total_size(files.file_inventory(spark, str(tree))).first()) == (2, sum(len(TREE[n]) for n in ("harbour.txt", "notes.xml")))
     assert files.file_inventory(spark, str(tree), glob="*.txt").count() == 1
     assert files.file_inventory(spark, str(tree), recursive=True).count() == 4
     docs = files.read_text_tree(spark, str(tree), "s")
-    assert table(docs, "row_key", "text.orig") == [(n, TREE[n]) for n in ("one.txt", "subdirectory/three.txt")]
+    assert table(docs, "row_key", "text.orig") == [(n, TREE[n]) for n in ("harbour.txt", "north pier/lamp.txt")]
     (tree / "c++ 100%.txt").write_text("x")
     again = files.read_text_tree(spark, f"file://{tree}/", "s")
     assert ("c++ 100%.txt",) in table(again, "row_key")
@@ -154,10 +155,10 @@ def test_file_tree(spark, tree):
 
 def test_zip_entries(spark, tmp_path):
     members = {
-        "file-one.txt": "This is the text contained within file one.",
-        "file-two.txt": "Text in file two, ok????",
-        "file-three.txt": ("abcdefghijklmnopqrstuvwxyz" * 119)[:3082],
-        "file-four.textorama": "Attention file four, attention file four",
+        "gulls.txt": "Gulls over the quay",
+        "ropes.txt": "Ropes, nets and a barrel",
+        "tides.txt": "high low " * 300,
+        "sails.canvas": "white canvas",
     }
     with zipfile.ZipFile(tmp_path / "all.zip", "w") as out:
         for name, content in members.items():
@@ -168,8 +169,12 @@ def test_zip_entries(spark, tmp_path):
     assert table(plain, "entry", "text") == sorted((n, t) for n, t in members.items() if n.endswith(".txt"))
     assert archives.zip_entries(zips).count() == 4
     assert archives.zip_entries(zips, max_mib=100 / (1 << 20)).count() == 3
+    assert archives.read_archives(spark, str(tmp_path)).columns == ["path", "length", "content"]
+    long = zips.withColumn("content", F.lit(None).cast("binary"))
+    assert {r["error"] for r in archives.broken_zips(long).collect()} == {archives.TOO_LONG}
+    assert {r["error"] for r in archives.tar_members(long).collect()} == {archives.TOO_LONG}
     capped = archives.zip_entries(zips, max_entries=2, entries_per_task=1)
-    assert sorted(r["entry"] for r in capped.collect()) == ["file-one.txt", "file-two.txt"]
+    assert sorted(r["entry"] for r in capped.collect()) == ["gulls.txt", "ropes.txt"]
     assert table(archives.broken_zips(zips), F.regexp_extract("path", "[^/]+$", 0)) == [("bad.zip",)]
 
 
@@ -190,7 +195,7 @@ def test_tar_archives(spark, tmp_path):
     docs = archives.tar_docs(tars, "NYT", AT)
     assert table(docs, "src.id", "text.orig") == [("198701/x.xml", "<a>é</a>"), ("198701/y.xml", "<b/>")]
     assert counts(archives.tar_counts(tars)) == {
-        ("ImportNYT", "import file"): 2, ("ImportNYT", "skip dir"): 1, ("ImportNYT", "broken archive"): 1,
+        ("ImportNYT", "import file"): 2, ("ImportNYT", "skip dir"): 1, ("ImportNYT", "broken archive"): 1, ("ImportNYT", "repaired text"): 0,
     }
 
 
@@ -238,6 +243,8 @@ def test_dictionary_life(spark, annotated, tmp_path):
     assert terms.next_id(grown) == 101
     with pytest.raises(PySparkException, match="id already exists: 100"):
         terms.insert_fixed(grown, fixed.withColumn("term", F.lit("other"))).collect()
+    moved = terms.insert_fixed(grown, spark.createDataFrame([(200, "York"), (300, "york")], "term_id int, term string"))
+    assert table(moved.where("term = 'york'"), "term_id") == [(300,)] and moved.count() == grown.count()
     words = spark.createDataFrame([("BIG one",), ("nothing",), ("york",)], "text string")
     assert table(terms.lookup_ids(words, grown)) == [("BIG one", 100), ("nothing", -1), ("york", 2)]
     other = spark.createDataFrame([(0, "times", "times"), (1, "abc", "abc")], "term_id long, term string, surface string")
@@ -316,28 +323,47 @@ def test_feed_stream_is_idempotent(spark, tmp_path):
     assert again.count() == again.select("row_key", "family", "qualifier").distinct().count()
 
 
-def test_first_arrivals_and_counts(spark, docs_of, tmp_path):
+def test_late_and_repeated_feeds(spark, tmp_path):
+    """A feed seen before the newest is stored as well, each row at its own time."""
+    early, late = dt.datetime(2024, 1, 1, 12), dt.datetime(2024, 3, 1, 12)
+    other = ATOM.replace("<title>E</title>", "<title>E later</title>")
+    batch = spark.createDataFrame([("a", RSS, late), ("b", ATOM, early), ("c", ATOM, late), ("d", other, early)], "url string, xml string, seen_at timestamp")
+    cells = intake.feed_cells(batch, "s")
+    times = {(r["row_key"], r["ts"]) for r in cells.collect()}
+    assert {t for _, t in times} == {early, late}
+    stored = newest(cells.withColumn("batch", F.lit(0)), tie="batch")
+    titles = set(table(stored.where("qualifier = 'title'"), "value", "ts"))
+    assert titles == {("E", late), ("E later", early), ("S", late), ("T", late)}
+
+
+def test_counts(spark, tmp_path):
     path = str(tmp_path / "in")
     rows = [("1", "a"), ("1", "a"), ("2", "b")]
-    frame = spark.createDataFrame(rows, "row_key string, source string").withColumn("seen_at", F.lit(AT))
+    frame = spark.createDataFrame(rows, "row_key string, source string")
     frame.coalesce(1).write.parquet(path)
     stream = intake.table_stream(spark, path, "*.parquet", frame.schema)
-    seen = []
-    query = (
-        intake.first_arrivals(stream)
-        .writeStream.foreachBatch(lambda b, _: seen.extend(r["row_key"] for r in b.collect()))
-        .option("checkpointLocation", str(tmp_path / "p1"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    assert sorted(seen) == ["1", "2"]
     for _ in range(2):
         intake.start_counts(stream, "source", str(tmp_path / "c"), str(tmp_path / "p2")).awaitTermination()
         assert table(intake.latest_counts(spark, str(tmp_path / "c"))) == [("a", 2), ("b", 1)]
         frame.limit(1).coalesce(1).write.mode("append").parquet(path) if _ else None
 
 
+def test_private_characters_stay(docs_of, spark):
+    text = "a\ue001b \ue002c\ue003 \ue0044 &#xE001; &lt;"
+    row = newsxml.articles(docs_of(("1", "NYT", NEWS.replace("<p>Four</p>", f"<p>{text}</p>")), column="orig")).first()
+    assert row["Body"].endswith("\na\ue001b \ue002c\ue003 \ue0044 \ue001 <")
+    marked = spark.createDataFrame([("x\ue000y \ue000",)], "t string")
+    spans = marked.select(match_spans(F.col("t"), r"\S+", "w").alias("s")).first()["s"]
+    assert [(s["start"], s["end"]) for s in spans] == [(0, 3), (4, 5)]
+
+
+def test_spans_of_long_texts(spark):
+    frame = spark.createDataFrame([(None,), ("",), ("aa",), ("a" + "x a" * 20_000,)], "t string")
+    found = [r["s"] for r in frame.select(match_spans(F.col("t"), "a+", "w").alias("s")).collect()]
+    assert [len(s) for s in found] == [0, 0, 1, 20_001] and found[2][0]["end"] == 2
+    assert (found[3][-1]["start"], found[3][-1]["end"], found[3][-1]["id"]) == (60_000, 60_001, 20_000)
+
+
 def test_docs_become_cells(docs_of):
     cells = docs_to_cells(docs_of(("1", " ", "x")))
     assert table(cells, "family", "qualifier") == [("meta", "kept"), ("text", "raw")]
