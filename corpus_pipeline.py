@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from foliant.llm import cotrain, langid
 from foliant.llm.decontaminate import contaminated
@@ -14,14 +15,13 @@ from foliant.session import written
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
-    judged = cotrain.scored(docs, cotrain.learn(docs, good_labels(spark, sf_dir)))
-    return _without(docs, judged.where("rejected").select("doc_id"))
+    model = cotrain.learn(docs, good_labels(spark, sf_dir))
+    return docs.where(~cotrain.rejection(cotrain.chances(docs, model)))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language compression tells with some margin."""
-    judged = langid.identified(docs, langid.learn(docs))
-    return _without(docs, judged.where("rejected").select("doc_id"))
+    return docs.where(~langid.rejection(langid.prediction(F.col("text"), langid.learn(docs))))
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

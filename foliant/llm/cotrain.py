@@ -327,22 +327,28 @@ def learn(
     return model
 
 
-def _scorer(model: Model):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def chances(docs: DataFrame, model: Model, text: str = "text") -> Column:
+    """struct<text_score, meta_score, score> of the rows of docs, as ``scored`` describes it."""
+
+    @F.arrow_udf("text_score double, meta_score double, score double")
+    def score(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         find = Finder(model.words)
-        for batch in batches:
-            n = batch.num_rows
+        for texts, bins in columns:
+            n = len(texts)
             if model.text is None or not n:
-                text = meta = both = np.zeros(n)
+                words = meta = both = np.zeros(n)
             else:
-                hashes, bounds, style = _text(batch.column(1))
-                text = model.text.odds(np.concatenate([find(hashes, bounds), _binned(style, model.edges)], axis=1))
-                meta = model.meta.odds(_meta(batch.column(2).to_pylist(), len(model.columns)))
-                both = text + meta - model.prior
-            columns = [pa.array(sigmoid(v).astype(np.float64)) for v in (text, meta, both)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "text_score", "meta_score", "score"])
+                hashes, bounds, style = _text(texts)
+                words = model.text.odds(np.concatenate([find(hashes, bounds), _binned(style, model.edges)], axis=1))
+                meta = model.meta.odds(_meta(bins.to_pylist(), len(model.columns)))
+                both = words + meta - model.prior
+            yield pa.StructArray.from_arrays([pa.array(sigmoid(v).astype(np.float64)) for v in (words, meta, both)], ["text_score", "meta_score", "score"])
+
+    return score(F.col(text), meta_bins(docs, model.columns))
+
 
-    return score
+def rejection(chance: Column, p: CoTraining = CoTraining()) -> Column:
+    return chance["score"] < p.threshold
 
 
 def scored(docs: DataFrame, model: Model, p: CoTraining = CoTraining(), id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -353,6 +359,5 @@ def scored(docs: DataFrame, model: Model, p: CoTraining = CoTraining(), id: str
     nothing is rejected. Rows stay apart, so repeated rows and null ids need no
     care; columns other than id, text and the model's metadata are not read.
     """
-    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), meta_bins(docs, model.columns).alias("bins"))
-    out = rows.mapInArrow(_scorer(model), "doc_id bigint, text_score double, meta_score double, score double")
-    return out.withColumn("rejected", F.col("score") < p.threshold)
+    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), chances(docs, model, text).alias("c"))
+    return rows.select("doc_id", "c.*", rejection(F.col("c"), p).alias("rejected"))

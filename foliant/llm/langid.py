@@ -64,17 +64,21 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def _classifier(model: dict[str, bytes], level: int):
-    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = []
-        for content in model.values():
-            words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            words.precompute_compress(level=level)
-            compressors.append(zstandard.ZstdCompressor(dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False))
-        languages = list(model)
-        for batch in batches:
+def prediction(text: Column, model: dict[str, bytes], p: Compression = Compression()) -> Column:
+    """struct<lang_pred, score> of a text, as ``identified`` describes it."""
+    languages = list(model)
+
+    def compressor(content: bytes) -> zstandard.ZstdCompressor:
+        words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        words.precompute_compress(level=p.level)
+        return zstandard.ZstdCompressor(dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    @F.arrow_udf(PREDICTED)
+    def predict(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        compressors = [compressor(content) for content in model.values()]
+        for has, texts in columns:
             names, scores = [], []
-            for letters, text in zip(batch.column(0).to_pylist(), letters_only(batch.column(1))):
+            for letters, text in zip(has.to_pylist(), letters_only(texts)):
                 if not letters or not languages:
                     names.append(UNDETERMINED)
                     scores.append(0.0)
@@ -85,10 +89,14 @@ def _classifier(model: dict[str, bytes], level: int):
                 second = min(sizes[:best] + sizes[best + 1 :], default=0)
                 names.append(languages[best])
                 scores.append(1 - sizes[best] / second if second else 1.0)
-            kept = [batch.column(i) for i in range(2, batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[2:], "lang_pred", "score"])
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    return classify
+    return predict(has_letter(text), text)
+
+
+def rejection(predicted: Column, p: Compression = Compression()) -> Column:
+    """Whether a prediction is no language, or one by too narrow a margin."""
+    return (predicted["lang_pred"] == UNDETERMINED) | (predicted["score"] < p.margin)
 
 
 def identified(docs: DataFrame, model: dict[str, bytes], p: Compression = Compression(), id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -97,10 +105,9 @@ def identified(docs: DataFrame, model: dict[str, bytes], p: Compression = Compre
     score is 1 - smallest / second smallest size: 0 for a tie (the language first
     in order wins), 1 if only one language was learned. A null text, one without
     a letter, or any text if nothing was learned, is ``und`` with score 0. Only
-    und texts and ties below ``margin`` are rejected. The whole text is
-    compressed, its letters in lower case. Rows stay apart, so repeated rows and null ids
-    need no care; other columns are not read.
+    und texts and margins below ``margin`` are rejected. The whole text is
+    compressed, its letters in lower case. Rows stay apart, so repeated rows and
+    null ids need no care; other columns are not read.
     """
-    rows = docs.select(has_letter(F.col(text)).alias("__letters"), F.col(text).alias("__text"), F.col(id).cast("bigint").alias("doc_id"))
-    found = rows.mapInArrow(_classifier(model, p.level), f"doc_id bigint, {PREDICTED}")
-    return found.withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("score") < p.margin))
+    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), prediction(F.col(text), model, p).alias("p"))
+    return rows.select("doc_id", "p.lang_pred", "p.score", rejection(F.col("p"), p).alias("rejected"))

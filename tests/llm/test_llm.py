@@ -453,7 +453,7 @@ def test_urls(spark):
 
 
 def test_quality_of_labels_kept_apart(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     good = {r["doc_id"]: r["good"] for r in queries.good_labels(spark, folder).collect()}
     held = {i for i in good if i % 3 == 0}
@@ -461,7 +461,7 @@ def test_quality_of_labels_kept_apart(spark):
     rows = [r for r in cotrain.scored(docs, cotrain.learn(docs, labels)).collect() if r["doc_id"] in held]
     kept = [not r["rejected"] for r in rows if good[r["doc_id"]]]
     caught = [r["rejected"] for r in rows if not good[r["doc_id"]]]
-    assert sum(kept) / len(kept) > 0.97 and sum(caught) / len(caught) > 0.35
+    assert sum(kept) / len(kept) > 0.985 and sum(caught) / len(caught) > 0.75
     assert all(0 <= r[c] <= 1 for r in rows for c in ("text_score", "meta_score", "score"))
 
 
