@@ -157,12 +157,11 @@ def _distinct(bucket: pa.Table) -> pa.Table:
 class Part:
     """The part of the automaton that a block's texts can reach: arrays by word and by pair.
 
-    A state is a history: a word number, or -1 for the empty history. The arcs
-    of a state are looked up by the number of the pair that they read.
+    A state is a history: the word before, if the corpus continues it, else the
+    empty history of the root. An arc is found by the number of the pair that it
+    reads; a pair that was not seen has none, and the failure arc is taken.
     """
 
-    ROOT = -1
-
     def __init__(self, word_totals: np.ndarray, pair_totals: np.ndarray, tokens: Tokens, n: int, v: int, p: Automaton):
         mass = n + p.half * (v + 1)
         own = word_totals.astype(float)
@@ -186,20 +185,20 @@ class Part:
         self.is_state = history > 0
         self.start = tokens.start
 
-    def walk(self, words: list[int], pairs: list[int], root: list, fail: list, arc: list, is_state: list) -> float:
+    def walk(self, words: np.ndarray, pairs: np.ndarray) -> float:
         """The weight of one text: from the start state, along arcs and failure arcs, once from left to right."""
-        state = self.start if is_state[self.start] else self.ROOT
+        arcs, roots = self.arc[pairs].tolist(), self.root[words].tolist()
+        states, fails = self.is_state[words].tolist(), self.fail[words].tolist()
+        at_root, leave = not self.is_state[self.start], float(self.fail[self.start])
         total = 0.0
-        for word, pair in zip(words, pairs):
-            if state >= 0:
-                weight = arc[pair]
-                if weight == weight:
-                    total += weight
-                else:
-                    total += fail[state] + root[word]
+        for arc, root, is_state, fail in zip(arcs, roots, states, fails):
+            if at_root:
+                total += root
+            elif arc == arc:
+                total += arc
             else:
-                total += root[word]
-            state = word if is_state[word] else self.ROOT
+                total += leave + root
+            at_root, leave = not is_state, fail
         return total
 
 
@@ -215,12 +214,11 @@ def _scorer(n: int, v: int, p: Automaton):
             if len(of_kind[kind]) != len(grams):
                 raise RuntimeError("a block's documents have changed between counting and scoring")
         part = Part(of_kind[WORD], of_kind[PAIR], tokens, n, v, p)
-        tables = part.root.tolist(), part.fail.tolist(), part.arc.tolist(), part.is_state.tolist()
         known = np.concatenate([[0], np.cumsum(part.known[tokens.word_of])])
         base = part.root[tokens.word_of]
         scores, bases = [], []
         for i, j in zip(tokens.bounds[:-1].tolist(), tokens.bounds[1:].tolist()):
-            scores.append(part.walk(tokens.word_of[i:j].tolist(), tokens.pair_of[i:j].tolist(), *tables))
+            scores.append(part.walk(tokens.word_of[i:j], tokens.pair_of[i:j]))
             bases.append(float(base[i:j].sum()))
         ends = tokens.bounds
         columns = [
