@@ -10,8 +10,8 @@ from pyspark.sql import Window as W
 
 from foliant.session import written
 
-HOT_KEYS = 1024
-SALTS = 32
+#: Parts of a task's even share of rows that make a key hot.
+SHARE = 4
 IN_PARTITION = (1 << 33) - 1
 
 
@@ -53,37 +53,22 @@ def key_side(keys: DataFrame) -> DataFrame:
 def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on one key of which the left side may hold very many equal rows.
 
-    right has one row per key. The HOT_KEYS most frequent keys of the left are
-    spread over SALTS partitions each, with their right rows copied; every
-    other key holds less than 1/HOT_KEYS of the rows. The hot list is a fixed
-    number of 8-byte hashes, so it can be broadcast; a hash shared by two keys
-    only salts a key more than needed. The salt is a hash of the row, so that
-    a task that is run again sends every row to the same place.
+    right has one row per key. A key is hot if its rows would fill more than a
+    quarter of a task's even share; there can be at most four such keys per
+    shuffle partition, so they and their right rows are broadcast, and the rows
+    of hot keys stay where they are. The rest is joined by key. The left side is
+    written first: it is made once, and read for the counts and the two joins.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"the left side must be kept or filtered, not {how}")
-    others = [F.col(c) for c in left.columns if c != key]
-    if not others:
-        # Nothing tells equal rows apart; adaptive execution splits their partition.
-        return left.join(right, key, how)
-    digest = F.xxhash64(key)
-    hot = (
-        left.groupBy(digest.alias("__hash"))
-        .count()
-        .orderBy(F.desc("count"), "__hash")
-        .limit(HOT_KEYS)
-        .select("__hash", F.lit(True).alias("__hot"))
-    )
-
-    def marked(df: DataFrame) -> DataFrame:
-        return df.withColumn("__hash", digest).join(F.broadcast(hot), "__hash", "left").drop("__hash")
-
-    is_hot = F.coalesce("__hot", F.lit(False))
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*others), F.lit(SALTS))).otherwise(F.lit(0))
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    spread = marked(left).withColumn("__salt", salt.cast("int")).drop("__hot")
-    copied = marked(right).withColumn("__salt", F.explode(salts)).drop("__hot")
-    return spread.join(copied, [key, "__salt"], how).drop("__salt")
+    spark = left.sparkSession
+    left = written(left, "left")
+    most = SHARE * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
+    hot = F.broadcast(written(counts.where(F.col("__n") * most > left.count()).select(key), "hot"))
+    few = left.join(hot, key, "left_semi").join(F.broadcast(right.join(hot, key, "left_semi")), key, how)
+    rest = left.join(hot, key, "left_anti").join(right, key, how)
+    return few.unionByName(rest)
 
 
 def computed(df: DataFrame, name: str, value: Column) -> DataFrame:

@@ -149,7 +149,7 @@ def sorted_dictionary(dictionary: DataFrame) -> DataFrame:
 
 
 def term_ids(terms: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(row_key, term_id, n) of document terms; common terms are salted."""
+    """(row_key, term_id, n) of document terms; common terms stay where they are."""
     found = join_hot(terms.select("row_key", "term", "n"), dictionary.select("term", "term_id"), "term")
     return found.select("row_key", "term_id", "n")
 
