@@ -87,10 +87,55 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return lzprint.fingerprinted(table(spark, folder, "documents"))
 
 
+def url_sql(rules, p: urlmodel.UrlModel = urlmodel.UrlModel()) -> str:
+    """``urlmodel.judged`` as SQL, a table per order of the model."""
+    k = p.order
+
+    def case(value) -> str:
+        longest_first = sorted(rules, key=lambda r: (-len(r.rule), r.rule))
+        fits = lambda r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+        return "CASE " + " ".join(f"WHEN {fits(r)} THEN '{value(r)}'" for r in longest_first) + " END"
+
+    lower = f"translate({{}}, '{urlmodel.CAPITALS}', '{urlmodel.SMALL}')"
+    steps = [
+        f"""parts AS (SELECT page_id, coalesce(url, '') AS url, {lower.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages)""",
+        f"ruled AS (SELECT *, {case(lambda r: r.rule)} AS rule, {case(lambda r: r.verdict)} AS verdict FROM parts)",
+        f"""urls AS (SELECT url, count(*) AS n, any_value(verdict) AS verdict, CAST('0x' || substr(md5(url), 1, 6) AS BIGINT) % {p.apart} = 0 AS apart
+  FROM ruled GROUP BY url)""",
+        f"""cut AS (SELECT *, unnest(list_transform(range(1, length(url) + 2), lambda i: substr('{"^" * k}' || {lower.format("url")} || '$', i, {k + 1}))) AS g
+  FROM urls)""",
+        """grams AS (SELECT g, sum(CASE WHEN verdict = 'allow' AND NOT apart THEN n ELSE 0 END) AS a,
+  sum(CASE WHEN verdict = 'block' AND NOT apart THEN n ELSE 0 END) AS r FROM cut GROUP BY g)""",
+    ]
+    for i in range(k + 1):
+        chance = lambda n, c, low: f"(t.{n} + {p.mass}::DOUBLE * {low}) / ({c} + {p.mass}::DOUBLE)"
+        low = [f"{1.0 / p.alphabet}::DOUBLE"] * 2 if i == 0 else ["s.pa", "s.pr"]
+        join = "" if i == 0 else f"JOIN p{i - 1} s ON s.g = right(t.g, {i})"
+        steps += [
+            f"t{i} AS (SELECT right(g, {i + 1}) AS g, sum(a) AS a, sum(r) AS r FROM grams GROUP BY 1)",
+            f"c{i} AS (SELECT left(g, {i}) AS h, sum(a) AS a, sum(r) AS r FROM t{i} GROUP BY 1)",
+            f"p{i} AS (SELECT t.g, {chance('a', 'c.a', low[0])} AS pa, {chance('r', 'c.r', low[1])} AS pr FROM t{i} t JOIN c{i} c ON c.h = left(t.g, {i}) {join})",
+        ]
+    steps += [
+        f"ratios AS (SELECT g, CAST(round((ln(pa) - ln(pr)) * {urlmodel.UNIT}) AS BIGINT) AS ratio FROM p{k})",
+        """scores AS (SELECT url, any_value(n) AS n, any_value(verdict) AS verdict, CAST(floor(sum(ratio) / (length(url) + 1)) AS BIGINT) AS score
+  FROM cut JOIN ratios USING (g) WHERE verdict IS NULL OR apart GROUP BY url)""",
+        f"""steps AS (SELECT CAST(floor(score / {urlmodel.STEP}) AS BIGINT) AS step, sum(CASE verdict WHEN 'allow' THEN n ELSE 0 END) AS a,
+  sum(CASE verdict WHEN 'block' THEN n ELSE 0 END) AS r FROM scores WHERE verdict IS NOT NULL GROUP BY 1)""",
+        """errors AS (SELECT step, coalesce(sum(a) OVER below, 0) * sum(r) OVER () + (sum(r) OVER () - coalesce(sum(r) OVER below, 0)) * sum(a) OVER () AS error,
+  sum(a) OVER () AS all_a, sum(r) OVER () AS all_r FROM steps WINDOW below AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+        f"""cutoff AS (SELECT coalesce((SELECT step * {urlmodel.STEP} FROM errors WHERE all_a > 0 AND all_r > 0 ORDER BY error, step LIMIT 1), 0) AS least)""",
+    ]
+    return "WITH " + ",\n".join(steps) + """
+SELECT page_id, host, path, rule, coalesce(ruled.verdict, CASE WHEN score >= least THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled LEFT JOIN scores ON scores.url = ruled.url AND scores.verdict IS NULL CROSS JOIN cutoff"""
+
+
 RULES = (Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("block", "example.com/de/"), Rule("allow", "org/fr/"))
 
 
-@query("op6_url_language_model")
+@query("op6_url_language_model", url_sql(RULES))
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """A verdict on the address of every page."""
     return urlmodel.judged(table(spark, folder, "pages"), RULES).drop("score")

@@ -116,7 +116,8 @@ def judged(pages: DataFrame, rules: Sequence[Rule], p: UrlModel = UrlModel(), id
     host, path = url_host(F.col("url")), url_path(F.col("url"))
     rule, verdict = matching_rule(host, path, rules)
     urls = rows.groupBy("url").agg(F.count("*").alias("n")).select("url", "n", verdict.alias("ruled"))
-    urls = written(urls.withColumn("apart", F.pmod(F.crc32("url"), F.lit(p.apart)) == 0), "urls")
+    place = F.conv(F.substring(F.md5("url"), 1, 6), 16, 10).cast("bigint")
+    urls = written(urls.withColumn("apart", place % p.apart == 0), "urls")
     weight = lambda v: F.sum(F.when((F.col("ruled") == v) & ~F.col("apart"), F.col("n")).otherwise(0))
     grams = written(_with_grams(urls, p).groupBy("gram").agg(weight("allow").alias("a"), weight("block").alias("r")), "grams")
     ratios = written(_ratios(grams, p), "ratios")

@@ -407,7 +407,7 @@ def judge_by_hand(urls, rules, p=urlmodel.UrlModel()):
 
     small = lambda u: "".join(x.lower() if x.isascii() else x for x in u)
     counts = {v: (Counter(), Counter()) for v in ("allow", "block")}
-    apart = lambda u: zlib.crc32(u.encode()) % p.apart == 0
+    apart = lambda u: int(hashlib.md5(u.encode()).hexdigest()[:6], 16) % p.apart == 0
     for u in urls:
         if (r := ruled(u)) and not apart(u):
             text = "^" * p.order + small(u) + "$"
