@@ -160,7 +160,23 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return ngram.scored(table(spark, folder, "documents"), remainder("doc_id", 5) != 1)
 
 
-@query("op10_grammar_round_trip")
+@query(
+    "op10_grammar_round_trip",
+    r"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'),
+    m AS (SELECT *, regexp_extract_all(text, '(\\*)(?:### |</turn>)', 1) AS slashes, length(regexp_extract(text, '\\+\z')) AS ending FROM t)
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(length('### : </turn>') + 1 + length(role) + length(text) + len(slashes) + length(array_to_string(slashes, '')) + ending)
+            AS BIGINT) AS formatted_chars,
+        count(*) FILTER (len(slashes) > 0 OR ending > 0) AS escaped_turns
+    FROM m GROUP BY conv_id
+    """,
+)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one that imitates the template, formatted and read back."""
     hard = spark.range(2).select(
