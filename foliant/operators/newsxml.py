@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -158,8 +159,8 @@ _PLACES = {
 }
 
 
-def _nodes() -> Column:
-    """The tree as flat lists of plain values, one list per kind of node."""
+def _nodes(wanted: set[str]) -> Column:
+    """The tree as flat lists of plain values, one list per wanted kind of node."""
     body, docdata = "nitf.body.`body.head`", "nitf.head.docdata"
 
     def elements(name: str) -> str:
@@ -169,7 +170,7 @@ def _nodes() -> Column:
     def strings(sql: str, read) -> Column:
         return F.transform(F.expr(sql), read)
 
-    return F.struct(
+    lists = (
         F.transform(
             "nitf.head.meta", lambda m: F.struct(m["_name"].alias("name"), plain(m["_content"]).alias("content"))
         ).alias("meta"),
@@ -203,6 +204,9 @@ def _nodes() -> Column:
             ),
         ).alias("block"),
     )
+    # A list's name is its alias.
+    names = ("meta", "pubdata", "ids", "series", "texts", "hl1", "dateline", "abstract", "block")
+    return F.struct(*[column for name, column in zip(names, lists) if name in wanted])
 
 
 def head_fields() -> dict[str, str]:
@@ -277,14 +281,19 @@ def block_fields() -> dict[str, str]:
     return {field: f"nullif({_last('n.block', f"x.class = '{name}'")}.text, '')" for name, field in BLOCKS.items()}
 
 
-def articles(docs: DataFrame) -> DataFrame:
-    """One typed column per article field, for well-formed rows.
+def articles(docs: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """One typed column per article field, all or the named ones, for
+    well-formed rows.
 
-    Tree, node lists and fields are each computed once per row.
+    Tree, node lists and fields are each computed once per row, and only the
+    lists that the wanted fields are taken from.
     """
     fields = head_fields() | publication_fields() | identity_fields()
     fields |= content_fields() | body_fields() | block_fields()
-    nodes = computed(parsed(docs), "n", _nodes())
+    if names is not None:
+        fields = {f: fields[f] for f in names}
+    lists = {name for sql in fields.values() for name in re.findall(r"\bn\.(\w+)", sql)}
+    nodes = computed(parsed(docs), "n", _nodes(lists))
     article = computed(nodes, "article", F.struct(*[F.expr(sql).alias(f) for f, sql in fields.items()]))
     return article.select(*docs.columns, *[F.col(f"article.{f}") for f in fields])
 

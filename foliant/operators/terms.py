@@ -54,6 +54,12 @@ def document_terms(docs: DataFrame, set: str = "token", preserve_case: bool = Fa
     return docs.select("row_key", F.inline(counted_terms(token_texts(docs, set), preserve_case)))
 
 
+def term_counts(docs: DataFrame, set: str = "token") -> DataFrame:
+    """(term, n) over all documents: a hash aggregate of the tokens, combined before the shuffle."""
+    words = docs.select(F.explode(token_texts(docs, set)).alias("word"))
+    return words.select(F.lower(clean_text(F.col("word"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+
+
 def _numbered(terms: DataFrame, first_id: Column | int) -> DataFrame:
     """Ids in order of first occurrence (row_key, first)."""
     ordered = with_index(terms, ["row_key", "first", "term"], "idx")

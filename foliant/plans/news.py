@@ -145,7 +145,7 @@ def _quoted(names) -> str:
 
 
 def _read(spark, folder, names) -> DataFrame:
-    return N.articles(news_docs(spark, folder)).select("row_key", *names)
+    return N.articles(news_docs(spark, folder), names).select("row_key", *names)
 
 
 HEAD_NAMES = (*N.TEXT_META.values(), *N.INT_META.values(), "AlternateURL")

@@ -246,5 +246,4 @@ WHERE lower(tok) NOT IN (SELECT word FROM stops) AND regexp_full_match(lower(tok
 def stop_word_filter(spark, folder):
     words = F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
     stops = V.stop_list(table(spark, folder, "benchmark").select(words.alias("value")))
-    counts = corpus_terms(spark, folder).groupBy("term").agg(F.sum("n").alias("n"))
-    return V.without_stop_words(counts, stops)
+    return V.without_stop_words(V.term_counts(docs(spark, folder, "token")), stops)
