@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.words import NOT_ALPHANUMERIC, signed, text_buffer, word_hashes
+from foliant.llm.words import NOT_ALPHANUMERIC, portions, signed, text_buffer, word_hashes
 from foliant.session import written
 
 FILTER_BITS = 22
@@ -61,7 +61,7 @@ class View:
     shift: float = 0.0
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.weights[:-1] + self.weights[-1]
+        return x.astype(np.float32) @ self.weights[:-1].astype(np.float32) + self.weights[-1]
 
     def odds(self, x: np.ndarray) -> np.ndarray:
         return self.scale * self.raw(x) + self.shift
@@ -86,8 +86,10 @@ def _text(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words, bounds = word_hashes(*text_buffer(pc.utf8_lower(pc.fill_null(column, ""))), blanks=NOT_ALPHANUMERIC)
 
     def per_text(of_byte: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(of_byte, dtype=np.int64)])
-        return sums[offsets[1:]] - sums[offsets[:-1]]
+        out, some = np.zeros(len(offsets) - 1, np.int64), offsets[1:] > offsets[:-1]
+        if some.any():
+            out[some] = np.add.reduceat(of_byte, offsets[:-1][some], dtype=np.int64)
+        return out
 
     def count(kind: np.ndarray) -> np.ndarray:
         return per_text(kind[data])
@@ -131,21 +133,21 @@ class Finder:
         self.present[words >> np.uint64(64 - FILTER_BITS)] = True
 
     def __call__(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        found = np.zeros((len(bounds) - 1, len(self.sorted)), np.float32)
+        found = np.zeros((len(bounds) - 1, len(self.sorted)), bool)
         near = np.flatnonzero(self.present[words >> np.uint64(64 - FILTER_BITS)])
         if len(near):
             spot = np.minimum(np.searchsorted(self.sorted, words[near]), len(self.sorted) - 1)
             hit = self.sorted[spot] == words[near]
-            found[np.searchsorted(bounds, near[hit], "right") - 1, self.order[spot[hit]]] = 1
+            found[np.searchsorted(bounds, near[hit], "right") - 1, self.order[spot[hit]]] = True
         return found
 
 
 def _binned(style: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """A column per bin of every style figure."""
     bins = edges.shape[1] + 1
-    out = np.zeros((len(style), style.shape[1], bins), np.float32)
+    out = np.zeros((len(style), style.shape[1], bins), bool)
     for j in range(style.shape[1]):
-        out[np.arange(len(style)), j, np.searchsorted(edges[j], style[:, j], "right")] = 1
+        out[np.arange(len(style)), j, np.searchsorted(edges[j], style[:, j], "right")] = True
     return out.reshape(len(style), -1)
 
 
@@ -166,9 +168,9 @@ def meta_bins(docs: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def _meta(bins: list[list[int]], columns: int) -> np.ndarray:
-    out = np.zeros((len(bins), columns * META_BINS), np.float32)
+    out = np.zeros((len(bins), columns * META_BINS), bool)
     for i, row in enumerate(bins):
-        out[i, row] = 1
+        out[i, row] = True
     return out
 
 
@@ -181,14 +183,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float, start: View | None = None) -> View:
     """Logistic regression by Newton steps; the last weight is the constant."""
-    x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
-    used = np.flatnonzero(x.any(axis=0))
-    weights = np.zeros(x.shape[1]) if start is None else start.weights.copy()
-    x, w = x[:, used], weights[used]
+    used = np.append(np.flatnonzero(x.any(axis=0)), x.shape[1])
+    weights = np.zeros(x.shape[1] + 1) if start is None else start.weights.copy()
+    columns = np.ones((len(x), len(used)), np.float32)
+    columns[:, :-1] = x[:, used[:-1]]
+    x, w = columns, weights[used]
     for _ in range(12):
-        chance = sigmoid(x @ w)
+        chance = sigmoid(x @ w.astype(np.float32))
         curve = (x * np.maximum(chance * (1 - chance), 1e-4).astype(np.float32)[:, None]).T @ x
-        step = np.linalg.solve(curve + ridge * np.eye(len(used)), x.T @ (chance - y) + ridge * w)
+        step = np.linalg.solve(curve + ridge * np.eye(len(used)), x.T @ (chance - y).astype(np.float32) + ridge * w)
         w = w - step
         if np.abs(step).max() < 1e-2:
             break
@@ -242,7 +245,7 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, known: np.ndarra
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many good and bad documents of a task hold each word."""
-    for batch in batches:
+    for batch in (b.slice(i, j - i) for b in batches for i, j in portions(b.column(0))):
         words, bounds, _ = _text(batch.column(0))
         good = np.array(batch.column(1).to_pylist(), bool)
         sets = [np.unique(words[bounds[i] : bounds[i + 1]]) for i in range(len(good))]
@@ -257,7 +260,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _featurizer(words: np.ndarray):
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Finder(words)
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in portions(b.column(0))):
             hashes, bounds, style = _text(batch.column(0))
             found = find(hashes, bounds)
             held = [np.flatnonzero(row).tolist() for row in found]
@@ -310,9 +313,9 @@ def learn(
     got = features.orderBy(F.xxhash64("bins", "words", "style")).toPandas()
     style = np.array(got["style"].tolist())
     model.edges = np.quantile(style, np.linspace(0, 1, p.bins + 1)[1:-1], axis=0).T
-    held = np.zeros((len(got), len(model.words)), np.float32)
+    held = np.zeros((len(got), len(model.words)), bool)
     for i, row in enumerate(got["words"]):
-        held[i, np.asarray(row, int)] = 1
+        held[i, np.asarray(row, int)] = True
     x = np.concatenate([held, _binned(style, model.edges)], axis=1), _meta([np.asarray(r, int) for r in got["bins"]], len(columns))
     labelled = got["good"].notna().to_numpy()
     apart_rows = got["apart"].to_numpy(bool)
@@ -334,15 +337,13 @@ def chances(docs: DataFrame, model: Model, text: str = "text") -> Column:
     def score(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         find = Finder(model.words)
         for texts, bins in columns:
-            n = len(texts)
-            if model.text is None or not n:
-                words = meta = both = np.zeros(n)
-            else:
-                hashes, bounds, style = _text(texts)
-                words = model.text.odds(np.concatenate([find(hashes, bounds), _binned(style, model.edges)], axis=1))
-                meta = model.meta.odds(_meta(bins.to_pylist(), len(model.columns)))
-                both = words + meta - model.prior
-            yield pa.StructArray.from_arrays([pa.array(sigmoid(v).astype(np.float64)) for v in (words, meta, both)], ["text_score", "meta_score", "score"])
+            odds = np.zeros((3, len(texts)))
+            for i, j in portions(texts) if model.text is not None else ():
+                hashes, bounds, style = _text(texts.slice(i, j - i))
+                odds[0, i:j] = model.text.odds(np.concatenate([find(hashes, bounds), _binned(style, model.edges)], axis=1))
+                odds[1, i:j] = model.meta.odds(_meta(bins.slice(i, j - i).to_pylist(), len(model.columns)))
+                odds[2, i:j] = odds[0, i:j] + odds[1, i:j] - model.prior
+            yield pa.StructArray.from_arrays([pa.array(sigmoid(v)) for v in odds], ["text_score", "meta_score", "score"])
 
     return score(F.col(text), meta_bins(docs, model.columns))
 

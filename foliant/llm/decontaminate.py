@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.words import NOT_ALPHANUMERIC, mix, runs, text_buffer, word_hashes
+from foliant.llm.words import NOT_ALPHANUMERIC, portions, runs, text_buffer, word_hashes
 
 TILED = (
     "doc_id bigint, item_id bigint, coverage double, covered_words bigint, item_words bigint, longest_tile bigint, "
@@ -177,7 +177,7 @@ def _groups(keys: np.ndarray) -> tuple[list[int], list[int]]:
 
 def _tiler(items):
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in portions(b.column(1))):
             words, bounds = _words(batch.column(1))
             rows = defaultdict(list)
             for text, item, share, tiles in items.value.matches(words, bounds):

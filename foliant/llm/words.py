@@ -64,6 +64,16 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def portions(column: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about so many bytes of text each; a longer text is one alone."""
+    offsets = text_buffer(column)[1]
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+        yield at, min(to, n)
+        at = to
+
+
 def _cuts(data: np.ndarray, offsets: np.ndarray, is_blank: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of about a chunk that end where a text ends or at a blank."""
     at, end = 0, len(data)

@@ -80,6 +80,14 @@ def test_words_over_chunks(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, parts))
 
 
+def test_portions_cover_all_rows():
+    for texts in (["aa", None, "b" * 50, "", "cc"], [], [None, ""], ["x"] * 40):
+        column = pa.array(["skipped", *texts], pa.string()).slice(1)
+        ranges = list(words.portions(column, 7))
+        assert [i for a, b in ranges for i in range(a, b)] == list(range(len(texts)))
+        assert all(b - a == 1 or sum(len(t or "") for t in texts[a:b]) <= 7 for a, b in ranges)
+
+
 # 7. Near duplicates.
 
 
