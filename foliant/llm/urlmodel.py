@@ -78,7 +78,12 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Co
 
 
 def _with_grams(urls: DataFrame, p: UrlModel) -> DataFrame:
-    """A row per character of an address and its end: the character after its context."""
+    """A row per character of an address and its end: the character after its context.
+
+    Addresses are few bytes and become many rows: they are dealt out evenly first.
+    """
+    tasks = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    urls = urls.repartition(tasks, "url")
     padded = F.concat(F.lit("^" * p.order), lower_ascii(F.col("url")), F.lit("$"))
     places = F.sequence(F.lit(1), F.length("url") + 1)
     return urls.withColumn("gram", F.explode(F.transform(places, lambda i: F.substring(padded, i, F.lit(p.order + 1)))))
