@@ -457,7 +457,7 @@ def document_stream(spark, folder) -> DataFrame:
 
 # A feed file holds the entries of some documents of one source.
 _FILE_HEAD = '<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>Feed</title>'
-PER_FILE = 100
+PER_FILE = 2000
 
 
 def land(rows: DataFrame, folder: str) -> None:
