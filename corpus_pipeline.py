@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from foliant.llm import cotrain, langid
 from foliant.llm.decontaminate import contaminated
-from foliant.llm.minhash import near_duplicates
+from foliant.llm.minhash import NearDuplicates, near_duplicates
 from foliant.llm.packing import Packing, packed
 from foliant.llm.queries import good_labels, vocabulary
 from foliant.session import written
 
+#: Near copies at 0.8 are left out of the training data; op7 links at its own threshold.
+NEAR = NearDuplicates(percent=80)
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
@@ -26,7 +29,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id."""
-    return _without(docs, near_duplicates(docs).where("not kept").select("doc_id"))
+    return _without(docs, near_duplicates(docs, NEAR).where("not kept").select("doc_id"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -650,6 +650,21 @@ def test_pipeline(spark):
     check_pieces(corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect(), texts)
 
 
+def test_pipeline_removes_near_copies_at_80_percent(spark):
+    r = random.Random(11)
+    texts, base = {}, [f"b{i}" for i in range(120)]
+    for i in range(60):
+        w = [x if i % 6 == 0 else f"g{i // 6}{x}" for x in base]
+        for _ in range(r.choice([0, 1, 2, 3, 4])):
+            w[r.randrange(120)] = f"x{r.randrange(10**6)}"
+        texts[i] = " ".join(w)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    _, groups = near_by_hand(texts, percent=80)
+    assert groups != near_by_hand(texts)[1]
+    kept = {row["doc_id"] for row in corpus_pipeline.distinct_documents(spark, docs, SF).collect()}
+    assert kept == {k for k, v in groups.items() if k == v}
+
+
 def test_pipeline_hard_cases(spark, hard, empty):
     docs = hard.select("doc_id", "text", "lang", "source", "n_chars", F.lit(1).alias("component_id"))
     for frame in (docs, empty):
