@@ -51,18 +51,21 @@ class Encoder:
     """Ids of a byte-level BPE vocabulary file of the tokenizers library.
 
     The ranks of the file are handed to tiktoken, which gives the same ids in a
-    fifth of the time; a text that it refuses goes to the tokenizers library.
-    Strings of special tokens are ordinary text.
+    fifth of the time. A text that it refuses, or that holds an added token of the
+    file, such as <|endoftext|>, goes to the tokenizers library in its default
+    setting, which gives the added token's id.
     """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            ranks = json.load(file)["model"]["vocab"]
+            content = json.load(file)
+        ranks = content["model"]["vocab"]
+        self.added = [token["content"] for token in content.get("added_tokens") or []]
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-        special = {"<|endoftext|>"}
-        merges = {bytes(byte_of[c] for c in token): i for token, i in ranks.items() if token not in special}
+        added = set(self.added)
+        merges = {bytes(byte_of[c] for c in token): i for token, i in ranks.items() if token not in added}
         self.fast = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
         self.path, self.exact = path, None
 
@@ -73,15 +76,19 @@ class Encoder:
         return _ENCODERS[path]
 
     def ids(self, text: str) -> np.ndarray:
+        if any(token in text for token in self.added):
+            return self._exact_ids(text)
         try:
             return np.array(self.fast.encode_ordinary(text), np.uint32)
         except BaseException as error:  # tiktoken's panics are no Exception
             if isinstance(error, (KeyboardInterrupt, SystemExit)):
                 raise
-            if self.exact is None:
-                self.exact = Tokenizer.from_file(self.path)
-                self.exact.encode_special_tokens = True
-            return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
+            return self._exact_ids(text)
+
+    def _exact_ids(self, text: str) -> np.ndarray:
+        if self.exact is None:
+            self.exact = Tokenizer.from_file(self.path)
+        return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 class Windows:

@@ -307,6 +307,28 @@ def test_leftovers_meet_in_groups(spark, documents):
     check_pieces(packing.packed(docs, p).collect(), {k: [v] for k, v in documents.items()})
 
 
+def test_ids_are_those_of_the_tokenizers_library():
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = ["<|endoftext|>", "<|endoftext|", "<|", " ", "\n", "a", "hello world", "é", "🙂", "12", "'s"]
+    r = random.Random(17)
+    texts = ["".join(r.choice(pieces) for _ in range(r.randrange(9))) for _ in range(500)] + ["hello <|endoftext|> world", f"{LONG}<|endoftext|>"]
+    encoder = packing.Encoder(queries.vocabulary())
+    for text in texts:
+        assert encoder.ids(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_texts_with_added_tokens(spark):
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {1: "hello <|endoftext|> world", 2: "<|endoftext|>" * 3000, 3: "hello world"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = packing.packed(docs, packing.Packing(queries.vocabulary())).collect()
+    for id, text in texts.items():
+        ids = np.array([*exact.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        own = sorted((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in rows if r["doc_id"] == id)
+        parts = [ids[i : i + 2048] for i in range(0, len(ids), 2048)]
+        assert own == [(i * 2048, len(x), zlib.crc32(x.tobytes()), len(ids)) for i, x in enumerate(parts)]
+
+
 # 4. Language.
 
 
