@@ -352,6 +352,21 @@ def test_language_hard_cases(spark, hard, empty):
     assert {r["lang_pred"] for r in langid.identified(hard, {}).collect()} == {"und"}
 
 
+def test_language_of_texts_of_megabytes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.learn(docs)
+    joined = []
+    for lang in model:
+        text = " ".join(r["text"] for r in docs.where((F.col("lang") == lang) & (F.length("text") > 2000)).limit(1500).collect())
+        joined += [(len(joined) + i, (text * (size // len(text) + 1))[:size], lang) for i, size in enumerate((100_000, 2_000_000, 4_000_000))]
+    lang = {id: l for id, _, l in joined}
+    rows = langid.identified(spark.createDataFrame(joined, "doc_id bigint, text string, lang string"), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in rows} == lang
+    assert not any(r["rejected"] for r in rows)
+    score = {r["doc_id"]: r["score"] for r in rows}
+    assert all(score[i + 2] > 0.7 * score[i] for i in range(0, len(joined), 3))
+
+
 # 5. Fingerprints.
 
 
