@@ -19,7 +19,7 @@ NEAR = NearDuplicates(percent=80)
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
     model = cotrain.learn(docs, good_labels(spark, sf_dir))
-    return docs.where(~cotrain.rejection(cotrain.chances(docs, model)))
+    return docs.where(~cotrain.rejection(cotrain.chances(docs, model), model))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

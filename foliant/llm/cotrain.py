@@ -1,6 +1,6 @@
 """Quality classifier by co-training of two views.
 
-The text view sees words and style of the text, the metadata view columns beside
+The text view sees words, beginnings of words and style of the text, the metadata view columns beside
 it. Both start from the same labelled sample; in each round each labels the
 unlabelled documents of which it is surest, for the other to learn from. At the
 end each view is calibrated on labelled documents kept apart, and the calibrated
@@ -18,11 +18,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.words import NOT_ALPHANUMERIC, portions, signed, text_buffer, word_hashes
+from foliant.llm.words import NOT_ALPHANUMERIC, mix, portions, signed, text_buffer, word_hashes
 from foliant.session import written
 
 FILTER_BITS = 22
 FIGURES = 14
+STEM = 6
+#: How often a term must occur, a column each. A short word is its stem too, so it counts twice.
+LEVELS = (1, 3, 6)
 _BYTE = np.arange(256)
 _UPPER = (_BYTE >= 65) & (_BYTE <= 90)
 _LETTER = _UPPER | ((_BYTE >= 97) & (_BYTE <= 122)) | (_BYTE >= 128)
@@ -37,8 +40,10 @@ class CoTraining:
     each with at least gain, twice the log likelihood ratio, of association with
     the labels. bins: of a style figure. rounds, share: of the exchange, share of
     the unlabelled documents that a view may label per round and class.
-    confidence: least probability of a pseudo-label. threshold: a document of
-    lower score is rejected."""
+    confidence: least probability of a pseudo-label. threshold, highest: a document
+    of lower score than the cut is rejected; the cut lies between them, as high as
+    the calibration documents allow if no more than a share of lost of the good ones
+    may lie below it."""
 
     labelled: int = 12_000
     unlabelled: int = 6_000
@@ -50,6 +55,8 @@ class CoTraining:
     confidence: float = 0.95
     ridge: float = 0.5
     threshold: float = 0.2
+    highest: float = 0.5
+    lost: float = 0.01
 
 
 @dataclass
@@ -74,16 +81,39 @@ class Model:
     text: View | None = None
     meta: View | None = None
     prior: float = 0.0
+    cut: float = CoTraining.threshold
     columns: list[str] = field(default_factory=list)
 
 
 # Features.
 
 
+def _stems(data: np.ndarray, offsets: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of the first bytes of each word; a word of no more than STEM bytes is its own stem."""
+    if not len(words):
+        return words
+    word = ~NOT_ALPHANUMERIC[data]
+    begins, ends = word.copy(), word.copy()
+    begins[1:] &= ~word[:-1]
+    ends[:-1] &= ~word[1:]
+    inside = offsets[(offsets > 0) & (offsets < len(data))]
+    begins[inside] |= word[inside]
+    ends[inside - 1] |= word[inside - 1]
+    first = np.flatnonzero(begins)
+    long = np.flatnonzero(np.flatnonzero(ends) + 1 - first > STEM)
+    key = np.zeros(len(long), np.uint64)
+    for k in range(STEM):
+        key = key << np.uint64(8) | data[first[long] + k].astype(np.uint64)
+    stems = words.copy()
+    stems[long] = mix(~key)
+    return stems
+
+
 def _text(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, their bounds by text, and style figures of texts."""
+    """Hashes of words and stems, their bounds by text, and style figures of texts."""
     data, offsets = text_buffer(column)
-    words, bounds = word_hashes(*text_buffer(pc.utf8_lower(pc.fill_null(column, ""))), blanks=NOT_ALPHANUMERIC)
+    lower = text_buffer(pc.utf8_lower(pc.fill_null(column, "")))
+    words, bounds = word_hashes(*lower, blanks=NOT_ALPHANUMERIC)
 
     def per_text(of_byte: np.ndarray) -> np.ndarray:
         out, some = np.zeros(len(offsets) - 1, np.int64), offsets[1:] > offsets[:-1]
@@ -120,11 +150,12 @@ def _text(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         *(np.log2(1 + x) for x in (sign_pairs, upper_pairs, bars, repeats)),
         np.log2(some),
     ]
-    return words, bounds, np.stack(figures, axis=1)
+    terms = np.stack([words, _stems(*lower, words)], axis=1).ravel()
+    return terms, 2 * bounds, np.stack(figures, axis=1)
 
 
 class Finder:
-    """Which of a few words each text holds."""
+    """Which of a few terms each text holds: a column per term and level of how often."""
 
     def __init__(self, words: np.ndarray):
         self.order = np.argsort(words)
@@ -133,13 +164,15 @@ class Finder:
         self.present[words >> np.uint64(64 - FILTER_BITS)] = True
 
     def __call__(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        found = np.zeros((len(bounds) - 1, len(self.sorted)), bool)
+        shape = len(bounds) - 1, len(self.sorted)
+        counts = np.zeros(shape, np.int64)
         near = np.flatnonzero(self.present[words >> np.uint64(64 - FILTER_BITS)])
         if len(near):
             spot = np.minimum(np.searchsorted(self.sorted, words[near]), len(self.sorted) - 1)
             hit = self.sorted[spot] == words[near]
-            found[np.searchsorted(bounds, near[hit], "right") - 1, self.order[spot[hit]]] = True
-        return found
+            place = (np.searchsorted(bounds, near[hit], "right") - 1) * shape[1] + self.order[spot[hit]]
+            counts = np.bincount(place, minlength=shape[0] * shape[1]).reshape(shape)
+        return np.concatenate([counts >= level for level in LEVELS], axis=1)
 
 
 def _binned(style: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -243,18 +276,21 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, known: np.ndarra
 # Jobs.
 
 
+COUNTS = [f"{kind}{level}" for level in LEVELS for kind in ("good", "bad")]
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many good and bad documents of a task hold each word."""
+    """How many good and bad documents of a task hold each term as often as each level."""
     for batch in (b.slice(i, j - i) for b in batches for i, j in portions(b.column(0))):
         words, bounds, _ = _text(batch.column(0))
         good = np.array(batch.column(1).to_pylist(), bool)
-        sets = [np.unique(words[bounds[i] : bounds[i + 1]]) for i in range(len(good))]
+        sets = [np.unique(words[bounds[i] : bounds[i + 1]], return_counts=True) for i in range(len(good))]
         if sets:
-            of_word, places = np.unique(np.concatenate(sets), return_inverse=True)
-            is_good = np.repeat(good, [len(s) for s in sets])
-            n = np.bincount(places, minlength=len(of_word))
-            g = np.bincount(places, weights=is_good, minlength=len(of_word)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(of_word)), pa.array(g), pa.array(n - g)], ["word", "good", "bad"])
+            of_word, places = np.unique(np.concatenate([s for s, _ in sets]), return_inverse=True)
+            often = np.concatenate([n for _, n in sets])
+            is_good = np.repeat(good, [len(s) for s, _ in sets])
+            counts = [np.bincount(places[(often >= level) & (is_good == kind)], minlength=len(of_word)) for level in LEVELS for kind in (True, False)]
+            yield pa.RecordBatch.from_arrays([pa.array(signed(of_word)), *map(pa.array, counts)], ["word", *COUNTS])
 
 
 def _featurizer(words: np.ndarray):
@@ -282,7 +318,7 @@ def learn(
     If it has not both classes, the model rejects nothing.
     """
     columns = [c for c in meta if c in docs.columns]
-    model = Model(np.zeros(0, np.uint64), np.zeros((FIGURES, p.bins - 1)), columns=columns)
+    model = Model(np.zeros(0, np.uint64), np.zeros((FIGURES, p.bins - 1)), cut=p.threshold, columns=columns)
     given = labels.where(F.col(id).isNotNull() & F.col("good").isNotNull()).groupBy(F.col(id).cast("bigint").alias("doc_id"))
     given = given.agg((F.avg(F.col("good").cast("int")) > 0.5).alias("good"))
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
@@ -300,11 +336,15 @@ def learn(
     g, b = taught.agg(F.count_if("good"), F.count_if(~F.col("good"))).first()
     if not g or not b:
         return model
-    counts = taught.select("text", "good").mapInArrow(_frequencies, "word bigint, good bigint, bad bigint")
-    counts = counts.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    n = F.col("good") + F.col("bad")
-    part = lambda c, share: F.when(F.col(c) > 0, F.col(c) * F.ln(F.col(c) / (n * share))).otherwise(0.0)
-    counts = counts.withColumn("gain", 2 * (part("good", g / (g + b)) + part("bad", b / (g + b)))).where(F.col("gain") >= p.gain)
+    counts = taught.select("text", "good").mapInArrow(_frequencies, ", ".join(["word bigint", *(f"{c} bigint" for c in COUNTS)]))
+    counts = counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+    def gain(level: int) -> Column:
+        good, bad = F.col(f"good{level}"), F.col(f"bad{level}")
+        part = lambda c, share: F.when(c > 0, c * F.ln(c / ((good + bad) * share))).otherwise(0.0)
+        return 2 * (part(good, g / (g + b)) + part(bad, b / (g + b)))
+
+    counts = counts.withColumn("gain", F.greatest(*[gain(level) for level in LEVELS])).where(F.col("gain") >= p.gain)
     best = counts.orderBy(F.desc("gain"), "word").limit(p.words)
     model.words = np.array(sorted(r["word"] for r in best.collect()), np.int64).view(np.uint64)
     features = sample.select("text", "good", apart.alias("apart"), "bins").mapInArrow(
@@ -313,7 +353,7 @@ def learn(
     got = features.orderBy(F.xxhash64("bins", "words", "style")).toPandas()
     style = np.array(got["style"].tolist())
     model.edges = np.quantile(style, np.linspace(0, 1, p.bins + 1)[1:-1], axis=0).T
-    held = np.zeros((len(got), len(model.words)), bool)
+    held = np.zeros((len(got), len(LEVELS) * len(model.words)), bool)
     for i, row in enumerate(got["words"]):
         held[i, np.asarray(row, int)] = True
     x = np.concatenate([held, _binned(style, model.edges)], axis=1), _meta([np.asarray(r, int) for r in got["bins"]], len(columns))
@@ -327,9 +367,19 @@ def learn(
             _calibrate(view, features[tested], y[tested])
     share = (y[labelled].sum() + 1) / (labelled.sum() + 2)
     model.prior = float(np.log(share / (1 - share)))
+    if tested.any():
+        odds = sum(view.odds(features[tested]) for view, features in zip((model.text, model.meta), x)) - model.prior
+        model.cut = _cut(sigmoid(odds[y[tested] > 0.5]), p)
     return model
 
 
+def _cut(good: np.ndarray, p: CoTraining) -> float:
+    """The cut that the scores of good documents, which no view has learned from, allow."""
+    if not len(good):
+        return p.threshold
+    return float(np.clip(np.sort(good)[int(p.lost * len(good))], p.threshold, p.highest))
+
+
 def chances(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """struct<text_score, meta_score, score> of the rows of docs, as ``scored`` describes it."""
 
@@ -348,11 +398,11 @@ def chances(docs: DataFrame, model: Model, text: str = "text") -> Column:
     return score(F.col(text), meta_bins(docs, model.columns))
 
 
-def rejection(chance: Column, p: CoTraining = CoTraining()) -> Column:
-    return chance["score"] < p.threshold
+def rejection(chance: Column, model: Model) -> Column:
+    return chance["score"] < model.cut
 
 
-def scored(docs: DataFrame, model: Model, p: CoTraining = CoTraining(), id: str = "doc_id", text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, text_score, meta_score, score, rejected: calibrated chances
     that the document is good, by text, by metadata, by both.
 
@@ -361,4 +411,4 @@ def scored(docs: DataFrame, model: Model, p: CoTraining = CoTraining(), id: str
     care; columns other than id, text and the model's metadata are not read.
     """
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), chances(docs, model, text).alias("c"))
-    return rows.select("doc_id", "c.*", rejection(F.col("c"), p).alias("rejected"))
+    return rows.select("doc_id", "c.*", rejection(F.col("c"), model).alias("rejected"))

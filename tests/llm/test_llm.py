@@ -510,6 +510,38 @@ def test_quality_of_labels_kept_apart(spark):
     assert all(0 <= r[c] <= 1 for r in rows for c in ("text_score", "meta_score", "score"))
 
 
+def test_toxic_documents_of_labels_kept_apart(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    known = {r["doc_id"]: (r["quality"], r["toxic"]) for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r["doc_id"] % 3 == 0}
+    english = {r["doc_id"]: r["lang"] == "en" for r in docs.select("doc_id", "lang").collect()}
+    model = cotrain.learn(docs, queries.good_labels(spark, folder).where("doc_id % 3 <> 0"))
+    rejected = {r["doc_id"]: r["rejected"] for r in cotrain.scored(docs, model).collect()}
+    caught = {e: [rejected[i] for i, (_, toxic) in known.items() if toxic and english[i] == e] for e in (True, False)}
+    clean = [not rejected[i] for i, label in known.items() if label == (1, 0)]
+    assert sum(caught[True]) / len(caught[True]) > 0.93 and sum(caught[False]) / len(caught[False]) > 0.75
+    assert sum(clean) / len(clean) > 0.985
+
+
+def test_the_cut_follows_good_documents():
+    p = cotrain.CoTraining(threshold=0.2, highest=0.5, lost=0.01)
+    assert cotrain._cut(np.full(200, 0.9), p) == 0.5 and cotrain._cut(np.zeros(0), p) == 0.2
+    assert cotrain._cut(np.array([0.01, 0.02, 0.3, *[0.9] * 197]), p) == pytest.approx(0.3)
+    assert cotrain._cut(np.full(200, 0.01), p) == 0.2
+
+
+def test_terms_are_words_and_their_beginnings():
+    texts = pa.array(["", "abcdefgh, abcdefxy Abcdef", None, "abcde abcdefgh", "ab"])
+    terms, bounds, _ = cotrain._text(texts)
+    assert bounds.tolist() == [0, 0, 6, 6, 10, 12]
+    word, stem = terms[0::2], terms[1::2]
+    assert stem[0] == stem[1] == stem[4] != word[0] and word[0] == word[4] != word[1]
+    assert stem[2] == word[2] and stem[3] == word[3] and stem[5] == word[5]
+    held = cotrain.Finder(np.unique(terms))(terms, bounds)
+    assert held.shape == (5, len(cotrain.LEVELS) * len(np.unique(terms)))
+    assert not held[0].any() and not held[2].any()
+
+
 def test_quality_hard_cases(spark, hard, empty):
     labels = spark.createDataFrame([(4, True), (4, False), (None, True), (5, None), (6, True), (7, False), (9, False), (99, True)], "doc_id bigint, good boolean")
     model = cotrain.learn(hard, labels)
