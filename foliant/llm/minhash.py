@@ -80,8 +80,12 @@ def _minima(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np
 
 
 def _planes(low: np.ndarray, bits: int) -> np.ndarray:
-    """The low bits of each row's minima, a plane of bits after the other, as 64-bit numbers."""
-    planes = [np.packbits(((low >> np.uint32(b)) & 1).astype(np.uint8), axis=1) for b in range(bits)]
+    """The low bits of each row's minima, mixed, a plane of bits after the other, as 64-bit numbers.
+
+    A minimum's own low bits depend on the element's low bits alone, whatever the odd factor.
+    """
+    low = mix(low.astype(np.uint64))
+    planes = [np.packbits(((low >> np.uint64(b)) & np.uint64(1)).astype(np.uint8), axis=1) for b in range(bits)]
     return np.concatenate(planes, axis=1).view(np.int64).reshape(len(low), -1)
 
 

@@ -173,6 +173,19 @@ def test_estimate_is_near_the_similarity(spark):
     assert abs(value - 296 / 496) < 0.15
 
 
+def test_small_sets_above_the_threshold_may_link():
+    p, left_out, n = minhash.NearDuplicates(), 0, 3000
+    factors, shifts = p.functions(p.wide, p.seed + 1)
+    elements = words.mix(np.arange(1, 7 * n + 1, dtype=np.uint64)).reshape(n, 7)
+    for x in elements:
+        low = np.stack([minhash._minima(s, factors, shifts) for s in (x[:6], x)])
+        planes = minhash._planes(low, p.wide_bits).view(np.uint64)
+        differing = np.bitwise_or.reduce((planes[0] ^ planes[1]).reshape(p.wide_bits, -1), axis=0)
+        equal = 1 - sum(int(v).bit_count() for v in differing) / p.wide
+        left_out += (equal - 0.25) / 0.75 < p.least_estimate(p.wide, p.wide_bits)
+    assert left_out == 0
+
+
 # 1. Decontamination.
 
 
