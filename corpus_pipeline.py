@@ -33,9 +33,13 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not hold half of a benchmark item."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.select("doc_id"))
+    """Documents that do not hold half of a benchmark item. Those without an id are told apart by their text."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    clean = _without(docs, contaminated(docs, benchmark).select("doc_id"))
+    key = F.xxhash64("text")
+    nameless = docs.where("doc_id is null").select(key.alias("doc_id"), "text")
+    listed = written(contaminated(nameless, benchmark).select("doc_id").distinct(), "rejected")
+    return clean.join(listed.select(F.col("doc_id").alias("__key")), F.col("doc_id").isNull() & (key == F.col("__key")), "left_anti").select(docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

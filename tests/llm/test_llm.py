@@ -747,6 +747,13 @@ def test_pipeline_removes_near_copies_at_80_percent(spark):
     assert kept == {k for k, v in groups.items() if k == v}
 
 
+def test_pipeline_removes_contaminated_documents_without_an_id(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("text is not null").orderBy("item_id").first()["text"]
+    docs = spark.createDataFrame([(None, item), (None, LONG), (None, None), (1, item), (2, LONG), (3, None)], "doc_id bigint, text string")
+    kept = Counter(tuple(r) for r in corpus_pipeline.decontaminated(spark, docs, SF).collect())
+    assert kept == Counter([(None, LONG), (None, None), (2, LONG), (3, None)])
+
+
 def test_pipeline_hard_cases(spark, hard, empty):
     docs = hard.select("doc_id", "text", "lang", "source", "n_chars", F.lit(1).alias("component_id"))
     for frame in (docs, empty):
