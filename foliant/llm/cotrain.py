@@ -23,6 +23,7 @@ from foliant.session import written
 
 FILTER_BITS = 22
 FIGURES = 14
+ROWS = 1024
 STEM = 6
 #: How often a term must occur, a column each. A short word is its stem too, so it counts twice.
 LEVELS = (1, 3, 6)
@@ -68,7 +69,9 @@ class View:
     shift: float = 0.0
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return x.astype(np.float32) @ self.weights[:-1].astype(np.float32) + self.weights[-1]
+        w = self.weights[:-1].astype(np.float32)
+        parts = [x[i : i + ROWS].astype(np.float32) @ w for i in range(0, len(x), ROWS)]
+        return np.concatenate([np.zeros(0, np.float32), *parts]) + self.weights[-1]
 
     def odds(self, x: np.ndarray) -> np.ndarray:
         return self.scale * self.raw(x) + self.shift
@@ -218,13 +221,16 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float, start: View | None = None) -
     """Logistic regression by Newton steps; the last weight is the constant."""
     used = np.append(np.flatnonzero(x.any(axis=0)), x.shape[1])
     weights = np.zeros(x.shape[1] + 1) if start is None else start.weights.copy()
-    columns = np.ones((len(x), len(used)), np.float32)
-    columns[:, :-1] = x[:, used[:-1]]
-    x, w = columns, weights[used]
+    w = weights[used]
     for _ in range(12):
-        chance = sigmoid(x @ w.astype(np.float32))
-        curve = (x * np.maximum(chance * (1 - chance), 1e-4).astype(np.float32)[:, None]).T @ x
-        step = np.linalg.solve(curve + ridge * np.eye(len(used)), x.T @ (chance - y).astype(np.float32) + ridge * w)
+        curve, slope = ridge * np.eye(len(used)), ridge * w
+        for i in range(0, len(x), ROWS):  # numbers of a few rows at a time: the driver holds the table as bits
+            part = np.ones((len(x[i : i + ROWS]), len(used)), np.float32)
+            part[:, :-1] = x[i : i + ROWS, used[:-1]]
+            chance = sigmoid(part @ w.astype(np.float32))
+            slope += part.T @ (chance - y[i : i + ROWS]).astype(np.float32)
+            curve += (part * np.maximum(chance * (1 - chance), 1e-4).astype(np.float32)[:, None]).T @ part
+        step = np.linalg.solve(curve, slope)
         w = w - step
         if np.abs(step).max() < 1e-2:
             break
@@ -360,6 +366,7 @@ def learn(
     labelled = got["good"].notna().to_numpy()
     apart_rows = got["apart"].to_numpy(bool)
     y = np.array([x is True for x in got["good"]], float)
+    del got, held, style
     learned, tested = ~(labelled & apart_rows), labelled & apart_rows
     model.text, model.meta = co_train(x[0][learned], x[1][learned], y[learned], labelled[learned], p)
     if tested.any():
