@@ -12,6 +12,7 @@ from foliant.llm import chat, cotrain, langid, lzprint, ngram, urlmodel, warc
 from foliant.llm.decontaminate import contaminated
 from foliant.llm.minhash import near_duplicates
 from foliant.llm.packing import Packing, packed
+from foliant.llm.tokencount import TokenCounts, token_counts
 from foliant.llm.urlmodel import Rule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +213,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """b-bit MinHash near-duplicates of all documents."""
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op11_two_tier_token_counts")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of all documents."""
+    return token_counts(table(spark, folder, "documents"), TokenCounts(public_tokenizers.path("word_bpe_49k.json")))

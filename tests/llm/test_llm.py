@@ -276,7 +276,6 @@ def test_warc_query_and_single_records(spark):
 
 def check_pieces(rows, texts, length=2048):
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    exact.encode_special_tokens = True
     of_doc, of_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         of_doc[r["doc_id"]].append(r)
