@@ -12,6 +12,7 @@ from foliant.llm import chat, cotrain, langid, lzprint, ngram, urlmodel, warc
 from foliant.llm.decontaminate import contaminated
 from foliant.llm.minhash import near_duplicates
 from foliant.llm.packing import Packing, packed
+from foliant.llm.resample import resampled
 from foliant.llm.tokencount import TokenCounts, token_counts
 from foliant.llm.urlmodel import Rule
 
@@ -219,3 +220,35 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of all documents."""
     return token_counts(table(spark, folder, "documents"), TokenCounts(public_tokenizers.path("word_bpe_49k.json")))
+
+
+# CRC-32 of a word's UTF-8 bytes: a table of 256 remainders from the reversed polynomial, then one step per byte.
+CRC_SQL = """crcs AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+codes AS (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(hex(word)) + 1, 2),
+    lambda i: CAST('0x' || substr(hex(word), i, 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS crc
+  FROM (SELECT DISTINCT word FROM words) CROSS JOIN crcs)"""
+SMALL_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op13_importance_resampling",
+    rf"""
+    WITH texts AS (SELECT doc_id, true AS is_doc, text FROM documents UNION ALL SELECT item_id, false, text FROM benchmark),
+    words AS (SELECT doc_id, is_doc, unnest(regexp_extract_all({SMALL_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+    {CRC_SQL},
+    f AS (SELECT doc_id, is_doc, crc % 10000 AS bucket FROM words JOIN codes USING (word)),
+    b AS (SELECT bucket, count(*) FILTER (is_doc) AS s, count(*) FILTER (NOT is_doc) AS t FROM f GROUP BY bucket),
+    gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000) / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS g FROM b),
+    w AS (SELECT doc_id, count(*) AS n, CAST(floor(sum(g) / count(*)) AS BIGINT) AS weight FROM f JOIN gain USING (bucket) WHERE is_doc GROUP BY doc_id),
+    scored AS (
+        SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(
+            -1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+        FROM documents d LEFT JOIN w USING (doc_id)),
+    ranks AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r, count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+    SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND r <= n * 10 // 100 THEN r END AS rank FROM ranks
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of all documents of 20 words or more, drawn towards the texts of the benchmark."""
+    return resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
