@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foliant.llm import chat, cotrain, langid, lzprint, ngram, urlmodel, warc
 from foliant.llm.decontaminate import contaminated
+from foliant.llm.lexical import ranked
 from foliant.llm.minhash import near_duplicates
 from foliant.llm.packing import Packing, packed
 from foliant.llm.resample import resampled
@@ -252,3 +253,24 @@ SMALL_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrst
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """A tenth of all documents of 20 words or more, drawn towards the texts of the benchmark."""
     return resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    "op12_document_fp_tree",
+    rf"""
+    WITH t AS (SELECT doc_id, unnest(regexp_extract_all({SMALL_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    q AS (SELECT item_id, unnest(regexp_extract_all({SMALL_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    lengths AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+    m AS (SELECT doc_id, 25 + ((75 * n * count(*) OVER ()) // CAST(sum(n) OVER () AS BIGINT)) AS m FROM lengths),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * (SELECT count(*) FROM lengths) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf GROUP BY term),
+    scores AS (
+        SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+        FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+    ranks AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 10
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every item of the benchmark."""
+    return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
