@@ -18,81 +18,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def running(items: Column, start: int, step: Callable[[Column, Column], Column]) -> Column:
-    """All int states of a left fold over items.
+    """All int states of a left fold over items by an associative step.
 
-    Folded in blocks of sqrt(n) so that appending stays far below quadratic
-    for very long arrays.
+    Every element takes in the one 1, 2, 4, ... places before it: n log n steps,
+    and no list grows element by element.
     """
-    none = F.array().cast("array<int>")
-    nothing = F.array().cast("array<array<int>>")
-
-    def block_fold(state: Column, block: Column) -> Column:
-        inner = F.aggregate(
-            block,
-            F.struct(state["last"].alias("last"), none.alias("states")),
-            lambda s, x: let(
-                step(s["last"], x).cast("int"),
-                lambda v: F.struct(
-                    v.alias("last"), F.concat(s["states"], F.array(v)).alias("states")
-                ),
-            ),
-        )
-        return let(
-            inner,
-            lambda r: F.struct(
-                r["last"].alias("last"),
-                F.concat(state["blocks"], F.array(r["states"])).alias("blocks"),
-            ),
-        )
+    ints = "array<int>"
 
     def fold(array: Column) -> Column:
-        def with_width(width: Column) -> Column:
-            blocks = F.transform(
-                F.sequence(F.lit(0), (F.size(array) - 1).cast("int"), width),
-                lambda at: F.slice(array, at + 1, width),
-            )
-            done = F.aggregate(
-                blocks,
-                F.struct(F.lit(start).cast("int").alias("last"), nothing.alias("blocks")),
-                block_fold,
-            )
-            return F.flatten(done["blocks"])
-
-        return F.when(F.size(array) == 0, none).otherwise(
-            let(F.ceil(F.sqrt(F.size(array))).cast("int"), with_width)
-        )
-
-    return let(items, fold)
-
-
-def counted(items: Column) -> Column:
-    """Distinct items with count and first position, in order of first position.
-
-    array<struct<first:int, item:string, n:int>>. Sort and run lengths:
-    n log n within the row.
-    """
-
-    def runs(ordered: Column) -> Column:
-        def first_of_run(x: Column, i: Column) -> Column:
-            return (i == 0) | (F.get(ordered, i - 1)["item"] != x["item"])
-
-        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: first_of_run(F.get(ordered, i), i))
-        return let(
-            starts,
-            lambda at: F.transform(
-                at,
-                lambda i, k: F.struct(
-                    F.get(ordered, i)["pos"].alias("first"),
-                    F.get(ordered, i)["item"].alias("item"),
-                    (F.coalesce(F.get(at, k + 1), F.size(ordered)) - i).alias("n"),
-                ),
-            ),
+        widths = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(array))).cast("int")), lambda k: F.pow(F.lit(2), k).cast("int"))
+        joined = lambda states, width: F.transform(
+            states, lambda x, i: F.when(i >= width, step(F.get(states, i - width), x)).otherwise(x)
         )
+        scanned = F.aggregate(widths, array.cast(ints), lambda states, width: joined(states, width).cast(ints))
+        return F.when(F.size(array) < 2, array.cast(ints)).otherwise(scanned)
 
-    none = F.array().cast("array<struct<first:int,item:string,n:int>>")
-
-    def whole(array: Column) -> Column:
-        numbered = F.transform(array, lambda x, i: F.struct(x.alias("item"), i.alias("pos")))
-        return F.when(F.size(array) > 0, F.sort_array(let(F.sort_array(numbered), runs))).otherwise(none)
-
-    return let(items, whole)
+    return F.transform(let(items, fold), lambda x: step(F.lit(start), x).cast("int"))

@@ -50,19 +50,19 @@ def key_side(keys: DataFrame) -> DataFrame:
     return written(keys.select("row_key").distinct(), "keys")
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", is_written: bool = False) -> DataFrame:
     """Join on one key of which the left side may hold very many equal rows.
 
     right has one row per key. A key is hot if its rows would fill more than a
     quarter of a task's even share; there can be at most four such keys per
     shuffle partition, so they and their right rows are broadcast, and the rows
     of hot keys stay where they are. The rest is joined by key. The left side is
-    written first: it is made once, and read for the counts and the two joins.
+    written first, unless it is: it is made once, and read for the counts and the two joins.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"the left side must be kept or filtered, not {how}")
     spark = left.sparkSession
-    left = written(left, "left")
+    left = left if is_written else written(left, "left")
     most = SHARE * int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
     hot = F.broadcast(written(counts.where(F.col("__n") * most > left.count()).select(key), "hot"))

@@ -10,8 +10,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from foliant.functions.arrays import counted, let
 from foliant.functions.spans import annotation_set, outside, span_texts
 from foliant.functions.text import clean_text, normalized, trimmed
 from foliant.operators.rows import join_hot, with_index
@@ -19,39 +19,30 @@ from foliant.session import written
 
 WORD = r"^[\w-]+$"
 DICTIONARY_COLUMNS = ("term_id", "term", "surface")
+#: Of a place: so many bits for the position in a document, the others for the document.
+POSITION_BITS = 26
 
 
 def token_texts(docs: DataFrame, set: str = "token") -> Column:
     return span_texts(F.col("text.raw"), annotation_set(set))
 
 
-def counted_terms(words: Column, preserve_case: bool = False) -> Column:
-    """Distinct terms of an array of words, in order of first appearance.
+def document_terms(docs: DataFrame, set: str = "token", preserve_case: bool = False) -> DataFrame:
+    """(row_key, first, term, surface, n) per distinct token text of a document, written.
 
-    array<struct<first,term,surface,n>>: case is folded to tell terms apart,
-    surface keeps the form first seen.
+    Case is folded to tell terms apart unless it is to be kept; a term has one
+    row per surface, with the first place of that surface in the document.
     """
+    return _document_terms(docs.select("row_key", token_texts(docs, set).alias("words")), preserve_case)
 
-    def rows(forms: Column) -> Column:
-        return F.transform(
-            counted(forms if preserve_case else F.transform(forms, F.lower)),
-            lambda c: F.struct(
-                c["first"].alias("first"),
-                c["item"].alias("term"),
-                F.get(forms, c["first"]).alias("surface"),
-                c["n"].cast("bigint").alias("n"),
-            ),
-        )
-
-    return let(F.transform(words, clean_text), rows)
 
-
-def document_terms(docs: DataFrame, set: str = "token", preserve_case: bool = False) -> DataFrame:
-    """(row_key, first, term, surface, n) per distinct token text of a document.
-
-    Counted inside the row: what leaves a document is one row per term.
-    """
-    return docs.select("row_key", F.inline(counted_terms(token_texts(docs, set), preserve_case)))
+def _document_terms(words: DataFrame, preserve_case: bool = False) -> DataFrame:
+    """Words (row_key, words) counted by a hash aggregate of numbers, combined before the shuffle."""
+    tokens = words.select("row_key", F.posexplode("words").alias("at", "word"))
+    tokens = tokens.select("row_key", "at", clean_text(F.col("word")).alias("surface"))
+    counts = tokens.groupBy("row_key", "surface").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    term = F.col("surface") if preserve_case else F.lower("surface")
+    return written(counts.select("row_key", "first", term.alias("term"), "surface", "n"), "terms")
 
 
 def term_counts(docs: DataFrame, set: str = "token") -> DataFrame:
@@ -61,23 +52,34 @@ def term_counts(docs: DataFrame, set: str = "token") -> DataFrame:
 
 
 def _numbered(terms: DataFrame, first_id: Column | int) -> DataFrame:
-    """Ids in order of first occurrence (row_key, first)."""
-    ordered = with_index(terms, ["row_key", "first", "term"], "idx")
+    """Ids in order of first occurrence."""
+    ordered = with_index(terms, ["place"], "idx")
     return ordered.select((F.col("idx") + first_id).cast("bigint").alias("term_id"), "term", "surface")
 
 
 def _first_seen(terms: DataFrame) -> DataFrame:
-    """One row per term with its first place; reduced before the shuffle."""
-    place = F.struct("row_key", "first", "surface")
-    return (
-        terms.groupBy("term")
-        .agg(F.min(place).alias("at"))
-        .select("term", "at.row_key", "at.first", "at.surface")
-    )
+    """(term, place, surface): one row per term, with the place and form where it is first seen.
+
+    A place is one number: the rank of the document's key, then the position in
+    the document. So the earliest place of a surface, and of a term, is a hash
+    aggregate of numbers; the form is that of the surface at the term's place, which
+    is looked up among distinct surfaces alone.
+    """
+    keys = written(with_index(terms.select("row_key").distinct(), ["row_key"], "doc").select("row_key", "doc"), "keys")
+    far = F.raise_error(F.lit(f"a document of more than {1 << POSITION_BITS} tokens")).cast("bigint")
+    position = F.when(F.col("first") < (1 << POSITION_BITS), F.col("first")).otherwise(far)
+    place = F.shiftleft("doc", POSITION_BITS).bitwiseOR(position)
+    placed = terms.join(keys, "row_key").select("term", "surface", place.alias("place"))
+    surfaces = written(placed.groupBy("term", "surface").agg(F.min("place").alias("place")), "surfaces")
+    firsts = surfaces.groupBy("term").agg(F.min("place").alias("place"))
+    return firsts.join(surfaces.select("place", "surface"), "place").select("term", "place", "surface")
 
 
 def build_dictionary(terms: DataFrame) -> DataFrame:
-    """V1: ids 0, 1, 2, ... in first-seen order over (row_key, position)."""
+    """V1: ids 0, 1, 2, ... in first-seen order over (row_key, position).
+
+    terms: a table as ``document_terms`` writes it; it is read twice.
+    """
     return written(_numbered(_first_seen(terms), 0), "dictionary")
 
 
@@ -155,18 +157,21 @@ def sorted_dictionary(dictionary: DataFrame) -> DataFrame:
 
 
 def term_ids(terms: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(row_key, term_id, n) of document terms; common terms stay where they are."""
-    found = join_hot(terms.select("row_key", "term", "n"), dictionary.select("term", "term_id"), "term")
+    """(row_key, term_id, n) of document terms, a row per surface; common terms stay where they are."""
+    found = join_hot(terms.select("row_key", "term", "n"), dictionary.select("term", "term_id"), "term", is_written=True)
     return found.select("row_key", "term_id", "n")
 
 
 def sparse_vectors(terms: DataFrame, dictionary: DataFrame) -> DataFrame:
     """V2: (row_key, vector array<struct<term_id,count>>), ids ascending.
 
-    A vector holds the distinct terms of one document, as the row itself does.
+    A vector holds the distinct terms of one document, as the row itself does. The
+    rows of a document meet once: adding up the surfaces of a term and gathering
+    the terms need no further exchange.
     """
-    pair = F.struct("term_id", F.col("n").alias("count"))
-    return term_ids(terms, dictionary).groupBy("row_key").agg(F.sort_array(F.collect_list(pair)).alias("vector"))
+    rows = term_ids(terms, dictionary).repartition("row_key")
+    counts = rows.groupBy("row_key", "term_id").agg(F.sum("n").alias("count"))
+    return counts.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("term_id", "count"))).alias("vector"))
 
 
 def vector_text(vector: Column) -> Column:
@@ -200,10 +205,13 @@ def document_term_matrix(
     dictionary: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """V3: (row_key, four fields, vector) per document, and the dictionary used."""
+    fields = [F.col("meta")[f].alias(f) for f in MATRIX_FIELDS]
     chosen = matrix_docs(docs, source, start, end)
-    terms = written(document_terms(chosen), "terms")
+    # Read once: the fields and the tokens are then columns of one small table.
+    chosen = written(chosen.select("row_key", *fields, token_texts(chosen).alias("words")), "chosen")
+    terms = _document_terms(chosen.select("row_key", "words"))
     dictionary = build_dictionary(terms) if dictionary is None else written(grow_dictionary(dictionary, terms), "dictionary")
-    fields = chosen.select("row_key", *[F.col("meta")[f].alias(f) for f in MATRIX_FIELDS])
+    fields = chosen.drop("words")
     none = F.array().cast("array<struct<term_id:bigint,count:bigint>>")
     lines = fields.join(sparse_vectors(terms, dictionary), "row_key", "left")
     return lines.withColumn("vector", F.coalesce("vector", none)), dictionary
@@ -235,7 +243,7 @@ def without_stop_words(
 
 def term_frequencies(
     docs: DataFrame,
-    stop_words: Sequence[str] | None = None,
+    stop_words: DataFrame | Sequence[str] | None = None,
     stem: Callable[[Column], Column] = lambda c: c,
     tokens: str = "token",
     entities: str = "ne",
@@ -243,25 +251,35 @@ def term_frequencies(
     """V9: per document (row_key, term_id, term, n) with a dictionary of its own.
 
     Every entity span is a term; a token is one if it lies in no entity and is
-    no stop word. Ids count up by first appearance, entities first. stop_words
-    is a configured list (None: no filter); its folded form decides.
-    All work stays in the row: no shuffle.
+    no stop word. Ids count up by first appearance, entities first; term is the
+    form first seen. stop_words is a list (None: no filter) or a table (word) of any
+    size, as ``stop_list`` gives it; its folded form decides. Tokens under entities
+    go before the words are exploded; what is left is counted by a hash
+    aggregate, and a document's distinct forms meet for their ids.
     """
     text = F.col("text.raw")
     ne = annotation_set(entities)
-    named = F.transform(span_texts(text, ne), clean_text)
-    free = span_texts(text, outside(annotation_set(tokens), ne))
+    named = F.transform(span_texts(text, ne), lambda w: F.struct(w.alias("word"), F.lit(False).alias("free")))
+    free = F.transform(span_texts(text, outside(annotation_set(tokens), ne)), lambda w: F.struct(w.alias("word"), F.lit(True).alias("free")))
+    rows = docs.select("row_key", F.posexplode(F.concat(named, free)).alias("at", "w"))
+    rows = rows.select("row_key", "at", clean_text(F.col("w.word")).alias("surface"), F.col("w.free").alias("free"))
     if stop_words is not None:
+        stemmed = stem(F.col("surface"))
+        rows = rows.where(~F.col("free") | F.rlike(stemmed, F.lit(WORD)))
+        rows = rows.withColumn("surface", F.when(F.col("free"), stemmed).otherwise(F.col("surface")))
+        # Entities have no key here, so that no stop word meets them.
+        rows = rows.withColumn("word", F.when(F.col("free"), F.lower("surface"))).join(_stops(docs, stop_words), "word", "left_anti")
+    counts = rows.groupBy("row_key", "surface").agg(F.min("at").alias("at"), F.count("*").alias("n"))
+    of_term = W.partitionBy("row_key", F.lower("surface"))
+    counts = counts.select("row_key", "at", "surface", F.min("at").over(of_term).alias("first"), F.sum("n").over(of_term).alias("n"))
+    firsts = counts.where(F.col("at") == F.col("first"))
+    id = F.row_number().over(W.partitionBy("row_key").orderBy("at")) - 1
+    return firsts.select("row_key", id.cast("bigint").alias("term_id"), F.col("surface").alias("term"), "n")
+
+
+def _stops(docs: DataFrame, stop_words: DataFrame | Sequence[str]) -> DataFrame:
+    """A stop list as a table, written so that a short one is broadcast by its size."""
+    if not isinstance(stop_words, DataFrame):
         folded = sorted({w.lower() for w in stop_words})
-
-        def kept(token: Column) -> Column:
-            stopped = F.lower(stem(token)).isin(folded) if folded else F.lit(False)
-            return ~stopped & F.rlike(stem(token), F.lit(WORD))
-
-        free = F.transform(F.filter(free, kept), stem)
-    found = counted_terms(F.concat(named, free))
-    rows = F.transform(
-        found,
-        lambda t, i: F.struct(i.cast("bigint").alias("term_id"), t["surface"].alias("term"), t["n"].alias("n")),
-    )
-    return docs.select("row_key", F.inline(rows))
+        stop_words = docs.sparkSession.createDataFrame([(w,) for w in folded], "word string")
+    return written(stop_words.select("word"), "stops")

@@ -128,9 +128,9 @@ def docs(spark: SparkSession, folder: str, *sets: str) -> DataFrame:
     token: words; ne: runs of capitalized words; parse: capitalized words and
     numbers, none for Spanish; dep: commas.
     """
-    base = documents(spark, folder)
+    base = documents(spark, folder).withColumn("row_key", _key())
     if sets:
-        base = spread(base, "doc_id")
+        base = spread(base, "row_key")
     text = F.col("text")
     day = F.col("doc_id") % 28 + 1
     meta = meta_map(
@@ -146,8 +146,8 @@ def docs(spark: SparkSession, folder: str, *sets: str) -> DataFrame:
     for name in sets:
         annotations = set_annotation_set(annotations, F.lit(name), _spans(name, text))
     columns = [
-        _key().alias("row_key"),
-        src_struct(name=F.col("source"), id=_key()).alias("src"),
+        "row_key",
+        src_struct(name=F.col("source"), id=F.col("row_key")).alias("src"),
         meta.alias("meta"),
         text_struct(raw=text).alias("text"),
     ]
@@ -173,10 +173,10 @@ def _spans(name: str, text: Column) -> Column:
 def conversation_docs(spark: SparkSession, folder: str) -> DataFrame:
     """Docs of the conversation turns, with their tokens."""
     key = F.format_string("%d/%d", "conv_id", "turn")
-    turns = spread(table(spark, folder, "conversations"), "conv_id")
+    turns = spread(table(spark, folder, "conversations").withColumn("row_key", key), "row_key")
     return turns.select(
-        key.alias("row_key"),
-        src_struct(name=F.col("role"), id=key).alias("src"),
+        "row_key",
+        src_struct(name=F.col("role"), id=F.col("row_key")).alias("src"),
         meta_map(role=F.col("role")).alias("meta"),
         text_struct(raw=F.col("text")).alias("text"),
         set_annotation_set(empty_annotations(), F.lit("token"), match_spans(F.col("text"), WORD, "word")).alias(

@@ -38,7 +38,7 @@ def dictionary(spark, folder):
 SELECT row_key, {PAIRS} AS vector FROM c GROUP BY row_key""",
 )
 def sparse_vectors(spark, folder):
-    terms = written(corpus_terms(spark, folder), "terms")
+    terms = corpus_terms(spark, folder)
     vectors = V.sparse_vectors(terms, V.build_dictionary(terms))
     return vectors.select("row_key", V.vector_text(F.col("vector")).alias("vector"))
 

@@ -1,7 +1,6 @@
 import datetime as dt
 import random
 import re
-from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,14 +66,6 @@ def test_running_matches_a_fold(spark):
         assert sums == [sum(items[: i + 1]) for i in range(size)]
 
 
-def test_counted_matches_a_counter(spark):
-    words = [random.Random(7).choice("abcdefg") for _ in range(60)]
-    found = value(spark, arrays.counted(F.lit(words)))
-    assert [(r["item"], r["n"]) for r in found] == list(Counter(words).items())
-    assert [r["first"] for r in found] == [words.index(w) for w in dict.fromkeys(words)]
-    assert value(spark, arrays.counted(F.array().cast("array<string>"))) == []
-
-
 def test_match_spans_and_texts(spark):
     content = "Ünder the \U0001f600 bridge, " * 40 + "endx"
     made = spans.match_spans(F.lit(content), r"[\p{L}]+", "word")

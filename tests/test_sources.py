@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import io
+import random
 import tarfile
 import zipfile
 
@@ -233,6 +234,45 @@ def test_term_frequencies(annotated):
     ]
 
 
+def test_stop_words_are_a_table_of_any_size(spark, annotated):
+    listed = terms.stop_list(spark.createDataFrame([("THE # article",), ("ideas",)], "value string"))
+    found = table(terms.term_frequencies(annotated.where("row_key <> 'd3'"), listed))
+    assert found == [("d1", 0, "New York", 1), ("d1", 1, "times", 1), ("d1", 2, "new", 1), ("d2", 0, "end", 1)]
+    # No filter, and a filter without words: only what is no word goes.
+    assert table(terms.term_frequencies(annotated.where("row_key = 'd2'"))) == table(terms.term_frequencies(annotated.where("row_key = 'd2'"), []))
+
+
+def test_terms_are_counted_by_hash_aggregates(spark, docs_of):
+    words = ["Aa", "aA", "b", "B", "cc", "AA"]
+    r = random.Random(4)
+    texts = {f"d{i:03d}": [r.choice(words) for _ in range(r.randrange(40))] for i in range(60)}
+    docs = docs_of(*[(k, "NYT", " ".join(t)) for k, t in texts.items()]).repartition(5)
+    docs = docs.withColumn("annotations", set_annotation_set(F.col("annotations"), F.lit("token"), match_spans(F.col("text.raw"), "[A-Za-z]+", "word")))
+    seen, counts = {}, {}
+    for key in sorted(texts):
+        for word in texts[key]:
+            seen.setdefault(word.lower(), word)
+            counts[key, word.lower()] = counts.get((key, word.lower()), 0) + 1
+    found = terms.document_terms(docs)
+    dictionary = terms.build_dictionary(found)
+    assert table(dictionary) == [(i, *x) for i, x in enumerate(seen.items())]
+    ids = {t: i for i, t in enumerate(seen)}
+    vectors = terms.sparse_vectors(found, dictionary)
+    held = {(r["row_key"], v["term_id"]): v["count"] for r in vectors.collect() for v in r["vector"]}
+    assert held == {(k, ids[t]): n for (k, t), n in counts.items()}
+    frequencies = terms.term_frequencies(docs, ["b"])
+    for frame in (terms._first_seen(found), vectors, frequencies, terms.grow_dictionary(dictionary, found)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+    rows = sorted((r["row_key"], r["term_id"], r["term"], r["n"]) for r in frequencies.collect())
+    expected = []
+    for key in sorted(texts):
+        own = dict.fromkeys(w.lower() for w in texts[key] if w.lower() != "b")
+        forms = {t: next(w for w in texts[key] if w.lower() == t) for t in own}
+        expected += [(key, i, forms[t], counts[key, t]) for i, t in enumerate(own)]
+    assert rows == expected
+
+
 def test_dictionary_life(spark, annotated, tmp_path):
     first = terms.build_dictionary(terms.document_terms(annotated.where("row_key = 'd1'")))
     assert table(first) == [(0, "the", "The"), (1, "new", "New"), (2, "york", "York"), (3, "times", "times"), (4, "ideas", "ideas")]
