@@ -746,6 +746,18 @@ def test_pipeline_removes_near_copies_at_80_percent(spark):
     assert kept == {k for k, v in groups.items() if k == v}
 
 
+def test_pipeline_keeps_one_row_of_each_text(spark):
+    near = LONG + " and one more word"
+    rows = [(1, "a b"), (1, "a b"), (2, "a b"), (None, "b"), (None, "b"), (None, "b"), (4, "b c d e f g"), (4, "other words"), (4, "B C d e f g")]
+    rows += [(9, LONG), (None, LONG), (7, near), (8, LONG), (7, near), (None, None), (None, None), (5, None), (6, " "), (6, " "), (6, None), (6, "")]
+    docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id bigint, text string, doc string").repartition(4)
+    kept = Counter(tuple(r)[:2] for r in corpus_pipeline.distinct_documents(spark, docs, SF).collect())
+    assert {t: n for t, n in kept.items() if t[0] != 4} == Counter(
+        [(1, "a b"), (None, "b"), (7, near), (None, None), (5, None), (6, " "), (6, None), (6, "")]
+    )
+    assert sorted(t[1].lower() for t in kept.elements() if t[0] == 4) == ["b c d e f g", "other words"]
+
+
 def test_pipeline_removes_contaminated_documents_without_an_id(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").where("text is not null").orderBy("item_id").first()["text"]
     docs = spark.createDataFrame([(None, item), (None, LONG), (None, None), (1, item), (2, LONG), (3, None)], "doc_id bigint, text string")
