@@ -6,6 +6,7 @@ import datetime as dt
 import io
 import tarfile
 import zipfile
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,25 +21,43 @@ from foliant.session import fresh_path
 from foliant.sources import archives as A
 from foliant.sources import feeds as FD
 from foliant.sources import files as S
+from foliant.sources.ranged import created
 from foliant.streaming import intake as T
 
 KEY = "CAST(doc_id AS VARCHAR)"
 RUN_TIME = dt.datetime(2024, 2, 3, 4, 5, 6, tzinfo=dt.timezone.utc)
 
 
+def _write_texts(folder: str):
+    """A function that writes each row's text to the file of its name, and gives their number."""
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, text in zip(frame["name"], frame["text"]):
+                with created(f"{folder}/{name}") as file:
+                    file.write(text.encode())
+            yield pd.DataFrame({"files": [len(frame)]})
+
+    return write
+
+
 @query(
     "I1_text_tree",
     f"""SELECT source || '/' || {KEY} || '.txt' AS row_key, 'tree' AS source, source || '/' || {KEY} || '.txt' AS id,
   '/corpus/' || source || '/' || {KEY} || '.txt' AS full_path, text AS orig FROM documents""",
 )
 def text_tree(spark, folder):
-    path = F.concat(F.lit("/corpus/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
-    files = documents(spark, folder).select(path.alias("path"), F.col("text").alias("content"))
-    return S.text_docs(files, "/corpus", "tree").select(
+    """The documents written as a tree of text files, beside files of another suffix, and read from it."""
+    root = f"{fresh_path(spark, 'tree')}/corpus"
+    name = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    files = spread(documents(spark, folder), "doc_id").select(name.alias("name"), "text")
+    notes = files.select(F.concat("name", F.lit(".note")).alias("name"), F.lit("no document").alias("text"))
+    files.unionByName(notes).mapInPandas(_write_texts(root), "files bigint").agg(F.sum("files")).first()
+    return S.read_text_tree(spark, root, "tree").select(
         "row_key",
         F.col("src.name").alias("source"),
         F.col("src.id").alias("id"),
-        F.col("meta")["fullPath"].alias("full_path"),
+        F.regexp_replace(F.col("meta")["fullPath"], "^.*/corpus/", "/corpus/").alias("full_path"),
         F.col("text.orig").alias("orig"),
     )
 
@@ -77,16 +96,17 @@ def annotated_corpus(spark, folder):
 # -- archives ----------------------------------------------------------------
 
 PER_ARCHIVE = 25
-ARCHIVE_DDL = "path string, length bigint, content binary"
 
 
 def _packed(write, folder: str, suffix: str):
-    """A function that packs the rows (part, name, body) of one part into an archive."""
+    """A function that packs the rows (part, name, body) of one part into an archive file."""
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         data = write(frame.sort_values("doc_id"))
         path = f"{folder}/{int(frame['part'].iloc[0]):09d}{suffix}"
-        return pd.DataFrame({"path": [path], "length": [len(data)], "content": [data]})
+        with created(path) as file:
+            file.write(data)
+        return pd.DataFrame({"length": [len(data)]})
 
     return pack
 
@@ -123,7 +143,9 @@ def _zip(members: pd.DataFrame) -> bytes:
     return bytes(data)
 
 
-def archive_table(spark, folder, name: Column, write, where: str, suffix: str, body: Column | None = None, damaged: Column | None = None) -> DataFrame:
+def archive_files(spark, folder, name: Column, write, where: str, suffix: str, body: Column | None = None, damaged: Column | None = None) -> DataFrame:
+    """The documents in archives of a few each, written below the shared folder and listed from there."""
+    target = f"{fresh_path(spark, 'archives')}/{where}"
     rows = documents(spark, folder).select(
         "doc_id",
         F.floor(F.col("doc_id") / PER_ARCHIVE).alias("part"),
@@ -131,12 +153,14 @@ def archive_table(spark, folder, name: Column, write, where: str, suffix: str, b
         (F.encode("text", "UTF-8") if body is None else body).alias("body"),
         (F.lit(False) if damaged is None else damaged).alias("damaged"),
     )
-    return rows.groupBy("part").applyInPandas(_packed(write, where, suffix), ARCHIVE_DDL)
+    packed = rows.groupBy("part").applyInPandas(_packed(write, target, suffix), "length bigint")
+    packed.agg(F.sum("length")).first()
+    return A.read_archives(spark, target)
 
 
 def tars(spark, folder, body: Column | None = None):
     name = F.concat(F.lit("members/"), "lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".xml"))
-    return archive_table(spark, folder, name, _tar, "/corpus/2005", ".tgz", body)
+    return archive_files(spark, folder, name, _tar, "2005", ".tgz", body)
 
 
 TAR_MEMBERS = f"WITH m AS (SELECT 'members/' || lang || '-' || {KEY} || '.xml' AS file, lang, text FROM documents)\n"
@@ -192,7 +216,7 @@ def lenient_counts(spark, folder):
 def zips(spark, folder, damaged: Column | None = None):
     suffix = F.when(F.col("lang") == "en", ".txt").otherwise(".xml")
     name = F.concat(F.col("doc_id").cast("string"), suffix)
-    return archive_table(spark, folder, name, _zip, "/corpus/all", ".zip", damaged=damaged)
+    return archive_files(spark, folder, name, _zip, "all", ".zip", damaged=damaged)
 
 
 ZIP_MEMBERS = f"""WITH m AS (SELECT *, '/corpus/all/' || lpad(CAST(doc_id // 25 AS VARCHAR), 9, '0') || '.zip' AS path,
@@ -200,13 +224,19 @@ ZIP_MEMBERS = f"""WITH m AS (SELECT *, '/corpus/all/' || lpad(CAST(doc_id // 25
 """
 
 
+def in_corpus(name: str) -> Column:
+    """A path, or a key that begins with one, without the folder that the archives were written to."""
+    return F.regexp_replace(name, "^.*/all/", "/corpus/all/").alias(name)
+
+
 @query(
     "I4_zip_archives",
     ZIP_MEMBERS + """SELECT path || '-' || entry AS row_key, entry, 'text/plain' AS mime_type, text
 FROM m WHERE lang = 'en' AND strlen(text) <= 16384""",
 )
 def zip_archives(spark, folder):
-    return A.zip_text(A.zip_entries(zips(spark, folder), mime_types=["text/plain"], max_mib=1 / 64))
+    found = A.zip_text(A.zip_entries(zips(spark, folder), mime_types=["text/plain"], max_mib=1 / 64))
+    return found.withColumn("row_key", in_corpus("row_key"))
 
 
 @query(
@@ -216,7 +246,7 @@ def zip_archives(spark, folder):
 def entry_cap(spark, folder):
     """The first entries by archive and place, a few to a task."""
     found = A.zip_entries(zips(spark, folder), max_entries=150, entries_per_task=40)
-    return found.select("row_key", "entry_bytes")
+    return found.select(in_corpus("row_key"), "entry_bytes")
 
 
 def damaged_zips(spark, folder):
@@ -226,12 +256,25 @@ def damaged_zips(spark, folder):
 @query("I4_damaged_zips", ZIP_MEMBERS + "SELECT path || '-' || entry AS row_key, text FROM m WHERE lang <> 'fr'")
 def damaged_entries(spark, folder):
     """The members beside a damaged one are all there."""
-    return A.zip_text(A.zip_entries(damaged_zips(spark, folder))).select("row_key", "text")
+    return A.zip_text(A.zip_entries(damaged_zips(spark, folder))).select(in_corpus("row_key"), "text")
 
 
 @query("I4_rejected_members", ZIP_MEMBERS + "SELECT path, entry FROM m WHERE lang = 'fr'")
 def rejected_members(spark, folder):
-    return A.broken_zips(damaged_zips(spark, folder)).select("path", "entry")
+    return A.broken_zips(damaged_zips(spark, folder)).select(in_corpus("path"), "entry")
+
+
+@query(
+    "I4_member_portions",
+    ZIP_MEMBERS + "SELECT path, entry, ceil(greatest(strlen(text), 1) / 1000)::BIGINT AS parts, strlen(text) AS n_bytes, sha1(text) AS digest FROM m",
+)
+def member_portions(spark, folder):
+    """Members in portions of 1000 bytes, put together again."""
+    parts = A.zip_portions(A.zip_directory(zips(spark, folder)), 1000)
+    whole = F.array_sort(F.collect_list(F.struct("part", F.hex("content").alias("content"))))
+    found = parts.groupBy("path", "entry").agg(F.count("*").alias("parts"), F.sum(F.octet_length("content")).alias("n_bytes"), whole.alias("all"))
+    digest = F.sha1(F.unhex(F.array_join("all.content", "")))
+    return found.select(in_corpus("path"), "entry", "parts", "n_bytes", digest.alias("digest"))
 
 
 # -- feeds -------------------------------------------------------------------

@@ -170,15 +170,92 @@ def test_zip_entries(spark, tmp_path):
     assert table(plain, "entry", "text") == sorted((n, t) for n, t in members.items() if n.endswith(".txt"))
     assert archives.zip_entries(zips).count() == 4
     assert archives.zip_entries(zips, max_mib=100 / (1 << 20)).count() == 3
-    assert archives.read_archives(spark, str(tmp_path)).columns == ["path", "length", "content"]
-    long = zips.withColumn("content", F.lit(None).cast("binary"))
-    assert {r["error"] for r in archives.broken_zips(long).collect()} == {archives.TOO_LONG}
-    assert {r["error"] for r in archives.tar_members(long).collect()} == {archives.TOO_LONG}
+    assert archives.read_archives(spark, str(tmp_path)).columns == ["path", "length"]
     capped = archives.zip_entries(zips, max_entries=2, entries_per_task=1)
     assert sorted(r["entry"] for r in capped.collect()) == ["gulls.txt", "ropes.txt"]
     assert table(archives.broken_zips(zips), F.regexp_extract("path", "[^/]+$", 0)) == [("bad.zip",)]
 
 
+class Recorded(io.BytesIO):
+    """A file that knows how much of it was read."""
+
+    def __init__(self, data):
+        super().__init__(data)
+        self.taken = 0
+
+    def read(self, n=-1):
+        data = super().read(n)
+        self.taken += len(data)
+        return data
+
+
+@pytest.fixture
+def large_zip(tmp_path):
+    r = random.Random(2)
+    bodies = {f"m{i:03d}.txt": r.randbytes(20_000) for i in range(60)}
+    with zipfile.ZipFile(tmp_path / "large.zip", "w", zipfile.ZIP_DEFLATED) as out:
+        for name, body in bodies.items():
+            out.writestr(name, body)
+    return str(tmp_path / "large.zip"), bodies
+
+
+def test_one_archive_is_read_by_many_tasks(spark, large_zip):
+    path, bodies = large_zip
+    found = archives.zip_entries(archives.read_archives(spark, path), entries_per_task=10)
+    rows = found.withColumn("task", F.spark_partition_id()).collect()
+    assert {r["entry"]: bytes(r["content"]) for r in rows} == bodies
+    tasks = {}
+    for r in rows:
+        tasks.setdefault(r["task"], []).append(r["entry"])
+    assert len(tasks) > 3 and all(len(names) < 30 for names in tasks.values())
+    # Entries of a task are neighbours.
+    assert all(sorted(bodies).index(max(n)) - sorted(bodies).index(min(n)) == len(n) - 1 for n in tasks.values())
+
+
+def test_only_what_is_wanted_is_read(spark, large_zip):
+    path, bodies = large_zip
+    data = open(path, "rb").read()
+    directory = archives.zip_directory(archives.read_archives(spark, path))
+    file = Recorded(data)
+    assert len(list(archives._directory("p", lambda _: file))) == 60 and file.taken < 30_000
+    some = archives.chosen_entries(directory, max_entries=2).toPandas()
+    file = Recorded(data)
+    assert [r["content"] for r in archives._contents(some, lambda _: file, None)] == [bodies["m000.txt"], bodies["m001.txt"]]
+    assert file.taken < 50_000
+    parts = list(archives._contents(some, lambda _: Recorded(data), 6000))
+    assert [(r["entry"], r["part"], len(r["content"])) for r in parts] == [
+        (f"m00{i}.txt", k, n) for i in range(2) for k, n in enumerate((6000, 6000, 6000, 2000))
+    ]
+    # The rest of the file may even be missing: a capped entry is not looked at.
+    torn = data[: int(some["offset"].max() + some["packed_bytes"].max() + 60)]
+    assert len([r for r in archives._contents(some, lambda _: Recorded(torn), None) if r["error"] is None]) == 2
+
+
+def test_members_that_cannot_be_read(spark, large_zip, tmp_path, monkeypatch):
+    path, bodies = large_zip
+    (tmp_path / "empty.zip").write_bytes(b"PK\x05\x06" + b"\0" * 18)
+    with zipfile.ZipFile(tmp_path / "none.zip", "w") as out:
+        out.writestr("nothing.txt", b"")
+    directory = archives.zip_directory(archives.read_archives(spark, str(tmp_path)))
+    assert directory.count() == 61
+    frame = directory.where("entry in ('m003.txt', 'nothing.txt')").toPandas()
+    frame.loc[frame.entry == "m003.txt", "crc"] += 1
+    rows = {(r["entry"], r["part"]): r for r in archives._contents(frame, archives.opened, 15_000)}
+    # What came before the damage is kept, and the error says so.
+    assert len(rows["m003.txt", 0]["content"] or b"") in (0, 15_000) and any(r["error"] for k, r in rows.items() if k[0] == "m003.txt")
+    assert rows["nothing.txt", 0]["content"] == b"" and rows["nothing.txt", 0]["error"] is None
+    monkeypatch.setattr(archives, "LARGEST", 10_000)
+    whole = list(archives._contents(frame, archives.opened, None))
+    assert [r["error"] for r in whole if r["entry"] == "m003.txt"] == [archives.TOO_LONG]
+    with tarfile.open(tmp_path / "t.tar", "w") as out:
+        for name, body in list(bodies.items())[:2] + [("small.txt", b"s")]:
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            out.addfile(info, io.BytesIO(body))
+    found = list(archives._tar_members(str(tmp_path / "t.tar"), archives.opened))
+    assert [(r["entry"], r["error"], r["content"]) for r in found][1:] == [("m001.txt", archives.TOO_LONG, None), ("small.txt", None, b"s")]
+
+
 def test_tar_archives(spark, tmp_path):
     folder = tmp_path / "1987"
     folder.mkdir()
