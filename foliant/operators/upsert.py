@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,15 +16,54 @@ COLUMN_KEY = ("row_key", "family", "qualifier")
 
 
 def newest(cells: DataFrame, tie: str | None = None) -> DataFrame:
-    """The newest version of every column of a history table.
-
-    An aggregate, not a window: versions are reduced before the shuffle, so a
-    column with very many versions costs one row per task. Equal timestamps
-    are settled by the tie column, then by the larger value.
+    """The newest version of every column of a stored history table.
+
+    Equal timestamps are settled by the tie column (not negative), then by the
+    larger value; a version without a time is the oldest.
+    Which version wins is found from numbers: time and tie make one decimal, whose
+    maximum per column is a hash aggregate, combined before the shuffle. Only
+    columns with several versions are listed, and the list is written, so that a
+    short one is broadcast and the cells stay where they are; a long one is
+    joined by row_key alone, as in ``upsert``. Values are read once, at the end;
+    they are compared only where several versions tie, and then only distinct ones.
     """
-    rank = ["ts", tie, "value"] if tie else ["ts", "value"]
-    best = cells.groupBy(*COLUMN_KEY).agg(F.max(F.struct(*rank)).alias("best"))
-    return best.select(*COLUMN_KEY, "best.ts", "best.value").select(*CELLS_SCHEMA.names)
+    places = cells.select(*COLUMN_KEY, _place(tie).alias("place"))
+    tops = places.groupBy(*COLUMN_KEY).agg(F.max("place").alias("top"), F.count("*").alias("n"))
+    contested = written(tops.where("n > 1").select(*_put_names(), "top"), "contested")
+    winning = F.col("place") == F.col("top")
+    tied = places.join(contested, _same_column()).where(winning).groupBy(*COLUMN_KEY).agg(F.count("*").alias("n"))
+    listed = written(
+        contested.join(
+            tied.where("n > 1").select(*[F.col(c).alias(f"tied_{c}") for c in COLUMN_KEY], F.lit(True).alias("is_tied")),
+            F.expr(" and ".join(f"put_{c} <=> tied_{c}" for c in COLUMN_KEY)),
+            "left",
+        ).select(*_put_names("put_"), "top", F.coalesce("is_tied", F.lit(False)).alias("is_tied")),
+        "listed",
+    )
+    held = cells.withColumn("place", _place(tie)).join(listed, _same_column(), "left")
+    columns = CELLS_SCHEMA.names
+    kept = held.where(F.col("top").isNull() | (winning & ~F.col("is_tied"))).select(*columns)
+    if listed.where("is_tied").isEmpty():
+        return kept
+    ties = held.where(winning & F.col("is_tied")).select(*columns).distinct()
+    settled = ties.groupBy(*COLUMN_KEY, "ts").agg(F.max("value").alias("value")).select(*columns)
+    return kept.unionByName(settled)
+
+
+def _place(tie: str | None) -> Column:
+    """Time, then tie, as one number that a hash aggregate can take the maximum of."""
+    micros = F.coalesce(F.unix_micros("ts"), F.lit(-(1 << 62))).cast("decimal(38,0)")
+    after = F.coalesce(F.col(tie).cast("decimal(19,0)"), F.lit(0)) if tie else F.lit(0)
+    return (micros * F.lit(Decimal(10**19)) + after).cast("decimal(38,0)")
+
+
+def _put_names(prefix: str = "") -> list[Column]:
+    return [F.col(f"{prefix}{c}").alias(f"put_{c}") for c in COLUMN_KEY]
+
+
+def _same_column() -> Column:
+    """One column of one row, of which the row key alone is a join key."""
+    return (F.col("row_key") == F.col("put_row_key")) & _alike("family") & _alike("qualifier")
 
 
 def upsert(table: DataFrame, puts: DataFrame) -> DataFrame:
@@ -37,14 +77,14 @@ def upsert(table: DataFrame, puts: DataFrame) -> DataFrame:
     stays where it is, and only the puts move. The second look at the table reads
     keys and times only.
     """
-    put = written(newest(puts.where(~is_blank(F.col("value")))), "puts")
-    times = put.select(*[F.col(c).alias(f"put_{c}") for c in COLUMN_KEY], F.col("ts").alias("put_ts"))
-    same_row = F.col("row_key") == F.col("put_row_key")
-    same = same_row & _alike("family") & _alike("qualifier")
+    given = written(puts.where(~is_blank(F.col("value"))).select(*CELLS_SCHEMA.names), "given")
+    put = written(newest(given), "puts")
+    times = put.select(*_put_names(), F.col("ts").alias("put_ts"))
+    same = _same_column()
     stays = F.col("put_row_key").isNull() | (F.col("put_ts") < F.col("ts"))
     columns = CELLS_SCHEMA.names
     kept = table.join(times, same, "left").where(stays).select(*columns)
-    held = table.select(*[F.col(c).alias(f"put_{c}") for c in COLUMN_KEY], F.col("ts").alias("held_ts"))
+    held = table.select(*_put_names(), F.col("ts").alias("held_ts"))
     won = put.join(held, same & (F.col("held_ts") > F.col("ts")), "left_anti")
     return kept.unionByName(won.select(*columns))
 

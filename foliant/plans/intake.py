@@ -533,7 +533,7 @@ def feed_intake(spark, folder):
     for part in (rows.where("lang = 'en'"), rows):
         land(part, landed)
         stream = T.landed_feeds(spark, landed, "*.txt")
-        T.start_intake(stream, lambda batch: T.feed_cells(batch, "feeds"), store, progress).awaitTermination()
+        T.start_intake(stream, lambda batch: T.feed_cells(batch, "feeds"), store, progress, compact_every=1).awaitTermination()
     found = T.stored_cells(spark, store)
     return found.where("family = 'text' and qualifier = 'orig'").select("row_key", "value")
 

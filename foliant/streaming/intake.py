@@ -1,8 +1,9 @@
 """Continuous feed intake and its running counts.
 
-Each batch is written as its own folder, named by the batch id and replaced if
-the batch is run again, so a restart neither loses nor doubles a row. Readers
-take the newest cell per column, which makes a re-seen entry one row.
+Each batch is stored under its id and replaced if it is run again, so a restart
+neither loses nor doubles a row. Readers take the newest cell per column, which
+makes a re-seen entry one row; compaction keeps what they read near the size of
+the table (see ``BatchStore``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql.types import StructType
 from foliant.model import CELLS_SCHEMA, docs_to_cells
 from foliant.operators.upsert import newest
 from foliant.sources.feeds import SEEN, feed_docs
+from foliant.streaming.store import BatchStore
 
 
 def landed_feeds(spark: SparkSession, folder: str, glob: str = "*.xml") -> DataFrame:
@@ -43,52 +45,51 @@ def feed_cells(feeds: DataFrame, source: str) -> DataFrame:
     return docs_to_cells(feed_docs(feeds, source), F.col(SEEN))
 
 
+def cell_store(spark: SparkSession, path: str) -> BatchStore:
+    """Cells, of which the newest version per column counts, a later batch before an earlier one."""
+    return BatchStore(spark, path, CELLS_SCHEMA, lambda rows: newest(rows, tie="batch"))
+
+
+def count_store(spark: SparkSession, path: str) -> BatchStore:
+    """(value, n); counts only grow, so the latest is the largest."""
+    schema = StructType().add("value", "string").add("n", "long")
+    return BatchStore(spark, path, schema, lambda rows: rows.groupBy("value").agg(F.max("n").alias("n")))
+
+
+def _started(stream: DataFrame, mode: str, to_rows, store: BatchStore, checkpoint: str, compact_every: int | None) -> StreamingQuery:
+    """Put every batch into the store; all available input, then stop."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        store.put(to_rows(batch), batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            store.compact()
+
+    written = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", checkpoint)
+    return written.trigger(availableNow=True).start()
+
+
 def start_intake(
     stream: DataFrame,
     to_cells: Callable[[DataFrame], DataFrame],
     store: str,
     checkpoint: str,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Write the cells of every batch under store; all available input, then stop."""
-
-    def put(batch: DataFrame, batch_id: int) -> None:
-        to_cells(batch).select(*CELLS_SCHEMA.names).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
-
-    return (
-        stream.writeStream.foreachBatch(put)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Store the cells of every batch; compact_every: batches after which the store is compacted."""
+    return _started(stream, "append", to_cells, cell_store(stream.sparkSession, store), checkpoint, compact_every)
 
 
 def stored_cells(spark: SparkSession, store: str) -> DataFrame:
-    """The table as it stands: newest version of every column over all batches."""
-    schema = StructType([*CELLS_SCHEMA.fields]).add("batch", "long")
-    return newest(spark.read.schema(schema).parquet(store), tie="batch")
-
+    """The table as it stands: newest version of every column."""
+    return cell_store(spark, store).state()
 
-def start_counts(stream: DataFrame, column: str, store: str, checkpoint: str) -> StreamingQuery:
-    """Running rows per value of a column, in update mode.
 
-    Every batch writes the changed counts; the latest per value is the count.
-    """
+def start_counts(stream: DataFrame, column: str, store: str, checkpoint: str, compact_every: int | None = None) -> StreamingQuery:
+    """Running rows per value of a column, in update mode: every batch stores the counts that changed."""
     counted = stream.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-
-    def put(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
-
-    return (
-        counted.writeStream.outputMode("update")
-        .foreachBatch(put)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _started(counted, "update", lambda batch: batch, count_store(stream.sparkSession, store), checkpoint, compact_every)
 
 
 def latest_counts(spark: SparkSession, store: str) -> DataFrame:
-    """(value, n) as of the last batch; counts only grow, so the latest is the largest."""
-    schema = StructType().add("value", "string").add("n", "long").add("batch", "long")
-    rows = spark.read.schema(schema).parquet(store)
-    return rows.groupBy("value").agg(F.max("n").alias("n"))
+    """(value, n) as of the last batch."""
+    return count_store(spark, store).state()

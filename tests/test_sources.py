@@ -453,6 +453,57 @@ def test_late_and_repeated_feeds(spark, tmp_path):
     assert titles == {("E", late), ("E later", early), ("S", late), ("T", late)}
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_newest_compares_numbers(spark, cells_of, tmp_path):
+    r = random.Random(8)
+    rows = [(str(r.randrange(30)), f"m:{r.choice('ab')}", f"v{r.randrange(6)}", r.randrange(1, 5), r.randrange(3)) for _ in range(400)]
+    rows += [("x", "m:a", "only", 1, 0), ("y", "m:a", "same", 2, 1), ("y", "m:a", "same", 2, 1)]
+    held = [(*x, b) for x, b in zip([tuple(f) for f in cells_of(*[x[:4] for x in rows]).collect()], [x[4] for x in rows])]
+    held += [(None, "m", None, None, "a", 0), ("z", "m", None, None, "b", 0), ("z", "m", None, None, "a", 0)]
+    schema = "row_key string, family string, qualifier string, ts timestamp, value string, batch long"
+    spark.createDataFrame(held, schema).write.parquet(str(tmp_path / "h"))
+    best = {}
+    for key, family, qualifier, ts, value, batch in held:
+        rank = (ts or dt.datetime(1900, 1, 1), batch, value)
+        best[key, family, qualifier] = max(best.get((key, family, qualifier), rank), rank)
+    history = spark.read.parquet(str(tmp_path / "h"))
+    found = newest(history, tie="batch")
+    assert {tuple(x)[:3]: x["value"] for x in found.collect()} == {k: v[2] for k, v in best.items()} and found.count() == len(best)
+    # Without ties, text is in no sort, no aggregate and no exchange.
+    history.dropDuplicates(["row_key", "family", "qualifier", "ts"]).write.parquet(str(tmp_path / "d"))
+    clear = newest(spark.read.parquet(str(tmp_path / "d")))
+    plan = plan_of(clear)
+    assert "SortAggregate" not in plan and "Sort [" not in plan and "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_compacted_store(spark, cells_of, tmp_path):
+    store = intake.cell_store(spark, str(tmp_path / "s"))
+    assert store.state().count() == 0 and store.write_snapshot() is None
+    store.put(cells_of(("1", "m:a", "old", 2), ("2", "m:a", "x", 2)), 0)
+    store.put(cells_of(("1", "m:a", "new", 2)), 1)
+    expected = [("1", "new"), ("2", "x")]
+    read = lambda: table(store.state(), "row_key", "value")
+    assert read() == expected
+    # A crash between write and swap: the snapshot is not valid, and is written again.
+    assert store.write_snapshot() == 1 and store.snapshot() is None and read() == expected
+    store.compact()
+    assert store.snapshot() == 1 and read() == expected
+    assert {p.split("/")[-2] for p in store.rows().inputFiles()} == {"snapshot=1"}
+    # A batch that the snapshot holds is run again; a later one wins at the same time, an older cell does not.
+    store.put(cells_of(("1", "m:a", "new", 2)), 1)
+    store.put(cells_of(("1", "m:a", "newest", 2), ("2", "m:a", "older", 1), ("3", "m:a", "y", 1)), 2)
+    expected = [("1", "newest"), ("2", "x"), ("3", "y")]
+    assert read() == expected
+    assert {p.split("/")[-2] for p in store.rows().inputFiles()} == {"snapshot=1", "batch=2"}
+    store.compact()
+    store.compact()
+    store.clear()
+    assert read() == expected and store.batches() == [] and store._numbers("", r"snapshot=(\d+)") == [2]
+
+
 def test_counts(spark, tmp_path):
     path = str(tmp_path / "in")
     rows = [("1", "a"), ("1", "a"), ("2", "b")]
@@ -460,7 +511,7 @@ def test_counts(spark, tmp_path):
     frame.coalesce(1).write.parquet(path)
     stream = intake.table_stream(spark, path, "*.parquet", frame.schema)
     for _ in range(2):
-        intake.start_counts(stream, "source", str(tmp_path / "c"), str(tmp_path / "p2")).awaitTermination()
+        intake.start_counts(stream, "source", str(tmp_path / "c"), str(tmp_path / "p2"), compact_every=2).awaitTermination()
         assert table(intake.latest_counts(spark, str(tmp_path / "c"))) == [("a", 2), ("b", 1)]
         frame.limit(1).coalesce(1).write.mode("append").parquet(path) if _ else None
 
