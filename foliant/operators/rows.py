@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -50,6 +52,73 @@ def key_side(keys: DataFrame) -> DataFrame:
     return written(keys.select("row_key").distinct(), "keys")
 
 
+#: Intervals that a list of keys is merged into, at most.
+INTERVALS = 32
+#: Keys of a sample by which a cut is found, about.
+SAMPLE = 1000
+
+
+def key_intervals(keys: DataFrame) -> Column:
+    """A test on row_key that all listed keys meet: at most ``INTERVALS`` ranges, for a file scan to prune by.
+
+    The list is range-partitioned, whatever its size; one row per range reaches the driver.
+    """
+    parts = keys.select("row_key").repartitionByRange(INTERVALS, "row_key")
+    found = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.min("row_key").alias("low"), F.max("row_key").alias("high"))
+    test = F.lit(False)
+    for r in found.where("low is not null").collect():
+        test = test | ((F.col("row_key") >= r["low"]) & (F.col("row_key") <= r["high"]))
+    return test
+
+
+def _smallest(n: int):
+    """Each task's n smallest distinct keys."""
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.array([], pa.string())
+
+        def least(keys: pa.Array) -> pa.Array:
+            keys = pc.unique(keys)
+            return keys.take(pc.sort_indices(keys))[:n]
+
+        for batch in batches:
+            new = pc.unique(batch.column(0))
+            if len(held) == n:  # most keys are beyond what is held
+                new = new.filter(pc.less(new, held[n - 1]))
+            if len(new):
+                held = least(pa.concat_arrays([held, new.cast(pa.string())]))
+        for at in range(0, len(held), 10_000):
+            yield pa.RecordBatch.from_arrays([held[at : at + 10_000]], ["row_key"])
+
+    return smallest
+
+
+def first_keys(table: DataFrame, n: int) -> DataFrame:
+    """The n smallest distinct row keys of a table, written.
+
+    Every task gives its n smallest keys, which is all that moves. The cut is then
+    looked for by counts: the rank of a key in a sample of them tells where to count
+    first, so that keys beyond it are never sorted. n decides nothing but where that is.
+    """
+    if n <= 0:
+        return written(table.select("row_key").where(F.lit(False)), "keys")
+    keys = table.select("row_key").where(F.col("row_key").isNotNull()).mapInArrow(_smallest(n), "row_key string")
+    keys = written(keys.distinct(), "smallest")
+    total = keys.count()
+    if total <= n:
+        return keys
+    step = -(-total // SAMPLE)
+    sample = sorted(r["row_key"].encode() for r in keys.where(F.pmod(F.xxhash64("row_key"), F.lit(step)) == 0).collect())
+    at = n // step + n // (8 * step) + 8
+    while at < len(sample):
+        below = keys.where(F.col("row_key") <= sample[at].decode())
+        if below.count() >= n:
+            keys = below
+            break
+        at *= 2
+    return written(with_index(keys, ["row_key"]).where(F.col("idx") < n).select("row_key"), "keys")
+
+
 def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", is_written: bool = False) -> DataFrame:
     """Join on one key of which the left side may hold very many equal rows.
 

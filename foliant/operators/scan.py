@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.text import parse_time, trimmed
-from foliant.operators.rows import key_side, long_result, with_index
+from foliant.operators.rows import first_keys, key_intervals, key_side, long_result, with_index
 from foliant.operators.upsert import newest
 
 
@@ -105,10 +105,10 @@ def rows_where(cells: DataFrame, family: str, qualifier: str, value: str, missin
 def first_rows(cells: DataFrame, n: int) -> DataFrame:
     """The cells, or the document, of the first n rows in key order.
 
-    Keys alone are put in order and counted, over all tasks, whatever n is.
+    A task gives its first n keys; they alone are counted and put in order. The
+    rows are then read by ranges of the keys.
     """
-    numbered = with_index(cells.select("row_key").distinct(), ["row_key"])
-    return cells.join(key_side(numbered.where(F.col("idx") < n)), "row_key", "left_semi")
+    return keyed_rows(cells, first_keys(cells, n))
 
 
 def every_nth_row(cells: DataFrame, n: int) -> DataFrame:
@@ -192,19 +192,25 @@ def read_key_list(spark, paths) -> DataFrame:
 def rows_with_keys(table: DataFrame, keys: DataFrame, keep_missing: bool = False) -> DataFrame:
     """The rows of the listed keys; keep_missing adds empty rows for misses.
 
-    Beyond the broadcast threshold the join is by key, and adaptive execution
-    splits a key with very many cells.
+    The ranges in which the keys lie are pushed to the file scan, so that a list of
+    near keys reads the files of these ranges alone. Beyond the broadcast threshold
+    the join is by key, and adaptive execution splits a key with very many cells.
     """
     wanted = key_side(keys)
     if keep_missing:
-        return wanted.join(table, "row_key", "left")
-    return table.join(wanted, "row_key", "left_semi")
+        return wanted.join(table.where(key_intervals(wanted)), "row_key", "left")
+    return keyed_rows(table, wanted)
+
+
+def keyed_rows(table: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of a written list of keys."""
+    return table.where(key_intervals(wanted)).join(wanted, "row_key", "left_semi")
 
 
 def rows_exist(keys: DataFrame, table: DataFrame) -> DataFrame:
     """(row_key, row_exists) for a batch of keys."""
     wanted = key_side(keys)
-    present = table.select("row_key").join(wanted, "row_key", "left_semi").distinct()
+    present = keyed_rows(table.select("row_key"), wanted).distinct()
     return wanted.join(present.withColumn("__present", F.lit(True)), "row_key", "left").select(
         "row_key", F.coalesce("__present", F.lit(False)).alias("row_exists")
     )

@@ -21,15 +21,11 @@ EPOCH_2024 = 1704067200
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a benchmark table with fewer splits than cores.
+    """Deal the rows of a benchmark table out over the tasks before costly work on them.
 
-    The small tables are one row group each, read by one task; per-row text work
-    after it would then run alone. Inputs with enough splits are left as they are.
+    The small tables are one row group each, read by one task; what follows would run alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from foliant.model import cells_to_docs, docs_to_cells
-from foliant.operators import clean, profile, scan, sizes, upsert
+from foliant.operators import clean, profile, rows, scan, sizes, upsert
 from foliant.operators.rows import join_hot, with_index
 from foliant.operators.scan import ScanSpec
 from foliant.sources import store
@@ -63,6 +64,53 @@ def test_limit_and_nth_row(small):
     assert keys(scan.scan_cells(small, ScanSpec(limit=20_000))) == ["1", "2", "k3"]
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_rows_move_few_keys(spark, tmp_path):
+    cells = spark.range(20_000).select(
+        F.lpad((F.col("id") * 7919 % 10_000).cast("string"), 5, "0").alias("row_key"),
+        F.lit("m").alias("family"), F.lit("a").alias("qualifier"), F.current_timestamp().alias("ts"), F.lit("v").alias("value"),
+    )
+    store.write_cells(cells, str(tmp_path / "c"))
+    cells = store.read_cells(spark, str(tmp_path / "c"))
+    every = [f"{i:05d}" for i in range(10_000)]
+    for n in (0, 1, 10, 999, 2500, 9_999, 10_000, 50_000):
+        found = scan.first_rows(cells, n)
+        assert keys(found) == every[:n] and found.count() == 2 * min(n, 10_000)
+    # What leaves the tasks: no more than n keys of each.
+    tasks = cells.select("row_key").withColumn("task", F.spark_partition_id()).select("task").distinct().count()
+    moved = cells.select("row_key").mapInArrow(rows._smallest(10), "row_key string")
+    assert moved.count() <= 10 * max(tasks, 1) and tasks >= 1
+    assert "MapInArrow" in plan_of(moved) and "Exchange" not in plan_of(moved)
+
+
+def test_smallest_keys_of_a_task():
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["row_key"]) for x in (["d", "b", "b"], [], ["é", "a", "Z"], ["c", "b"])]
+    for n in (1, 2, 4, 9):
+        held = [k for b in rows._smallest(n)(iter(batches)) for k in b.column(0).to_pylist()]
+        assert held == sorted({"a", "b", "c", "d", "Z", "é"}, key=str.encode)[:n]
+
+
+def test_near_keys_read_few_files(spark, tmp_path):
+    path = str(tmp_path / "sorted")
+    table_ = spark.range(40_000).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("row_key"), F.repeat(F.lit("v"), 50).alias("value"))
+    table_.repartitionByRange(40, "row_key").sortWithinPartitions("row_key").write.parquet(path)
+    table_ = spark.read.parquet(path)
+    near = [f"{i:06d}" for i in range(7_000, 7_100)] + [f"{i:06d}" for i in range(31_000, 31_003)]
+    listed = spark.createDataFrame([(k,) for k in near], "row_key string")
+    wanted = rows.key_side(listed)
+    ranges = rows.key_intervals(wanted)
+    files = table_.where(ranges).select("_metadata.file_path").distinct().count()
+    assert files <= 6 < table_.select("_metadata.file_path").distinct().count()
+    found = scan.rows_with_keys(table_, listed)
+    assert "Or(Or(" in plan_of(found).partition("Pushed")[2] and keys(found) == near
+    assert scan.rows_with_keys(table_, listed.limit(0)).count() == 0
+    missing = spark.createDataFrame([("000001",), ("nothing",), (None,)], "row_key string")
+    assert scan.rows_with_keys(table_, missing).count() == 1 and scan.rows_exist(missing, table_).where("row_exists").count() == 1
+
+
 def test_key_lists(spark, small, tmp_path):
     for n in range(3):
         (tmp_path / f"keys{n}").write_text("".join(f"key-{i}\n" for i in range(n * 202, n * 202 + 202)))
