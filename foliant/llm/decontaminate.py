@@ -13,6 +13,7 @@ is found like one in place.
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -59,109 +60,148 @@ class _Windows:
         self.down = np.multiply.accumulate(down)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * np.multiply.accumulate(up)[:-1])])
 
-    def of(self, length: int, starts: np.ndarray) -> np.ndarray:
+    def of(self, length: int | np.ndarray, starts: np.ndarray) -> np.ndarray:
         return (self.sums[starts + length] - self.sums[starts]) * self.down[starts]
 
 
+def _next_marked(marked: np.ndarray) -> np.ndarray:
+    """For each place the first marked one from there on; the last is marked."""
+    places = np.flatnonzero(marked)
+    return places[np.searchsorted(places, np.arange(len(marked)))]
+
+
+def _before(words: np.ndarray, marked: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each place, and whether there is none that a match could take in."""
+    return words[np.maximum(at - 1, 0)], (at == 0) | marked[np.maximum(at - 1, 0)]
+
+
 def tile(doc: np.ndarray, item: np.ndarray, starts: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Tiles (place in doc, place in item, words) of greedy string tiling, running Karp-Rabin.
 
     starts: ascending places in doc where a run of least words of the item begins.
     Of equally long matches the one first in the item, then in the doc, is marked first.
+
+    For each search length, windows of equal hash that cannot be extended to the
+    left begin a match; its length is found by bisection over the window hashes. The
+    longest match is marked; one that lies partly under tiles is put back as what is
+    left of it. So a repeated word costs a match per place, not per pair of places.
     """
     doc_windows, item_windows = _Windows(doc), _Windows(item)
     doc_marked, item_marked = np.zeros(len(doc) + 1, bool), np.zeros(len(item) + 1, bool)
     doc_marked[-1] = item_marked[-1] = True
-    doc_list, item_list = doc.tolist(), item.tolist()
-    tiles = []
+    tiles, left = [], len(item)
     search = max(least, len(item) // 2)
     while True:
-        places = defaultdict(list)
-        item_starts = np.arange(len(item) - search + 1) if search <= len(item) else np.zeros(0, np.int64)
-        for place, h in zip(item_starts.tolist(), item_windows.of(search, item_starts).tolist()):
-            if not item_marked[place : place + search].any():
-                places[h].append(place)
-        fitting = starts[starts + search <= len(doc)]
-        found = []
-        for at, h in zip(fitting.tolist(), doc_windows.of(search, fitting).tolist()):
-            if h not in places or doc_marked[at : at + search].any():
-                continue
-            for place in places[h]:
-                n = 0
-                while not doc_marked[at + n] and not item_marked[place + n] and doc_list[at + n] == item_list[place + n]:
-                    n += 1
-                if n >= search:
-                    found.append((n, at, place))
-        longest = max(found, default=(0,))[0]
-        if longest > 2 * search:
-            search = longest
-            continue
-        again = False
-        for n, at, place in sorted(found, key=lambda m: (-m[0], m[2], m[1])):
-            if doc_marked[at : at + n].any() or item_marked[place : place + n].any():
-                again = True  # a part of it may still be long enough
+        matches = _matches(doc, item, doc_windows, item_windows, doc_marked, item_marked, starts, search)
+        heapq.heapify(matches)
+        while matches and left >= search:
+            n, place, at = heapq.heappop(matches)
+            n = -n
+            free = ~(doc_marked[at : at + n] | item_marked[place : place + n]) & (doc[at : at + n] == item[place : place + n])
+            if free.all():
+                doc_marked[at : at + n] = item_marked[place : place + n] = True
+                tiles.append((at, place, n))
+                left -= n
                 continue
-            doc_marked[at : at + n] = item_marked[place : place + n] = True
-            tiles.append((at, place, n))
-        if again:
-            continue
-        if search == least:
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], free.astype(np.int8), [0]])))
+            for i, j in zip(edges[0::2].tolist(), edges[1::2].tolist()):
+                if j - i >= search:
+                    heapq.heappush(matches, (i - j, place + i, at + i))
+        if search == least or left < least:
             return tiles
         search = max(least, search // 2)
 
 
+def _matches(doc, item, doc_windows, item_windows, doc_marked, item_marked, starts, search) -> list[tuple[int, int, int]]:
+    """(-words, place in item, place in doc) of matches of at least search unmarked words that no word before them extends."""
+    doc_end, item_end = _next_marked(doc_marked), _next_marked(item_marked)
+    places = np.arange(max(0, len(item) - search + 1))
+    places = places[item_end[places] >= places + search]
+    fitting = starts[starts + search <= len(doc)]
+    fitting = fitting[doc_end[fitting] >= fitting + search]
+    if not len(places) or not len(fitting):
+        return []
+    item_hashes, doc_hashes = item_windows.of(search, places), doc_windows.of(search, fitting)
+    order = np.argsort(doc_hashes, kind="stable")
+    fitting, doc_hashes = fitting[order], doc_hashes[order]
+    first, last = (np.searchsorted(doc_hashes, item_hashes, side).tolist() for side in ("left", "right"))
+    doc_before, doc_begins = _before(doc, doc_marked, fitting)
+    item_before, item_begins = _before(item, item_marked, places)
+    at, of = [], []
+    for i, (x, y) in enumerate(zip(first, last)):
+        if x < y:
+            found = np.arange(x, y) if item_begins[i] else x + np.flatnonzero(doc_begins[x:y] | (doc_before[x:y] != item_before[i]))
+            at.append(fitting[found])
+            of.append(np.full(len(found), places[i]))
+    if not at:
+        return []
+    at, of = np.concatenate(at), np.concatenate(of)
+    low, high = np.full(len(at), search), np.minimum(doc_end[at] - at, item_end[of] - of)
+    while (low < high).any():  # the longest window of equal hash
+        middle = (low + high + 1) // 2
+        equal = doc_windows.of(middle, at) == item_windows.of(middle, of)
+        low, high = np.where(equal, middle, low), np.where(equal, high, middle - 1)
+    return list(zip((-low).tolist(), of.tolist(), at.tolist()))
+
+
 class Items:
-    """A block of test items and the index of their seeds."""
+    """A block of test items and the index of their seeds, in arrays: hash, and the items and places that have it."""
 
     def __init__(self, ids: list[int], texts: list[str], p: Tiling):
         words, bounds = _words(pa.array(texts, pa.string()))
         self.ids, self.p = ids, p
         self.words = [words[bounds[i] : bounds[i + 1]] for i in range(len(ids))]
-        self.index: dict[int, tuple[np.ndarray, np.ndarray, dict]] = {}
+        self.index: dict[int, tuple] = {}
         for length in sorted({min(p.least, len(w)) for w in self.words if len(w)}):
-            where = defaultdict(list)
-            for i, w in enumerate(self.words):
-                if min(p.least, len(w)) == length:
-                    for place, h in enumerate(runs(w, length).tolist()):
-                        where[h].append((i, place))
-            seeds = np.array(sorted(where), np.uint64)
+            own = [i for i, w in enumerate(self.words) if min(p.least, len(w)) == length]
+            hashes = [runs(self.words[i], length) for i in own]
+            item = np.repeat(np.array(own, np.int32), [len(h) for h in hashes])
+            place = np.concatenate([np.arange(len(h), dtype=np.int32) for h in hashes])
+            every = np.concatenate(hashes)
+            order = np.argsort(every, kind="stable")
+            seeds, begins = np.unique(every[order], return_index=True)
             present = np.zeros(1 << FILTER_BITS, bool)
             present[seeds >> np.uint64(64 - FILTER_BITS)] = True
-            self.index[length] = seeds, present, dict(where)
+            self.index[length] = seeds, present, np.append(begins, len(every)), item[order], place[order]
 
     def matches(self, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple]:
         """(text, item, share, tiles) of every text and item with enough coverage."""
-        for length, (seeds, present, where) in self.index.items():
+        for length, (seeds, present, *where) in self.index.items():
             if len(words) < length:
                 continue
             hashes = runs(words, length)
             near = np.flatnonzero(present[hashes >> np.uint64(64 - FILTER_BITS)])
             spot = np.searchsorted(seeds, hashes[near])
             spot[spot == len(seeds)] = 0
-            hits = near[seeds[spot] == hashes[near]]
+            hit = seeds[spot] == hashes[near]
+            hits, spot = near[hit], spot[hit]
             text_of = np.searchsorted(bounds, hits, "right") - 1
             inside = hits + length <= bounds[text_of + 1]
-            hits, text_of = hits[inside], text_of[inside]
+            hits, spot, text_of = hits[inside], spot[inside], text_of[inside]
             for first, last in zip(*_groups(text_of)):
-                text, at = int(text_of[first]), hits[first:last]
+                text = int(text_of[first])
                 doc = words[bounds[text] : bounds[text + 1]]
-                yield from self._of_text(text, doc, at - bounds[text], hashes[at], length, where)
-
-    def _of_text(self, text, doc, starts, hashes, length, where):
-        begins, seen = defaultdict(list), defaultdict(set)
-        for start, h in zip(starts.tolist(), hashes.tolist()):
-            for item, place in where[h]:
-                if not begins[item] or begins[item][-1] != start:
-                    begins[item].append(start)
-                seen[item].add(place)
+                yield from self._of_text(text, doc, hits[first:last] - bounds[text], spot[first:last], length, *where)
+
+    def _of_text(self, text, doc, starts, spots, length, begins, item_of, place_of):
+        order = np.argsort(spots, kind="stable")
+        starts, spots = starts[order], spots[order]
+        begun, seen = defaultdict(list), defaultdict(list)
+        for first, last in zip(*_groups(spots)):  # once per distinct seed
+            at = slice(begins[spots[first]], begins[spots[first] + 1])
+            items, places = item_of[at], place_of[at]
+            for i, j in zip(*_groups(items)):
+                begun[int(items[i])].append(starts[first:last])
+                seen[int(items[i])].append(places[i:j])
         for item in sorted(seen):
             words = self.words[item]
-            under = np.zeros(len(words), bool)
-            for place in seen[item]:
-                under[place : place + length] = True
-            if under.mean() < self.p.coverage:
+            edge = np.zeros(len(words) + 1, np.int64)
+            places = np.concatenate(seen[item])
+            np.add.at(edge, places, 1)
+            np.add.at(edge, places + length, -1)
+            if (np.cumsum(edge[:-1]) > 0).mean() < self.p.coverage:
                 continue
-            tiles = tile(doc, words, np.array(begins[item]), length)
+            tiles = tile(doc, words, np.unique(np.concatenate(begun[item])), length)
             share = sum(n for *_, n in tiles) / len(words)
             if share >= self.p.coverage:
                 yield text, item, share, tiles
@@ -214,7 +254,9 @@ def contaminated(
     ``coverage`` of the item's words; documents that hold no item give no row.
     Texts without words (null, empty, punctuation only) match nothing. An item of
     fewer words than ``least`` must occur whole. Repeated rows of either table
-    give repeated pairs; a null id stays null. Only the id and the text are read.
+    give repeated pairs; a null id stays null. An empty table of either kind gives
+    no rows. A very long text is one portion of a task, held as 8 bytes a word in a few
+    arrays. Only the id and the text are read.
 
     The benchmark is cut into blocks by a hash of its rows, as many as keep a
     block near ``block_bytes``; the documents are scanned once per block.

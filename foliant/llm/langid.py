@@ -37,20 +37,23 @@ class Compression:
     margin: float = 0.005
 
 
-def learn(docs: DataFrame, p: Compression = Compression(), id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
+def learn(docs: DataFrame, p: Compression = Compression(), text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """A dictionary per language of rows with a language and a letter in their text.
 
-    The sample takes whatever rows have the smallest hashes of id and text; its
-    expected size is bounded by the parameters, whatever the size of the table.
+    The sample takes the distinct texts whose hashes lie below a share of their
+    range, so that repeated rows count once; its expected size is bounded by the
+    parameters, whatever the size of the table. There is one dictionary per distinct
+    lang: their number is that of the labels used, which is taken to be small.
     """
-    rows = docs.select(F.col(id).alias("i"), F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("l").isNotNull() & has_letter(F.col("t")))
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    rows = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("l").isNotNull() & has_letter(F.col("t")))
+    hashed = F.xxhash64("t")
+    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.approx_count_distinct(hashed).alias("n")).collect()}
     if not counts:
         return {}
-    place = F.pmod(F.xxhash64("i", "t"), F.lit(1 << 30))
-    share = F.element_at(F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, p.documents / n))]), F.col("l"))
+    place = F.pmod(hashed, F.lit(1 << 30))
+    share = F.element_at(F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, p.documents / max(n, 1)))]), F.col("l"))
     middle = F.greatest(F.lit(1), ((F.length("t") - p.characters) / 2).cast("int"))
-    taken = rows.where(place < share * (1 << 30)).select("l", F.substring("t", middle, F.lit(p.characters)).alias("t")).collect()
+    taken = rows.where(place < share * (1 << 30)).select("l", F.substring("t", middle, F.lit(p.characters)).alias("t"), hashed.alias("h")).distinct().collect()
     texts = defaultdict(list)
     for row in sorted(taken, key=lambda r: (r["l"], r["t"])):
         texts[row["l"]].append(row["t"])
@@ -112,7 +115,7 @@ def identified(docs: DataFrame, model: dict[str, bytes], p: Compression = Compre
     compressed, its letters in lower case, in blocks whose sizes are added up: a
     dictionary saves a bounded number of bytes of what is compressed at once, so
     that the margin of one run over a long text would fall with its length. Rows stay apart, so repeated rows and
-    null ids need no care; other columns are not read.
+    null ids need no care; other columns are not read. An empty table gives no rows.
     """
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), prediction(F.col(text), model, p).alias("p"))
     return rows.select("doc_id", "p.lang_pred", "p.score", rejection(F.col("p"), p).alias("rejected"))
