@@ -1,15 +1,19 @@
 """Quality classifier by co-training of two views.
 
 The text view sees words, beginnings of words and style of the text, the metadata view columns beside
-it. Both start from the same labelled sample; in each round each labels the
-unlabelled documents of which it is surest, for the other to learn from. At the
-end each view is calibrated on labelled documents kept apart, and the calibrated
-odds are combined. Fitting uses a bounded sample; scoring reads every document.
+it. Both start from the same bounded sample of labelled rows; in each round each
+labels, of all unlabelled documents of the table, those of which it is surest, for
+the other to learn from. At the end each view is calibrated on labelled documents
+kept apart, and the calibrated odds are combined.
+
+The texts are turned into features once, and the features written; a round is one
+pass over them, from which each task gives its surest few. What the driver holds
+is bounded by the parameters, whatever the table holds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from foliant.llm.words import NOT_ALPHANUMERIC, mix, portions, signed, text_buffer, word_hashes
 from foliant.session import written
@@ -24,6 +29,10 @@ from foliant.session import written
 FILTER_BITS = 22
 FIGURES = 14
 ROWS = 1024
+#: Groups in which picks of the tasks meet before all do.
+GROUPS = 1000
+#: Bytes of text that a task turns into numbers at once.
+PORTION = 1 << 20
 STEM = 6
 #: How often a term must occur, a column each. A short word is its stem too, so it counts twice.
 LEVELS = (1, 3, 6)
@@ -37,22 +46,20 @@ _SIGN = NOT_ALPHANUMERIC & (_BYTE > 32)
 
 @dataclass(frozen=True)
 class CoTraining:
-    """labelled, unlabelled: documents of the sample, about. words: of the text view,
+    """labelled: documents of the sample, about. words: of the text view,
     each with at least gain, twice the log likelihood ratio, of association with
-    the labels. bins: of a style figure. rounds, share: of the exchange, share of
-    the unlabelled documents that a view may label per round and class.
-    confidence: least probability of a pseudo-label. threshold, highest: a document
+    the labels. bins: of a style figure. rounds, surest: of the exchange, documents
+    that a view may label per round and class. confidence: least probability of a pseudo-label. threshold, highest: a document
     of lower score than the cut is rejected; the cut lies between them, as high as
     the calibration documents allow if no more than a share of lost of the good ones
     may lie below it."""
 
     labelled: int = 12_000
-    unlabelled: int = 6_000
     words: int = 512
     gain: float = 14.0
     bins: int = 10
     rounds: int = 3
-    share: float = 0.05
+    surest: int = 300
     confidence: float = 0.95
     ridge: float = 0.5
     threshold: float = 0.2
@@ -184,7 +191,7 @@ def _binned(style: np.ndarray, edges: np.ndarray) -> np.ndarray:
     out = np.zeros((len(style), style.shape[1], bins), bool)
     for j in range(style.shape[1]):
         out[np.arange(len(style)), j, np.searchsorted(edges[j], style[:, j], "right")] = True
-    return out.reshape(len(style), -1)
+    return out.reshape(len(style), style.shape[1] * bins)
 
 
 META_BINS = 256
@@ -256,29 +263,45 @@ def _calibrate(view: View, x: np.ndarray, y: np.ndarray) -> None:
     view.scale, view.shift = max(a, 0.0), b
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, known: np.ndarray, p: CoTraining) -> tuple[View, View]:
-    """Two views from rows of which those in known have the label y."""
-    views = (text, meta)
-    labels = [np.where(known, y, np.nan) for _ in views]
+Picks = list[tuple[int, np.ndarray, np.ndarray, float]]  # print, features of both views, label
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, surest: Callable[[Sequence[View], Sequence[set]], Sequence[Picks]], p: CoTraining) -> tuple[View, View]:
+    """Two views from rows with labels y and the unlabelled ones that the views label for each other.
+
+    surest(views, taken): for each view the documents it is surest of, without those
+    whose prints are taken, because the other view has them already.
+    """
+    rows: list[list[np.ndarray]] = [[text], [meta]]
+    labels: list[list[np.ndarray]] = [[y], [y]]
+    taken: list[set] = [set(), set()]
     fitted: list[View | None] = [None, None]
     for turn in range(p.rounds + 1):
-        for i, x in enumerate(views):
-            rows = np.flatnonzero(~np.isnan(labels[i]))
-            fitted[i] = fit(x[rows], labels[i][rows], p.ridge, fitted[i])
+        for i in (0, 1):
+            fitted[i] = fit(np.concatenate(rows[i]), np.concatenate(labels[i]), p.ridge, fitted[i])
         if turn == p.rounds:
             break
-        most = max(1, int(p.share * (~known).sum()))
-        for i, x in enumerate(views):
-            open_ = np.flatnonzero(np.isnan(labels[1 - i]))
-            if not len(open_):
-                continue
-            sure = sigmoid(fitted[i].raw(x[open_]))
-            for value, certainty in ((1.0, sure), (0.0, 1 - sure)):
-                best = np.argsort(-certainty, kind="stable")[:most]
-                labels[1 - i][open_[best[certainty[best] >= p.confidence]]] = value
+        for i, picks in enumerate(surest(fitted, (taken[1], taken[0]))):
+            other = 1 - i
+            if picks:
+                rows[other].append(np.stack([pick[1 + other] for pick in picks]))
+                labels[other].append(np.array([pick[3] for pick in picks]))
+                taken[other].update(pick[0] for pick in picks)
     return fitted[0], fitted[1]
 
 
+def best_picks(views: Sequence[View], taken: Sequence[set], prints: np.ndarray, x: Sequence[np.ndarray], p: CoTraining) -> Iterator[tuple[int, float, float, int]]:
+    """(view, label, certainty, place) of the surest of these documents, one per print."""
+    prints, first = np.unique(prints, return_index=True)
+    for i, view in enumerate(views):
+        open_ = first[~np.isin(prints, np.fromiter(taken[i], np.int64, len(taken[i])))]
+        chance = sigmoid(view.raw(x[i][open_]).astype(float))
+        for label, certainty in ((1.0, chance), (0.0, 1 - chance)):
+            order = np.argsort(-certainty, kind="stable")[: p.surest]
+            for k in order[certainty[order] >= p.confidence].tolist():
+                yield i, label, float(certainty[k]), int(open_[k])
+
+
 # Jobs.
 
 
@@ -287,7 +310,7 @@ COUNTS = [f"{kind}{level}" for level in LEVELS for kind in ("good", "bad")]
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many good and bad documents of a task hold each term as often as each level."""
-    for batch in (b.slice(i, j - i) for b in batches for i, j in portions(b.column(0))):
+    for batch in (b.slice(i, j - i) for b in batches for i, j in portions(b.column(0), PORTION)):
         words, bounds, _ = _text(batch.column(0))
         good = np.array(batch.column(1).to_pylist(), bool)
         sets = [np.unique(words[bounds[i] : bounds[i + 1]], return_counts=True) for i in range(len(good))]
@@ -299,46 +322,120 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(signed(of_word)), *map(pa.array, counts)], ["word", *COUNTS])
 
 
+FEATURES = "bins array<int>, words array<int>, style array<double>"
+
+
 def _featurizer(words: np.ndarray):
+    """Features of texts, in place of the first column; the last column is bins."""
+
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Finder(words)
-        for batch in (b.slice(i, j - i) for b in batches for i, j in portions(b.column(0))):
+        for batch in (b.slice(i, j - i) for b in batches for i, j in portions(b.column(0), PORTION)):
             hashes, bounds, style = _text(batch.column(0))
             found = find(hashes, bounds)
-            held = [np.flatnonzero(row).tolist() for row in found]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(1, 4)], pa.array(held, pa.list_(pa.int32())), pa.array(style.tolist(), pa.list_(pa.float64()))],
-                ["good", "apart", "bins", "words", "style"],
-            )
+            row, column = np.nonzero(found)
+            held = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(found) + 1)).astype(np.int32)), pa.array(column.astype(np.int32)))
+            ends = (np.arange(len(style) + 1) * FIGURES).astype(np.int32)
+            columns = [*batch.columns[1:], held, pa.ListArray.from_arrays(pa.array(ends), pa.array(style.ravel()))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[1:], "words", "style"])
 
     return featurize
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The row and the value of every element of a list column."""
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), sizes), pc.list_flatten(column).to_numpy(zero_copy_only=False)
+
+
+def matrices(bins: pa.Array, words: pa.Array, style: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Both views' features of written rows, a column each."""
+    held = np.zeros((len(words), len(LEVELS) * len(model.words)), bool)
+    held[_flat(words)] = True
+    meta = np.zeros((len(bins), len(model.columns) * META_BINS), bool)
+    meta[_flat(bins)] = True
+    figures = _flat(style)[1].reshape(len(style), FIGURES)
+    return np.concatenate([held, _binned(figures, model.edges)], axis=1), meta
+
+
+PICKED = f"view int, label double, certainty double, print bigint, {FEATURES}"
+
+
+def _picker(model: Model, views: Sequence[View], taken: Sequence[set], p: CoTraining):
+    """Each task's surest documents of each view and class."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[int, float], list] = {}
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            prints, features = batch.column(0).to_numpy(), batch.columns[1:4]
+            x = matrices(*features, model)
+            for view, label, certainty, at in best_picks(views, taken, prints, x, p):
+                held = best.setdefault((view, label), [])
+                if len(held) < p.surest or certainty > held[-1][0]:
+                    held.append((certainty, int(prints[at]), [c[at].as_py() for c in features]))
+            for key, held in best.items():
+                firsts = {print_: (-certainty, print_, row) for certainty, print_, row in held}
+                best[key] = [(-c, k, row) for c, k, row in sorted(firsts.values(), key=lambda v: v[:2])[: p.surest]]
+        rows = [(view, label, c, k, *row) for (view, label), held in best.items() for c, k, row in held]
+        if rows:
+            kinds = pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float64())
+            names = ["view", "label", "certainty", "print", "bins", "words", "style"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return pick
+
+
+def _surest(pool: DataFrame, model: Model, p: CoTraining):
+    """``surest`` of ``co_train`` over all rows of a written table of features."""
+
+    def surest(views: Sequence[View], taken: Sequence[set]) -> list[Picks]:
+        listed = pool.mapInArrow(_picker(model, list(views), list(taken), p), PICKED)
+        # A task lists few; the best of these are found per print, per group of prints, and over all.
+        best = listed.withColumn("group", F.pmod(F.xxhash64("print"), F.lit(GROUPS)))
+        for keys, most in ((["group", "print"], 1), (["group"], p.surest), ([], p.surest)):
+            window = W.partitionBy("view", "label", *keys).orderBy(F.desc("certainty"), "print")
+            best = best.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= most)
+        found = best.orderBy("view", "label", "rank").toArrow()
+        x = matrices(*(found.column(c) for c in ("bins", "words", "style")), model)
+        rows = zip(found.column("view").to_pylist(), found.column("print").to_pylist(), *x, found.column("label").to_pylist())
+        picks: list[Picks] = [[], []]
+        for view, *row in rows:
+            picks[view].append(tuple(row))
+        return picks
+
+    return surest
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, p: CoTraining = CoTraining(), id: str = "doc_id", text: str = "text", meta: Sequence[str] = ("source", "lang", "n_chars")
 ) -> Model:
     """Fit both views. labels: (id, good boolean); null ids and labels are left out,
     several labels of one id are decided by the majority, ties as bad.
 
-    The sample takes rows by hashes of their ids, as many as the parameters say.
-    If it has not both classes, the model rejects nothing.
+    The labelled sample takes ids by their hashes, as many as the parameters say,
+    and of several rows of one id a single one, by hash. All rows without a label,
+    those without an id too, can be labelled by the views; rows of equal features
+    count once. If the sample has not both classes, or a table is empty, the model
+    rejects nothing.
     """
     columns = [c for c in meta if c in docs.columns]
     model = Model(np.zeros(0, np.uint64), np.zeros((FIGURES, p.bins - 1)), cut=p.threshold, columns=columns)
     given = labels.where(F.col(id).isNotNull() & F.col("good").isNotNull()).groupBy(F.col(id).cast("bigint").alias("doc_id"))
-    given = given.agg((F.avg(F.col("good").cast("int")) > 0.5).alias("good"))
+    given = written(given.agg((F.avg(F.col("good").cast("int")) > 0.5).alias("good")), "labels")
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    known, total = given.count(), docs.count()
-    if not known or not total:
+    known = given.count()
+    if not known:
         return model
-    chosen = given.where(hashed < min(1.0, p.labelled / known) * (1 << 30))
-    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), meta_bins(docs, columns).alias("bins"))
-    # Both lists of ids are bounded by the parameters.
-    others = rows.select("doc_id").where(hashed < min(1.0, p.unlabelled / total) * (1 << 30)).join(given, "doc_id", "left_anti")
-    ids = written(chosen.unionByName(others.distinct().withColumn("good", F.lit(None).cast("boolean"))), "sampled")
-    sample = written(rows.join(F.broadcast(ids), "doc_id"), "sample")
+    rows = docs.select(F.col(text).alias("text"), F.col(id).cast("bigint").alias("doc_id"), meta_bins(docs, columns).alias("bins"))
+    # The list of ids is bounded by the parameters, and so is what it takes: a row per id.
+    chosen = written(given.where(hashed < min(1.0, p.labelled / known) * (1 << 30)), "sampled")
+    labelled = rows.join(F.broadcast(chosen), "doc_id").withColumn("at", F.xxhash64("text", "bins"))
+    first = written(labelled.groupBy("doc_id").agg(F.min("at").alias("at")), "firsts")
+    sample = written(labelled.join(F.broadcast(first), ["doc_id", "at"]).dropDuplicates(["doc_id"]).select("text", "doc_id", "good", "bins"), "sample")
     apart = F.pmod(F.xxhash64("doc_id", F.lit("apart")), F.lit(5)) == 0
-    taught = sample.where(F.col("good").isNotNull() & ~apart)
+    taught = sample.where(~apart)
     g, b = taught.agg(F.count_if("good"), F.count_if(~F.col("good"))).first()
     if not g or not b:
         return model
@@ -353,26 +450,23 @@ def learn(
     counts = counts.withColumn("gain", F.greatest(*[gain(level) for level in LEVELS])).where(F.col("gain") >= p.gain)
     best = counts.orderBy(F.desc("gain"), "word").limit(p.words)
     model.words = np.array(sorted(r["word"] for r in best.collect()), np.int64).view(np.uint64)
-    features = sample.select("text", "good", apart.alias("apart"), "bins").mapInArrow(
-        _featurizer(model.words), "good boolean, apart boolean, bins array<int>, words array<int>, style array<double>"
-    )
-    got = features.orderBy(F.xxhash64("bins", "words", "style")).toPandas()
-    style = np.array(got["style"].tolist())
-    model.edges = np.quantile(style, np.linspace(0, 1, p.bins + 1)[1:-1], axis=0).T
-    held = np.zeros((len(got), len(LEVELS) * len(model.words)), bool)
-    for i, row in enumerate(got["words"]):
-        held[i, np.asarray(row, int)] = True
-    x = np.concatenate([held, _binned(style, model.edges)], axis=1), _meta([np.asarray(r, int) for r in got["bins"]], len(columns))
-    labelled = got["good"].notna().to_numpy()
-    apart_rows = got["apart"].to_numpy(bool)
-    y = np.array([x is True for x in got["good"]], float)
-    del got, held, style
-    learned, tested = ~(labelled & apart_rows), labelled & apart_rows
-    model.text, model.meta = co_train(x[0][learned], x[1][learned], y[learned], labelled[learned], p)
+    featurize = _featurizer(model.words)
+    got = sample.select("text", "doc_id", "good", apart.alias("apart"), "bins").mapInArrow(featurize, f"doc_id bigint, good boolean, apart boolean, {FEATURES}")
+    got = got.toArrow().sort_by("doc_id")
+    figures = _flat(got.column("style"))[1].reshape(got.num_rows, FIGURES)
+    model.edges = np.quantile(figures, np.linspace(0, 1, p.bins + 1)[1:-1], axis=0).T
+    x = matrices(got.column("bins"), got.column("words"), got.column("style"), model)
+    tested = np.array(got.column("apart").to_pylist(), bool)
+    y = np.array(got.column("good").to_pylist(), float)
+    del got, figures
+    # Rows whose id has a label are left out; the list of labels is broadcast only if it is short.
+    others = rows.mapInArrow(featurize, f"doc_id bigint, {FEATURES}").join(given.select("doc_id"), "doc_id", "left_anti")
+    pool = written(others.select(F.xxhash64("bins", "words", "style").alias("print"), "bins", "words", "style"), "features")
+    model.text, model.meta = co_train(x[0][~tested], x[1][~tested], y[~tested], _surest(pool, model, p), p)
     if tested.any():
         for view, features in zip((model.text, model.meta), x):
             _calibrate(view, features[tested], y[tested])
-    share = (y[labelled].sum() + 1) / (labelled.sum() + 2)
+    share = (y.sum() + 1) / (len(y) + 2)
     model.prior = float(np.log(share / (1 - share)))
     if tested.any():
         odds = sum(view.odds(features[tested]) for view, features in zip((model.text, model.meta), x)) - model.prior
@@ -395,7 +489,7 @@ def chances(docs: DataFrame, model: Model, text: str = "text") -> Column:
         find = Finder(model.words)
         for texts, bins in columns:
             odds = np.zeros((3, len(texts)))
-            for i, j in portions(texts) if model.text is not None else ():
+            for i, j in portions(texts, PORTION) if model.text is not None else ():
                 hashes, bounds, style = _text(texts.slice(i, j - i))
                 odds[0, i:j] = model.text.odds(np.concatenate([find(hashes, bounds), _binned(style, model.edges)], axis=1))
                 odds[1, i:j] = model.meta.odds(_meta(bins.slice(i, j - i).to_pylist(), len(model.columns)))
@@ -414,7 +508,7 @@ def scored(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text"
     that the document is good, by text, by metadata, by both.
 
     A null text counts as empty. Without a fitted model all scores are 0.5 and
-    nothing is rejected. Rows stay apart, so repeated rows and null ids need no
+    nothing is rejected. An empty table gives no rows. Rows stay apart, so repeated rows and null ids need no
     care; columns other than id, text and the model's metadata are not read.
     """
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), chances(docs, model, text).alias("c"))

@@ -565,16 +565,91 @@ def test_quality_hard_cases(spark, hard, empty):
     assert cotrain.scored(bare, cotrain.learn(bare, labels)).count() == len(HARD)
 
 
+def in_memory(x, prints, p):
+    """All rows of a pool in memory, as co_train asks for the surest of them."""
+
+    def surest(views, taken):
+        picks = [[], []]
+        for view, label, _, at in cotrain.best_picks(views, taken, prints, x, p):
+            picks[view].append((int(prints[at]), x[0][at], x[1][at], label))
+        return picks
+
+    return surest
+
+
 def test_views_teach_each_other():
     r = np.random.default_rng(0)
     y = r.integers(0, 2, 600).astype(float)
     views = [(y[:, None] + r.normal(0, 0.35, (600, 3))).astype(np.float32) for _ in range(2)]
-    known = np.arange(600) < 12
-    text, meta = cotrain.co_train(*views, y, known, cotrain.CoTraining(confidence=0.6))
+    p = cotrain.CoTraining(confidence=0.6, surest=30)
+    pool = in_memory([x[12:] for x in views], np.arange(588), p)
+    text, meta = cotrain.co_train(*(x[:12] for x in views), y[:12], pool, p)
     for view, x in zip((text, meta), views):
         assert ((view.raw(x[12:]) > 0) == y[12:]).mean() > 0.93
 
 
+def test_rounds_are_those_of_a_plain_version():
+    """Pseudo-labels by hand: every view names its surest, one per print, for the other to learn from."""
+    r = np.random.default_rng(3)
+    x = [r.random((80, 5)) < 0.5 for _ in range(2)]
+    y = (x[0][:, 0] | x[1][:, 0]).astype(float)
+    prints = np.array([i // 2 for i in range(60)])  # pool of 60 rows, two of each print
+    p = cotrain.CoTraining(rounds=2, surest=4, confidence=0.5)
+    views = cotrain.co_train(x[0][:20], x[1][:20], y[:20], in_memory([v[20:] for v in x], prints, p), p)
+    learned = [([*range(20)], [*y[:20]]) for _ in x]
+    plain = [None, None]
+    for turn in range(p.rounds + 1):
+        plain = [cotrain.fit(x[i][rows], np.array(labels), p.ridge, plain[i]) for i, (rows, labels) in enumerate(learned)]
+        if turn == p.rounds:
+            break
+        chosen = []
+        for i in (0, 1):
+            held = {prints[row - 20] for row in learned[1 - i][0] if row >= 20}
+            free = [20 + k for k in range(60) if prints[k] not in held and k % 2 == 0]
+            chance = {row: 1 / (1 + np.exp(-float(plain[i].raw(x[i][[row]])[0]))) for row in free}
+            for label, sure in ((1.0, chance), (0.0, {k: 1 - v for k, v in chance.items()})):
+                best = sorted(free, key=lambda row: -sure[row])[: p.surest]
+                chosen += [(1 - i, row, label) for row in best if sure[row] >= p.confidence]
+        for other, row, label in chosen:
+            learned[other][0].append(row)
+            learned[other][1].append(label)
+    for view, other in zip(views, plain):
+        assert view.weights == pytest.approx(other.weights, abs=1e-3)
+
+
+def test_fit_is_at_the_least_loss():
+    r = np.random.default_rng(5)
+    x, y = r.random((300, 6)) < 0.4, (r.random(300) < 0.5).astype(float)
+    view = cotrain.fit(x, y, 0.5)
+    full = np.concatenate([x, np.ones((300, 1))], axis=1)
+    slope = full.T @ (1 / (1 + np.exp(-full @ view.weights)) - y) + 0.5 * view.weights
+    assert np.abs(slope).max() < 0.05
+    cotrain._calibrate(view, x, y)
+    raw, target = view.raw(x), np.where(y > 0.5, (y.sum() + 1) / (y.sum() + 2), 1 / (300 - y.sum() + 2))
+    error = 1 / (1 + np.exp(-(view.scale * raw + view.shift))) - target
+    assert abs(error.sum()) < 0.05 and abs((error * raw).sum() + view.scale - 1) < 0.05
+
+
+def test_all_unlabelled_documents_may_be_labelled(spark, monkeypatch):
+    """The rounds see every distinct row without a label, and the driver only a few."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    seen = []
+    plain = cotrain._surest
+
+    def watched(pool, model, p):
+        seen.append(pool.count())
+        inner = plain(pool, model, p)
+        return lambda views, taken: [seen.append([len(x) for x in picks]) or x for picks in [inner(views, taken)] for x in picks]
+
+    monkeypatch.setattr(cotrain, "_surest", watched)
+    p = cotrain.CoTraining(surest=7)
+    model = cotrain.learn(docs.unionByName(docs.limit(3)), queries.good_labels(spark, folder), p)
+    labelled = queries.good_labels(spark, folder).select("doc_id").distinct().count()
+    assert model.text is not None and docs.count() - labelled <= seen[0] <= docs.count() - labelled + 3
+    assert all(n <= 14 for counts in seen[1:] for n in counts)
+
+
 # 9. Language model.
 
 
