@@ -1,17 +1,18 @@
 """Language-model scores from a weighted backoff automaton.
 
-An n-gram model as an automaton: a state per history that the corpus holds, an
-arc per word seen after it, and a failure arc to the state of the empty history
-for any other word. Weights are log10 probabilities smoothed by a Dirichlet
-prior: after h, word w has (c(hw) + mass * p(w)) / (c(h) + mass), so that the
-failure arc of h weighs mass / (c(h) + mass) and every state sums to one.
+An n-gram model as an automaton: a state per history that the corpus holds, up to
+``order`` - 1 words long, an arc per word seen after it, and a failure arc to the
+state of the history without its first word for any other word, down to the empty
+history of the root. Weights are log10 probabilities smoothed by Dirichlet priors:
+after h, word w has (c(hw) + mass * p(w after h without its first word)) / (c(h) + mass),
+so that the failure arc of h weighs mass / (c(h) + mass) and every state sums to one.
 
 The corpus is counted in blocks of documents, dealt out by a hash and as many as
 keep a block near a fixed size. A block sends each n-gram that it holds once,
 with its count there, to the bucket of the n-gram's hash; the bucket returns the
 totals. A block thus gets the part of the automaton that its documents can
 reach, whatever the size of the whole, and walks every document through it once
-from left to right. N-grams travel as sorted arrays in binary rows, byte by
+from left to right: an arc of the state at hand, or failure arcs until one has it. N-grams travel as sorted arrays in binary rows, byte by
 byte, which compresses well. Blocks and buckets grow in number with the corpus,
 not in size; a word of any frequency is one entry per block.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from foliant.llm.words import mix, text_buffer, word_hashes
 
 START, END = (int(x) for x in mix(np.array([0x53, 0x45], np.uint64)))
-WORD, PAIR = 0, 1
+WORD = 1
 CHUNKS = "bucket int, block bigint, kind int, grams binary, counts binary"
 TOTALS = "block bigint, bucket int, kind int, totals binary"
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -37,12 +39,20 @@ SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, trai
 
 @dataclass(frozen=True)
 class Automaton:
-    """mass: weight of the prior, in tokens. half: added to every word's count.
-    block_bytes: of text in a block, about."""
+    """order: words of the longest n-gram. mass: weight of the prior, in tokens, after one word;
+    of every longer history the fall-th part of it, but not less than least. half: added to every
+    word's count. block_bytes: of text in a block, about."""
 
+    order: int = 3
     mass: float = 500.0
+    fall: float = 100.0
+    least: float = 1.0
     half: float = 0.5
-    block_bytes: int = 12 << 20
+    block_bytes: int = 8 << 20
+
+    def prior(self, n: int) -> float:
+        """Of the n-grams of n words, n > 1."""
+        return max(self.least, self.mass / self.fall ** (n - 2)) if n > 2 else self.mass
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -56,29 +66,55 @@ def unpack(x) -> np.ndarray:
 
 
 class Tokens:
-    """The tokens of a block of texts: words and, after each text, one end."""
+    """The tokens of a block of texts, words and, after each text, one end, and their n-grams.
+
+    grams[n] holds the distinct n-grams, of[n] the number of the one that ends at each
+    token, or -1 where the text begins too late. The begin of a text is a history of its
+    own, before the first token.
+    """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, order: int):
         hashes, bounds = word_hashes(*text_buffer(texts))
         n = len(bounds) - 1
-        self.bounds = bounds + np.arange(n + 1)
+        self.order, self.bounds = order, bounds + np.arange(n + 1)
         tokens = np.insert(hashes, bounds[1:], np.uint64(END))
-        before = np.empty_like(tokens)
-        before[1:] = tokens[:-1]
-        before[self.bounds[:-1]] = np.uint64(START)
-        pairs = mix(mix(before) * np.uint64(3) + tokens)
+        self.place = np.arange(len(tokens)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))  # in its text
         # The start of texts is counted as a history only.
-        self.words, self.word_of = np.unique(np.append(tokens, np.uint64(START)), return_inverse=True)
-        self.start = int(self.word_of[-1])
-        self.word_of = self.word_of[:-1]
-        self.pairs, self.pair_of = np.unique(pairs, return_inverse=True)
-
-    def counts(self, taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of words (the start: of texts) and pairs in the texts that are learned from."""
+        self.grams: list[np.ndarray] = [np.zeros(0, np.uint64)]
+        self.of: list[np.ndarray] = [np.zeros(0, np.int32)]
+        words, of = np.unique(np.append(tokens, np.uint64(START)), return_inverse=True)
+        self.start = int(of[-1])
+        self.grams.append(words)
+        self.of.append(of[:-1].astype(np.int32))
+        last = tokens
+        for k in range(2, order + 1):
+            before = np.empty_like(tokens)
+            before[1:] = last[:-1]
+            before[self.bounds[:-1]] = np.uint64(START)
+            last = mix(mix(before) * np.uint64(3) + tokens)
+            held = np.flatnonzero(self.place >= k - 2)
+            grams, where = np.unique(last[held], return_inverse=True)
+            of = np.full(len(tokens), -1, np.int32)
+            of[held] = where
+            self.grams.append(grams)
+            self.of.append(of)
+
+    def counts(self, taught: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(n, n-grams, their counts in the texts that are learned from; of the start: texts)."""
         weight = np.repeat(taught.astype(float), np.diff(self.bounds))
-        words = np.bincount(self.word_of, weight, len(self.words))
-        words[self.start] = taught.sum()
-        return words.astype(np.uint64), np.bincount(self.pair_of, weight, len(self.pairs)).astype(np.uint64)
+        for n in range(1, self.order + 1):
+            held = self.of[n] >= 0
+            counts = np.bincount(self.of[n][held], weight[held], len(self.grams[n]))
+            if n == WORD:
+                counts[self.start] = taught.sum()
+            yield n, self.grams[n], counts.astype(np.uint64)
+
+    def history(self, n: int) -> np.ndarray:
+        """The number of the history that an n-gram at each token continues, among grams[n - 1]; -1: none."""
+        before = np.full(len(self.place), -1, np.int32)
+        before[1:] = self.of[n - 1][:-1]
+        before[self.place == 0] = self.start if n == 2 else -1
+        return before
 
 
 def _slices(grams: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
@@ -97,11 +133,11 @@ def _taught(column: pa.Array) -> np.ndarray:
     return np.array([x is True for x in column.to_pylist()], bool)
 
 
-def _counter(bits: int):
+def _counter(bits: int, order: int):
     def count(key: tuple, block: pa.Table) -> pa.Table:
-        tokens = Tokens(block.column("text"))
+        tokens = Tokens(block.column("text"), order)
         rows = []
-        for kind, grams, counts in zip((WORD, PAIR), (tokens.words, tokens.pairs), tokens.counts(_taught(block.column("taught")))):
+        for kind, grams, counts in tokens.counts(_taught(block.column("taught"))):
             rows += [(b, key[0].as_py(), kind, pack(grams[i:j]), pack(counts[i:j])) for b, i, j in _slices(grams, bits)]
         kinds = pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["bucket", "block", "kind", "grams", "counts"])
@@ -112,10 +148,8 @@ def _counter(bits: int):
 def _merge(bucket: pa.Table) -> pa.Table:
     """The totals of each chunk's n-grams, in the chunk's order."""
     out = []
-    for kind in (WORD, PAIR):
+    for kind in sorted(set(bucket.column("kind").to_pylist())):
         rows = [r for r in zip(*(bucket.column(c) for c in ("block", "bucket", "kind", "grams", "counts"))) if r[2].as_py() == kind]
-        if not rows:
-            continue
         grams = [unpack(r[3].as_buffer()) for r in rows]
         _, place = np.unique(np.concatenate(grams), return_inverse=True)
         counts = np.concatenate([unpack(r[4].as_buffer()) for r in rows]).astype(np.int64)
@@ -155,50 +189,70 @@ def _distinct(bucket: pa.Table) -> pa.Table:
 
 
 class Part:
-    """The part of the automaton that a block's texts can reach: arrays by word and by pair.
+    """The part of the automaton that a block's texts can reach: arrays by n-gram of each length.
 
-    A state is a history: the word before, if the corpus continues it, else the
-    empty history of the root. An arc is found by the number of the pair that it
-    reads; a pair that was not seen has none, and the failure arc is taken.
+    A state is a history that the corpus continues. An arc is found by the number of
+    the n-gram that it reads; an n-gram that was not seen has none, and the failure
+    arc of its history is taken.
     """
 
-    def __init__(self, word_totals: np.ndarray, pair_totals: np.ndarray, tokens: Tokens, n: int, v: int, p: Automaton):
+    def __init__(self, totals: dict[int, np.ndarray], tokens: Tokens, n: int, v: int, p: Automaton):
+        self.tokens, self.order = tokens, p.order
         mass = n + p.half * (v + 1)
-        own = word_totals.astype(float)
+        own = totals[WORD].astype(float)
         if v:
             own[tokens.start] = 0  # never read
             chance = (own + p.half) / mass
         else:
             chance = np.full(len(own), 1.0)
-        self.root = np.log10(chance)  # arcs of the root
-        history = word_totals.astype(float)
-        self.fail = np.log10(p.mass / (history + p.mass))
-        before = np.empty_like(tokens.word_of)
-        before[1:] = tokens.word_of[:-1]
-        before[tokens.bounds[:-1]] = tokens.start
-        first = np.zeros(len(pair_totals), np.int64)  # a place where each pair is read
-        first[tokens.pair_of] = np.arange(len(tokens.pair_of))
-        seen = pair_totals.astype(float)
-        reads, state = tokens.word_of[first], before[first]
-        self.arc = np.where(seen > 0, np.log10((seen + p.mass * chance[reads]) / (history[state] + p.mass)), np.nan)
         self.known = own > 0
-        self.is_state = history > 0
-        self.start = tokens.start
-
-    def walk(self, words: np.ndarray, pairs: np.ndarray) -> float:
+        self.starts = totals[WORD][tokens.start] > 0
+        self.root = np.log10(chance)  # arcs of the root
+        self.arc: dict[int, np.ndarray] = {}  # by n-gram
+        self.fail: dict[int, np.ndarray] = {}  # by history of n - 1 words
+        for k in range(2, p.order + 1):
+            history, of = tokens.history(k), tokens.of[k]
+            held = np.flatnonzero(of >= 0)
+            first = np.zeros(len(totals[k]), np.int64)  # a place where each n-gram is read
+            first[of[held]] = held
+            seen, before = totals[k].astype(float), totals[k - 1].astype(float)
+            chance = (seen + p.prior(k) * chance[tokens.of[k - 1][first]]) / (before[history[first]] + p.prior(k))
+            self.arc[k] = np.where(seen > 0, np.log10(chance), np.nan)
+            self.fail[k] = np.log10(p.prior(k) / (before + p.prior(k)))
+
+    def weights(self, at: slice) -> tuple[list, list, list, list]:
+        """Per token of a text: root arcs, whether the word is a state; per n: arcs, and failure arcs of the histories."""
+        words = self.tokens.of[WORD][at]
+        arcs, fails = [[], []], [[], []]
+        for k in range(2, self.order + 1):
+            of, history = self.tokens.of[k][at], self.histories[k][at]
+            arcs.append(np.where(of >= 0, self.arc[k][of], np.nan).tolist() if len(self.arc[k]) else [np.nan] * len(of))
+            fails.append(np.where(history >= 0, self.fail[k][history], 0.0).tolist())
+        return self.root[words].tolist(), self.known[words].tolist(), arcs, fails
+
+    @cached_property
+    def histories(self) -> dict[int, np.ndarray]:
+        return {k: self.tokens.history(k) for k in range(2, self.order + 1)}
+
+    def walk(self, at: slice) -> float:
         """The weight of one text: from the start state, along arcs and failure arcs, once from left to right."""
-        arcs, roots = self.arc[pairs].tolist(), self.root[words].tolist()
-        states, fails = self.is_state[words].tolist(), self.fail[words].tolist()
-        at_root, leave = not self.is_state[self.start], float(self.fail[self.start])
+        roots, known, arcs, fails = self.weights(at)
+        longest = self.order - 1
+        words = min(longest, 1) if self.starts else 0  # of the state's history
         total = 0.0
-        for arc, root, is_state, fail in zip(arcs, roots, states, fails):
-            if at_root:
-                total += root
-            elif arc == arc:
-                total += arc
+        for i, root in enumerate(roots):
+            n = words + 1
+            while n > 1:
+                arc = arcs[n][i]
+                if arc == arc:
+                    total += arc
+                    break
+                total += fails[n][i]
+                n -= 1
             else:
-                total += leave + root
-            at_root, leave = not is_state, fail
+                total += root
+            # The longest history that ends with this word: what was read, without its first word if it is too long.
+            words = min(n, longest) if n > 1 or known[i] else 0
         return total
 
 
@@ -206,19 +260,20 @@ def _scorer(n: int, v: int, p: Automaton):
     def score(key: tuple, block: pa.Table, totals: pa.Table) -> pa.Table:
         if not block.num_rows:
             return pa.table({name: pa.array([], kind) for name, kind in _KINDS})
-        tokens = Tokens(block.column("text"))
+        tokens = Tokens(block.column("text"), p.order)
         of_kind = {}
-        for kind, grams in ((WORD, tokens.words), (PAIR, tokens.pairs)):
+        for kind in range(1, p.order + 1):
             rows = sorted((r[1].as_py(), r[2]) for r in zip(*(totals.column(c) for c in ("kind", "bucket", "totals"))) if r[0].as_py() == kind)
-            of_kind[kind] = np.concatenate([unpack(x.as_buffer()) for _, x in rows])
-            if len(of_kind[kind]) != len(grams):
+            of_kind[kind] = np.concatenate([np.zeros(0, np.uint64), *(unpack(x.as_buffer()) for _, x in rows)])
+            if len(of_kind[kind]) != len(tokens.grams[kind]):
                 raise RuntimeError("a block's documents have changed between counting and scoring")
-        part = Part(of_kind[WORD], of_kind[PAIR], tokens, n, v, p)
-        known = np.concatenate([[0], np.cumsum(part.known[tokens.word_of])])
-        base = part.root[tokens.word_of]
+        part = Part(of_kind, tokens, n, v, p)
+        words = tokens.of[WORD]
+        known = np.concatenate([[0], np.cumsum(part.known[words])])
+        base = part.root[words]
         scores, bases = [], []
         for i, j in zip(tokens.bounds[:-1].tolist(), tokens.bounds[1:].tolist()):
-            scores.append(part.walk(tokens.word_of[i:j], tokens.pair_of[i:j]))
+            scores.append(part.walk(slice(i, j)))
             bases.append(float(base[i:j].sum()))
         ends = tokens.bounds
         columns = [
@@ -252,10 +307,14 @@ def scored(docs: DataFrame, taught: Column, p: Automaton = Automaton(), id: str
     taught: which rows the model learns from; null counts as false. score is the
     automaton's log10 probability of the row's tokens, base_score that of its
     root alone, n_known the tokens that occur in what was learned. A null or
-    blank text is one end token. Repeated rows are counted and scored each; a
-    null id stays null. If nothing is learned, all scores are 0: the prior has
+    blank text is one end token. Repeated rows are counted and scored each, and
+    those of equal id and text lie in one block; a null id stays null. A very long text
+    is in one block, which then is longer. Other columns are not read, so that clashing
+    names do no harm. If nothing is learned, all scores are 0: the prior has
     one word. An empty table gives no rows.
     """
+    if p.order < 1:
+        raise ValueError("order is at least 1")
     rows = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(taught, F.lit(False)).alias("taught")
     )
@@ -266,5 +325,5 @@ def scored(docs: DataFrame, taught: Column, p: Automaton = Automaton(), id: str
     n, v = counted.groupBy("bucket").applyInArrow(_distinct, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
     # Both uses of the blocks are one exchange of the texts.
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).groupBy("block")
-    totals = dealt.applyInArrow(_counter(bits), CHUNKS).groupBy("bucket").applyInArrow(_merge, TOTALS)
+    totals = dealt.applyInArrow(_counter(bits, p.order), CHUNKS).groupBy("bucket").applyInArrow(_merge, TOTALS)
     return dealt.cogroup(totals.groupBy("block")).applyInArrow(_scorer(n or 0, v or 0, p), SCORES)

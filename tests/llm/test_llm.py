@@ -653,26 +653,31 @@ def test_all_unlabelled_documents_may_be_labelled(spark, monkeypatch):
 # 9. Language model.
 
 
-def scores_by_hand(rows, taught, mass=500.0):
+def scores_by_hand(rows, taught, p=ngram.Automaton()):
     import math
 
     tokens = {id: [*split(t), 0] for id, t in rows.items()}
-    count, pairs, starts = Counter(), Counter(), 0
+    grams = lambda w, n: [tuple([None, *w][i - n + 1 : i + 1]) for i in range(1, len(w) + 1) if i - n + 1 >= 0]
+    count, held = Counter(), Counter()
     for id, w in tokens.items():
         if taught(id):
-            count.update(w)
-            pairs.update(zip([None, *w], w))
-            starts += 1
-    n, v = sum(count.values()), len(count)
-    chance = lambda w: (count[w] + 0.5) / (n + 0.5 * (v + 1))
+            for k in range(1, p.order + 1):
+                count.update(grams(w, k))
+            held.update(g[:-1] for k in range(2, p.order + 1) for g in grams(w, k))
+    n, v = sum(c for g, c in count.items() if len(g) == 1), sum(len(g) == 1 for g in count)
+    base_of = lambda x: (count[(x,)] + 0.5) / (n + 0.5 * (v + 1))
+
+    def chance(g):
+        if len(g) == 1:
+            return base_of(g[0])
+        mass = p.prior(len(g))
+        return (count[g] + mass * chance(g[1:])) / (held[g[:-1]] + mass)
+
     out = {}
     for id, w in tokens.items():
-        base = sum(math.log10(chance(x)) for x in w)
-        score = 0.0
-        for h, x in zip([None, *w], w):
-            c = starts if h is None else count[h]
-            score += math.log10((pairs[h, x] + mass * chance(x)) / (c + mass))
-        out[id] = (not taught(id), len(w), sum(count[x] > 0 for x in w), n, base, score)
+        base = sum(math.log10(base_of(x)) for x in w)
+        score = sum(math.log10(chance(tuple([None, *w][max(0, i - p.order + 1) : i + 1]))) for i in range(1, len(w) + 1))
+        out[id] = (not taught(id), len(w), sum(count[(x,)] > 0 for x in w), n, base, score)
     return out
 
 
@@ -692,10 +697,11 @@ def test_language_model_query(spark, documents):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_language_model_over_many_blocks(spark, documents):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model_over_many_blocks(spark, documents, order):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    rows = ngram.scored(docs, F.col("doc_id") % 2 == 0, ngram.Automaton(block_bytes=20_000)).collect()
-    check_scores(rows, scores_by_hand(documents, lambda id: id % 2 == 0))
+    p = ngram.Automaton(order=order, block_bytes=20_000)
+    check_scores(ngram.scored(docs, F.col("doc_id") % 2 == 0, p).collect(), scores_by_hand(documents, lambda id: id % 2 == 0, p))
 
 
 def test_language_model_hard_cases(hard, empty):
@@ -705,23 +711,34 @@ def test_language_model_hard_cases(hard, empty):
     assert ngram.scored(empty, F.lit(True)).count() == 0
 
 
-def test_states_sum_to_one():
-    texts = pa.array(["a b a c a b", "b a", "c c c"])
-    tokens = ngram.Tokens(texts)
-    counted = tokens.counts(np.ones(3, bool))
-    p = ngram.Automaton(mass=3.0)
-    n, v = int(counted[0].sum()) - 3, len(tokens.words) - 1
-    part = ngram.Part(*counted, tokens, n, v, p)
-    of = {}
-    for i, w in enumerate(tokens.word_of.tolist()):
-        before = tokens.start if i in tokens.bounds else int(tokens.word_of[i - 1])
-        of[before, w] = 10 ** part.arc[tokens.pair_of[i]]
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_states_sum_to_one(order):
+    texts = pa.array(["a b a c a b", "b a", "c c c", "a b a b a b c"])
+    p = ngram.Automaton(order=order, mass=3.0, fall=2.0)
+    tokens = ngram.Tokens(texts, order)
+    totals = {k: counts for k, _, counts in tokens.counts(np.ones(4, bool))}
+    n, v = int(totals[1].sum()) - 4, len(tokens.grams[1]) - 1
+    part = ngram.Part(totals, tokens, n, v, p)
+    arcs, shorter = {}, {}  # of a state (words, number): weights by word, and the state that its failure arc leads to
+    for i, w in enumerate(tokens.of[1].tolist()):
+        for k in range(2, order + 1):
+            if tokens.of[k][i] >= 0:
+                state = (k - 1, int(tokens.history(k)[i]))
+                arcs.setdefault(state, {})[w] = 10 ** part.arc[k][tokens.of[k][i]]
+                shorter[state] = (k - 2, int(tokens.history(k - 1)[i])) if k > 2 else None
     unseen = 0.5 / (n + 0.5 * (v + 1))
-    readable = [w for w in range(len(tokens.words)) if w != tokens.start]
-    for state in {s for s, _ in of}:
-        fail = 10 ** part.fail[state]
-        total = sum(of.get((state, w), fail * 10 ** part.root[w]) for w in readable) + fail * unseen
-        assert total == pytest.approx(1)
+    readable = [w for w in range(len(tokens.grams[1])) if w != tokens.start]
+
+    def weight(state, w):
+        if state is None:
+            return unseen if w is None else 10 ** part.root[w]
+        if w in arcs[state]:
+            return arcs[state][w]
+        return 10 ** part.fail[state[0] + 1][state[1]] * weight(shorter[state], w)
+
+    assert {k for k, _ in arcs} == set(range(1, order))
+    for state in arcs:
+        assert sum(weight(state, w) for w in [*readable, None]) == pytest.approx(1)
 
 
 # 10. Chat.
