@@ -2,12 +2,15 @@
 
 Rows without a source are "not this source". On ``docs`` a delete by source is
 a plain filter; on ``cells`` it is an anti-join by row_key, broadcast when the
-list of victims is small and shuffle-free on a table bucketed by row_key.
+list of victims is small and shuffle-free on a table bucketed by row_key. What a
+delete removes is a ``Doomed``, which ``sources.celltable`` applies to a stored table,
+rewriting only the files that hold such cells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +21,59 @@ from foliant.operators.scan import column_is
 from foliant.operators.sizes import MIB, upper_bin
 
 
+@dataclass(frozen=True)
+class Doomed:
+    """Which cells a delete removes: those that meet the test in rows of the listed
+    keys; no keys means all rows, no test whole rows. A test that is null holds for nothing."""
+
+    keys: DataFrame | None = None
+    test: Column | None = None
+
+    def _tested(self) -> Column:
+        return F.lit(True) if self.test is None else F.coalesce(self.test, F.lit(False))
+
+    def survivors(self, cells: DataFrame) -> DataFrame:
+        if self.keys is None:
+            return cells.where(~self._tested())
+        if self.test is None:
+            return cells.join(self.keys, "row_key", "left_anti")
+        return cells.where(~self._tested()).unionByName(self.hits(cells, "left_anti"))
+
+    def hits(self, cells: DataFrame, how: str = "left_semi") -> DataFrame:
+        """The cells that are removed; as an anti-join, those that the test alone would remove."""
+        found = cells if self.test is None else cells.where(self._tested())
+        return found if self.keys is None else found.join(self.keys, "row_key", how)
+
+
+def doomed_rows(cells: DataFrame, source: str, families: Sequence[str] = ()) -> Doomed:
+    """Rows of a source, or only the named families of them."""
+    return Doomed(source_keys(cells, source), in_families(families) if families else None)
+
+
+def doomed_columns(cells: DataFrame, source: str, family: str = "meta", name_regex: str = "2010.*") -> Doomed:
+    """D3. A null qualifier matches nothing; its cell stays."""
+    return Doomed(source_keys(cells, source), column_is(family) & F.rlike("qualifier", F.lit(f"^(?:{name_regex})$")))
+
+
+def doomed_large_rows(cells: DataFrame, family: str, limit: int = MIB) -> Doomed:
+    """D4."""
+    return Doomed(key_side(cells.where(column_is(family) & (F.octet_length("value") >= limit))))
+
+
+def doomed_column(cells: DataFrame, family: str, qualifier: str | None = None, where: tuple[str, str, str] | None = None) -> Doomed:
+    """D5."""
+    if where is None:
+        return Doomed(test=column_is(family, qualifier))
+    test_family, test_qualifier, value = where
+    rows = cells.where(column_is(test_family, test_qualifier) & (F.col("value") == value))
+    return Doomed(key_side(rows), column_is(family, qualifier))
+
+
+def doomed_numeric_keys() -> Doomed:
+    """D6."""
+    return Doomed(test=F.rlike("row_key", F.lit("^[0-9]+$")))
+
+
 def source_keys(cells: DataFrame, source: str) -> DataFrame:
     return key_side(cells.where(column_is("src", "name") & (F.col("value") == source)))
 
@@ -28,8 +84,8 @@ def _rows(group: str, counter: str, keys: DataFrame) -> DataFrame:
 
 def delete_source_rows(cells: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """D1."""
-    victims = source_keys(cells, source)
-    return cells.join(victims, "row_key", "left_anti"), _rows("rows", "row deleted", victims)
+    doomed = doomed_rows(cells, source)
+    return doomed.survivors(cells), _rows("rows", "row deleted", doomed.keys)
 
 
 def delete_source_docs(docs: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
@@ -41,14 +97,8 @@ def delete_source_docs(docs: DataFrame, source: str) -> tuple[DataFrame, DataFra
 
 def delete_rows(cells: DataFrame, source: str, families: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Rows of a source, or only the named families of them."""
-    victims = source_keys(cells, source)
-    if families:
-        doomed = cells.where(in_families(families))
-        survivors = cells.where(~in_families(families)).unionByName(
-            doomed.join(victims, "row_key", "left_anti")
-        )
-    else:
-        survivors = cells.join(victims, "row_key", "left_anti")
+    doomed = doomed_rows(cells, source, families)
+    survivors, victims = doomed.survivors(cells), doomed.keys
     names = cells.where(column_is("src", "name")).groupBy("value").agg(F.countDistinct("row_key").alias("n"))
     counted = names.select(
         *long_result("rows", F.concat(F.lit("row src ("), "value", F.lit(")")), F.col("n"))
@@ -64,12 +114,8 @@ def delete_columns_matching(
     cells: DataFrame, source: str, family: str = "meta", name_regex: str = "2010.*"
 ) -> tuple[DataFrame, DataFrame]:
     """D3: columns of a family whose whole name matches, for rows of a source."""
-    # A null qualifier matches nothing; its cell stays.
-    matches = F.coalesce(column_is(family) & F.rlike("qualifier", F.lit(f"^(?:{name_regex})$")), F.lit(False))
-    victims = source_keys(cells, source)
-    candidates = cells.where(matches)
-    survivors = cells.where(~matches).unionByName(candidates.join(victims, "row_key", "left_anti"))
-    gone = candidates.select("row_key", "qualifier").join(victims, "row_key", "left_semi")
+    doomed = doomed_columns(cells, source, family, name_regex)
+    survivors, gone = doomed.survivors(cells), doomed.hits(cells.select("row_key", "family", "qualifier"))
     counted = gone.groupBy("qualifier").agg(F.count("*").alias("n")).select(
         *long_result("column deleted", F.col("qualifier"), F.col("n"))
     )
@@ -108,22 +154,15 @@ def delete_column(
     where = (family, qualifier, value) restricts it to rows with that value,
     in whichever family the tested column lies.
     """
-    doomed = F.coalesce(column_is(family, qualifier), F.lit(False))
-    hit = cells.where(doomed)
-    if where is None:
-        survivors, gone = cells.where(~doomed), hit
-    else:
-        test_family, test_qualifier, value = where
-        rows = key_side(cells.where(column_is(test_family, test_qualifier) & (F.col("value") == value)))
-        survivors = cells.where(~doomed).unionByName(hit.join(rows, "row_key", "left_anti"))
-        gone = hit.select("row_key").join(rows, "row_key", "left_semi")
+    doomed = doomed_column(cells, family, qualifier, where)
+    survivors, gone = doomed.survivors(cells), doomed.hits(cells.select("row_key", "family", "qualifier"))
     return survivors, _rows("rows", "row changed", gone)
 
 
 def delete_numeric_keys(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose key is all digits; of cells or docs."""
-    numeric = F.rlike("row_key", F.lit("^[0-9]+$"))
-    return table.where(~numeric), _rows("rows", "row deleted", table.where(numeric).select("row_key"))
+    doomed = doomed_numeric_keys()
+    return doomed.survivors(table), _rows("rows", "row deleted", doomed.hits(table).select("row_key"))
 
 
 def without_annotation_set(docs: DataFrame, name: str) -> DataFrame:

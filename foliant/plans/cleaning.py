@@ -9,6 +9,8 @@ from foliant.plans.profiles import upper_sql
 from foliant.plans.registry import query
 from foliant.plans.scans import CELL, CELL_COLUMNS
 from foliant.plans.tables import CELLS_SQL, cells, docs
+from foliant.session import fresh_path
+from foliant.sources.celltable import CellTable
 
 C = f"WITH {CELLS_SQL}\n"
 
@@ -22,6 +24,34 @@ def delete_source_rows(spark, folder):
     return D.delete_source_rows(cells(spark, folder), "src1")[0].select(*CELL_COLUMNS)
 
 
+def stored(spark, folder) -> CellTable:
+    """The cells as a stored table of many files."""
+    held = CellTable(spark, fresh_path(spark, "table"))
+    held.write(cells(spark, folder))
+    return held
+
+
+@query(
+    "D_stored_deletes",
+    C + f"""SELECT {CELL} FROM cells WHERE row_key NOT IN ({of_source('src1')})
+AND NOT (family IN ('meta', 'text') AND row_key IN ({of_source('src2')}))
+AND NOT (family = 'meta' AND regexp_full_match(qualifier, '2010.*') AND row_key IN ({of_source('src6')}))
+AND row_key NOT IN (SELECT row_key FROM cells WHERE family = 'text' AND strlen(value) >= 8192 AND row_key NOT IN ({of_source('src2')}))
+AND NOT (family = 'meta' AND qualifier = 'translated')""",
+)
+def stored_deletes(spark, folder):
+    """D1 to D5 one after the other on a stored table, each rewriting the files that it touches.
+
+    The large rows are those that still have their text when their turn comes."""
+    held = stored(spark, folder)
+    held.delete(D.doomed_rows(held.cells(), "src1"))
+    held.delete(D.doomed_rows(held.cells(), "src2", ["meta", "text"]))
+    held.delete(D.doomed_columns(held.cells(), "src6"))
+    held.delete(D.doomed_large_rows(held.cells(), "text", 8192))
+    held.delete(D.doomed_column(held.cells(), "meta", "translated"))
+    return held.cells().select(*CELL_COLUMNS)
+
+
 @query(
     "D1_counters", C + f"SELECT 'rows' AS counter_group, 'row deleted' AS counter, count(*) AS n FROM ({of_source('src1')})"
 )

@@ -2,7 +2,7 @@
 
     batch=N/      rows of batch N, replaced if the batch is run again
     snapshot=N/   what all batches up to N come to
-    current/N     the manifest: names the snapshot that is valid
+    current/N     the manifest: names the snapshot that is valid (see ``Versioned``)
 
 A read takes the newest snapshot that the manifest names, and the batches after
 it. Compaction writes such a state as the next snapshot and then names it; until
@@ -12,15 +12,16 @@ Nothing that a reader may have open is changed; ``clear`` removes what is behind
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from foliant.sources.versions import Versioned
 
-class BatchStore:
+
+class BatchStore(Versioned):
     """reduce: the state that rows (schema, batch) come to, in columns of the schema.
 
     It must give the same for parts as for the whole: the rows of a snapshot count as
@@ -28,29 +29,17 @@ class BatchStore:
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, reduce: Callable[[DataFrame], DataFrame]):
-        self.spark, self.path, self.reduce = spark, path.rstrip("/"), reduce
+        super().__init__(spark, path)
+        self.reduce = reduce
         self.schema = StructType(list(schema.fields))
         self.with_batch = StructType(list(schema.fields)).add("batch", LongType())
 
-    # Names in the store; contents never come to the driver.
-
-    def _hadoop(self, name: str = ""):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _numbers(self, folder: str, pattern: str) -> list[int]:
-        system, path = self._hadoop(folder)
-        if not system.exists(path):
-            return []
-        found = (re.fullmatch(pattern, status.getPath().getName()) for status in system.listStatus(path))
-        return sorted(int(m[1]) for m in found if m)
-
     def batches(self) -> list[int]:
-        return self._numbers("", r"batch=(\d+)")
+        return self.numbers("", r"batch=(\d+)")
 
     def snapshot(self) -> int | None:
         """The batch up to which the valid snapshot reaches."""
-        return max(self._numbers("current", r"(\d+)"), default=None)
+        return self.current()
 
     # Rows.
 
@@ -84,15 +73,10 @@ class BatchStore:
         self.state().write.mode("overwrite").parquet(f"{self.path}/snapshot={last}")
         return last
 
-    def name_snapshot(self, number: int) -> None:
-        """Make a snapshot valid: one empty file is created, which is there or not."""
-        system, path = self._hadoop(f"current/{number}")
-        system.create(path, True).close()
-
     def compact(self) -> None:
         number = self.write_snapshot()
         if number is not None:
-            self.name_snapshot(number)
+            self.name(number)
 
     def clear(self) -> None:
         """Remove batches, snapshots and names behind the valid snapshot; for a time when nobody reads them."""
@@ -100,8 +84,7 @@ class BatchStore:
         if held is None:
             return
         behind = [f"batch={n}" for n in self.batches() if n <= held]
-        behind += [f"snapshot={n}" for n in self._numbers("", r"snapshot=(\d+)") if n < held]
-        behind += [f"current/{n}" for n in self._numbers("current", r"(\d+)") if n < held]
+        behind += [f"snapshot={n}" for n in self.numbers("", r"snapshot=(\d+)") if n < held]
+        behind += [f"current/{n}" for n in self.numbers("current", r"(\d+)") if n < held]
         for name in behind:
-            system, path = self._hadoop(name)
-            system.delete(path, True)
+            self.remove(name)

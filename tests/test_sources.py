@@ -501,7 +501,7 @@ def test_compacted_store(spark, cells_of, tmp_path):
     store.compact()
     store.compact()
     store.clear()
-    assert read() == expected and store.batches() == [] and store._numbers("", r"snapshot=(\d+)") == [2]
+    assert read() == expected and store.batches() == [] and store.numbers("", r"snapshot=(\d+)") == [2]
 
 
 def test_counts(spark, tmp_path):

@@ -11,6 +11,7 @@ from foliant.operators import clean, profile, rows, scan, sizes, upsert
 from foliant.operators.rows import join_hot, with_index
 from foliant.operators.scan import ScanSpec
 from foliant.sources import store
+from foliant.sources.celltable import CellTable
 from tests.conftest import counts, table
 
 KEYS = ("row_key",)
@@ -281,6 +282,42 @@ def test_stored_cells_prune_and_join_without_shuffle(spark, small, tmp_path):
         spark.sql("drop table cells_by_key")
 
 
+def test_deletes_rewrite_touched_files_only(spark, tmp_path):
+    cells = spark.range(4000).select(
+        F.lpad(F.col("id").cast("string"), 5, "0").alias("row_key"), F.lit("m").alias("family"), F.lit("a").alias("qualifier"),
+        F.timestamp_seconds("id").alias("ts"), F.col("id").cast("string").alias("value"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        table_ = CellTable(spark, str(tmp_path / "a table"))
+        assert table_.files() == [] and table_.cells().count() == 0
+        table_.write(cells)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    before = table_.files()
+    state = {f: (tmp_path / "a table" / f).stat().st_mtime_ns for f in before}
+    assert len(before) == 20
+    one = clean.Doomed(rows.key_side(spark.createDataFrame([("00777",)], "row_key string")))
+    old = table_.cells()
+    assert table_.delete(one) == (1, 19)
+    after = table_.files()
+    assert len(set(before) & set(after)) == 19 and len(after) == 20
+    assert {f: (tmp_path / "a table" / f).stat().st_mtime_ns for f in set(before) & set(after)}.items() <= state.items()
+    assert table_.cells().count() == 3999 and old.count() == 4000
+    assert table_.delete(one) == (0, 20) and table_.current() == 1
+    # A crash before the name: the files of the next version are no part of the table, and are written again.
+    two = clean.Doomed(test=F.col("value").isin("5", "3999"))
+    table_._add(spark.createDataFrame([], cells.schema), 2)
+    assert table_.cells().count() == 3999
+    assert table_.delete(two)[0] == 2 and keys(table_.cells().where("row_key in ('00005', '00006')")) == ["00006"]
+    # All cells of a file go; nothing is written for it.
+    assert table_.delete(clean.Doomed(test=F.col("row_key") < "00100"))[0] == 1
+    table_.clear()
+    assert table_.cells().count() == 3997 - 99 and table_.numbers("", r"manifest=(\d+)") == [3]
+
+
 def test_docs_selectors_reach_the_file_scan(spark, small, tmp_path):
     path = str(tmp_path / "docs")
     cells_to_docs(small).write.parquet(path)
