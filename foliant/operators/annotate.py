@@ -1,7 +1,9 @@
 """Per-row transforms of docs, chained and chosen by name.
 
 A step is a function ``docs -> docs``; its arguments are keyword arguments.
-Steps only add column expressions, so a chain stays one pass over the table.
+Steps only add column expressions, so a chain stays one pass over the table. A
+step that may fail for a row uses try-expressions and says in ``FAILURES`` when it
+did: such rows leave the chain as rejects, and the job goes on.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.spans import annotation_set, canonical_name, match_spans, set_annotation_set
-from foliant.functions.text import is_blank
+from foliant.functions.text import is_blank, trimmed
 from foliant.model import META_TYPE, SRC_FIELDS, TEXT_FIELDS
 from foliant.operators.rows import computed, long_result
 from foliant.operators.scan import text_status
@@ -67,6 +69,52 @@ def guard(max_chars: int | None, max_bytes: int | None) -> Column:
     return reason
 
 
+FAILED = "struct<step:string,reason:string>"
+
+
+def _flagged_chain(docs: DataFrame, jobs, max_chars: int | None, max_bytes: int | None) -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """Rows with their status; those that enter the chain after its steps, with
+    ``__failed`` and a flag per step; the flags by the steps' names.
+
+    A row that a step fails for goes through the rest, where every step is total,
+    so that one pass makes results and rejects; what later steps do to it is not seen.
+    """
+    rows = computed(docs, "__status", guard(max_chars, max_bytes))
+    kept = rows.where("__status = 'kept'").withColumn("__failed", F.lit(None).cast(FAILED))
+    flags = {}
+    for number, job in enumerate(jobs, 1):
+        name, arguments = (job, {}) if isinstance(job, str) else job
+        label, flag = f"{number} {name}", f"__added{number}"
+        flags[label] = flag
+        if name in FAILURES:
+            reason = FAILURES[name](**arguments)
+            found = F.when(reason.isNotNull(), F.struct(F.lit(label).alias("step"), reason.alias("reason")))
+            kept = kept.withColumn("__failed", F.coalesce("__failed", found))
+        if name in ADDS_BEFORE:
+            kept = kept.withColumn(flag, F.col("__failed").isNull() & ADDS_BEFORE[name](**arguments))
+        kept = run(kept, name, **arguments)
+        if name in ADDS_AFTER:
+            kept = kept.withColumn(flag, F.col("__failed").isNull() & ADDS_AFTER[name](**arguments))
+    return rows, kept, flags
+
+
+def tried_chain(
+    docs: DataFrame, *jobs: str | tuple[str, dict], max_chars: int | None = None, max_bytes: int | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """U2 with its error channel: results, rejects (row_key, step, reason), counters.
+
+    A row leaves at the guard that keeps it out (step ``guard``) or at the first step
+    that fails for it; every other row is a result. Results and rejects together are
+    the input. The counters are those of ``counted_chain``, of rows that completed,
+    and ``row process error`` by step.
+    """
+    rows, kept, flags = _flagged_chain(docs, jobs, max_chars, max_bytes)
+    status, skipped = F.col("__status"), rows.where("__status <> 'kept'")
+    rejects = skipped.select("row_key", F.lit("guard").alias("step"), status.alias("reason"))
+    rejects = rejects.unionByName(kept.where("__failed is not null").select("row_key", "__failed.step", "__failed.reason"))
+    return kept.where("__failed is null").drop("__status", "__failed", *flags.values()), rejects, _chain_counts(rows, kept, flags)
+
+
 def counted_chain(
     docs: DataFrame, *jobs: str | tuple[str, dict], max_chars: int | None = None, max_bytes: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -75,28 +123,25 @@ def counted_chain(
     and per step the rows to which it added something.
 
     The flags are columns of the same pass; the counters are one aggregate over
-    them. An error in a step fails the job, so that no row is counted as failed.
+    them. Rows for which a step fails are left out and counted (see ``tried_chain``).
     """
-    rows = computed(docs, "__status", guard(max_chars, max_bytes))
-    kept, names = rows.where("__status = 'kept'"), []
-    for number, job in enumerate(jobs, 1):
-        name, arguments = (job, {}) if isinstance(job, str) else job
-        names.append(f"{number} {name}")
-        if name in ADDS_BEFORE:
-            kept = kept.withColumn(f"__added{number}", ADDS_BEFORE[name](**arguments))
-        kept = run(kept, name, **arguments)
-        if name in ADDS_AFTER:
-            kept = kept.withColumn(f"__added{number}", ADDS_AFTER[name](**arguments))
-    flags = [f"__added{number}" for number in range(1, len(names) + 1)]
-    sums = kept.agg(F.count("*").alias("n"), *[F.count_if(F.col(f)).alias(f) for f in flags])
+    results, _, counts = tried_chain(docs, *jobs, max_chars=max_chars, max_bytes=max_bytes)
+    return results, counts
+
+
+def _chain_counts(rows: DataFrame, kept: DataFrame, flags: dict[str, str]) -> DataFrame:
+    failed = {name: F.coalesce(F.col("__failed.step") == name, F.lit(False)) for name in flags if name.partition(" ")[2] in FAILURES}
+    errors = {name: f"__failed{number}" for number, name in enumerate(failed)}
+    added = [F.count_if(F.col("__failed").isNull() & F.col(f)).alias(f) for f in flags.values()]
+    sums = kept.agg(F.count_if(F.col("__failed").isNull()).alias("n"), *added, *[F.count_if(failed[k]).alias(c) for k, c in errors.items()])
     entries = [F.struct(F.lit("rows").alias("g"), F.lit("completed").alias("c"), F.col("n").alias("n"))]
-    entries += [F.struct(F.lit("added").alias("g"), F.lit(name).alias("c"), F.col(f).alias("n")) for name, f in zip(names, flags)]
+    entries += [F.struct(F.lit("added").alias("g"), F.lit(name).alias("c"), F.col(f).alias("n")) for name, f in flags.items()]
+    entries += [F.struct(F.lit("row process error").alias("g"), F.lit(name).alias("c"), F.col(c).alias("n")) for name, c in errors.items()]
     done = sums.select(F.inline(F.array(*entries)))
     status = rows.groupBy("__status").agg(F.count("*").alias("n"))
     entered = status.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(*long_result("rows", "started", F.col("n")))
     skipped = status.where("__status <> 'kept'").select(*long_result("rows", F.col("__status"), F.col("n")))
-    counts = entered.unionByName(skipped).unionByName(done.select(*long_result(F.col("g"), F.col("c"), F.col("n"))))
-    return kept.drop("__status", *flags), counts
+    return entered.unionByName(skipped).unionByName(done.select(*long_result(F.col("g"), F.col("c"), F.col("n"))))
 
 
 def field_value(field: str) -> Column:
@@ -212,11 +257,43 @@ def drop_annotations(docs: DataFrame, set: str) -> DataFrame:
     return without_annotation_set(docs, set)
 
 
+@step("number")
+def number_field(docs: DataFrame, source: str, target: str) -> DataFrame:
+    """Store a field that holds a number in one notation; fails for any other text that is not blank."""
+    return add_field(docs, target, _number(source).cast("string"))
+
+
+@step("date")
+def date_field(docs: DataFrame, source: str, target: str, format: str = "yyyy-MM-dd") -> DataFrame:
+    """Store a field that holds a date as an ISO date; fails for any other text that is not blank."""
+    return add_field(docs, target, F.date_format(F.try_to_timestamp(trimmed(field_value(source)), F.lit(format)), "yyyy-MM-dd"))
+
+
+def _number(source: str) -> Column:
+    return trimmed(field_value(source)).try_cast("decimal(38,6)")
+
+
+def _unread(kind: str, source: str, value: Column) -> Column:
+    """Why a field that is not blank has no value; null if it has."""
+    text = field_value(source)
+    return F.when(~is_blank(text) & value.isNull(), F.concat(F.lit(f"no {kind} in {source}: "), F.substring(text, 1, 40)))
+
+
+# Why a step fails for a row, null if it does not. A step that is not listed fails for none: its
+# expressions are total.
+FAILURES: dict[str, Callable[..., Column]] = {
+    "number": lambda source, target: _unread("number", source, _number(source)),
+    "date": lambda source, target, format="yyyy-MM-dd": _unread(
+        "date", source, F.try_to_timestamp(trimmed(field_value(source)), F.lit(format))
+    ),
+}
 # Whether a step adds something to a row: seen before it runs, or after.
 ADDS_BEFORE: dict[str, Callable[..., Column]] = {
     "title": lambda: ~is_blank(F.substring_index(F.col("text.raw"), "\n", 1)),
     "copy": lambda source, target: ~is_blank(field_value(source)),
     "count": lambda set, field: F.lit(True),
+    "number": lambda source, target: _number(source).isNotNull(),
+    "date": lambda source, target, format="yyyy-MM-dd": ~is_blank(field_value(source)),
     "drop": lambda set: F.map_contains_key(F.col("annotations"), F.lit(set)),
 }
 ADDS_AFTER: dict[str, Callable[..., Column]] = {

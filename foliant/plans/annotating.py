@@ -78,6 +78,45 @@ def guarded_chain(spark, folder):
     return found.select("row_key", F.col("text.title").alias("title"))
 
 
+# The section is a language, or none.
+_FAILING = (
+    ("number", {"source": "src:id", "target": "number"}),
+    ("number", {"source": "meta:OnlineSection", "target": "section"}),
+    "title",
+)
+_FATE = f"""WITH r AS (SELECT {KEY}, doc_id, CASE
+  WHEN length(text) = 0 THEN 'guard' WHEN length(text) > {_LIMIT} THEN 'guard' WHEN lang <> 'es' THEN '2 number' END AS step, CASE
+  WHEN length(text) = 0 THEN 'skip -- no raw text' WHEN length(text) > {_LIMIT} THEN 'skip -- raw text too long ({_LIMIT})'
+  WHEN lang <> 'es' THEN 'no number in meta:OnlineSection: ' || lang END AS reason FROM documents)
+"""
+
+
+def failing_chain(spark, folder):
+    return U.tried_chain(spread(docs(spark, folder), "row_key"), *_FAILING, max_chars=_LIMIT)
+
+
+@query("U2_rejected_rows", _FATE + "SELECT row_key, step, reason FROM r WHERE step IS NOT NULL")
+def rejected_rows(spark, folder):
+    return failing_chain(spark, folder)[1]
+
+
+@query("U2_rows_or_rejects", _FATE + "SELECT row_key, step IS NOT NULL AS rejected, CASE WHEN step IS NULL THEN CAST(doc_id AS VARCHAR) || '.000000' END AS number FROM r")
+def rows_or_rejects(spark, folder):
+    """Every row is a result or a reject."""
+    results, rejects, _ = failing_chain(spark, folder)
+    kept = results.select("row_key", F.lit(False).alias("rejected"), F.col("meta")["number"].alias("number"))
+    return kept.unionByName(rejects.select("row_key", F.lit(True).alias("rejected"), F.lit(None).cast("string").alias("number")))
+
+
+@query(
+    "U2_error_counters",
+    _FATE + """SELECT 'row process error' AS counter_group, s AS counter, count(step) AS n FROM unnest(['1 number', '2 number']) AS u(s)
+LEFT JOIN r ON r.step = s GROUP BY s""",
+)
+def error_counters(spark, folder):
+    return failing_chain(spark, folder)[2].where("counter_group = 'row process error'")
+
+
 @query("U3_run_by_name", f"SELECT {KEY}, split_part(text, chr(10), 1) AS title FROM documents")
 def run_by_name(spark, folder):
     return U.run(docs(spark, folder), "title", families=["text"]).select("row_key", F.col("text.title").alias("title"))

@@ -407,6 +407,26 @@ def test_chain(annotated):
     assert same == {"kept": "x"}
 
 
+def test_rows_that_a_step_fails_for(docs_of):
+    docs = docs_of(("a", "NYT", "12.50"), ("b", "NYT", "x y"), ("c", "AP", " "), ("d", "AP", None), ("e", "AP", "2024-02-30"), ("f", "AP", "7\nmore"), ("g", "AP", "2024-02-03"))
+    jobs = ("title", ("copy", {"source": "text:title", "target": "t"}), ("number", {"source": "t", "target": "n"}), ("date", {"source": "text:title", "target": "day"}))
+    results, rejects, counted = annotate.tried_chain(docs, *jobs)
+    assert table(rejects) == [
+        ("a", "4 date", "no date in text:title: 12.50"), ("b", "3 number", "no number in t: x y"), ("e", "3 number", "no number in t: 2024-02-30"),
+        ("f", "4 date", "no date in text:title: 7"), ("g", "3 number", "no number in t: 2024-02-03"),
+    ]
+    assert table(results, "row_key") == [("c",), ("d",)] and results.columns == docs.columns
+    found = counts(counted)
+    assert found[("rows", "started")] == 7 and found[("rows", "completed")] == 2 and found[("added", "1 title")] == 0
+    assert found[("row process error", "3 number")] == 3 and found[("row process error", "4 date")] == 2
+    # The date alone: an impossible day is a reject, not an error of the job.
+    dates, failed, _ = annotate.tried_chain(docs, ("date", {"source": "text:raw", "target": "day"}), max_chars=9)
+    assert table(failed, "row_key", "step") == [("a", "1 date"), ("b", "1 date"), ("d", "guard"), ("e", "guard"), ("f", "1 date"), ("g", "guard")]
+    assert table(dates, "row_key") == [("c",)]
+    good = annotate.tried_chain(docs.where("row_key = 'g'"), jobs[0], jobs[3])[0].first()
+    assert good["meta"]["day"] == "2024-02-03"
+
+
 def test_parse_types(annotated):
     both = annotated.where("row_key != 'd3'").withColumn(
         "annotations", F.map_concat("annotations", F.create_map(F.lit("parse"), F.col("annotations")["ne"]))
