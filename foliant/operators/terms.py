@@ -57,7 +57,7 @@ def _numbered(terms: DataFrame, first_id: Column | int) -> DataFrame:
     return ordered.select((F.col("idx") + first_id).cast("bigint").alias("term_id"), "term", "surface")
 
 
-def _first_seen(terms: DataFrame) -> DataFrame:
+def first_seen(terms: DataFrame) -> DataFrame:
     """(term, place, surface): one row per term, with the place and form where it is first seen.
 
     A place is one number: the rank of the document's key, then the position in
@@ -80,7 +80,7 @@ def build_dictionary(terms: DataFrame) -> DataFrame:
 
     terms: a table as ``document_terms`` writes it; it is read twice.
     """
-    return written(_numbered(_first_seen(terms), 0), "dictionary")
+    return written(_numbered(first_seen(terms), 0), "dictionary")
 
 
 def next_id(dictionary: DataFrame) -> int:
@@ -90,7 +90,7 @@ def next_id(dictionary: DataFrame) -> int:
 
 def grow_dictionary(dictionary: DataFrame, terms: DataFrame) -> DataFrame:
     """V4: known terms keep their ids, new ones follow the highest id."""
-    new = _first_seen(terms).join(dictionary.select("term"), "term", "left_anti")
+    new = first_seen(terms).join(dictionary.select("term"), "term", "left_anti")
     return dictionary.select(*DICTIONARY_COLUMNS).unionByName(_numbered(new, next_id(dictionary)))
 
 

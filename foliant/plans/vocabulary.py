@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from foliant.operators import terms as V
@@ -9,6 +11,7 @@ from foliant.plans.registry import query
 from foliant.plans.tables import DICTIONARY_SQL, TOKENS_SQL, TURN_TOKENS_SQL, conversation_docs, docs, table
 from foliant.session import fresh_path, written
 from foliant.sources import store
+from foliant.sources.dictionary import StoredDictionary
 
 D = f"WITH {DICTIONARY_SQL}\n"
 PAIRS = "string_agg(CAST(term_id AS VARCHAR) || ':' || CAST(n AS VARCHAR), chr(9) ORDER BY term_id)"
@@ -150,6 +153,29 @@ def merged_dictionary(spark, folder):
     return merge(spark, folder)[0].select("term_id", "term")
 
 
+def stored_dictionary(spark, folder) -> StoredDictionary:
+    """The dictionary of the documents as a table bucketed by term, in the run folder."""
+    name = f"dictionary_{uuid.uuid4().hex}"
+    return StoredDictionary.create(corpus_dictionary(spark, folder), name, 8, fresh_path(spark, name))
+
+
+@query(
+    "V4_grow_stored",
+    _GROWN + """SELECT term_id, term, surface FROM dictionary
+UNION ALL SELECT (SELECT max(term_id) + 1 FROM dictionary) + row_number() OVER (ORDER BY row_key, pos) - 1, term, surface
+FROM fresh WHERE k = 1""",
+)
+def grow_stored(spark, folder):
+    held = stored_dictionary(spark, folder)
+    held.grow(turn_terms(spark, folder))
+    return held.rows()
+
+
+@query("V6_merge_stored", _MERGE + "SELECT o.old_id, m.term_id AS new_id FROM other o JOIN merged m USING (term)")
+def merge_stored(spark, folder):
+    return stored_dictionary(spark, folder).merge(V.build_dictionary(turn_terms(spark, folder)))
+
+
 @query(
     "V7_insert_fixed",
     D + """SELECT term_id, term FROM dictionary

@@ -15,7 +15,9 @@ from foliant.functions.spans import match_spans, set_annotation_set
 from foliant.model import docs_to_cells, empty_annotations, meta_map, src_struct, text_struct
 from foliant.operators import annotate, newsxml, profile, terms
 from foliant.operators.upsert import newest
+from foliant.session import written
 from foliant.sources import archives, feeds, files, store
+from foliant.sources.dictionary import StoredDictionary
 from foliant.streaming import intake
 from tests.conftest import counts, table
 
@@ -338,7 +340,7 @@ def test_terms_are_counted_by_hash_aggregates(spark, docs_of):
     held = {(r["row_key"], v["term_id"]): v["count"] for r in vectors.collect() for v in r["vector"]}
     assert held == {(k, ids[t]): n for (k, t), n in counts.items()}
     frequencies = terms.term_frequencies(docs, ["b"])
-    for frame in (terms._first_seen(found), vectors, frequencies, terms.grow_dictionary(dictionary, found)):
+    for frame in (terms.first_seen(found), vectors, frequencies, terms.grow_dictionary(dictionary, found)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "HashAggregate" in plan and "SortAggregate" not in plan
     rows = sorted((r["row_key"], r["term_id"], r["term"], r["n"]) for r in frequencies.collect())
@@ -372,6 +374,40 @@ def test_dictionary_life(spark, annotated, tmp_path):
     assert table(back, "term_id", "term") == table(grown, "term_id", "term")
 
 
+def below(plan, what):
+    """The subtrees of a plan's lines that hold what."""
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if what in line:
+            inner = next((k for k in range(i + 1, len(lines)) if depth(lines[k]) <= depth(line)), len(lines))
+            yield "\n".join(lines[i:inner])
+
+
+def test_stored_dictionary_stays_in_place(spark, annotated, tmp_path):
+    spark.sql("drop table if exists words_by_term")
+    start = terms.build_dictionary(terms.document_terms(annotated.where("row_key = 'd1'")))
+    held = StoredDictionary.create(start, "words_by_term", 4, str(tmp_path / "d"))
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "d").glob("*.parquet")}
+    more = terms.document_terms(annotated)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        words = spark.createDataFrame([("THE",), ("nothing",), ("York",)] * 3, "text string")
+        for frame in (held.unknown(written(terms.first_seen(more), "seen")), held.lookup(words)):
+            assert "Bucketed: true" in plan_of(frame) and not any("Bucketed: true" in x for x in below(plan_of(frame), "Exchange hashpartitioning"))
+        assert table(held.lookup(words).distinct()) == [("THE", 0), ("York", 2), ("nothing", -1)]
+        held.grow(more)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert table(held.rows(), "term_id", "term") == table(terms.grow_dictionary(start, more), "term_id", "term")
+    assert all(f.exists() and f.stat().st_mtime_ns == t for f, t in files.items())
+    held.grow(more)
+    assert held.rows().count() == 8
+    other = spark.createDataFrame([(0, "times", "times"), (1, "abc", "abc"), (2, "ABC", "ABC")], "term_id long, term string, surface string")
+    assert table(held.merge(other)) == [(0, 3), (1, 8), (2, 8)] and held.rows().count() == 9
+    spark.sql("drop table words_by_term")
+
+
 def test_matrix(annotated, tmp_path, spark):
     fields = F.create_map(*[F.lit(x) for f in terms.MATRIX_FIELDS for x in (f, f[:3])])
     docs = annotated.withColumn("meta", F.when(F.col("row_key") != "d1", fields).otherwise(F.col("meta")))
