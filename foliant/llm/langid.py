@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliant.llm.words import portions
+
 UNDETERMINED = "und"
 #: Without it a short text is stored as it is, since packing it saves nothing.
 TAIL = b" " * 256
@@ -83,7 +85,8 @@ def prediction(text: Column, model: dict[str, bytes], p: Compression = Compressi
         compressors = [compressor(content) for content in model.values()]
         for has, texts in columns:
             names, scores = [], []
-            for letters, text in zip(has.to_pylist(), letters_only(texts)):
+            lowered = (text for i, j in portions(texts) for text in letters_only(texts.slice(i, j - i)))
+            for letters, text in zip(has.to_pylist(), lowered):
                 if not letters or not languages:
                     names.append(UNDETERMINED)
                     scores.append(0.0)

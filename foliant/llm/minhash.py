@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm.graph import components
-from foliant.llm.words import mix, runs, signed, text_buffer, word_hashes
+from foliant.llm.words import mix, portions, runs, signed, text_buffer, word_hashes
 from foliant.session import written
 
 WIDTH = 4096
@@ -95,11 +95,18 @@ def _lists(rows: np.ndarray, present: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows[present].ravel()))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (id, text) of a few MB of text."""
+    for batch in batches:
+        for i, j in portions(batch.column(1)):
+            yield batch.slice(i, j - i)
+
+
 def _signer(p: NearDuplicates):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = p.functions(p.minima, p.seed)
         places = mix(np.arange(1, p.minima + 1, dtype=np.uint64)).reshape(p.bands, p.rows) | np.uint64(1)
-        for batch in batches:
+        for batch in _parts(batches):
             hashes, bounds = word_hashes(*text_buffer(batch.column(1)))
             n = batch.num_rows
             sizes, keys = np.zeros(n, np.int64), np.zeros((n, 2), np.int64)
@@ -169,7 +176,7 @@ def _widener(p: NearDuplicates):
 
 def _set_maker(p: NearDuplicates):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             hashes, bounds = word_hashes(*text_buffer(batch.column(1)))
             found = [np.unique(runs(hashes[bounds[i] : bounds[i + 1]], p.words)).tobytes() for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
@@ -204,7 +211,8 @@ def near_duplicates(docs: DataFrame, p: NearDuplicates = NearDuplicates(), id: s
     sets. A null or blank text has an empty set and is linked with nothing. Rows
     with one id are one document: its links are those of all its texts. A row
     whose id is null is its own group: component_id null, kept true. Other
-    columns are not read. An empty table gives an empty result.
+    columns are not read. An empty table gives an empty result. A very long text is
+    a portion of a task alone, held as 8 bytes a word in a few arrays.
     """
     signed_docs = written(signatures(docs, p, id, text), "signatures")
     known = signed_docs.where("n_shingles > 0 and doc_id is not null")
