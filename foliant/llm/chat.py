@@ -155,8 +155,8 @@ def formatted(
     roles that are not learned. Turns are ordered by turn, then role and text;
     null turns come first, repeated rows stay. A null text or role is empty. Rows
     whose conversation is null form one conversation. A conversation is streamed
-    through its task in batches, so it may be longer than memory; other columns
-    are not read.
+    through its task in batches, so it may be longer than memory; a single turn is
+    held whole. An empty table gives no rows; other columns are not read.
     """
     rows = turns.select(
         F.col(conv).cast("bigint").alias("conv_id"),

@@ -170,7 +170,8 @@ def packed(docs: DataFrame, p: Packing, id: str = "doc_id", text: str = "text")
     Every id of every document, and the id that closes it, lies in exactly one
     piece. A null or empty text is its closing id alone. Repeated rows are packed
     each; a null id stays null; an empty table gives no rows. Sequence ids are
-    unique but not dense. Only the id and the text are read.
+    unique but not dense. A very long text is encoded whole by its task, and gives a
+    row per sequence. Only the id and the text are read.
     """
     sources = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     # Window numbers hold the task's number: written once, so that they cannot change.

@@ -115,7 +115,8 @@ def judged(pages: DataFrame, rules: Sequence[Rule], p: UrlModel = UrlModel(), id
     least the threshold. A null address counts as empty: only its end is scored.
     Addresses count as often as rows hold them; repeated rows and null ids are
     judged alike. Without accepted or without rejected addresses the threshold is
-    0. Columns other than the id and the address are not read.
+    0. An empty table gives no rows. A very long address has a row per character,
+    added up before the shuffle. Columns other than the id and the address are not read.
     """
     rows = pages.select(F.col(id).cast("bigint").alias("page_id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"))
     host, path = url_host(F.col("url")), url_path(F.col("url"))

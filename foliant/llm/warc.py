@@ -208,8 +208,10 @@ def archived(pages: DataFrame, folder: str, p: Bundles = Bundles(), id: str = "p
     no row of that payload has an id. An empty table writes no file. Other columns
     are not read.
 
-    Payloads do not move: ids and digests alone are grouped, and the rows that
-    become revisits are found by id.
+    Ids and digests alone are grouped, and the rows that become revisits are found by
+    id: payloads do not move while that list is short enough to be broadcast, and are
+    joined with it beyond. A very long payload is a frame of its own, and is held
+    once by the task that writes it.
     """
     rows = pages.select(F.col(id).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).alias("html"))
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
