@@ -25,6 +25,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ from foliant.llm.words import mix, text_buffer, word_hashes
 
 START, END = (int(x) for x in mix(np.array([0x53, 0x45], np.uint64)))
 WORD = 1
+#: The bits of a hash by which n-grams of several words are told apart: 56.
+SENT = np.uint64((1 << 64) - (1 << 8))
 CHUNKS = "bucket int, block bigint, kind int, grams binary, counts binary"
 TOTALS = "block bigint, bucket int, kind int, totals binary"
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -56,12 +59,13 @@ class Automaton:
 
 
 def pack(x: np.ndarray) -> bytes:
-    """64-bit numbers as planes of bytes: those that hardly change lie together."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers as planes of bytes, those that hardly change together, compressed."""
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def unpack(x) -> np.ndarray:
-    planes = np.frombuffer(x, np.uint8).reshape(8, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
 
 
@@ -93,7 +97,7 @@ class Tokens:
             before[self.bounds[:-1]] = np.uint64(START)
             last = mix(mix(before) * np.uint64(3) + tokens)
             held = np.flatnonzero(self.place >= k - 2)
-            grams, where = np.unique(last[held], return_inverse=True)
+            grams, where = np.unique(last[held] & SENT, return_inverse=True)
             of = np.full(len(tokens), -1, np.int32)
             of[held] = where
             self.grams.append(grams)
@@ -117,6 +121,19 @@ class Tokens:
         return before
 
 
+def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches whose texts, the second column, are compressed."""
+    compress = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        texts = pa.array([compress(x.as_buffer()) for x in batch.column(1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), texts, *batch.columns[2:]], batch.schema.names)
+
+
+def _texts(column: pa.ChunkedArray) -> pa.Array:
+    decompress = zstandard.ZstdDecompressor().decompress
+    return pa.array([decompress(x.as_buffer()) for x in column], pa.large_binary()).cast(pa.large_string())
+
+
 def _slices(grams: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     """(bucket, from, to) of sorted hashes, by their highest bits."""
     if not len(grams):
@@ -135,7 +152,7 @@ def _taught(column: pa.Array) -> np.ndarray:
 
 def _counter(bits: int, order: int):
     def count(key: tuple, block: pa.Table) -> pa.Table:
-        tokens = Tokens(block.column("text"), order)
+        tokens = Tokens(_texts(block.column("text")), order)
         rows = []
         for kind, grams, counts in tokens.counts(_taught(block.column("taught"))):
             rows += [(b, key[0].as_py(), kind, pack(grams[i:j]), pack(counts[i:j])) for b, i, j in _slices(grams, bits)]
@@ -260,7 +277,7 @@ def _scorer(n: int, v: int, p: Automaton):
     def score(key: tuple, block: pa.Table, totals: pa.Table) -> pa.Table:
         if not block.num_rows:
             return pa.table({name: pa.array([], kind) for name, kind in _KINDS})
-        tokens = Tokens(block.column("text"), p.order)
+        tokens = Tokens(_texts(block.column("text")), p.order)
         of_kind = {}
         for kind in range(1, p.order + 1):
             rows = sorted((r[1].as_py(), r[2]) for r in zip(*(totals.column(c) for c in ("kind", "bucket", "totals"))) if r[0].as_py() == kind)
@@ -324,6 +341,7 @@ def scored(docs: DataFrame, taught: Column, p: Automaton = Automaton(), id: str
     counted = rows.where("taught").select("text").mapInArrow(_vocabulary(bits), "bucket int, n bigint, grams binary")
     n, v = counted.groupBy("bucket").applyInArrow(_distinct, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
     # Both uses of the blocks are one exchange of the texts.
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).groupBy("block")
+    placed = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    dealt = placed.mapInArrow(_pressed, "doc_id bigint, text binary, taught boolean, block bigint").groupBy("block")
     totals = dealt.applyInArrow(_counter(bits, p.order), CHUNKS).groupBy("bucket").applyInArrow(_merge, TOTALS)
     return dealt.cogroup(totals.groupBy("block")).applyInArrow(_scorer(n or 0, v or 0, p), SCORES)
