@@ -32,7 +32,7 @@ def transform(spark, folder):
   CAST(len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+')) AS VARCHAR) AS n_tokens, 'names' AS sets FROM documents""",
 )
 def chain(spark, folder):
-    out = U.chain(spread(docs(spark, folder), "row_key"), *_CHAIN)
+    out = U.chain(spread(docs(spark, folder), "row_key", "text.raw"), *_CHAIN)
     return out.select(
         "row_key",
         F.col("text.title").alias("title"),
@@ -66,7 +66,7 @@ UNION ALL SELECT 'added', unnest(['1 title', '2 copy', '3 matches', '4 count', '
 )
 def chain_counters(spark, folder):
     """Counters and size guards of the same chain."""
-    return U.counted_chain(spread(docs(spark, folder), "row_key"), *_CHAIN, max_chars=_LIMIT, max_bytes=1 << 20)[1]
+    return U.counted_chain(spread(docs(spark, folder), "row_key", "text.raw"), *_CHAIN, max_chars=_LIMIT, max_bytes=1 << 20)[1]
 
 
 @query(
@@ -74,7 +74,7 @@ def chain_counters(spark, folder):
     f"""SELECT {KEY}, split_part(text, chr(10), 1) AS title FROM documents WHERE length(text) BETWEEN 1 AND {_LIMIT}""",
 )
 def guarded_chain(spark, folder):
-    found = U.counted_chain(spread(docs(spark, folder), "row_key"), *_CHAIN, max_chars=_LIMIT, max_bytes=1 << 20)[0]
+    found = U.counted_chain(spread(docs(spark, folder), "row_key", "text.raw"), *_CHAIN, max_chars=_LIMIT, max_bytes=1 << 20)[0]
     return found.select("row_key", F.col("text.title").alias("title"))
 
 
@@ -92,7 +92,7 @@ _FATE = f"""WITH r AS (SELECT {KEY}, doc_id, CASE
 
 
 def failing_chain(spark, folder):
-    return U.tried_chain(spread(docs(spark, folder), "row_key"), *_FAILING, max_chars=_LIMIT)
+    return U.tried_chain(spread(docs(spark, folder), "row_key", "text.raw"), *_FAILING, max_chars=_LIMIT)
 
 
 @query("U2_rejected_rows", _FATE + "SELECT row_key, step, reason FROM r WHERE step IS NOT NULL")
@@ -187,7 +187,7 @@ def row_keys(spark, folder):
     rf"SELECT row_key, spans FROM {span_list_sql(r'\p{Lu}')}",
 )
 def step_arguments(spark, folder):
-    out = U.chain(spread(docs(spark, folder), "row_key"), ("matches", {"set": "capital", "pattern": r"\p{Lu}", "type": "letter"}))
+    out = U.chain(spread(docs(spark, folder), "row_key", "text.raw"), ("matches", {"set": "capital", "pattern": r"\p{Lu}", "type": "letter"}))
     return out.select("row_key", span_list(P.annotation_set("capital")).alias("spans"))
 
 

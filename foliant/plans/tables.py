@@ -20,12 +20,21 @@ CAPITAL = r"\p{Lu}\p{L}*"
 EPOCH_2024 = 1704067200
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+#: Bytes of text that a task is dealt, about, and what a row counts beside its text.
+TASK_BYTES = 8 << 20
+ROW_BYTES = 64
+
+
+def spread(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Deal the rows of a benchmark table out over the tasks before costly work on them.
 
     The small tables are one row group each, read by one task; what follows would run alone.
+    The number of tasks grows with the text, so that what one task sorts, counts and
+    gathers stays the same however long the table is.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    held = df.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-held // TASK_BYTES))
+    return df.repartition(tasks, key)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
