@@ -14,6 +14,8 @@ from foliant.session import written
 
 #: Parts of a task's even share of rows that make a key hot.
 SHARE = 4
+#: Share of all rows that makes a key hot in any case; there can be no more hot keys than this.
+HOT_KEYS = 50_000
 IN_PARTITION = (1 << 33) - 1
 
 
@@ -123,8 +125,9 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", is
     """Join on one key of which the left side may hold very many equal rows.
 
     right has one row per key. A key is hot if its rows would fill more than a
-    quarter of a task's even share; there can be at most four such keys per
-    shuffle partition, so they and their right rows are broadcast, and the rows
+    quarter of a task's even share, or are more than one in ``HOT_KEYS`` of all rows;
+    there can be at most four keys of the first kind per shuffle partition, and ``HOT_KEYS``
+    of the second, so they and their right rows are broadcast, and the rows
     of hot keys stay where they are. The rest is joined by key. The left side is
     written first, unless it is: it is made once, and read for the counts and the two joins.
     """
@@ -132,10 +135,12 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", is
         raise ValueError(f"the left side must be kept or filtered, not {how}")
     spark = left.sparkSession
     left = left if is_written else written(left, "left")
-    most = SHARE * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = max(SHARE * int(spark.conf.get("spark.sql.shuffle.partitions")), HOT_KEYS)
     counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
     hot = F.broadcast(written(counts.where(F.col("__n") * most > left.count()).select(key), "hot"))
-    few = left.join(hot, key, "left_semi").join(F.broadcast(right.join(hot, key, "left_semi")), key, how)
+    # An inner join needs no test whether the key is hot: its right rows are those of hot keys.
+    of_hot = left if how in ("inner", "left_semi") else left.join(hot, key, "left_semi")
+    few = of_hot.join(F.broadcast(right.join(hot, key, "left_semi")), key, how)
     rest = left.join(hot, key, "left_anti").join(right, key, how)
     return few.unionByName(rest)
 

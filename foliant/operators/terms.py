@@ -21,6 +21,8 @@ WORD = r"^[\w-]+$"
 DICTIONARY_COLUMNS = ("term_id", "term", "surface")
 #: Of a place: so many bits for the position in a document, the others for the document.
 POSITION_BITS = 26
+#: Rows of terms that a task gathers into vectors, about.
+TASK_ROWS = 1 << 20
 
 
 def token_texts(docs: DataFrame, set: str = "token") -> Column:
@@ -167,9 +169,11 @@ def sparse_vectors(terms: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     A vector holds the distinct terms of one document, as the row itself does. The
     rows of a document meet once: adding up the surfaces of a term and gathering
-    the terms need no further exchange.
+    the terms need no further exchange. The number of tasks they meet in grows with
+    the rows. terms: a table as ``document_terms`` writes it, so that counting reads no row.
     """
-    rows = term_ids(terms, dictionary).repartition("row_key")
+    tasks = max(terms.sparkSession.sparkContext.defaultParallelism, -(-terms.count() // TASK_ROWS))
+    rows = term_ids(terms, dictionary).repartition(tasks, "row_key")
     counts = rows.groupBy("row_key", "term_id").agg(F.sum("n").alias("count"))
     return counts.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("term_id", "count"))).alias("vector"))
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from foliant.operators import rows, terms
 from foliant.plans import tables
 from tests.conftest import table
 
@@ -18,3 +19,38 @@ def test_spread_deals_more_tasks_to_more_text(spark):
     for few in (short, short.limit(0)):
         dealt = tables.spread(few, "doc_id")
         assert dealt.rdd.getNumPartitions() == cores and table(dealt) == table(few)
+
+
+def test_frequent_keys_stay_where_they_are(spark, monkeypatch):
+    held = {}
+
+    def written(df, name):
+        held[name] = kept(df, name)
+        return held[name]
+
+    kept = rows.written
+    monkeypatch.setattr(rows, "written", written)
+    # 200 keys of one row in 400 each, fewer than a quarter of a task's share, and 10,000 keys of one row.
+    left = spark.range(20000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id") / 2 % 200).otherwise(F.col("id") + 1000).cast("bigint").alias("k"), "id"
+    )
+    left = left.unionByName(spark.createDataFrame([(None, -1), (None, -2)], "k long, id long"))
+    monkeypatch.setattr(rows, "HOT_KEYS", 1000)
+    right = spark.range(0, 15000, 3).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = left.join(right, "k", how)
+        found = rows.join_hot(left, right, "k", how).select(*plain.columns)
+        assert held["hot"].count() == 200
+        assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+
+
+def test_vectors_meet_in_more_tasks_for_more_rows(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(terms, "TASK_ROWS", 2)
+    found = [(f"d{i}", 0, w, s, 1) for i in range(10) for w, s in (("a", "a"), ("a", "A"), (f"w{i}", f"w{i}"))]
+    made = spark.createDataFrame(found, "row_key string, first int, term string, surface string, n long")
+    known = spark.createDataFrame([(0, "a")] + [(i + 1, f"w{i}") for i in range(10)], "term_id long, term string")
+    vectors = terms.sparse_vectors(made, known)
+    assert vectors.rdd.getNumPartitions() > cores
+    lines = vectors.select("row_key", terms.vector_text(F.col("vector")).alias("line"))
+    assert table(lines) == [(f"d{i}", f"0:2\t{i + 1}:1") for i in range(10)]
