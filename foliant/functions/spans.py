@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from foliant.functions.arrays import let, running
 from foliant.model import ANNOTATION_SET_TYPE, ANNOTATIONS_TYPE
 
-BLOCK = 256
+#: Characters of a block are two to this power.
+BLOCK_BITS = 6
+BLOCK = 1 << BLOCK_BITS
 
 
 def empty_set() -> Column:
@@ -57,12 +59,12 @@ def span_texts(text: Column, spans: Column) -> Column:
 
     def covered(blocks: Column) -> Column:
         def one(s: Column) -> Column:
-            first = F.floor(s["start"] / BLOCK).cast("int")
-            last = F.floor(F.greatest(s["end"] - 1, s["start"]) / BLOCK).cast("int")
+            first = F.shiftright(s["start"], BLOCK_BITS)
+            last = F.shiftright(F.greatest(s["end"] - 1, s["start"]), BLOCK_BITS)
             window = F.when(first == last, F.get(blocks, first)).otherwise(
                 F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
             )
-            return F.coalesce(F.substring(window, s["start"] % BLOCK + 1, s["end"] - s["start"]), F.lit(""))
+            return F.coalesce(F.substring(window, s["start"].bitwiseAND(BLOCK - 1) + 1, s["end"] - s["start"]), F.lit(""))
 
         return F.transform(spans, one)
 

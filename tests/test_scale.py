@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from foliant.functions import spans, text
 from foliant.operators import rows, terms
 from foliant.plans import tables
 from tests.conftest import table
@@ -54,3 +55,15 @@ def test_vectors_meet_in_more_tasks_for_more_rows(spark, monkeypatch):
     assert vectors.rdd.getNumPartitions() > cores
     lines = vectors.select("row_key", terms.vector_text(F.col("vector")).alias("line"))
     assert table(lines) == [(f"d{i}", f"0:2\t{i + 1}:1") for i in range(10)]
+
+
+def test_words_are_cleaned_and_cut_as_before(spark):
+    words = [None, "", "word", " ", "a b", "a b", "\u0001x\u001f", "x\t\n y", " x", "x\n", "été", "\U0001f600\u000b\U0001f600"]
+    frame = spark.createDataFrame([(w,) for w in words], "w string")
+    plain = text.trimmed(text.collapsed(F.col("w")))
+    assert [r[0] for r in frame.select(text.clean_text(F.col("w"))).collect()] == [r[0] for r in frame.select(plain).collect()]
+    content = "\U0001f600éab" * 200
+    places = [(s, e) for s in (0, 1, 62, 63, 64, 65, 127, 128, 700) for e in (s, s + 1, s + 63, s + 64, s + 65, s + 200)]
+    made = F.array(*[spans.annotation(F.lit(0), F.lit(s), F.lit(e), F.lit("x")) for s, e in places])
+    got = spark.range(1).select(spans.span_texts(F.lit(content), made)).first()[0]
+    assert got == [content[s:e] for s, e in places]
