@@ -128,5 +128,11 @@ def canonical_name(name: Column, names: dict[str, str]) -> Column:
 
 
 def span_json(value: Column, start: Column, end: Column) -> Column:
-    """Span with its value as JSON."""
-    return F.to_json(F.struct(value.alias("value"), start.alias("start"), end.alias("end")))
+    """Span with its value as JSON.
+
+    A value without quotes, backslashes and control characters, as most words are, stands in
+    it as it is; whatever else there is, nulls included, is left to the JSON writer.
+    """
+    bare = ~F.rlike(value, F.lit(r'["\\\x00-\x1f]')) & start.isNotNull() & end.isNotNull()
+    made = F.concat(F.lit('{"value":"'), value, F.lit('","start":'), start.cast("string"), F.lit(',"end":'), end.cast("string"), F.lit("}"))
+    return F.when(bare, made).otherwise(F.to_json(F.struct(value.alias("value"), start.alias("start"), end.alias("end"))))

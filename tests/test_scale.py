@@ -67,3 +67,14 @@ def test_words_are_cleaned_and_cut_as_before(spark):
     made = F.array(*[spans.annotation(F.lit(0), F.lit(s), F.lit(e), F.lit("x")) for s, e in places])
     got = spark.range(1).select(spans.span_texts(F.lit(content), made)).first()[0]
     assert got == [content[s:e] for s, e in places]
+
+
+def test_span_json_is_what_the_writer_gives(spark):
+    words = [None, "", "word", 'a"b', "a\\b", "a\nb", "\u0000", "\u001f", "\u007f", "é\u2028", "</x>", "\U0001f600"]
+    rows_ = [(w, s, e) for w in words for s, e in ((0, 5), (None, 5), (3, None))]
+    frame = spark.createDataFrame(rows_, "v string, s int, e int")
+    plain = F.to_json(F.struct(F.col("v").alias("value"), F.col("s").alias("start"), F.col("e").alias("end")))
+    made = spans.span_json(F.col("v"), F.col("s"), F.col("e"))
+    assert all(r[0] == r[1] for r in frame.select(made, plain).collect())
+    wide = frame.select(F.col("v"), F.col("s").cast("bigint"), F.col("e").cast("bigint"))
+    assert all(r[0] == r[1] for r in wide.select(made, plain).collect())
