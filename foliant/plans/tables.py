@@ -25,6 +25,12 @@ TASK_BYTES = 8 << 20
 ROW_BYTES = 64
 
 
+def tasks(df: DataFrame, text: str = "text") -> int:
+    """How many tasks the text of a table is dealt to: one per core, or more as the text grows."""
+    held = df.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-held // TASK_BYTES))
+
+
 def spread(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Deal the rows of a benchmark table out over the tasks before costly work on them.
 
@@ -32,9 +38,7 @@ def spread(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     The number of tasks grows with the text, so that what one task sorts, counts and
     gathers stays the same however long the table is.
     """
-    held = df.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES)).first()[0] or 0
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-held // TASK_BYTES))
-    return df.repartition(tasks, key)
+    return df.repartition(tasks(df, text), key)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import spans, text
 from foliant.operators import rows, terms
-from foliant.plans import tables
+from foliant.plans import intake, tables
 from tests.conftest import table
 
 
@@ -78,3 +78,20 @@ def test_span_json_is_what_the_writer_gives(spark):
     assert all(r[0] == r[1] for r in frame.select(made, plain).collect())
     wide = frame.select(F.col("v"), F.col("s").cast("bigint"), F.col("e").cast("bigint"))
     assert all(r[0] == r[1] for r in wide.select(made, plain).collect())
+
+
+def test_feeds_land_by_more_tasks_for_more_text(spark, tmp_path, monkeypatch):
+    frames = type(spark.range(1))
+    dealt, kept = [], frames.repartition
+
+    def repartition(df, n, *keys):
+        dealt.append(n)
+        return kept(df, n, *keys)
+
+    monkeypatch.setattr(frames, "repartition", repartition)
+    monkeypatch.setattr(tables, "TASK_BYTES", 512)
+    frame = spark.createDataFrame([(i, "en", f"s{i % 3}", "x" * 100) for i in range(60)], "doc_id long, lang string, source string, text string")
+    intake.land(frame, str(tmp_path / "landed"))
+    assert dealt[0] == -(-60 * (100 + tables.ROW_BYTES) // 512)
+    found = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "landed"), wholetext=True)
+    assert sorted(r[0].count("<entry>") for r in found.collect()) == [20, 20, 20]
