@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,15 +30,29 @@ def file_path() -> Column:
     return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
 
 
-def read_text_tree(spark: SparkSession, root: str, source: str, glob: str = "*.txt") -> DataFrame:
-    """One document per text file below root, keyed by its relative path."""
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .text(root, wholetext=True)
-        .select(file_path().alias("path"), F.col("value").alias("content"))
-    )
-    return text_docs(files, root, source)
+#: Suffixes of the files that a text reader unpacks.
+PACKED = (".bz2", ".deflate", ".gz", ".lz4", ".snappy", ".zst")
+
+
+def _is_plain(glob: str) -> bool:
+    """Whether every file that a glob matches is named as one that is not packed."""
+    end = re.split(r"[*?\[\]{}\\]", glob)[-1]
+    return "." in end and not end.endswith(PACKED)
+
+
+def read_text_tree(spark: SparkSession, root: str, source: str, glob: str = "*.txt", tasks: int | None = None) -> DataFrame:
+    """One document per text file below root, keyed by its relative path.
+
+    Plain files are read as bytes: the text reader copies the whole Hadoop configuration,
+    under a lock, for every file. A scan deals some 32 small files to a task; if tasks
+    is given, there are no more tasks than that.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    if _is_plain(glob):
+        files = reader.format("binaryFile").load(root).select(file_path().alias("path"), F.col("content").cast("string"))
+    else:
+        files = reader.text(root, wholetext=True).select(file_path().alias("path"), F.col("value").alias("content"))
+    return text_docs(files if tasks is None else files.coalesce(tasks), root, source)
 
 
 def text_docs(files: DataFrame, root: str, source: str) -> DataFrame:

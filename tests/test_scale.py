@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from foliant.functions import spans, text
 from foliant.operators import rows, terms
 from foliant.plans import intake, tables
+from foliant.sources import files
 from tests.conftest import table
 
 
@@ -95,3 +96,27 @@ def test_feeds_land_by_more_tasks_for_more_text(spark, tmp_path, monkeypatch):
     assert dealt[0] == -(-60 * (100 + tables.ROW_BYTES) // 512)
     found = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "landed"), wholetext=True)
     assert sorted(r[0].count("<entry>") for r in found.collect()) == [20, 20, 20]
+
+
+def test_trees_of_many_small_files_are_read_as_bytes_by_few_tasks(spark, tmp_path, monkeypatch):
+    texts = {f"f{i % 3}/{i}.txt": f"text {i}\r\n" for i in range(200)} | {"bom.txt": "\ufeff\u00e9\u0000\U0001f600"}
+    for name, content in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content.encode())
+        (tmp_path / f"{name}.note").write_text("no")
+    (tmp_path / "odd.txt").write_bytes(b"\xff\xfe a \xc3")
+    whole = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(str(tmp_path), wholetext=True)
+    assert whole.rdd.getNumPartitions() > 2
+    found = files.read_text_tree(spark, str(tmp_path), "s", tasks=2)
+    assert found.rdd.getNumPartitions() == 2
+    # The text reader copies the Hadoop configuration for every file.
+    assert "binaryFile" in found._jdf.queryExecution().executedPlan().toString()
+    held = found.select(F.col("text.orig").cast("binary").alias("value"))
+    assert table(held) == table(whole.select(F.col("value").cast("binary").alias("value")))
+    assert dict(table(found.where(~F.contains("row_key", F.lit("odd"))), "row_key", "text.orig")) == texts
+
+
+def test_packed_files_of_a_tree_are_unpacked(spark, tmp_path):
+    spark.createDataFrame([("a",), ("b",)], "v string").coalesce(1).write.text(str(tmp_path / "z"), compression="gzip")
+    for glob in ("*.gz", "*.txt.gz", "*", "*.txt*"):
+        assert table(files.read_text_tree(spark, str(tmp_path / "z"), "s", glob), "text.orig") == [("a\nb\n",)]
