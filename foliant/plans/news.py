@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.functions.markup import all_text, guarded
+from foliant.functions.markup import all_text, guarded, replaced
 from foliant.model import empty_annotations, meta_map, src_struct, text_struct
 from foliant.operators import newsxml as N
 from foliant.operators.rows import computed
@@ -48,9 +48,7 @@ TEMPLATE = (
 
 
 def escaped(text: Column) -> Column:
-    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
-        text = F.replace(text, F.lit(plain), F.lit(entity))
-    return text
+    return replaced(text, [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")])
 
 
 def filled(template: str, values: dict[str, Column]) -> Column:
@@ -65,8 +63,8 @@ def filled(template: str, values: dict[str, Column]) -> Column:
 
 def _values() -> dict[str, Column]:
     doc_id, lang = F.col("doc_id"), F.col("lang")
-    lines = F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<p>"), escaped(x), F.lit("</p>")))
-    body = F.concat(F.lit('<block class="full_text">'), F.array_join(lines, "\n"), F.lit("</block>"))
+    lines = F.replace(escaped(F.col("text")), F.lit("\n"), F.lit("</p>\n<p>"))
+    body = F.concat(F.lit('<block class="full_text"><p>'), lines, F.lit("</p></block>"))
     at = F.timestamp_seconds(doc_id * 3600 + 1118102400)
     return {
         "doc_id": doc_id,

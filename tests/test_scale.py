@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from foliant.functions import spans, text
+from foliant.functions import markup, spans, text
 from foliant.operators import rows, terms
-from foliant.plans import intake, tables
+from foliant.plans import intake, news, tables
 from foliant.sources import files
 from tests.conftest import table
 
@@ -120,3 +120,58 @@ def test_packed_files_of_a_tree_are_unpacked(spark, tmp_path):
     spark.createDataFrame([("a",), ("b",)], "v string").coalesce(1).write.text(str(tmp_path / "z"), compression="gzip")
     for glob in ("*.gz", "*.txt.gz", "*", "*.txt*"):
         assert table(files.read_text_tree(spark, str(tmp_path / "z"), "s", glob), "text.orig") == [("a\nb\n",)]
+
+
+def test_markup_is_searched_before_it_is_rewritten(spark):
+    """Same results as the plain chains of replacements, each of which was run on every text."""
+    less, opened, shut, kept = markup.LESS, markup.OPEN, markup.SHUT, markup.KEPT
+    texts = [
+        None, "", " ", "a", " a\n", "\u0000a\u001f", "\u00a0a\u00a0", f"a{less}b {kept}1{kept}4", f"{kept}4{kept}1", "<b> x </b> <i/>y ", "<b></b>", "a<",
+        f"{opened} class='x' type=\"y &amp; {less}\"{shut}On <em>en</em> line ", f"{opened}{shut} a", f"{opened} class='a\"b'{shut}", f"{opened} Xclass='n'{shut}z",
+        "&#57345;", "&#x0E001;", "&#X000e004; x", "&#57349;", f"{opened}&#1;", "\U0001f600 <p> \u00e9 </p>", "a & b < c > \"d\"\n\n&lt;", "\n",
+        "<!DOCTYPE a [ <!ENTITY b 'c'> ]><hl2 class='a/>b' /> <hl2  a=\"1\" b = '2' >&#60;&#x3c;&#X03C;</hl2><object.title/><objectXtitle/><hl2x/>",
+        f"{less}{opened}{shut}{kept} \ue000 \ue03f &#x00E002;&#57347;&#X0e004; <hl2/>",
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+
+    def plain(c):
+        out = F.translate(c, less, "<")
+        for i, own in enumerate(markup.OWN, 1):
+            out = F.replace(out, F.lit(f"{kept}{i}"), F.lit(own))
+        return out
+
+    def all_text(c):
+        bare = F.regexp_replace(c, f"{opened}[^{shut}]*{shut}", "")
+        nodes = F.filter(F.split(bare, "<[^>]*>"), lambda n: n != "")
+        return plain(text.trimmed(F.array_join(F.transform(nodes, text.trimmed), " ")))
+
+    def attribute(c, name):
+        inside = F.regexp_extract(c, f"^{opened}([^{shut}]*){shut}", 1)
+        pattern = rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+        value = F.concat(F.regexp_extract(inside, pattern, 1), F.regexp_extract(inside, pattern, 2))
+        return F.when(F.rlike(inside, F.lit(pattern)), plain(value))
+
+    def escaped(c):
+        for old, new in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            c = F.replace(c, F.lit(old), F.lit(new))
+        return c
+
+    def protected(c, names="hl2|object\\.title"):
+        out = F.regexp_replace(markup.guarded(c), r"(?s)<!DOCTYPE[^>\[]*(\[.*?\]\s*)?>", "")
+        out = F.regexp_replace(out, "&lt;|&#0*60;|&#[xX]0*3[cC];", less)
+        out = F.regexp_replace(out, f"<({names}){markup.ATTRIBUTES}>", f"<$1>{opened}$2{shut}")
+        return F.regexp_replace(out, f"<({names}){markup.ATTRIBUTES}/>", f"<$1>{opened}$2{shut}</$1>")
+
+    pairs = [
+        (markup.protected(t, ("hl2", "object.title")), protected(t)), (markup.plain(t), plain(t)), (markup.all_text(t), all_text(t)), (news.escaped(t), escaped(t)),
+        (markup.attribute(t, "class"), attribute(t, "class")), (markup.attribute(t, "type"), attribute(t, "type")),
+    ]
+    for new, old in pairs:
+        assert [r[0] for r in frame.select(new).collect()] == [r[0] for r in frame.select(old).collect()]
+    guards = [("\ue001", f"{kept}1"), ("&#57346; &#xE003;", f"{kept}2 {kept}3"), ("\ue004\ue000", f"{kept}4\ue000"), ("&#x0E004;", f"{kept}4"), ("&#57345", "&#57345")]
+    found = spark.createDataFrame(guards, "a string, b string").select(markup.guarded(F.col("a")), "b").collect()
+    assert all(r[0] == r[1] for r in found)
+    # A text without the character is not rewritten, and a compound value is evaluated once.
+    plan = frame.select(markup.plain(F.concat(t, t)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "contains" in plan.lower() and plan.count("concat(t#") == 1
