@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from foliant.functions.text import ISO_DATE, is_blank
 from foliant.model import CELLS_SCHEMA, INGEST_DATE, text_struct
@@ -15,7 +17,7 @@ from foliant.session import written
 COLUMN_KEY = ("row_key", "family", "qualifier")
 
 
-def newest(cells: DataFrame, tie: str | None = None) -> DataFrame:
+def newest(cells: DataFrame, tie: str | None = None, at: Sequence[str] | None = None) -> DataFrame:
     """The newest version of every column of a stored history table.
 
     Equal timestamps are settled by the tie column (not negative), then by the
@@ -26,7 +28,11 @@ def newest(cells: DataFrame, tie: str | None = None) -> DataFrame:
     short one is broadcast and the cells stay where they are; a long one is
     joined by row_key alone, as in ``upsert``. Values are read once, at the end;
     they are compared only where several versions tie, and then only distinct ones.
+    With at, the columns that say where a cell is stored (file, row number), the
+    cells stay where they are however many columns have several versions.
     """
+    if at is not None:
+        return _newest_in_place(cells, tie, *at)
     places = cells.select(*COLUMN_KEY, _place(tie).alias("place"))
     tops = places.groupBy(*COLUMN_KEY).agg(F.max("place").alias("top"), F.count("*").alias("n"))
     contested = written(tops.where("n > 1").select(*_put_names(), "top"), "contested")
@@ -46,8 +52,57 @@ def newest(cells: DataFrame, tie: str | None = None) -> DataFrame:
     if listed.where("is_tied").isEmpty():
         return kept
     ties = held.where(winning & F.col("is_tied")).select(*columns).distinct()
-    settled = ties.groupBy(*COLUMN_KEY, "ts").agg(F.max("value").alias("value")).select(*columns)
-    return kept.unionByName(settled)
+    return kept.unionByName(_settled(ties))
+
+
+def _settled(ties: DataFrame) -> DataFrame:
+    """The larger value of each column."""
+    return ties.groupBy(*COLUMN_KEY, "ts").agg(F.max("value").alias("value")).select(*CELLS_SCHEMA.names)
+
+
+#: Rows of a file that one bitmap is for (that of ``bitmap_construct_agg``), and bitmaps that are broadcast at most, of 4 KB each.
+BITMAP_ROWS = 32_768
+BITMAPS = 32_768
+
+
+def _newest_in_place(cells: DataFrame, tie: str | None, file: str, row: str) -> DataFrame:
+    """``newest`` of stored cells: which of them are superseded is a bit per row of their files.
+
+    Keys, numbers and places are shuffled by row key, so that the cells of a row, stored
+    side by side, stay together and their key packs well; values are not, but of cells that tie.
+    Bitmaps too many to be broadcast are joined by file. A cell without a row key supersedes none.
+    """
+    column = W.partitionBy(*COLUMN_KEY)
+    keyed = cells.where(F.col("row_key").isNotNull()).select(*COLUMN_KEY, _place(tie).alias("place"), file, row)
+    ranked = keyed.repartition("row_key").withColumn("top", F.max("place").over(column))
+    ranked = ranked.withColumn("wins", F.col("place") == F.col("top")).withColumn("ties", F.count_if("wins").over(column) > 1)
+    bit = F.when(F.col("ties") & F.col("wins"), F.col("bit"))
+    marked = (
+        ranked.where(~F.col("wins") | F.col("ties"))
+        .select(file, F.floor(F.col(row) / BITMAP_ROWS).alias("part"), (F.col(row) % BITMAP_ROWS).alias("bit"), "ties", "wins")
+        .repartition(file, "part")
+        .groupBy(file, "part")
+        .agg(_bitmap(F.col("bit")).alias("left_out"), _bitmap(bit).alias("tied"))
+    )
+    bitmaps = written(marked, "superseded")
+    short = bitmaps.count() <= BITMAPS
+    placed = cells.withColumn("part", F.floor(F.col(row) / BITMAP_ROWS))
+    held = placed.join(F.broadcast(bitmaps) if short else bitmaps, [file, "part"], "left")
+    columns, bit = CELLS_SCHEMA.names, F.col(row) % BITMAP_ROWS
+    kept = held.where(~_is_set("left_out", bit)).select(*columns)
+    if bitmaps.where("tied is not null").isEmpty():
+        return kept
+    return kept.unionByName(_settled(held.where(_is_set("tied", bit)).select(*columns).distinct()))
+
+
+def _bitmap(bits: Column) -> Column:
+    """A bitmap of the given bits up to the last of them, null if there is none."""
+    return F.when(F.max(bits).isNotNull(), F.substring(F.bitmap_construct_agg(bits), F.lit(1), F.floor(F.max(bits) / 8).cast("int") + 1))
+
+
+def _is_set(bitmap: str, bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
 
 
 def _place(tie: str | None) -> Column:

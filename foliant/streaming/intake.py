@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from foliant.model import CELLS_SCHEMA, docs_to_cells
 from foliant.operators.upsert import newest
 from foliant.sources.feeds import SEEN, feed_docs
-from foliant.streaming.store import BatchStore
+from foliant.streaming.store import AT, BatchStore
 
 
 def landed_feeds(spark: SparkSession, folder: str, glob: str = "*.xml") -> DataFrame:
@@ -47,7 +47,7 @@ def feed_cells(feeds: DataFrame, source: str) -> DataFrame:
 
 def cell_store(spark: SparkSession, path: str) -> BatchStore:
     """Cells, of which the newest version per column counts, a later batch before an earlier one."""
-    return BatchStore(spark, path, CELLS_SCHEMA, lambda rows: newest(rows, tie="batch"))
+    return BatchStore(spark, path, CELLS_SCHEMA, lambda rows: newest(rows, tie="batch", at=AT))
 
 
 def count_store(spark: SparkSession, path: str) -> BatchStore:

@@ -16,16 +16,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from foliant.sources.versions import Versioned
 
 
+#: Rows of one document, which say much the same, stand side by side; this finds what repeats far apart.
+PACKING = "zstd"
+#: Where a row is stored.
+AT = ("file", "row")
+
+
 class BatchStore(Versioned):
-    """reduce: the state that rows (schema, batch) come to, in columns of the schema.
+    """reduce: the state that rows (schema, batch, file, row) come to, in columns of the schema.
 
     It must give the same for parts as for the whole: the rows of a snapshot count as
-    rows of the snapshot's batch.
+    rows of the snapshot's batch. file and row say where a row is stored.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, reduce: Callable[[DataFrame], DataFrame]):
@@ -45,19 +51,25 @@ class BatchStore(Versioned):
 
     def put(self, rows: DataFrame, batch: int) -> None:
         """Store the rows of a batch; once more, if it is run again."""
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        self._write(rows.select(*self.schema.names), f"batch={batch}")
+
+    def _write(self, rows: DataFrame, name: str) -> None:
+        rows.write.mode("overwrite").option("compression", PACKING).parquet(f"{self.path}/{name}")
 
     def rows(self) -> DataFrame:
-        """(schema, batch): the valid snapshot and the batches after it."""
+        """(schema, batch, file, row): the valid snapshot and the batches after it."""
         held = self.snapshot()
         later = [f"{self.path}/batch={n}" for n in self.batches() if held is None or n > held]
+        place = [F.substring_index("_metadata.file_path", "/", -2).alias(AT[0]), F.col("_metadata.row_index").alias(AT[1])]
         parts = []
         if held is not None:
-            parts.append(self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot={held}").withColumn("batch", F.lit(held).cast("bigint")))
+            rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot={held}")
+            parts.append(rows.select("*", F.lit(held).cast("bigint").alias("batch"), *place))
         if later:
-            parts.append(self.spark.read.schema(self.with_batch).option("basePath", self.path).parquet(*later))
+            rows = self.spark.read.schema(self.with_batch).option("basePath", self.path).parquet(*later)
+            parts.append(rows.select("*", *place))
         if not parts:
-            return self.spark.createDataFrame([], self.with_batch)
+            return self.spark.createDataFrame([], StructType(list(self.with_batch.fields)).add(AT[0], StringType()).add(AT[1], LongType()))
         return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
 
     def state(self) -> DataFrame:
@@ -70,7 +82,7 @@ class BatchStore(Versioned):
         last, held = max(self.batches(), default=None), self.snapshot()
         if last is None or (held is not None and last <= held):
             return None
-        self.state().write.mode("overwrite").parquet(f"{self.path}/snapshot={last}")
+        self._write(self.state(), f"snapshot={last}")
         return last
 
     def compact(self) -> None:

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from foliant.functions import markup, spans, text
-from foliant.operators import rows, terms
+from foliant.operators import rows, terms, upsert
 from foliant.plans import intake, news, tables
 from foliant.sources import files
+from foliant.streaming import intake as stream
 from tests.conftest import table
 
 
@@ -175,3 +176,53 @@ def test_markup_is_searched_before_it_is_rewritten(spark):
     # A text without the character is not rewritten, and a compound value is evaluated once.
     plan = frame.select(markup.plain(F.concat(t, t)))._jdf.queryExecution().optimizedPlan().toString()
     assert "contains" in plan.lower() and plan.count("concat(t#") == 1
+
+
+def test_superseded_cells_are_found_in_place(spark, tmp_path, monkeypatch):
+    key = (F.col("id") % 20_000).cast("string").alias("row_key")
+    # Two batches with ties in and between them, files of more rows than a bitmap has, rows without a key or a time.
+    ts = F.when(F.col("id") % 97 > 0, F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(5))))
+    value = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(9)).cast("string").alias("value")
+    made = spark.range(0, 90_000, 1, 2).select(F.when(F.col("id") % 19_999 > 0, key).alias("row_key"), F.lit("m").alias("family"), (F.col("id") % 2).cast("string").alias("qualifier"), ts.alias("ts"), value)
+    store = stream.cell_store(spark, str(tmp_path / "s"))
+    store.put(made.where("ts is null or second(ts) < 4"), 0)
+    store.put(made.where("ts is null or second(ts) > 1"), 1)
+    expected = sorted(upsert.newest(store.rows(), tie="batch").collect(), key=str)
+    assert len(expected) > 20_000
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        # However long the list, values are in no exchange but where versions tie.
+        assert sorted(store.state().collect(), key=str) == expected
+        store.put(made.where("id < 100").withColumn("ts", F.timestamp_seconds(F.lit(9))), 2)
+        plan = store.state()._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        expected = sorted(upsert.newest(store.rows(), tie="batch").collect(), key=str)
+        monkeypatch.setattr(upsert, "BITMAPS", 0)
+        assert sorted(store.state().collect(), key=str) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    store.compact()
+    store.clear()
+    assert sorted(store.state().collect(), key=str) == expected
+
+
+def test_feed_intake_keeps_little_on_disk(spark, tmp_path, monkeypatch):
+    text = "A harbour & its <lights>, one by one.\n" * 50
+    rows = [(i, "en" if i % 2 else "de", f"s{i % 3}", f"{i % 50}: {text}") for i in range(300)]
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    paths = {}
+    monkeypatch.setattr(intake, "fresh_path", lambda _, name: paths.setdefault(name, str(tmp_path / name)))
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    shuffles = lambda: {x for x in held().split("\n") if "/shuffle_" in x and "checksum" not in x}
+    before = shuffles()
+    found = intake.feed_intake(spark, str(tmp_path / "in"))
+    assert not shuffles() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    landed = [p for p in (tmp_path / "landed").rglob("*") if p.is_file() and not p.name.startswith((".", "_"))]
+    assert sum(p.stat().st_size for p in landed) < sum(len(r[3]) for r in rows)
+    # What a snapshot holds is not there in batches as well.
+    assert {p.name for p in (tmp_path / "intake").iterdir() if "=" in p.name} == {"snapshot=1"}
+    # An entry per document, a body per text.
+    assert found.count() == 300 + 50
