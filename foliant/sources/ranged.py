@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from typing import BinaryIO
 
 import pyarrow.fs
+from pyarrow.fs import FileSelector, FileType
 
 _URI = re.compile(r"(?P<scheme>[A-Za-z][A-Za-z0-9+.-]*):(?://(?P<authority>[^/]*))?(?P<path>/.*)", re.DOTALL)
 #: Names that Spark's connectors use for file systems that are known here by another.
@@ -43,3 +45,27 @@ def created(path: str) -> BinaryIO:
         os.makedirs(os.path.dirname(place), exist_ok=True)
         return open(place, "wb")
     return system.open_output_stream(place)
+
+
+def is_folder(path: str) -> bool:
+    """Whether a path is a folder that can be listed here; one that only Spark's connectors reach is none."""
+    try:
+        system, place = _located(path)
+        return os.path.isdir(place) if system is None else system.get_file_info(place).type == FileType.Directory
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
+def listed(path: str) -> Iterator[tuple[str, int | None]]:
+    """The names in a folder, with the length of a file and none for a folder."""
+    system, place = _located(path)
+    if system is not None:
+        for found in system.get_file_info(FileSelector(place)):
+            yield found.base_name, None if found.type == FileType.Directory else found.size
+        return
+    with os.scandir(place) as entries:
+        for entry in entries:
+            try:
+                yield entry.name, None if entry.is_dir() else entry.stat().st_size
+            except FileNotFoundError:  # gone meanwhile, or a link to nothing
+                continue

@@ -226,3 +226,29 @@ def test_feed_intake_keeps_little_on_disk(spark, tmp_path, monkeypatch):
     assert {p.name for p in (tmp_path / "intake").iterdir() if "=" in p.name} == {"snapshot=1"}
     # An entry per document, a body per text.
     assert found.count() == 300 + 50
+
+
+def test_trees_of_many_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    root = tmp_path / "a tree"
+    names = ["a.txt", "b/c.txt", "b/.h.txt", "_x/d.txt", "_x=1/e.txt", ".h/f.txt", "_metadata/g.txt", "_metadata.txt", "b/_y.txt", "b/_y=.txt", "k._COPYING_/l.txt"]
+    names += ["c++ 100%.txt", "b/a%20b é.txt", "b/[x]{1}.txt", "deep/1/2/3/q.txt", "empty.txt", "n.txt.note", "TXT.TXT"] + [f"many/{i}.txt" for i in range(40)]
+    for name in names:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"" if name == "empty.txt" else name.encode() + b"\xff\r\n\x00x")
+    (root / "gone.txt").symlink_to(root / "nowhere")
+    monkeypatch.setattr(files, "NAMES", 7)
+    monkeypatch.setattr(files, "PORTION_FILES", 3)
+
+    def read(at, glob, most):
+        monkeypatch.setattr(files, "LISTED", most)
+        found = files.read_text_tree(spark, at, "s", glob, tasks=3)
+        assert found.rdd.getNumPartitions() <= 3
+        assert ("binaryFile" in found._jdf.queryExecution().executedPlan().toString()) == (most > 1000)
+        return table(found.select("row_key", "src.id", "meta", F.hex(F.col("text.orig").cast("binary"))))
+
+    for at, glob in ((str(root), "*.txt"), (f"file://{root}/", "{a,c}.txt"), (str(root), "[0-3]*.txt")):
+        assert read(at, glob, 0) == read(at, glob, 10_000)
+    assert len(read(str(root), "*.txt", 0)) == 49
+    # A single file and a pattern are for Spark to read.
+    assert [r[0] for r in table(files.read_text_tree(spark, str(root / "b" / "c.txt"), "s"), "text.orig")]
+    assert files.read_text_tree(spark, f"{root}/b*", "s").count() == 4
