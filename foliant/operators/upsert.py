@@ -60,9 +60,10 @@ def _settled(ties: DataFrame) -> DataFrame:
     return ties.groupBy(*COLUMN_KEY, "ts").agg(F.max("value").alias("value")).select(*CELLS_SCHEMA.names)
 
 
-#: Rows of a file that one bitmap is for (that of ``bitmap_construct_agg``), and bitmaps that are broadcast at most, of 4 KB each.
+#: Rows of a file that one bitmap is for (that of ``bitmap_construct_agg``), bytes of bitmaps that are broadcast at most, and what one counts beside its bits.
 BITMAP_ROWS = 32_768
-BITMAPS = 32_768
+BITMAP_BYTES = 128 << 20
+BITMAP_KEY = 256
 
 
 def _newest_in_place(cells: DataFrame, tie: str | None, file: str, row: str) -> DataFrame:
@@ -85,7 +86,8 @@ def _newest_in_place(cells: DataFrame, tie: str | None, file: str, row: str) ->
         .agg(_bitmap(F.col("bit")).alias("left_out"), _bitmap(bit).alias("tied"))
     )
     bitmaps = written(marked, "superseded")
-    short = bitmaps.count() <= BITMAPS
+    size = F.octet_length("left_out") + F.coalesce(F.octet_length("tied"), F.lit(0)) + BITMAP_KEY
+    short = (bitmaps.agg(F.sum(size)).first()[0] or 0) <= BITMAP_BYTES
     placed = cells.withColumn("part", F.floor(F.col(row) / BITMAP_ROWS))
     held = placed.join(F.broadcast(bitmaps) if short else bitmaps, [file, "part"], "left")
     columns, bit = CELLS_SCHEMA.names, F.col(row) % BITMAP_ROWS

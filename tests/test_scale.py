@@ -198,7 +198,7 @@ def test_superseded_cells_are_found_in_place(spark, tmp_path, monkeypatch):
         plan = store.state()._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
         expected = sorted(upsert.newest(store.rows(), tie="batch").collect(), key=str)
-        monkeypatch.setattr(upsert, "BITMAPS", 0)
+        monkeypatch.setattr(upsert, "BITMAP_BYTES", 0)
         assert sorted(store.state().collect(), key=str) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
